@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pointloom.llm import byte_bpe, packing, token_counts
+import corpus_pipeline
+from pointloom.llm import byte_bpe, forest, html_text, packing, pivots, repeats, simhash, token_counts, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,16 +29,52 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages"))
+
+
+def op5_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return forest.nearest(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op8_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.deduplicated(table(spark, sf_dir, "documents"))
+
+
+def op9_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
-        for f in (op1_token_counts, op2_packing, op7_byte_bpe)
-    }
+        for f in (
+            op1_token_counts, op2_packing, op3_toxicity, op4_warc, op5_forest, op6_simhash, op7_byte_bpe, op8_suffix_repeats, op9_pivots, op10_html_text, pipeline,
+        )
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}
