@@ -102,14 +102,11 @@ def local_east_north_up(poses: DataFrame, lat: str, lon: str, elev: str, order:
     """FN9: metres east, north and up from the first pose with a finite position; elevation 0 counts as missing."""
     up = F.coalesce(F.nullif(F.col(elev), F.lit(0.0)), F.lit(0.0))
     valid = finite(lat) & finite(lon)
-    origin = poses.where(valid).agg(F.min_by(F.struct(F.col(lat).alias("lat0"), F.col(lon).alias("lon0"), up.alias("up0")), order).alias("o")).select("o.*")
+    origin = poses.where(valid).agg(F.min_by(F.struct(F.col(lat).alias("lat0"), F.col(lon).alias("lon0"), up.alias("up0")), order).alias("o")).scalar()
     radius = 6_378_137.0
-    both = poses.crossJoin(F.broadcast(origin))  # a single row
-    return both.withColumns({
-        "east": F.radians(F.col(lon) - F.col("lon0")) * radius * F.cos(F.radians("lat0")),
-        "north": F.radians(F.col(lat) - F.col("lat0")) * radius,
-        "up": up - F.col("up0"),
-    }).drop("lat0", "lon0", "up0")
+    return poses.withColumn("o", origin).withColumns({
+        "east": F.radians(F.col(lon) - F.col("o.lon0")) * radius * F.cos(F.radians("o.lat0")), "north": F.radians(F.col(lat) - F.col("o.lat0")) * radius, "up": up - F.col("o.up0"),
+    }).drop("o")
 
 
 MICROS = {"s": 1_000_000.0, "ms": 1_000.0, "us": 1.0, "ns": 0.001}

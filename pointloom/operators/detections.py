@@ -197,3 +197,23 @@ def greedy_matches(vehicles: DataFrame, views: DataFrame, pairs: DataFrame, leas
         return pd.DataFrame(out, columns=["image_id", "det_id", "view", "orientation"]).astype({"view": "Int64"})
 
     return asked.groupBy("image_id").applyInPandas(take, "image_id bigint, det_id bigint, view bigint, orientation string")
+
+
+def visible_fragments(pixels: DataFrame, masks: DataFrame, detections: DataFrame, least: int = 1) -> DataFrame:
+    """DOM20: composed pixels that each detection still shows: own label, its score within 1e-6 of the pixel's, first claimant, at least ``least`` of them."""
+    own = masks.join(detections.select("image_id", "det_id", "label", "score"), ["image_id", "det_id"]).select("image_id", "v", F.explode(F.sequence("u0", F.col("u1") - 1)).alias("u"), "det_id", "label", "score")
+    shown = own.join(pixels.select("image_id", "v", "u", F.col("label").alias("top"), "confidence"), ["image_id", "v", "u"]).where((F.col("label") == F.col("top")) & (F.abs(F.col("score") - F.col("confidence")) <= 1e-6))
+    first = shown.groupBy("image_id", "v", "u").agg(F.min("det_id").alias("det_id"))
+    return first.groupBy("image_id", "det_id").agg(F.count("*").alias("visible")).where(F.col("visible") >= least)
+
+
+def routed(predictions: DataFrame, probabilities: str, classes: list[str], confidence: float, margin: float, fallback: str, drop: str | None = None) -> DataFrame:
+    """DOM21: a classifier's label where sure, else ``fallback`` with the reasons; rows of class ``drop`` go."""
+    from pointloom.functions.scalars import top_two
+
+    df = predictions.withColumns(top_two(probabilities))
+    name = F.element_at(F.array(*[F.lit(c) for c in classes]), (F.col("best") + 1).cast("int"))
+    unsure, close = F.round("confidence", 6) < confidence, F.round("margin", 6) < margin
+    reason = F.concat_ws("+", F.when(unsure, "low_confidence"), F.when(close, "low_margin"))
+    out = df.withColumns({"routed": F.when(unsure | close, fallback).otherwise(name), "reason": F.when(unsure | close, reason).otherwise("accepted")})
+    return out if drop is None else out.where(F.col("routed") != drop)

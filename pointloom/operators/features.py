@@ -70,8 +70,7 @@ def blend_weight(scores: DataFrame, truth: str, p: str, q: str, classes: int, st
     from pointloom.functions.scalars import top_two
 
     n = int(round(1 / step)) + 1
-    weights = scores.sparkSession.range(n).select((F.col("id") * step).alias("weight"))
-    tried = scores.crossJoin(F.broadcast(weights))  # n copies of each row
+    tried = scores.withColumn("weight", F.explode(F.array(*[F.lit(k * step) for k in range(n)])))
     mixed = F.zip_with(p, q, lambda a, b: a * F.col("weight") + b * (1 - F.col("weight")))
     labelled = tried.withColumn("mixed", mixed).withColumn("pred", top_two("mixed")["best"])
     hits = labelled.groupBy("weight", F.col(truth).alias("gt"), "pred").agg(F.count("*").alias("n"))

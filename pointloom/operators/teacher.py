@@ -28,7 +28,7 @@ def teacher_features(points: DataFrame, pixels: DataFrame) -> DataFrame:
     """DOM2: echo, density, temporal, mask and model features of every point, one row each."""
     keep = points.columns
     features = echo.temporal_support(echo.angular_density(echo.echo_features(points)))
-    features = features.join(F.broadcast(echo.frame_thresholds(features).select("frame_ord", "far_from", "line_from", "below_to")), "frame_ord")
+    features = features.join(echo.frame_thresholds(features), "frame_ord")
     masked = echo.mask_labels(features, pixels)
     edge = echo.mask_boundary(pixels).select("u", "v", "boundary")
     return masked.join(edge, ["u", "v"], "left").withColumn("boundary", F.coalesce("boundary", F.lit(False)) & (F.col("mask_label") != IGNORE)).select(

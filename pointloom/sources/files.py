@@ -243,3 +243,43 @@ def dimension(spark: SparkSession, rows: Sequence[tuple], schema: str, unique: S
 def synced_frames(spark: SparkSession, path: str) -> DataFrame:
     """SRC23: frames of a match manifest that are synchronised."""
     return spark.read.option("multiLine", True).json(path).select(F.inline("frames")).where("synced")
+
+
+def annotation_for_frames(frames: DataFrame, found: DataFrame, suffixes: Sequence[str] = ("_labels", "_annotation", "_annotations", "_manual")) -> DataFrame:
+    """SRC15: the annotation file of each frame: the same stem, else the stem without a known suffix. (frame_id, path)"""
+    short = F.regexp_replace("stem", "(" + "|".join(suffixes) + ")$", "")
+    ranked = found.select(F.col("stem").alias("frame_id"), "path", F.lit(0).alias("rank")).union(found.where(short != F.col("stem")).select(short, "path", F.lit(1)))
+    best = ranked.groupBy("frame_id").agg(F.min_by("path", F.struct("rank", "path")).alias("path"))
+    return frames.join(best, "frame_id", "left")
+
+
+def flat_labels(labels: DataFrame, points: DataFrame) -> DataFrame:
+    """SRC10: labels of primary points, from files of primary or of all returns, told by each frame's length.
+
+    labels: frame_id, row_idx, label; points: frame_id, row_idx, is_primary. Other lengths raise.
+    """
+    w = Window.partitionBy("frame_id").orderBy("row_idx")
+    primary = points.where("is_primary").withColumn("rank", (F.row_number().over(w) - 1).cast("bigint"))
+    sizes = points.groupBy("frame_id").agg(F.count("*").alias("n_all"), F.count_if("is_primary").alias("n_primary")).join(labels.groupBy("frame_id").agg(F.count("*").alias("n")), "frame_id")
+    layout = F.when(F.col("n") == F.col("n_primary"), "primary").when(F.col("n") == F.col("n_all"), "all").otherwise(F.raise_error(F.concat(F.lit("labels don't fit frame "), "frame_id")))
+    at = primary.join(sizes.select("frame_id", layout.alias("layout")), "frame_id").withColumn("place", F.when(F.col("layout") == "primary", F.col("rank")).otherwise(F.col("row_idx")))
+    return at.join(labels.withColumnRenamed("row_idx", "place"), ["frame_id", "place"]).select("frame_id", "row_idx", "label")
+
+
+def calibration(spark: SparkSession, path: str) -> tuple[list[float], list[float]]:
+    """SRC24: intrinsics (9) and transform (16) of one small JSON file, under any of several keys; 3x4 gets a last row, an inverse direction is inverted."""
+    import json
+
+    data = json.loads(spark.read.text(path, wholetext=True).first()["value"])
+
+    def found(*names: str):
+        for n in names:
+            if data.get(n) is not None:
+                return np.array(data[n], dtype=float).reshape(-1)
+        raise ValueError(f"{path} has none of {', '.join(names)}")
+
+    k, t = found("K", "camera_matrix", "intrinsic", "intrinsics"), found("T", "extrinsic", "T_lidar_camera", "lidar_to_camera", "transform")
+    m = np.vstack([t.reshape(3, 4), [0, 0, 0, 1]]) if len(t) == 12 else t.reshape(4, 4)
+    if data.get("direction") == "camera_to_lidar":
+        m = np.linalg.inv(m)
+    return k.tolist(), m.reshape(-1).tolist()

@@ -148,3 +148,15 @@ def test_model_hooks(spark):
     assert [r.p for r in df.select(model("v").alias("p")).collect()] == [[0.25, 0.75], [0.5, 0.5]]
     found = sinks.detector(spark.createDataFrame([("a",)], "path string"), lambda d: d.assign(label="car", score=0.5), "path string, label string, score double")
     assert found.first().label == "car"
+
+
+def test_layouts_and_calibration(spark, tmp_path):
+    points = spark.createDataFrame([("f", 0, True), ("f", 1, False), ("f", 2, True), ("g", 0, True), ("g", 1, False)], "frame_id string, row_idx bigint, is_primary boolean")
+    labels = spark.createDataFrame([("f", 0, 7), ("f", 1, 8), ("g", 0, 5), ("g", 1, 6)], "frame_id string, row_idx bigint, label int")
+    assert {tuple(r) for r in files.flat_labels(labels, points).collect()} == {("f", 0, 7), ("f", 2, 8), ("g", 0, 5)}
+    found = spark.createDataFrame([("a_labels", "p1"), ("b", "p2"), ("b_manual", "p3")], "stem string, path string")
+    frames = spark.createDataFrame([("a",), ("b",), ("c",)], "frame_id string")
+    assert {tuple(r) for r in files.annotation_for_frames(frames, found).collect()} == {("a", "p1"), ("b", "p2"), ("c", None)}
+    put(tmp_path / "k.json", json.dumps({"camera_matrix": [[1, 0, 2], [0, 1, 3], [0, 0, 1]], "T": [[1, 0, 0, 5], [0, 1, 0, 6], [0, 0, 1, 7]], "direction": "camera_to_lidar"}))
+    k, t = files.calibration(spark, str(tmp_path / "k.json"))
+    assert k[2] == 2 and [round(x, 9) for x in t[3::4]] == [-5, -6, -7, 1]
