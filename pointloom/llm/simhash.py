@@ -23,6 +23,8 @@ from pointloom.llm.shared import bounded_batches, components, map_batches, writt
 #: Shingles hashed at once: bounds memory on a long text.
 STEP = 1 << 16
 SEED = 42
+#: Rows of a group that is compared row by row, and listed rows of a shard of groups.
+SMALL, SHARD = 64, 60_000
 
 
 def fingerprint(text: str | None, words: int = 4) -> int:
@@ -78,14 +80,30 @@ def spanning(near: np.ndarray) -> np.ndarray:
         label = low
 
 
-def pair_links(group: pd.DataFrame, distance: int) -> pd.DataFrame:
-    """Spanning links (a, b) among the rows of one pair of blocks."""
-    fp = np.unique(group["fp"].to_numpy())
+def shard_links(group: pd.DataFrame, distance: int) -> pd.DataFrame:
+    """Spanning links (a, b) among the rows of each pair of blocks of a shard."""
+    group = group.sort_values(["list", "key", "first", "second", "fp"])
+    fp, keys = group["fp"].to_numpy(), group[["list", "key", "first", "second"]].to_numpy()
     u = fp.view(np.uint64)
-    near = np.bitwise_count(u[:, None] ^ u[None, :]) <= distance
-    label = spanning(near)
-    own = label != np.arange(len(fp))
-    return pd.DataFrame({"a": fp[own], "b": fp[label[own]]})
+    start = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(axis=1)))
+    size = np.diff(np.append(start, len(fp)))
+    ends = np.repeat(start + size, size)
+    left, right = [], []
+    for b, n in zip(start[size > SMALL].tolist(), size[size > SMALL].tolist()):
+        part = u[b : b + n]
+        label = spanning(np.bitwise_count(part[:, None] ^ part[None, :]) <= distance)
+        own = label != np.arange(n)
+        left.append(fp[b : b + n][own])
+        right.append(fp[b : b + n][label[own]])
+    at, step = np.flatnonzero(np.repeat(size <= SMALL, size)), 1
+    while len(at := at[at + step < ends[at]]):
+        near = np.bitwise_count(u[at] ^ u[at + step]) <= distance
+        left.append(fp[at[near] + step])
+        right.append(fp[at[near]])
+        step += 1
+    a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
+    differ = a != b
+    return pd.DataFrame({"a": a[differ], "b": b[differ]}).drop_duplicates()
 
 
 def block_lists(distance: int, blocks: int, agree: int) -> list[tuple[int, int]]:
@@ -102,7 +120,9 @@ def near_links(fps: DataFrame, distance: int = 4, extra: int = 2) -> DataFrame:
     keys = F.array(*[F.struct(F.lit(k).alias("list"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for k, m in enumerate(signed)])
     listed = fps.select("fp", F.explode(keys).alias("k")).select("fp", "k.list", "k.key")
     dealt = in_block_pairs(listed, ["list", "key"], ["fp"])
-    return dealt.groupBy("list", "key", "first", "second").applyInPandas(lambda g: pair_links(g, distance), "a long, b long")
+    shards = max(1, fps.count() * len(lists) // SHARD)
+    shard = F.pmod(F.xxhash64("list", "key", "first", "second"), F.lit(shards))
+    return dealt.withColumn("shard", shard).groupBy("shard").applyInPandas(lambda g: shard_links(g, distance), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, distance: int = 4) -> DataFrame:
@@ -115,7 +135,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     gives no rows; other columns are not read.
     """
     prints = written(fingerprints(docs, id_col, text_col, words), "prints")
-    classes = prints.groupBy("fp").agg(F.min(id_col).alias("low"))
+    classes = written(prints.groupBy("fp").agg(F.min(id_col).alias("low")), "classes")
     links = near_links(classes.select("fp"), distance)
     roots = components(links, "a", "b", "fp", "root")
     member = classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
