@@ -4,7 +4,7 @@ Writing stays in the JVM. A page becomes an HTTP response in chunked transfer
 framing inside a WARC record; a block over ``segment`` bytes is cut into
 continuation records. Spark's text writer lays records end to end: its line
 separator is the blank line that ends every WARC record. Files are committed as
-any Spark output is, and hold at most ``records`` records.
+any Spark output is, are compressed, and hold at most ``records`` records.
 
 Reading parses each file by Content-Length, groups continuation records by
 origin id, orders them by segment number, checks the total length and the
@@ -13,8 +13,9 @@ payload digest, and decodes the chunked framing.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
-import re
+import io
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -104,26 +105,22 @@ def write_archives(
 ) -> None:
     held = with_revisits(pages, id_col, body_col)
     value = record_text(held, id_col, uri_col, segment, chunk)
-    value.write.option("lineSep", CRLF + CRLF).option("maxRecordsPerFile", records).text(path)
+    value.write.option("lineSep", CRLF + CRLF).option("maxRecordsPerFile", records).option("compression", "gzip").text(path)
 
 
-_field = re.compile(rb"([^:\r\n]+):[ \t]*([^\r\n]*)\r\n")
-
-
-def records_of(data: bytes) -> Iterator[tuple[dict[bytes, bytes], memoryview]]:
-    """Headers (lower-case names) and block of each record of a WARC file."""
-    at, view = 0, memoryview(data)
-    while at < len(data):
-        stop = data.index(b"\r\n\r\n", at)
-        if not data.startswith(b"WARC/1.", at):
-            raise ValueError(f"no WARC record at byte {at}")
-        fields = {k.lower(): v for k, v in _field.findall(data[data.index(b"\r\n", at) + 2 : stop + 2])}
-        begin = stop + 4
-        end = begin + int(fields[b"content-length"])
-        if data[end : end + 4] != b"\r\n\r\n":
-            raise ValueError(f"the record at byte {at} doesn't end where its length says")
-        yield fields, view[begin:end]
-        at = end + 4
+def records_of(stream: io.BufferedIOBase) -> Iterator[tuple[dict[bytes, bytes], bytes]]:
+    """Headers (lower-case names) and block of each record of a WARC stream, one at a time."""
+    while line := stream.readline():
+        if not line.startswith(b"WARC/1."):
+            raise ValueError(f"no WARC record at {line[:40]!r}")
+        fields = {}
+        while (line := stream.readline()) not in (b"\r\n", b""):
+            name, _, value = line.partition(b":")
+            fields[name.lower()] = value.strip()
+        block = stream.read(int(fields[b"content-length"]))
+        if stream.read(4) != b"\r\n\r\n":
+            raise ValueError("a record doesn't end where its length says")
+        yield fields, block
 
 
 def dechunked(block: bytes) -> bytes:
@@ -162,18 +159,19 @@ def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for content in batch.column(0):
             rows, held = [], 0
-            for f, block in records_of(content.as_py()):
+            stream = io.BufferedReader(gzip.GzipFile(fileobj=io.BytesIO(content.as_py())))
+            for f, block in records_of(stream):
                 text = {k: v.decode() for k, v in f.items()}
                 number = int(text.get(b"warc-segment-number", 0))
                 digest = text.get(b"warc-payload-digest", "")[5:]
                 length = int(text[b"warc-payload-length"]) if b"warc-payload-length" in text else None
                 kind = text[b"warc-type"]
-                if kind == "response" and not number and checked(bytes(block), digest) != length:
+                if kind == "response" and not number and checked(block, digest) != length:
                     raise ValueError("payload and length differ")
                 total = text.get(b"warc-segment-total-length")
                 rows.append((
                     text.get(b"warc-segment-origin-id", text[b"warc-record-id"])[1:-1], number, total and int(total), text[b"warc-page-id"],
-                    kind, text.get(b"warc-refers-to", "")[10:-1] or None, length, digest or None, bytes(block) if number else None,
+                    kind, text.get(b"warc-refers-to", "")[10:-1] or None, length, digest or None, block if number else None,
                 ))
                 held += len(block) if number else 0
                 if len(rows) >= 4096 or held > 8 << 20:

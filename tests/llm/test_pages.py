@@ -1,6 +1,7 @@
 """Toxicity, WARC, HTML and nearest neighbours."""
 
 import hashlib
+import io
 import random
 
 import numpy as np
@@ -73,7 +74,7 @@ def test_warc_round_trip(spark, segment, chunk):
 
 def test_segments_that_are_missing_raise(spark):
     with pytest.raises(ValueError):
-        list(warc.records_of(b"WARC/1.1\r\nContent-Length: 5\r\n\r\nabc\r\n\r\n"))
+        list(warc.records_of(io.BytesIO(b"WARC/1.1\r\nContent-Length: 5\r\n\r\nabc\r\n\r\n")))
     assert warc.dechunked(b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n3\r\nabc\r\n2;x\r\nde\r\n0\r\n\r\n") == b"abcde"
 
 
