@@ -192,19 +192,29 @@ def remainder(id_col: Column) -> Column:
     return F.crc32(id_col.cast("string").cast("binary")) % FOLDS
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> list[float]:
-    """Ridge logistic regression by Newton steps; the constant comes last."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    w = np.zeros(x.shape[1])
-    pull = np.full(len(w), ridge * max(1, len(y)) / 100)
-    pull[-1] = 1e-6
-    for _ in range(40):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(pull + 1e-9), x.T @ (p - y) + pull * w)
-        w -= np.clip(step, -5, 5)
-        if np.abs(step).max() < 1e-8:
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.3) -> list[float]:
+    """Ridge logistic regression by Newton steps with weights of at least 0; the constant comes last.
+
+    A match never speaks for a clean document, so features that would are left out and the rest is fitted again.
+    """
+    used = list(range(x.shape[1]))
+    while True:
+        part = np.hstack([x[:, used], np.ones((len(x), 1))])
+        w, pull = np.zeros(len(used) + 1), np.full(len(used) + 1, ridge)
+        pull[-1] = 1e-6
+        for _ in range(60):
+            p = 1 / (1 + np.exp(-np.clip(part @ w, -30, 30)))
+            step = np.linalg.solve((part * (p * (1 - p))[:, None]).T @ part + np.diag(pull + 1e-9), part.T @ (p - y) + pull * w)
+            w -= np.clip(step, -2, 2)
+            if np.abs(step).max() < 1e-8:
+                break
+        wrong = [k for k, v in zip(used, w) if v < 0]
+        if not wrong:
             break
-    return w.tolist()
+        used = [k for k in used if k not in wrong]
+    out = np.zeros(x.shape[1] + 1)
+    out[used], out[-1] = w[:-1], w[-1]
+    return out.tolist()
 
 
 def with_text(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str) -> DataFrame:
