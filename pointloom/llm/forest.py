@@ -24,8 +24,9 @@ from pointloom.llm.shared import map_batches
 
 #: Trees, their depth (the number of leaves is bounded, so the broadcast forest is below 1 MB), sampled rows a leaf at least, rows to fit on, rows of a leaf's block.
 TREES, DEPTH, LEAF, SAMPLE, BLOCK = 6, 6, 16, 20_000, 4096
-#: Rows that a query's opened leaves hold, as a share of all rows (leaves of different trees overlap).
-SHARE = 1.2
+#: Rows that a query's opened leaves hold, as a share of all rows (leaves of different trees overlap). FEW more a tree
+#: are opened, so at least FEW different rows are seen, or all.
+SHARE, FEW = 1.2, 64
 
 
 @dataclass
@@ -134,7 +135,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             found = []
             for v in batch.column(1).to_pylist():
-                opened = forest.search(np.array(v), held, share * total)
+                opened = forest.search(np.array(v), held, share * total + trees * FEW)
                 found.append([{"tree": t, "leaf": int(leaf), "block": b} for t, leaf in opened for b in range(blocks[t, leaf])])
             kind = pa.list_(pa.struct([("tree", pa.int32()), ("leaf", pa.int64()), ("block", pa.int32())]))
             return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, kind)], names=["id", "v", "opened"])

@@ -73,10 +73,13 @@ def test_packing_places_each_id_once(spark, docs):
 
 def test_packing_prefers_the_level_of_least_squares():
     p = packing.SumOfSquares(window=10)
-    for k, n in enumerate((4, 4, 6, 6)):
+    for k, n in enumerate((6, 6, 4, 4)):
         p.add(k, b"\1\0\0\0" * n)
-    assert sorted(sorted(d for d, *_ in held) for held in p.closed) == [[0, 2], [1, 3]] or len(p.closed) == 2
-    assert p.open == 0
+    assert sorted(sorted(d for d, *_ in held) for held in p.closed) == [[0, 3], [1, 2]] and p.open == 0
+    q = packing.SumOfSquares(window=10)
+    for k, n in enumerate((4, 4)):  # 0 for going on to level 8, 3 for a second window at level 4
+        q.add(k, b"\1\0\0\0" * n)
+    assert q.counts[8] == 1 and q.open == 1
     p.add(9, b"\1\0\0\0" * 23)
     assert len(p.closed) == 4 and p.counts[3] == 1
     p.finish()
