@@ -6,8 +6,9 @@
    aggregated by name; only names that two different texts, or two chunks of a
    text, hold can belong to a repeat.
 2. The windows of such chunks are compared: chunks with the same bytes are one
-   class whose first place counts; what is left, different chunks of one name, is
-   dealt to shards by name. A shard builds the run-length index of its chunks:
+   class whose first place counts. Of what is left only chunks that share the
+   anchor and 34 bytes on one of its sides with another can hold an equal window;
+   they are dealt to shards by name. A shard builds the run-length index of its chunks:
    suffix order, run-compressed Burrows-Wheeler transform, suffixes and match
    lengths sampled at the runs' ends. Matching statistics of all other places are
    streamed from these samples in text order; stretches of matches of 100 bytes
@@ -36,8 +37,10 @@ from pointloom.llm.shared import bounded_batches, text_bytes, written
 #: Bytes of a match, and of the strings that name it.
 MATCH, GRAM = 100, 32
 SPAN = MATCH - GRAM + 1
+#: Bytes on one side of an anchor that any window holds, on the left or on the right.
+SIDE = SPAN // 2
 #: Bytes hashed at a time, and of a part of a very long text; chunks of a shard, different chunks of one name beyond which windows are grouped by hash.
-STEP, LONG, SHARD, MANY = 1 << 18, 1 << 22, 12_000, 4_000
+STEP, LONG, SHARD, MANY = 1 << 15, 1 << 22, 12_000, 4_000
 #: Bits of a hash that give way to a place in the sliding minimum; parts are shorter than that.
 _places = np.uint64((1 << 24) - 1)
 
@@ -50,8 +53,8 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def anchors_of(data: np.ndarray, hashes: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
-    """Place of each window's anchor, hashes of all short strings, and on demand hashes of the windows' bytes.
+def anchors_of(data: np.ndarray, hashes: bool = False) -> tuple[np.ndarray, ...]:
+    """Place of each window's anchor, hashes of all short strings, and on demand hashes of windows and of 34-byte strings.
 
     The anchor is the first of the smallest short strings of the window. So no
     two equal windows share an anchor's place.
@@ -70,22 +73,27 @@ def anchors_of(data: np.ndarray, hashes: bool = False) -> tuple[np.ndarray, np.n
         low = np.minimum(low[:-step], low[step:])
         reach += step
     if not hashes:
-        return low & _places, grams, None
+        return low & _places, grams
     n = len(data) - MATCH + 1
     whole = levels[64][:n] * _odd[11] + levels[32][64 : 64 + n] * _odd[12] + levels[4][96 : 96 + n]
-    return low & _places, grams, mixed(whole)
+    side = levels[32][: len(data) - SIDE + 1] * _odd[9] + levels[2][32:]
+    return low & _places, grams, mixed(whole), side
 
 
 def chunks_of(texts: list[bytes], hashes: bool = False):
-    """(text, first window, windows, name, digest) arrays of all chunks of ``texts``: at most SPAN windows each."""
-    cols: list[list[np.ndarray]] = [[], [], [], [], []]
+    """(text, first window, windows, name[, digest, left, right]) arrays of all chunks of ``texts``: at most SPAN windows each.
+
+    left and right hash the anchor with the SIDE bytes beside it, or are 0 where no
+    window of the chunk holds these. A window holds one of both.
+    """
+    cols: list[list[np.ndarray]] = [[] for _ in range(7)]
     group: list[tuple[int, int, bytes]] = []
 
     def flush() -> None:
         if not group:
             return
         sizes = np.array([len(t) for _, _, t in group])
-        anchor, grams, whole = anchors_of(np.frombuffer(b"".join([t for _, _, t in group]), np.uint8), hashes)
+        anchor, grams, *more = anchors_of(np.frombuffer(b"".join([t for _, _, t in group]), np.uint8), hashes)
         ends = np.cumsum(sizes)
         owner = np.repeat(np.arange(len(group)), sizes)[: len(anchor)]
         at = np.flatnonzero(np.arange(len(anchor)) + MATCH <= ends[owner])
@@ -99,7 +107,12 @@ def chunks_of(texts: list[bytes], hashes: bool = False):
         cols[2].append(run)
         cols[3].append(grams[place[first].astype(np.int64)])
         if hashes:
+            whole, side = more
             cols[4].append(mixed(whole[spot] * _odd[13] + whole[spot + run - 1] * _odd[14] + run.astype(np.uint64)))
+            place, name = place[first].astype(np.int64), cols[3][-1]
+            left, right = place - SIDE >= spot, place - SIDE <= spot + run - 1
+            cols[5].append(np.where(left, mixed(side[np.maximum(place - SIDE, 0)] * _odd[12] + name) | np.uint64(1), np.uint64(0)))
+            cols[6].append(np.where(right, mixed(side[np.minimum(place + GRAM, len(side) - 1)] * _odd[15] + name) | np.uint64(1), np.uint64(0)))
         group.clear()
 
     held = 0
@@ -113,7 +126,7 @@ def chunks_of(texts: list[bytes], hashes: bool = False):
                 flush()
                 held = 0
     flush()
-    kinds = [np.int64, np.int64, np.int64, np.uint64, np.uint64]
+    kinds = [np.int64] * 3 + [np.uint64] * 4
     return [np.concatenate(c) if c else np.zeros(0, t) for c, t in zip(cols, kinds)]
 
 
@@ -229,38 +242,38 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64), pa.int64())
 
 
-def repeat_windows(docs: DataFrame) -> DataFrame:
-    """(doc, key, copy, starts, counts) for each document that loses bytes.
-
-    ``docs`` has doc (long, not null) and text (not null). key is the text's
-    digest; copy says that the whole text stands earlier.
-    """
-    spark = docs.sparkSession
-    keyed = docs.select("doc", "text", F.xxhash64("text").alias("th"))
+def shared_names(docs: DataFrame) -> DataFrame:
+    """(doc, names): of each document the names that another text, or another chunk of its own, has too."""
 
     def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [text_bytes(t) for t in batch.column(1).to_pylist()]
-            own, _, _, name, _ = chunks_of(texts)
-            th = np.array(batch.column(2).to_numpy(zero_copy_only=False))[own] + doubled(own, name)
+            own, _, _, name, *_ = chunks_of([text_bytes(t) for t in batch.column(0).to_pylist()])
+            th = np.array(batch.column(1).to_numpy(zero_copy_only=False))[own] + doubled(own, name)
             yield pa.RecordBatch.from_arrays([_signed(name), pa.array(th, pa.int64())], names=["name", "th"])
 
     def names_by_doc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own, _, _, name, _ = chunks_of([text_bytes(t) for t in batch.column(1).to_pylist()])
+            own, _, _, name, *_ = chunks_of([text_bytes(t) for t in batch.column(1).to_pylist()])
             fresh = doubled(own, name) == 0
             doc = np.array(batch.column(0).to_numpy(zero_copy_only=False))[own[fresh]]
             yield pa.RecordBatch.from_arrays([_signed(name[fresh]), pa.array(doc, pa.int64())], names=["name", "doc"])
 
-    held = keyed.mapInArrow(names, "name long, th long").groupBy("name").agg(F.min("th").alias("a"), F.max("th").alias("b"))
-    shared = held.where("a <> b").select("name")
-    asked = docs.select("doc", "text").mapInArrow(names_by_doc, "name long, doc long").join(shared, "name").groupBy("doc").agg(F.collect_set("name").alias("names"))
-    digest = F.md5(F.encode("text", "UTF-8"))
-    slim = docs.where(F.octet_length("text") >= MATCH).select("doc", digest.alias("key"))
+    held = docs.select("text", F.xxhash64("text").alias("th")).mapInArrow(names, "name long, th long").groupBy("name").agg(F.min("th").alias("a"), F.max("th").alias("b"))
+    asked = docs.select("doc", "text").mapInArrow(names_by_doc, "name long, doc long").join(held.where("a <> b").select("name"), "name")
+    return written(asked.groupBy("doc").agg(F.collect_list("name").alias("names")), "names")
+
+
+def whole_copies(docs: DataFrame) -> DataFrame:
+    """(doc, copies): digests of whole texts that stand in a document of smaller id."""
+    slim = docs.where(F.octet_length("text") >= MATCH).select("doc", F.md5(F.encode("text", "UTF-8")).alias("key"))
     firsts = slim.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low <> high")
-    copies = written(slim.join(firsts, "key").where("doc <> low").select("doc", "key").distinct(), "copies")
-    info = asked.join(copies.groupBy("doc").agg(F.collect_set("key").alias("copies")), "doc", "left")
-    told = docs.select("doc", "text").join(info, "doc")
+    again = slim.join(firsts, "key").where("doc <> low")
+    return written(again.groupBy("doc").agg(F.collect_set("key").alias("copies")), "copies")
+
+
+def suspected_chunks(docs: DataFrame, names: DataFrame, copies: DataFrame) -> DataFrame:
+    """Chunks of shared names, without bytes: (name, digest, left, right, doc, tag, start, windows)."""
+    told = docs.select("doc", "text").join(names.join(copies, "doc", "left"), "doc").select("doc", "text", "names", "copies")
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -269,46 +282,62 @@ def repeat_windows(docs: DataFrame) -> DataFrame:
             keys = [hashlib.md5(d).hexdigest() for d in data]
             tags = np.array([tag_of(k) for k in keys], np.int64)
             data = [b"" if c and k in c else d for d, k, c in zip(data, keys, copies_.to_pylist())]
-            own, start, run, name, digest_ = chunks_of(data, True)
+            own, start, run, name, digest, left, right = chunks_of(data, True)
             sizes = np.diff(names_.offsets.to_numpy())
-            wanted = names_.values.to_numpy(zero_copy_only=False)[names_.offsets[0].as_py() : names_.offsets[-1].as_py()].view(np.uint64)
+            wanted = np.array(names_.values.to_numpy(zero_copy_only=False)[names_.offsets[0].as_py() : names_.offsets[-1].as_py()]).view(np.uint64)
             who = np.repeat(np.arange(len(sizes)), sizes)
-            pair = mixed(name + own.astype(np.uint64) * _odd[15])
-            hit = np.isin(pair, mixed(wanted + who.astype(np.uint64) * _odd[15]))
-            own, start, run, name, digest_ = (x[hit] for x in (own, start, run, name, digest_))
-            for k in range(0, len(own), 20_000):
-                o, s, r = own[k : k + 20_000], start[k : k + 20_000], run[k : k + 20_000]
-                parts = [data[a][b : b + c + MATCH - 1] for a, b, c in zip(o.tolist(), s.tolist(), r.tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        _signed(name[k : k + 20_000]), _signed(digest_[k : k + 20_000]), docs_.take(pa.array(o)), pa.array(tags[o], pa.int64()),
-                        pa.array(s, pa.int64()), pa.array(r, pa.int32()), pa.array(parts, pa.binary()),
-                    ],
-                    names=["name", "digest", "doc", "tag", "start", "windows", "bytes"],
-                )
-
-    found = written(told.mapInArrow(chunks, "name long, digest long, doc long, tag long, start long, windows int, bytes binary"), "chunks")
-    del told, info, asked, shared, held
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()  # what the scans above shuffled can go now: all is in the table
-    place = F.struct("doc", "start")
-    classes = found.groupBy("name", "digest").agg(F.min(place).alias("first"))
-    several = classes.groupBy("name").agg(F.count("*").alias("forms")).where("forms > 1")
-    rows = several.agg(F.coalesce(F.sum("forms"), F.lit(0)).alias("n")).first()["n"]
-    shards = max(1, -(-rows // SHARD))
-    marked = found.join(classes, ["name", "digest"])
-    again = marked.where(place != F.col("first")).select("doc", "tag", "start", "windows")
-    edges = marked.where(place == F.col("first")).join(several, "name").select("name", "doc", "tag", "start", "windows", "bytes", "forms")
-    few = edges.where(F.col("forms") <= MANY).withColumn("shard", F.pmod(F.xxhash64("name"), F.lit(shards)))
-    few = few.groupBy("shard").applyInPandas(lambda g: shard_repeats(g.drop_duplicates(["doc", "tag", "start"])), "doc long, tag long, start long, windows int")
-    many = written(edges.where(F.col("forms") > MANY).select("doc", "tag", "start", "windows", "bytes"), "windows")
+            hit = np.isin(mixed(name + own.astype(np.uint64) * _odd[15]), mixed(wanted + who.astype(np.uint64) * _odd[15]))
+            own, start, run, name, digest, left, right = (x[hit] for x in (own, start, run, name, digest, left, right))
+            yield pa.RecordBatch.from_arrays(
+                [_signed(name), _signed(digest), _signed(left), _signed(right), docs_.take(pa.array(own)), pa.array(tags[own], pa.int64()), pa.array(start, pa.int64()), pa.array(run, pa.int32())],
+                names=["name", "digest", "left", "right", "doc", "tag", "start", "windows"],
+            )
+
+    return written(told.mapInArrow(chunks, "name long, digest long, left long, right long, doc long, tag long, start long, windows int"), "chunks")
+
+
+PLACE = ("doc", "tag", "start", "windows")
+
+
+def sorted_out(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Chunks whose bytes stand earlier, and those to compare: different chunks that share an anchor and the bytes on one of its sides."""
+    place = F.struct(*PLACE)
+    classes = found.groupBy("name", "digest").agg(F.min(place).alias("first"), F.count("*").alias("n"), F.first("left").alias("left"), F.first("right").alias("right"))
+    classes = written(classes, "classes")
+    many = classes.where("n > 1").select("name", "digest", F.col("first").alias("kept"))
+    again = found.join(many, ["name", "digest"]).where((F.col("doc") != F.col("kept.doc")) | (F.col("start") != F.col("kept.start"))).select(*PLACE)
+    sides = classes.select("name", "first.*", F.explode(F.array("left", "right")).alias("side")).where("side <> 0")
+    common = sides.groupBy("side").agg(F.count("*").alias("n")).where("n > 1").select("side")
+    edges = sides.join(common, "side").groupBy(*PLACE).agg(F.first("name").alias("name"))
+    return written(again, "again"), written(edges, "edges")
+
+
+def with_bytes(docs: DataFrame, edges: DataFrame) -> DataFrame:
+    """``edges`` with the bytes of their windows."""
+    listed = edges.groupBy("doc").agg(F.collect_list(F.struct("name", "tag", "start", "windows")).alias("chunks"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+        for batch in batches:
+            rows: list[tuple] = []
+            for doc, text, chunks in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                data = text_bytes(text)
+                tag = tag_of(hashlib.md5(data).hexdigest())
+                rows += [(c["name"], doc, tag, c["start"], c["windows"], data[c["start"] : c["start"] + c["windows"] + MATCH - 1]) for c in chunks if c["tag"] == tag]
+            cols = zip(*rows) if rows else [[]] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["name", *PLACE, "bytes"])
+
+    return docs.select("doc", "text").join(listed, "doc").select("doc", "text", "chunks").mapInArrow(cut, "name long, doc long, tag long, start long, windows int, bytes binary")
+
+
+def grouped_windows(chunks: DataFrame) -> DataFrame:
+    """Windows of ``chunks`` that start earlier in another, by a grouped minimum over window hashes."""
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cols = ([], [], [], [])
+            cols: tuple[list, ...] = ([], [], [], [])
             for doc, tag, start, n, data in zip(*(batch.column(k).to_pylist() for k in range(5))):
-                whole = anchors_of(np.frombuffer(data, np.uint8), True)[2]
-                cols[0].append(whole)
+                cols[0].append(anchors_of(np.frombuffer(data, np.uint8), True)[2])
                 cols[1].append(np.full(n, doc))
                 cols[2].append(np.full(n, tag))
                 cols[3].append(np.arange(start, start + n))
@@ -316,11 +345,44 @@ def repeat_windows(docs: DataFrame) -> DataFrame:
                 arrays = [_signed(np.concatenate(cols[0])), *(pa.array(np.concatenate(c), pa.int64()) for c in cols[1:])]
                 yield pa.RecordBatch.from_arrays(arrays, names=["window", "doc", "tag", "start"])
 
-    single = many.mapInArrow(windows, "window long, doc long, tag long, start long")
+    place = F.struct("doc", "start")
+    single = chunks.select(*PLACE, "bytes").mapInArrow(windows, "window long, doc long, tag long, start long")
     low = single.groupBy("window").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").select("window", "first")
-    quoted = single.join(low, "window").where(place != F.col("first")).select("doc", "tag", "start", F.lit(1).alias("windows"))
-    lost = again.unionByName(few).unionByName(quoted).groupBy("doc").agg(F.collect_list(F.struct("tag", "start", "windows")).alias("lost"))
-    return lost.join(copies.groupBy("doc").agg(F.collect_set("key").alias("copies")), "doc", "full")
+    return single.join(low, "window").where(place != F.col("first")).select("doc", "tag", "start", F.lit(1).alias("windows"))
+
+
+def compared(docs: DataFrame, edges: DataFrame) -> DataFrame:
+    """Stretches of windows of ``edges`` that start earlier in another of these."""
+    forms = edges.groupBy("name").agg(F.count("*").alias("forms"))
+    shards = max(1, -(-edges.count() // SHARD))
+    chunks = with_bytes(docs, edges)
+    popular = forms.where(F.col("forms") > MANY).select("name")
+    few = chunks.join(popular, "name", "left_anti").withColumn("shard", F.pmod(F.xxhash64("name"), F.lit(shards)))
+    few = few.groupBy("shard").applyInPandas(lambda g: shard_repeats(g.drop_duplicates(["doc", "tag", "start"])), "doc long, tag long, start long, windows int")
+    return written(few.unionByName(grouped_windows(chunks.join(popular, "name", "left_semi"))), "stretches")
+
+
+def repeat_windows(docs: DataFrame) -> DataFrame:
+    """(doc, lost, copies) for each document that loses bytes.
+
+    ``docs`` has doc (long, not null) and text (not null). lost: stretches of
+    windows; copies: digests of whole texts that stand earlier. Each step is a
+    table in the shared folder, and what the step shuffled is released.
+    """
+
+    def release() -> None:
+        gc.collect()
+        docs.sparkSession.sparkContext._jvm.System.gc()
+
+    copies, names = whole_copies(docs), shared_names(docs)
+    found = suspected_chunks(docs, names, copies)
+    release()
+    again, edges = sorted_out(found)
+    release()
+    stretches = compared(docs, edges)
+    release()
+    lost = again.unionByName(stretches).groupBy("doc").agg(F.collect_list(F.struct("tag", "start", "windows")).alias("lost"))
+    return lost.join(copies, "doc", "full")
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
