@@ -21,10 +21,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each group of linked fingerprints; one row of it where the row repeats."""
+    """The document of smallest id of each group of linked fingerprints; one row of it where the row repeats. Rows without an id stay."""
     found = simhash.near_duplicates(docs)
     gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"]).select(docs.columns)
+    return docs.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(docs.columns)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
