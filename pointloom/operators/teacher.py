@@ -28,7 +28,7 @@ def teacher_features(points: DataFrame, pixels: DataFrame) -> DataFrame:
     """DOM2: echo, density, temporal, mask and model features of every point, one row each."""
     keep = points.columns
     features = echo.temporal_support(echo.angular_density(echo.echo_features(points)))
-    features = features.join(echo.frame_thresholds(features), "frame_ord")
+    features = features.join(echo.frame_thresholds(echo.angular_density(points)), "frame_ord")
     masked = echo.mask_labels(features, pixels)
     edge = echo.mask_boundary(pixels).select("u", "v", "boundary")
     return masked.join(edge, ["u", "v"], "left").withColumn("boundary", F.coalesce("boundary", F.lit(False)) & (F.col("mask_label") != IGNORE)).select(
@@ -65,13 +65,14 @@ def rule_scores(features: DataFrame) -> DataFrame:
     context = (
         F.when(object_here, -0.06).otherwise(0.0) + F.when(F.col("boundary"), -0.08).otherwise(0.0) + F.when(model_noise, 0.08).otherwise(0.0) + F.when(model_object, -0.05).otherwise(0.0)
     )
-    out = {}
+    df = df.withColumns({"f_ctx": context, "f_valid": valid_return()})
+    context, out = F.col("f_ctx"), {}
     for name, base, weights, gates, steady in RULES:
         score = F.lit(base)
         for k, w in weights.items():
             score = score + F.when(on(k), w).otherwise(0.0)
         score = score + context + (F.when(on("stab"), -0.10).otherwise(0.0) if steady else F.lit(0.0))
-        gate = valid_return()
+        gate = F.col("f_valid")
         for g in gates:
             any_of = on(g) if isinstance(g, str) else on(g[0])
             for k in g[1:] if isinstance(g, tuple) else ():
