@@ -151,14 +151,43 @@ class RunLengthIndex:
 
     def __init__(self, data: np.ndarray, depth: int = 128):
         n = len(data)
-        self.levels = [(1, data.astype(np.int64))]
-        rank, width = self.levels[0][1], 1
-        while width < depth:
-            ahead = np.append(rank[width:] + 1, np.zeros(min(width, n), np.int64))[:n]
-            rank = np.unique(rank << 32 | ahead, return_inverse=True)[1].astype(np.int64)
+        self.levels, key, width = [(1, data)], np.append(data, np.full(8, 0xFF, np.uint8)).astype(np.uint64), 1
+        while width < 8:  # 0xFF stands behind the end; no UTF-8 holds it
+            key = key[:-width] << np.uint64(8 * width) | key[width:]
+            width *= 2
+            self.levels.append((width, key[:n]))
+        order = np.argsort(key[:n])
+        own = key[:n][order]
+        start = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+        size = np.diff(np.append(start, n))
+        rank = np.empty(n, np.int64)  # where a suffix's group of equals begins in the order
+        rank[order] = np.repeat(start, size)
+        self.levels[-1] = (width, rank)
+        tied = order[np.repeat(size > 1, size)]
+        while width < depth:  # only suffixes that still have equals are ranked further
+            ahead = np.append(rank + 1, np.full(width, n + 1))[tied + width]  # the end comes last, as 0xFF does
+            pair = rank[tied] << 32 | ahead
+            by = np.argsort(pair)
+            tied, pair = tied[by], pair[by]
+            first = np.flatnonzero(np.append(True, pair[1:] != pair[:-1])) if len(tied) else np.zeros(0, np.int64)
+            group = np.flatnonzero(np.append(True, pair[1:] >> 32 != pair[:-1] >> 32)) if len(tied) else np.zeros(0, np.int64)
+            size = np.diff(np.append(first, len(tied)))
+            base = np.repeat(group, np.diff(np.append(group, len(tied))))
+            rank = rank.copy()
+            rank[tied] += np.repeat(first, size) - base
+            tied = tied[np.repeat(size > 1, size)]
             width *= 2
             self.levels.append((width, rank))
-        self.order = np.argsort(rank, kind="stable")
+        self.order = np.empty(n, np.int64)
+        alone = np.ones(n, bool)
+        alone[tied] = False
+        single = np.flatnonzero(alone)
+        self.order[rank[single]] = single
+        tied = tied[np.lexsort((tied, rank[tied]))]
+        if len(tied):
+            head = np.append(True, rank[tied][1:] != rank[tied][:-1])
+            at = np.arange(len(tied)) - np.repeat(np.flatnonzero(head), np.diff(np.append(np.flatnonzero(head), len(tied))))
+            self.order[rank[tied] + at] = tied
         before = np.append(-1, data.astype(np.int16))[self.order]  # the transform; -1 stands before the first byte
         sorted_rank = rank[self.order]
         tie = np.append(False, sorted_rank[1:] == sorted_rank[:-1])
@@ -179,14 +208,18 @@ class RunLengthIndex:
         self.match = np.maximum(np.repeat(self.match[sampled], gap) - back, 0)
 
     def agree(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Common bytes of suffixes a and b, by ranks of halving widths."""
-        n, out, a, b = len(self.order), np.zeros(len(a), np.int64), a.copy(), b.copy()
-        for width, rank in reversed(self.levels):
-            fits = (a < n) & (b < n)
-            same = np.zeros(len(a), bool)
-            same[fits] = rank[a[fits]] == rank[b[fits]]
-            out += same * width
-            a, b = a + same * width, b + same * width
+        """Common bytes of suffixes a and b, by ranks of halving widths; most pairs part within 8 bytes."""
+        n, out = len(self.order), np.zeros(len(a), np.int64)
+        eight = self.levels[3][1]
+        far = np.flatnonzero(eight[a] == eight[b])
+        for some, levels in ((far, self.levels), (np.flatnonzero(eight[a] != eight[b]), self.levels[:3])):
+            x, y, got = a[some], b[some], np.zeros(len(some), np.int64)
+            for width, rank in reversed(levels):
+                fits = (x < n) & (y < n)
+                same = fits & (rank[np.minimum(x, n - 1)] == rank[np.minimum(y, n - 1)])
+                got += same * width
+                x, y = x + same * width, y + same * width
+            out[some] = got
         return out
 
     def intervals(self, least: int) -> np.ndarray:
@@ -375,6 +408,7 @@ def repeat_windows(docs: DataFrame) -> DataFrame:
         docs.sparkSession.sparkContext._jvm.System.gc()
 
     copies, names = whole_copies(docs), shared_names(docs)
+    release()
     found = suspected_chunks(docs, names, copies)
     release()
     again, edges = sorted_out(found)
