@@ -329,6 +329,12 @@ def suspected_chunks(docs: DataFrame, names: DataFrame, copies: DataFrame) -> Da
     return written(told.mapInArrow(chunks, "name long, digest long, left long, right long, doc long, tag long, start long, windows int"), "chunks")
 
 
+def release(df: DataFrame) -> None:
+    """Lets Spark's cleaner remove what steps shuffled whose results are tables by now."""
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+
+
 PLACE = ("doc", "tag", "start", "windows")
 
 
@@ -337,12 +343,15 @@ def sorted_out(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     place = F.struct(*PLACE)
     classes = found.groupBy("name", "digest").agg(F.min(place).alias("first"), F.count("*").alias("n"), F.first("left").alias("left"), F.first("right").alias("right"))
     classes = written(classes, "classes")
+    release(found)
     many = classes.where("n > 1").select("name", "digest", F.col("first").alias("kept"))
     again = found.join(many, ["name", "digest"]).where((F.col("doc") != F.col("kept.doc")) | (F.col("start") != F.col("kept.start"))).select(*PLACE)
+    again = written(again, "again")
+    release(found)
     sides = classes.select("name", "first.*", F.explode(F.array("left", "right")).alias("side")).where("side <> 0")
     common = sides.groupBy("side").agg(F.count("*").alias("n")).where("n > 1").select("side")
     edges = sides.join(common, "side").groupBy(*PLACE).agg(F.first("name").alias("name"))
-    return written(again, "again"), written(edges, "edges")
+    return again, written(edges, "edges")
 
 
 def with_bytes(docs: DataFrame, edges: DataFrame) -> DataFrame:
@@ -403,18 +412,14 @@ def repeat_windows(docs: DataFrame) -> DataFrame:
     table in the shared folder, and what the step shuffled is released.
     """
 
-    def release() -> None:
-        gc.collect()
-        docs.sparkSession.sparkContext._jvm.System.gc()
-
     copies, names = whole_copies(docs), shared_names(docs)
-    release()
+    release(docs)
     found = suspected_chunks(docs, names, copies)
-    release()
+    release(docs)
     again, edges = sorted_out(found)
-    release()
+    release(docs)
     stretches = compared(docs, edges)
-    release()
+    release(docs)
     lost = again.unionByName(stretches).groupBy("doc").agg(F.collect_list(F.struct("tag", "start", "windows")).alias("lost"))
     return lost.join(copies, "doc", "full")
 
