@@ -59,10 +59,10 @@ def resolved_labels(objects: DataFrame, classes: DataFrame, aliases: DataFrame)
     return joined.select(*objects.columns, F.coalesce("explicit_id", "by_name", "by_number", "by_alias").alias("class_id"))
 
 
-def match_order(matches: DataFrame, sequence: str, name: str, k: int) -> DataFrame:
-    """SRT2: by sequence, then by the number a name is, then as text."""
+def match_order(matches: DataFrame, sequence: str, name: str) -> DataFrame:
+    """SRT2: every match with its place in its sequence: by the number a name is, then as text."""
     number = F.expr(f"try_cast({name} AS BIGINT)")
-    return matches.orderBy(sequence, number.isNull(), number, name).limit(k)
+    return matches.withColumn("place", F.row_number().over(Window.partitionBy(sequence).orderBy(number.isNull(), number, name)))
 
 
 def prepared_check(prepared: DataFrame, expected: DataFrame, columns: list[str]) -> DataFrame:

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pointloom.functions import scalars as S
+from pointloom.operators import alignment as A
 from pointloom.operators import detections as D
 from pointloom.operators import echo, evaluation, features, manifests, matching, teacher
 from pointloom.plans.views import view
@@ -146,3 +147,11 @@ def test_scalar_helpers(spark):
     assert up[1].north == 0 and 111 < up[2].north < 112 and up[2].up == 5
     w = features.blend_weight(spark.createDataFrame([(0, [0.9, 0.1], [0.1, 0.9]), (1, [0.2, 0.8], [0.9, 0.1])], "label int, p array<double>, q array<double>"), "label", "p", "q", 2, 0.25).first()
     assert w.macro_f1 == 1.0 and w.weight == 0.75
+
+
+def test_match_order_places_every_match(spark):
+    df = spark.range(200).selectExpr("id % 2 AS seq", "CASE WHEN id < 100 THEN CAST(id AS STRING) ELSE concat('f', id) END AS frame")
+    got = A.match_order(df, "seq", "frame").collect()
+    for seq in (0, 1):
+        own = [r.frame for r in sorted((r for r in got if r.seq == seq), key=lambda r: r.place)]
+        assert own == [str(k) for k in range(seq, 100, 2)] + [f"f{k}" for k in range(100 + seq, 200, 2)]
