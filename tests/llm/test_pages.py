@@ -99,6 +99,26 @@ def test_pages_without_articles_lose_what_the_host_repeats(spark):
     assert html_text.main_text(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("shard", [2000, 4, 1])
+def test_repeats_of_a_host_count_over_all_of_its_shards(spark, monkeypatch, shard):
+    monkeypatch.setattr(html_text, "SHARD", shard)
+    few, two = "this notice stands on just three of the pages of the host", "that other notice stands on only two of the many pages here"
+    split = "<p>one two three four</p><p>five six seven eight</p>"
+    rows = []
+    for k in range(40):
+        own = f"page {k} has text of its own number {k * 7} only here and {k}"
+        more = f"<p>{few}</p>" if k in (3, 17, 31) else f"<p>{two}</p>" if k in (5, 25) else split if k in (2, 20, 38) else ""
+        rows.append((k, "http://hot.org/", f"<body><p>{own}</p>{more}</body>"))
+    rows += [(90, "http://hot.org/", f"<article><p>body</p></article><nav>{two}</nav>"), (91, "http://cold.org/", f"<body><p>{few}</p></body>")]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r.page_id: r.text for r in html_text.main_text(df).collect()}
+    # the third page with ``two`` has it in a menu beside its article, and counts
+    assert all(got[k] == f"page {k} has text of its own number {k * 7} only here and {k}" for k in range(40))
+    assert got[90] == "body" and got[91] == few
+    got = {r.page_id: r.text for r in html_text.main_text(df.where("page_id <> 90")).collect()}
+    assert all(got[k].endswith("\n" + two) for k in (5, 25))
+
+
 def test_covered_tokens():
     a = "one two three four five six".split()
     got = html_text.covered_tokens([[["x", *a, "y"]], [[*a, "z"]], [["q"], a], [a[:3]]], run=6, pages=3)
