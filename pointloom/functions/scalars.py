@@ -165,8 +165,8 @@ def standardised(v: str, mean: str, std: str) -> Column:
 
 
 def remapped(df: DataFrame, mapping: DataFrame, key: str, to: str, missing: int = -1) -> DataFrame:
-    """FN21: ids through a mapping (key, to) of at most 256 rows; unknown ones become ``missing``."""
-    return df.join(F.broadcast(mapping.limit(256)), key, "left").withColumn(to, F.coalesce(to, F.lit(missing)))
+    """FN21: ids through a mapping (key, to); unknown ones become ``missing``."""
+    return df.join(mapping, key, "left").withColumn(to, F.coalesce(to, F.lit(missing)))
 
 
 def replaced(label: str, old: int, new: int) -> Column:

@@ -41,17 +41,17 @@ def sampled_colours(points: DataFrame, image: DataFrame) -> DataFrame:
 
 def known_labels(labels: DataFrame, known: DataFrame, label: str, skip: tuple[int, ...] = (0, 255)) -> DataFrame:
     """FLT7: rows of known classes but the skipped ids."""
-    return labels.where(~F.col(label).isin(*skip)).join(F.broadcast(known.select(label).distinct().limit(256)), label, "left_semi")
+    return labels.where(~F.col(label).isin(*skip)).join(known.select(label).distinct(), label, "left_semi")
 
 
 def resolved_labels(objects: DataFrame, classes: DataFrame, aliases: DataFrame) -> DataFrame:
     """JOI13: class ids of label texts: an explicit id, the exact normalised name, a number, or an alias.
 
-    objects: label (text), explicit_id; classes: name, id (at most 256 rows, broadcast);
+    objects: label (text), explicit_id; classes: name, id;
     aliases: alias, targets with ``|`` between alternatives, of which the first known one counts.
     """
-    names = F.broadcast(classes.select(normal_label("name").alias("norm"), F.col("id").alias("by_name")).limit(256))
-    ids = F.broadcast(classes.select(F.col("id").alias("number"), F.col("id").alias("by_number")).limit(256))
+    names = classes.select(normal_label("name").alias("norm"), F.col("id").alias("by_name"))
+    ids = classes.select(F.col("id").alias("number"), F.col("id").alias("by_number"))
     listed = aliases.select(normal_label("alias").alias("norm"), F.posexplode(F.split("targets", r"\|")).alias("rank", "target")).withColumn("target", normal_label("target"))
     targets = listed.join(names.withColumnRenamed("norm", "target"), "target").groupBy("norm").agg(F.min_by("by_name", "rank").alias("by_alias"))
     df = objects.withColumns({"norm": normal_label("label"), "number": F.expr("try_cast(trim(label) AS INT)")})
@@ -123,21 +123,28 @@ def class_aware_split(frame_classes: DataFrame, share: float = 0.2, seed: int =
     """DOM12: frames in hash order, the first ``share`` to validation; then, per class, repairs.
 
     A class of one frame stays in training; one of several has a frame on both sides
-    where another class's needs don't forbid it. Each repair is one update of the frame
-    list; classes are repaired by frequency, the rarest last, so that they win.
+    where another class's needs don't forbid it. Classes are repaired by frequency, the
+    rarest last, so that they win. A repair moves a class's first or last frame in hash
+    order, so the driver needs four values a class and the classes of these frames.
     """
-    frames = frame_classes.select("frame_ord").distinct()
+    pairs = frame_classes.where("label is not null and frame_ord is not null").select("frame_ord", "label").distinct()
     score = (F.pmod(F.xxhash64("frame_ord", F.lit(seed)), F.lit(1_000_003)) / 1_000_003.0).alias("score")
-    split = frames.select("frame_ord", score).withColumn("split", F.when(F.col("score") < share, "val").otherwise("train"))
-    sizes = frame_classes.groupBy("label").agg(F.countDistinct("frame_ord").alias("n")).orderBy(F.desc("n"), "label").limit(256).collect()
-    for row in sizes:
-        own = frame_classes.where(F.col("label") == row["label"]).select("frame_ord").distinct().withColumn("own", F.lit(True))
-        marked = split.join(own, "frame_ord", "left")
-        if row["n"] == 1:
-            split = marked.withColumn("split", F.when(F.col("own"), "train").otherwise(F.col("split"))).drop("own")
-            continue
-        ends = F.struct(F.count_if(F.col("split") == "val").alias("val"), F.count("*").alias("all"), F.min_by("frame_ord", "score").alias("low"), F.max_by("frame_ord", "score").alias("high"))
-        e = marked.where("own").agg(ends.alias("e")).first()["e"]  # four numbers
-        to = F.when(F.lit(e["val"] == 0) & (F.col("frame_ord") == e["low"]), "val").when(F.lit(e["val"] == e["all"]) & (F.col("frame_ord") == e["high"]), "train").otherwise(F.col("split"))
-        split = marked.select("frame_ord", "score", to.alias("split"))
-    return split.select("frame_ord", "split")
+    split = frame_classes.select("frame_ord").distinct().select("frame_ord", score).withColumn("split", F.when(F.col("score") < share, "val").otherwise("train"))
+    place = F.struct("score", "frame_ord")
+    ends = pairs.join(split, "frame_ord").groupBy("label").agg(F.count("*").alias("n"), F.count_if(F.col("split") == "val").alias("val"), F.min(place)["frame_ord"].alias("low"), F.max(place)["frame_ord"].alias("high"))
+    movable = ends.select(F.explode(F.array("low", "high")).alias("frame_ord")).distinct()
+    classes, side = {}, {}
+    for r in pairs.join(movable, "frame_ord").join(split, "frame_ord").select("frame_ord", "label", "split").collect():
+        classes.setdefault(r["frame_ord"], []).append(r["label"])
+        side[r["frame_ord"]] = r["split"]
+    found = sorted(ends.collect(), key=lambda r: (-r["n"], r["label"]))
+    val, moved = {r["label"]: r["val"] for r in found}, {}
+    for r in found:
+        frame, to = (r["low"], "train") if r["n"] == 1 else (r["low"], "val") if val[r["label"]] == 0 else (r["high"], "train") if val[r["label"]] == r["n"] else (None, None)
+        if to and side[frame] != to:
+            side[frame] = moved[frame] = to
+            for label in classes[frame]:
+                val[label] += 1 if to == "val" else -1
+    kind = frame_classes.schema["frame_ord"].dataType.simpleString()
+    moves = frame_classes.sparkSession.createDataFrame(list(moved.items()), f"frame_ord {kind}, `to` string")
+    return split.join(moves, "frame_ord", "left").select("frame_ord", F.coalesce("to", "split").alias("split"))

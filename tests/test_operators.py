@@ -155,3 +155,22 @@ def test_match_order_places_every_match(spark):
     for seq in (0, 1):
         own = [r.frame for r in sorted((r for r in got if r.seq == seq), key=lambda r: r.place)]
         assert own == [str(k) for k in range(seq, 100, 2)] + [f"f{k}" for k in range(100 + seq, 200, 2)]
+
+
+def test_label_tables_of_any_size(spark):
+    labels = spark.range(1, 601).selectExpr("id * 1000 AS label")
+    assert A.known_labels(labels, labels, "label").count() == 600
+    mapped = S.remapped(labels, labels.selectExpr("label", "label + 1 AS `to`"), "label", "to")
+    assert mapped.where("`to` = label + 1").count() == 600
+    classes = spark.range(600).selectExpr("concat('class ', id) AS name", "CAST(id AS INT) AS id")
+    objects = spark.range(600).selectExpr("concat('Class_', id) AS label", "CAST(NULL AS INT) AS explicit_id", "CAST(id AS INT) AS want")
+    aliases = spark.createDataFrame([("a", "b")], "alias string, targets string")
+    assert A.resolved_labels(objects, classes, aliases).where("class_id = want").count() == 600
+    assert A.resolved_labels(objects.selectExpr("CAST(want AS STRING) AS label", "explicit_id", "want"), classes, aliases).where("class_id = want").count() == 600
+
+
+def test_class_aware_split_repairs_every_class(spark):
+    pairs = spark.range(800).selectExpr("id AS frame_ord", "concat('c', id div 2) AS label").unionByName(spark.createDataFrame([(900, "alone"), (901, None)], "frame_ord bigint, label string"))
+    got = {r.frame_ord: r.split for r in A.class_aware_split(pairs).collect()}
+    assert len(got) == 802 and got[900] == "train"
+    assert all({got[2 * k], got[2 * k + 1]} == {"train", "val"} for k in range(400))
