@@ -122,7 +122,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "
     def flat(df: DataFrame) -> DataFrame:
         return df.select("id", F.col("v").cast("array<double>"))
 
-    placed = map_batches(flat(rows), place, "id bigint, v array<double>, leaves array<bigint>")
+    placed = map_batches(flat(rows).distinct(), place, "id bigint, v array<double>, leaves array<bigint>")
     listed = placed.select("id", "v", F.posexplode("leaves").alias("tree", "leaf"))
     counted = placed.select(F.posexplode("leaves").alias("tree", "leaf")).groupBy("tree", "leaf").count().collect()  # trees x 2^depth rows at most
     held = np.zeros((trees, 2**depth))
@@ -161,8 +161,15 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "
             d = np.sqrt(((x - v) ** 2).sum(axis=1))
             other = ids != q
             d, own = d[other], ids[other]
-            near = np.flatnonzero(d <= np.partition(d, k - 1)[k - 1]) if len(d) > k else np.arange(len(d))
-            near = near[np.lexsort((own[near], d[near]))][:k]
+            seen = k
+            while True:  # one id may have several vectors at one distance: more rows until k candidates differ
+                near = np.flatnonzero(d <= np.partition(d, seen - 1)[seen - 1]) if len(d) > seen else np.arange(len(d))
+                near = near[np.lexsort((own[near], d[near]))]
+                near = near[np.append(True, (own[near][1:] != own[near][:-1]) | (d[near][1:] != d[near][:-1]))[: len(near)]]
+                if len(near) >= k or len(d) <= seen:
+                    break
+                seen *= 2
+            near = near[:k]
             asking.append(np.full(len(near), q))
             found.append(own[near])
             scores.append(d[near])
