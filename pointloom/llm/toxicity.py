@@ -48,9 +48,19 @@ def ends_clause(field: str) -> bool:
     return field[-1:] in ".!?;:" or "\n" in field
 
 
+def fields_of(text: str) -> list[str]:
+    """What white space separates; a line's last field has its break."""
+    fields: list[str] = []
+    for line in text.splitlines():
+        if own := line.split():
+            own[-1] += "\n"
+            fields += own
+    return fields
+
+
 def terms_of(text: str) -> set[str]:
     """Words of a text, and their stems of 4 and 5 letters (marked by a star)."""
-    words = set(map(word_of, set(text.split(" ")))) - {""}
+    words = set(map(word_of, set(text.split()))) - {""}
     return words | {w[:5] + "*" for w in words if len(w) > 5} | {w[:4] + "*" for w in words if len(w) > 4}
 
 
@@ -145,7 +155,7 @@ class ClauseScorer:
         return n
 
     def features(self, text: str) -> list[float]:
-        fields = text.split(" ")
+        fields = fields_of(text)
         codes = list(map(self.known.get, fields))
         if None in codes:
             codes = [self.kind(f) if c is None else c for c, f in zip(codes, fields)]

@@ -174,3 +174,13 @@ def test_vectors_of_one_id_at_one_distance_take_one_place(spark):
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
     got = sorted(forest.nearest(df, df.where("vec_id = 0")).collect(), key=lambda r: r["rank"])
     assert [r.vec_id for r in got] == [1, 101, 102, 103, 104, 105, 106, 107, 108, 5]
+
+
+def test_any_white_space_parts_words():
+    scorer = toxicity.ClauseScorer({"moron": 2.0})
+    f = lambda t: dict(zip(toxicity.FEATURES, np.expm1(scorer.features(t)).round(6)))
+    assert f("what\na\nmoron\nhe\nis")["plain"] == 2.0
+    assert f("you\tare a\u00a0moron")["targeted"] == 2.0
+    assert f("you \r\n moron")["plain"] == 2.0 and f("not you\n\nmoron")["plain"] == 2.0
+    assert f(" \n ")["plain"] == 0.0
+    assert toxicity.terms_of("what\na\tmoron\n") == {"what", "a", "moron", "moro*"}
