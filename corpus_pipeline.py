@@ -21,10 +21,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each group of linked fingerprints; one row of it where the row repeats. Rows without an id stay."""
+    """The document of smallest id of each group of linked fingerprints; one row of it where the row repeats.
+
+    Each text of an id is judged by its own fingerprint. Rows without an id stay, all of them.
+    """
     found = simhash.near_duplicates(docs)
-    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(docs.columns)
+    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "fingerprint").distinct()
+    kept = simhash.with_fingerprints(docs).join(gone, ["doc_id", "fingerprint"], "left_anti")
+    own = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
+    return kept.withColumn("own", own).dropDuplicates(["doc_id", "text", "own"]).select(docs.columns)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

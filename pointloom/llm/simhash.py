@@ -16,6 +16,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from pointloom.llm.blocks import in_block_pairs
 from pointloom.llm.shared import bounded_batches, components, map_batches, written
@@ -69,6 +70,21 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return map_batches(docs.select(id_col, text_col), make, f"`{id_col}` {kind}, fp long")
 
 
+def with_fingerprints(docs: DataFrame, text_col: str = "text", words: int = 4) -> DataFrame:
+    """``docs``, all columns, and ``fingerprint`` as ``near_duplicates`` gives it; one scan, no shuffle."""
+    bounded_batches(docs.sparkSession)
+    at = docs.columns.index(text_col)
+
+    def make():
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            found = pa.array([f"{fingerprint(t, words):016x}" for t in batch.column(at).to_pylist()], pa.string())
+            return pa.RecordBatch.from_arrays([*batch.columns, found], names=[*batch.schema.names, "fingerprint"])
+
+        return step
+
+    return map_batches(docs, make, StructType([*docs.schema.fields, StructField("fingerprint", StringType())]))
+
+
 def spanning(near: np.ndarray) -> np.ndarray:
     """For a symmetric bool matrix with a true diagonal: the smallest index of each row's component."""
     label = np.arange(len(near))

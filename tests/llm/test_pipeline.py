@@ -46,3 +46,12 @@ def test_stages_take_odd_rows(spark, name):
     odd = spark.createDataFrame([(1, None, None, None, None), (2, "", "en", "s", 0), (3, "x", "en", "s", 1), (3, "x", "en", "s", 1)], docs.schema)
     assert {r.doc_id for r in stage(spark, odd, SF).collect()} >= {1}
     assert stage(spark, docs.limit(0), SF).count() == 0
+
+
+def test_near_duplicates_go_by_row_and_not_by_id(spark):
+    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
+    copied, own = "one text that two ids have word for word here", "quite another thing was written down under the same id"
+    odd = spark.createDataFrame([(1, copied, "en", "s", 1), (2, copied, "en", "s", 1), (2, own, "en", "s", 1), (2, own, "en", "s", 1), (None, "no id", "en", "s", 1), (None, "no id", "en", "s", 1)], schema)
+    out = corpus_pipeline.drop_near_duplicates(spark, odd, SF)
+    assert out.columns == odd.columns
+    assert sorted((r.doc_id or 0, r.text) for r in out.collect()) == [(0, "no id"), (0, "no id"), (1, copied), (2, own)]
