@@ -160,7 +160,7 @@ def test_a_neighbour_repeated_often_takes_one_place(spark):
     x[1] = x[0] + 0.01
     rows = [(k, [float(v) for v in r]) for k, r in enumerate(x)]
     df = spark.createDataFrame(rows + [rows[1]] * 19, "vec_id bigint, embedding array<float>")
-    got = sorted(forest.nearest(df, df.where("vec_id = 0")).collect(), key=lambda r: r["rank"])
+    got = sorted(forest.nearest(df, df.where("vec_id = 0"), trees=1, depth=1).collect(), key=lambda r: r["rank"])
     d = np.sqrt(((x.astype(float) - x[0].astype(float)) ** 2).sum(1))
     d[0] = np.inf
     assert [r.vec_id for r in got] == np.lexsort((np.arange(60), d))[:10].tolist()
@@ -172,7 +172,7 @@ def test_vectors_of_one_id_at_one_distance_take_one_place(spark):
         rows.append((1, [1.0] + [0.5 if j == k else 0.0 for j in range(1, 16)]))
         rows.append((100 + k, [1.0 + k] + [0.0] * 15))
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
-    got = sorted(forest.nearest(df, df.where("vec_id = 0")).collect(), key=lambda r: r["rank"])
+    got = sorted(forest.nearest(df, df.where("vec_id = 0"), trees=1, depth=1).collect(), key=lambda r: r["rank"])
     assert [r.vec_id for r in got] == [1, 101, 102, 103, 104, 105, 106, 107, 108, 5]
 
 
