@@ -12,7 +12,6 @@ token.
 from __future__ import annotations
 
 import base64
-import gc
 import hashlib
 from array import array
 
@@ -20,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from pointloom.llm.shared import bounded_batches, map_batches
+from pointloom.llm.shared import map_batches
 from pointloom.llm.token_fields import FieldEncoder
 
 #: Arcs, matches and neighbour tests that one worker keeps.
@@ -235,7 +234,6 @@ _kept: dict[tuple, tuple[ByteBpe, StreamDecoder]] = {}
 def codec(path: str, pattern: str) -> tuple[ByteBpe, StreamDecoder]:
     """One per worker process, for all its tasks."""
     if (path, pattern) not in _kept:
-        gc.disable()  # the kept tables hold no cycles; walking them again and again would cost a third of the time
         ranks = load_ranks(path)
         _kept[path, pattern] = ByteBpe(ranks, pattern), StreamDecoder(ranks)
     return _kept[path, pattern]
@@ -247,7 +245,6 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str =
     A null text is empty: no ids. Null ids and repeated rows give one result
     each; an empty table an empty one; other columns are not read.
     """
-    bounded_batches(docs.sparkSession)
 
     def make():
         bpe, decoder = codec(ranks_path, pattern)
@@ -276,5 +273,5 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str =
     kind = docs.schema[id_col].dataType.simpleString()
     more = ", ids array<long>" if with_ids else ""
     return map_batches(
-        docs.select(id_col, text_col), make, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, is_utf8 boolean{more}"
+        docs.select(id_col, text_col), make, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, is_utf8 boolean{more}", collect=False
     )

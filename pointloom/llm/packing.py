@@ -6,9 +6,10 @@ makes the sum of squared counts of partly filled windows smallest. ``counts[h]``
 is the number of open windows filled to h. There is no shuffle: a split is read
 in the same order again if its task is retried, so ids stay the same.
 
-At the end of a split, or when ``max_open`` windows are open, what the open ones
-hold is cut anew into whole windows and one remainder in lengths that are powers
-of two, so nothing is padded.
+At most ``max_open`` windows are open: then a document goes to the best level that
+has room for it, and where none has, it is cut to fill the emptiest window and its
+rest is placed by the same rule. At the end of a split the emptiest windows fill the
+gaps of the fullest ones and the last one is cut at powers of two, so nothing is padded.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from pointloom.llm.shared import bounded_batches
+from pointloom.llm.shared import sliced, without_gc
 from pointloom.llm.token_fields import FieldEncoder
 
 #: Ids of a window, and the most windows a task keeps open (16 MB of ids).
@@ -57,39 +58,43 @@ class SumOfSquares:
         change[-1] -= 1
         change[counts[1 : w - size + 1] == 0] = np.iinfo(np.int64).max
         h = int(change.argmin()) + 1
-        if change[h - 1] <= 2 * counts[size] + 1:
-            held = self.levels[h].pop()
-            counts[h] -= 1
-            self.open -= 1
+        if change[h - 1] <= 2 * counts[size] + 1 or (self.open >= self.max_open and change[h - 1] < np.iinfo(np.int64).max):
+            held = self.taken(h)
+        elif self.open >= self.max_open:  # no open window has room for all of it: the emptiest one takes what fits
+            h = int(np.flatnonzero(counts)[0])
+            doc, start, ids, n = piece
+            self.put(self.taken(h), h, (doc, start, ids[: 4 * (w - h)], n), w - h)
+            return self.place((doc, start + w - h, ids[4 * (w - h) :], n), size - (w - h))
         else:
             h, held = 0, []
+        self.put(held, h, piece, size)
+
+    def taken(self, h: int) -> list[Piece]:
+        self.counts[h] -= 1
+        self.open -= 1
+        return self.levels[h].pop()
+
+    def put(self, held: list[Piece], h: int, piece: Piece, size: int) -> None:
         held.append(piece)
-        if h + size == w:
+        if h + size == self.window:
             self.closed.append(held)
             return
         self.levels[h + size].append(held)
-        counts[h + size] += 1
+        self.counts[h + size] += 1
         self.open += 1
-        if self.open > self.max_open:
-            self.finish()
 
     def finish(self) -> None:
-        """Close all open windows without padding, fullest first."""
-        w, now, room = self.window, [], self.window
-        for h in range(w - 1, 0, -1):
-            for held in self.levels[h]:
-                for doc, start, ids, n in held:
-                    while ids:
-                        part = ids[: 4 * room]
-                        now.append((doc, start, part, n))
-                        start, room, ids = start + len(part) // 4, room - len(part) // 4, ids[4 * room :]
-                        if not room:
-                            self.closed.append(now)
-                            now, room = [], w
-            self.levels[h] = []
-        self.counts[:] = 0
-        self.open = 0
-        left = w - room
+        """Close all open windows without padding: the emptiest is poured into the gaps of the fullest until one is left, which is cut at powers of two."""
+        w = self.window
+        while self.open > 1:
+            for doc, start, ids, n in self.taken(int(np.flatnonzero(self.counts)[0])):
+                while ids:
+                    h = int(np.flatnonzero(self.counts)[-1]) if self.open else 0
+                    part = ids[: 4 * (w - h)]
+                    self.put(self.taken(h) if h else [], h, (doc, start, part, n), len(part) // 4)
+                    start, ids = start + len(part) // 4, ids[len(part) :]
+        left = int(np.flatnonzero(self.counts)[0]) if self.open else 0
+        now = self.taken(left) if left else []
         size = w // 2
         while left:
             if left < size:
@@ -118,13 +123,11 @@ def id_encoder(vocabulary: str, ranks: str, pattern: str) -> FieldEncoder:
     added tokens stand for these tokens, as is that library's default.
     """
     import base64
-    import gc
     import json
 
     import tiktoken
 
     if vocabulary not in _encoders:
-        gc.disable()  # kept fields hold no cycles
         with open(ranks, "rb") as f:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         with open(vocabulary) as f:
@@ -153,7 +156,6 @@ def packed(
     or empty text is its closing id 0 alone. Null ids and repeated rows are
     packed like others; an empty table gives no rows; other columns are not read.
     """
-    bounded_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     names = [id_col, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * with_ids
 
@@ -183,10 +185,11 @@ def packed(
                 arrays.append(pa.array(cols[7], pa.list_(pa.int64())))
             return pa.RecordBatch.from_arrays(arrays, names=names)
 
-        for batch in batches:
+        for batch in sliced(batches):
             doc_type = batch.column(0).type
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                packer.add(doc, encode(text or "") + b"\0\0\0\0")
+            with without_gc():  # kept fields hold no cycles
+                for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    packer.add(doc, encode(text or "") + b"\0\0\0\0")
             yield out()
         packer.finish()
         if packer.closed:

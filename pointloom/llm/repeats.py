@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pointloom.llm.shared import bounded_batches, text_bytes, written
+from pointloom.llm.shared import sliced, text_bytes, written
 
 #: Bytes of a match, and of the strings that name it.
 MATCH, GRAM = 100, 32
@@ -279,13 +279,13 @@ def shared_names(docs: DataFrame) -> DataFrame:
     """(doc, names): of each document the names that another text, or another chunk of its own, has too."""
 
     def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             own, _, _, name, *_ = chunks_of([text_bytes(t) for t in batch.column(0).to_pylist()])
             th = np.array(batch.column(1).to_numpy(zero_copy_only=False))[own] + doubled(own, name)
             yield pa.RecordBatch.from_arrays([_signed(name), pa.array(th, pa.int64())], names=["name", "th"])
 
     def names_by_doc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             own, _, _, name, *_ = chunks_of([text_bytes(t) for t in batch.column(1).to_pylist()])
             fresh = doubled(own, name) == 0
             doc = np.array(batch.column(0).to_numpy(zero_copy_only=False))[own[fresh]]
@@ -309,7 +309,7 @@ def suspected_chunks(docs: DataFrame, names: DataFrame, copies: DataFrame) -> Da
     told = docs.select("doc", "text").join(names.join(copies, "doc", "left"), "doc").select("doc", "text", "names", "copies")
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             docs_, texts, names_, copies_ = (batch.column(k) for k in range(4))
             data = [text_bytes(t) for t in texts.to_pylist()]
             keys = [hashlib.md5(d).hexdigest() for d in data]
@@ -360,7 +360,7 @@ def with_bytes(docs: DataFrame, edges: DataFrame) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-        for batch in batches:
+        for batch in sliced(batches):
             rows: list[tuple] = []
             for doc, text, chunks in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 data = text_bytes(text)
@@ -376,7 +376,7 @@ def grouped_windows(chunks: DataFrame) -> DataFrame:
     """Windows of ``chunks`` that start earlier in another, by a grouped minimum over window hashes."""
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             cols: tuple[list, ...] = ([], [], [], [])
             for doc, tag, start, n, data in zip(*(batch.column(k).to_pylist() for k in range(5))):
                 cols[0].append(anchors_of(np.frombuffer(data, np.uint8), True)[2])
@@ -436,7 +436,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = with_losses(docs.select(F.col(id_col).alias("id"), text_col), "id", text_col)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             cols: tuple[list, ...] = ([], [], [], [])
             for text, lost, copies in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3))):
                 data = text_bytes(text)
@@ -464,7 +464,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     place = docs.columns.index(text_col)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             cols = list(batch.columns)
             copies, lost = cols.pop(), cols.pop()
             texts = cols[place].to_pylist()
@@ -480,7 +480,6 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def with_losses(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``docs`` with what its rows lose: pl_lost (stretches of windows) and pl_copies (digests of whole texts)."""
-    bounded_batches(docs.sparkSession)
     doc = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
     plain = docs.select(doc.alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     lost = repeat_windows(plain).toDF("pl_doc", "pl_lost", "pl_copies")

@@ -3,29 +3,30 @@
 A fingerprint is cut into ``distance + 2`` blocks. Two fingerprints that differ
 in at most ``distance`` bits agree in two blocks at least, so they meet in the
 list of that pair of blocks; there each pair's Hamming distance is taken. Equal
-fingerprints are one class from the start; a list of any size is compared in
-bounded blocks of rows, which send only links that span their components.
+fingerprints are one class from the start. A long list is cut further by the bits
+that its rows may differ in, and compared in bounded blocks of rows, which send only
+links that span their components.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from pointloom.llm.blocks import in_block_pairs
-from pointloom.llm.shared import bounded_batches, components, map_batches, written
+from pointloom.llm.blocks import BLOCK_ROWS, group_bounds, in_block_pairs, whole_groups
+from pointloom.llm.shared import components, map_batches, written
 
 #: Shingles hashed at once: bounds memory on a long text.
 STEP = 1 << 16
 SEED = 42
-#: Rows of a group that is compared row by row, and listed rows of a shard of groups.
-SMALL, SHARD = 64, 60_000
+#: Rows of a group that is compared step by step; larger ones are compared as a matrix.
+SMALL = 64
 
 
 def fingerprint(text: str | None, words: int = 4) -> int:
@@ -57,7 +58,6 @@ def fingerprint(text: str | None, words: int = 4) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4) -> DataFrame:
     """(id, fp): fp is the fingerprint as a signed long; one scan, no shuffle."""
-    bounded_batches(docs.sparkSession)
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -72,7 +72,6 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def with_fingerprints(docs: DataFrame, text_col: str = "text", words: int = 4) -> DataFrame:
     """``docs``, all columns, and ``fingerprint`` as ``near_duplicates`` gives it; one scan, no shuffle."""
-    bounded_batches(docs.sparkSession)
     at = docs.columns.index(text_col)
 
     def make():
@@ -96,13 +95,10 @@ def spanning(near: np.ndarray) -> np.ndarray:
         label = low
 
 
-def shard_links(group: pd.DataFrame, distance: int) -> pd.DataFrame:
-    """Spanning links (a, b) among the rows of each pair of blocks of a shard."""
-    group = group.sort_values(["list", "key", "first", "second", "fp"])
-    fp, keys = group["fp"].to_numpy(), group[["list", "key", "first", "second"]].to_numpy()
+def links_in(fp: np.ndarray, keys: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """Spanning links (a, b) among the rows of each group; ``keys`` (rows x columns) are sorted."""
     u = fp.view(np.uint64)
-    start = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(axis=1)))
-    size = np.diff(np.append(start, len(fp)))
+    start, size = group_bounds(keys)
     ends = np.repeat(start + size, size)
     left, right = [], []
     for b, n in zip(start[size > SMALL].tolist(), size[size > SMALL].tolist()):
@@ -119,7 +115,22 @@ def shard_links(group: pd.DataFrame, distance: int) -> pd.DataFrame:
         step += 1
     a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
     differ = a != b
-    return pd.DataFrame({"a": a[differ], "b": b[differ]}).drop_duplicates()
+    return a[differ], b[differ]
+
+
+#: Columns that name a group of rows to compare.
+GROUP = ["list", "key", "first", "second"]
+
+
+def group_links(distance: int):
+    """Links of a partition that is sorted by GROUP, whose groups are two blocks at most."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, batch in whole_groups(batches, len(GROUP)):
+            a, b = links_in(np.array(batch.column(len(GROUP)).to_numpy(zero_copy_only=False)), keys, distance)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return run
 
 
 def block_lists(distance: int, blocks: int, agree: int) -> list[tuple[int, int]]:
@@ -129,16 +140,35 @@ def block_lists(distance: int, blocks: int, agree: int) -> list[tuple[int, int]]
     return [sum(c) for c in combinations(masks, agree)]
 
 
+def parts_of(mask: int, n: int) -> list[int]:
+    """``n`` masks that share the bits of ``mask`` among them, neighbours together."""
+    bits = [k for k in range(64) if mask >> k & 1]
+    return [sum(1 << int(k) for k in part) for part in np.array_split(bits, n)]
+
+
+def signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
 def near_links(fps: DataFrame, distance: int = 4, extra: int = 2) -> DataFrame:
-    """(a, b) links that span the components of distinct fingerprints ``fp``."""
-    lists = block_lists(distance, distance + extra, extra)
-    signed = [m - (1 << 64) if m >> 63 else m for m in lists]
-    keys = F.array(*[F.struct(F.lit(k).alias("list"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for k, m in enumerate(signed)])
-    listed = fps.select("fp", F.explode(keys).alias("k")).select("fp", "k.list", "k.key")
-    dealt = in_block_pairs(listed, ["list", "key"], ["fp"])
-    shards = max(1, fps.count() * len(lists) // SHARD)
-    shard = F.pmod(F.xxhash64("list", "key", "first", "second"), F.lit(shards))
-    return dealt.withColumn("shard", shard).groupBy("shard").applyInPandas(lambda g: shard_links(g, distance), "a long, b long")
+    """(a, b) links that span the components of distinct fingerprints ``fp``.
+
+    A list of more than a block's rows is listed again by parts: its other bits are cut
+    into ``distance + 1`` parts, of which close pairs share one. What is still longer is
+    compared in pairs of blocks.
+    """
+    masks = block_lists(distance, distance + extra, extra)
+    key = lambda m: F.col("fp").bitwiseAND(F.lit(signed(m)))
+    listed = fps.select("fp", F.explode(F.array(*[F.struct(F.lit(k).alias("list"), key(m).alias("key")) for k, m in enumerate(masks)])).alias("k")).select("fp", "k.list", "k.key")
+    sizes = listed.groupBy("list", "key").agg(F.count("*").alias("n")).where("n > 1")
+    sized = listed.join(sizes, ["list", "key"])
+    zero = F.lit(0)
+    short = sized.where(F.col("n") <= BLOCK_ROWS).select("fp", "list", "key", zero.alias("first"), zero.alias("second"))
+    parts = F.array(*[F.array(*[F.lit(signed(m | part)) for part in parts_of(m ^ (1 << 64) - 1, distance + 1)]) for m in masks])
+    again = sized.where(F.col("n") > BLOCK_ROWS).select("fp", "list", F.posexplode(F.get(parts, F.col("list"))).alias("part", "mask"))
+    again = again.select("fp", (F.col("list") + len(masks) * (F.col("part") + 1)).alias("list"), F.col("fp").bitwiseAND(F.col("mask")).alias("key"))
+    dealt = short.unionByName(in_block_pairs(again, ["list", "key"], ["fp"]).select("fp", *GROUP)).select(*GROUP, "fp")
+    return dealt.repartition(*GROUP).sortWithinPartitions(*GROUP).mapInArrow(group_links(distance), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, distance: int = 4) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pointloom.llm.shared import bounded_batches, map_batches
+from pointloom.llm.shared import map_batches, sliced
 
 #: Labelled rows to learn from (those of smallest hash), words kept, a word's least documents and least log odds.
 SAMPLE, LEXICON, LEAST_DOCS, LEAST_ODDS = 24_000, 20_000, 3, 2.5
@@ -267,7 +267,6 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     returns to the driver is bounded too: ``LEXICON`` terms and a feature row for
     each sampled row. Without labels of both kinds all scores are the same.
     """
-    bounded_batches(docs.sparkSession)
     usable = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
     chosen = (
         usable.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic"), remainder(F.col(id_col)).alias("fold"))
@@ -278,7 +277,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = with_text(docs, frame, id_col, text_col)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             seen: tuple[Counter, Counter] = (Counter(), Counter())
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 seen[bool(toxic)].update(terms_of(text))
@@ -318,7 +317,6 @@ def scored(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_c
     A null text is empty. Null ids are never held out; repeated rows give a
     result each; an empty table gives no rows; other columns are not read.
     """
-    bounded_batches(docs.sparkSession)
 
     def make():
         scorer = ClauseScorer(model.lexicon)
@@ -339,11 +337,10 @@ def scored(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_c
 
 def without_toxic(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, whose text scores below 0.5."""
-    bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = ClauseScorer(model.lexicon)
-        for batch in batches:
+        for batch in sliced(batches):
             texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
             x = np.array([scorer.features(t or "") for t in texts]).reshape(-1, len(FEATURES))
             yield batch.filter(pa.array(model.score(x) < 0.5))

@@ -99,16 +99,19 @@ def test_pages_without_articles_lose_what_the_host_repeats(spark):
     assert html_text.main_text(df.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("shard", [2000, 4, 1])
-def test_repeats_of_a_host_count_over_all_of_its_shards(spark, monkeypatch, shard):
-    monkeypatch.setattr(html_text, "SHARD", shard)
+def host_of(n):
     few, two = "this notice stands on just three of the pages of the host", "that other notice stands on only two of the many pages here"
     split = "<p>one two three four</p><p>five six seven eight</p>"
     rows = []
-    for k in range(40):
+    for k in range(n):
         own = f"page {k} has text of its own number {k * 7} only here and {k}"
         more = f"<p>{few}</p>" if k in (3, 17, 31) else f"<p>{two}</p>" if k in (5, 25) else split if k in (2, 20, 38) else ""
         rows.append((k, "http://hot.org/", f"<body><p>{own}</p>{more}</body>"))
+    return rows, few, two
+
+
+def test_repeats_of_a_host_count_over_all_of_its_pages(spark):
+    rows, few, two = host_of(40)
     rows += [(90, "http://hot.org/", f"<article><p>body</p></article><nav>{two}</nav>"), (91, "http://cold.org/", f"<body><p>{few}</p></body>")]
     df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
     got = {r.page_id: r.text for r in html_text.main_text(df).collect()}
@@ -119,6 +122,104 @@ def test_repeats_of_a_host_count_over_all_of_its_shards(spark, monkeypatch, shar
     assert all(got[k].endswith("\n" + two) for k in (5, 25))
 
 
+def plain_main_text(rows):
+    """Counts every run of every page in dictionaries."""
+    from urllib.parse import urlparse
+
+    hosts = {}
+    for _, url, page in rows:
+        hosts.setdefault(urlparse(url or "").hostname or "", []).append([(k, t.split(" ")) for k, t in html_text.page_blocks(page or "") if k != "article"])
+    shared = {}
+    for host, pages in hosts.items():
+        n = {}
+        for blocks in pages:
+            flat = [t for _, b in blocks for t in b]
+            seen = {("across", tuple(flat[k : k + 8])) for k in range(len(flat) - 7)} | {("inside", tuple(b[k : k + 8])) for _, b in blocks for k in range(len(b) - 7)}
+            for run in seen:
+                n[run] = n.get(run, 0) + 1
+        shared[host] = {run for run, m in n.items() if m >= 3}
+    out = {}
+    for page_id, url, page in rows:
+        found, known = html_text.page_blocks(page or ""), shared[urlparse(url or "").hostname or ""]
+        if any(k == "article" for k, _ in found):
+            out[page_id] = "\n".join(t for k, t in found if k == "article")
+            continue
+        flat = [(t, i) for i, (_, b) in enumerate(found) for t in b.split(" ")]
+        gone, filled = [False] * len(flat), [False] * len(flat)
+        for k in range(len(flat) - 7):
+            run = tuple(t for t, _ in flat[k : k + 8])
+            if ("inside", run) in known and flat[k][1] == flat[k + 7][1]:
+                gone[k : k + 8] = [True] * 8
+            if ("across", run) in known:
+                filled[k : k + 8] = [True] * 8
+        texts = []
+        for i, (kind, _) in enumerate(found):
+            own = [k for k, (_, j) in enumerate(flat) if j == i]
+            left = [] if all(filled[k] for k in own) else [flat[k][0] for k in own if not gone[k]]
+            if kind == "loose" and left:
+                texts.append(" ".join(left))
+        out[page_id] = "\n".join(texts)
+    return out
+
+
+def random_pages(n, seed=3):
+    rnd = random.Random(seed)
+    words = [f"w{k}" for k in range(12)]
+    notes = [" ".join(rnd.choice(words) for _ in range(rnd.randint(6, 14))) for _ in range(20)]
+    rows = []
+    for k in range(n):
+        parts = [rnd.choice(notes) if rnd.random() < 0.5 else " ".join(rnd.choice(words) + str(rnd.randrange(60)) for _ in range(rnd.randint(1, 12))) for _ in range(rnd.randint(0, 6))]
+        tags = [f"<{t}>{p}</{t}>" for p in parts for t in [rnd.choice(["p", "div", "nav", "footer"])]]
+        body = "".join(tags)
+        rows.append((k, f"http://h{min(2, rnd.randrange(6))}.org/x", f"<body>{body}</body>" if rnd.random() < 0.8 else f"<body><article>{body}</article>{rnd.choice(notes)}</body>"))
+    return rows + [(n, None, None), (n + 1, "http://h0.org", ""), (n + 2, "http://h0.org", rows[0][2])]
+
+
+@pytest.mark.parametrize("parts", [1, 7, 211])
+def test_main_text_against_brute_force_however_pages_are_dealt(spark, parts):
+    rows = random_pages(260)
+    df = spark.createDataFrame([(*r, "x", "y") for r in rows], "page_id bigint, url string, html string, page string, host string").repartition(parts)
+    got = {r.page_id: r.text for r in html_text.main_text(df).collect()}
+    want = plain_main_text(rows)
+    assert got == want
+    assert sum(want[k] != "\n".join(t for kind, t in html_text.page_blocks(p or "") if kind == "loose") for k, _, p in rows) > 50
+
+
+def test_a_host_of_many_pages(spark):
+    rows, few, two = host_of(5000)
+    for parts in (1, 7):
+        got = {r.page_id: r.text for r in html_text.main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(parts)).collect()}
+        assert sum(few in t for t in got.values()) == 0 and sum(two in t for t in got.values()) == 2
+        assert all(got[k].startswith(f"page {k} has text of its own number") for k in range(5000))
+
+
+def test_boilerplate_counts_what_the_array_removes(spark):
+    note = "please accept all of our very nice cookies now or go away"
+    rows = [(k, "http://a.org", f"<nav>{note}</nav><article><p>{note}</p></article><footer>own {k}</footer>") for k in range(4)]
+    got = html_text.boilerplate(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    assert [(r.outside, r.covered) for r in got] == [(14, 12)] * 4
+
+
+@pytest.mark.parametrize("page,want", [
+    ('<article class="post comments-open has-sidebar"><p>a b</p></article>', ["a b"]),
+    ('<main class="no-sidebar"><section class="related-work"><p>a</p></section><div class="social-history">b</div></main>', ["a", "b"]),
+    ("<article><p>one<button>x<p>two</p><select><option>y<p>three</p></article>", ["onex", "two", "y", "three"]),
+    ("<article><p>one<button>x</button> two <svg><title>t</title></svg>three</p></article>", ["one two three"]),
+    ('<article><p title="a<b">q</p><p data-x="1>2" class=big>r</p></article>', ["q", "r"]),
+    ('<article><p>x &lt; y <a href="u">z</a> 1 < 2</p><div class="site-footer">f</div><div id="comment-list">c</div><div class="ad-slot-3">d</div></article>', ["x < y z 1 < 2"]),
+    ('<article><p>a</p><script>"</p><button>"</script><p>b</p><textarea>c</textarea></article>', ["a", "b"]),
+])
+def test_article_blocks_of_odd_pages(page, want):
+    assert [t for k, t in html_text.page_blocks(page) if k == html_text.ARTICLE] == want
+
+
+def test_very_long_pages(spark):
+    para = "some words of a very long page " * 30
+    page = "<article>" + f"<p>{para}</p><button>" * 3000 + "</article>" + "<nav>menu</nav>" * 2000
+    got = html_text.main_text(spark.createDataFrame([(1, "http://a.org", page)], "page_id bigint, url string, html string")).collect()
+    assert got[0].n_chars == 3000 * (len(para.strip()) + 1) - 1
+
+
 def test_covered_tokens():
     a = "one two three four five six".split()
     got = html_text.covered_tokens([[["x", *a, "y"]], [[*a, "z"]], [["q"], a], [a[:3]]], run=6, pages=3)
