@@ -9,10 +9,9 @@
    class whose first place counts. Of what is left only chunks that share the
    anchor and 34 bytes on one of its sides with another can hold an equal window;
    they are dealt to shards by name. A shard builds the run-length index of its chunks:
-   suffix order, run-compressed Burrows-Wheeler transform, suffixes and match
-   lengths sampled at the runs' ends. Matching statistics of all other places are
-   streamed from these samples in text order; stretches of matches of 100 bytes
-   are the repeats, and the earliest place of each is kept.
+   suffixes and match lengths sampled at the run ends of the Burrows-Wheeler transform.
+   Matching statistics of all places are streamed from these samples in text order;
+   stretches of matches of 100 bytes are the repeats, and the earliest place of each is kept.
 3. A name with very many different chunks (a passage that a third of all documents
    quote) is no shard's: its windows are grouped by hash instead, which is exact
    as well and combines before the shuffle.
@@ -22,7 +21,6 @@ Copies of whole texts are told by digest and removed without any of this.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Iterator
 
@@ -140,94 +138,106 @@ def doubled(owner: np.ndarray, name: np.ndarray) -> np.ndarray:
     return out
 
 
+def suffix_order(data: np.ndarray, depth: int = 128) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
+    """Suffixes sorted by their first ``depth`` bytes, then by place, and their ranks by 1, 2, 4 ... bytes.
+
+    Ranks of the first 8 bytes are the bytes themselves; only suffixes that still have equals are ranked further.
+    """
+    n = len(data)
+    levels, key, width = [(1, data)], np.append(data, np.full(8, 0xFF, np.uint8)).astype(np.uint64), 1
+    while width < 8:  # 0xFF stands behind the end; no UTF-8 holds it
+        key = key[:-width] << np.uint64(8 * width) | key[width:]
+        width *= 2
+        levels.append((width, key[:n]))
+    order = np.argsort(key[:n])
+    own = key[:n][order]
+    start = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+    size = np.diff(np.append(start, n))
+    rank = np.empty(n, np.int64)  # where a suffix's group of equals begins in the order
+    rank[order] = np.repeat(start, size)
+    levels[-1] = (width, rank)
+    tied = order[np.repeat(size > 1, size)]
+    while width < depth:
+        ahead = np.append(rank + 1, np.full(width, n + 1))[tied + width]  # the end comes last, as 0xFF does
+        pair = rank[tied] << 32 | ahead
+        by = np.argsort(pair)
+        tied, pair = tied[by], pair[by]
+        first = np.flatnonzero(np.append(True, pair[1:] != pair[:-1])) if len(tied) else np.zeros(0, np.int64)
+        group = np.flatnonzero(np.append(True, pair[1:] >> 32 != pair[:-1] >> 32)) if len(tied) else np.zeros(0, np.int64)
+        size = np.diff(np.append(first, len(tied)))
+        base = np.repeat(group, np.diff(np.append(group, len(tied))))
+        rank = rank.copy()
+        rank[tied] += np.repeat(first, size) - base
+        tied = tied[np.repeat(size > 1, size)]
+        width *= 2
+        levels.append((width, rank))
+    order = np.empty(n, np.int64)
+    alone = np.ones(n, bool)
+    alone[tied] = False
+    single = np.flatnonzero(alone)
+    order[rank[single]] = single
+    tied = tied[np.lexsort((tied, rank[tied]))]
+    if len(tied):
+        head = np.flatnonzero(np.append(True, rank[tied][1:] != rank[tied][:-1]))
+        order[rank[tied] + np.arange(len(tied)) - np.repeat(head, np.diff(np.append(head, len(tied))))] = tied
+    return order, levels
+
+
+def agreement(levels: list[tuple[int, np.ndarray]], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Common bytes of suffixes a and b, by ranks of halving widths; most pairs part within 8 bytes."""
+    n, out, todo = len(levels[0][1]), np.zeros(len(a), np.int64), np.arange(len(a))
+    while len(todo):  # once more for those that agree in all of the widest rank
+        x, y, got, whole = a[todo] + out[todo], b[todo] + out[todo], np.zeros(len(todo), np.int64), sum(w for w, _ in levels)
+        for width, rank in reversed(levels):
+            fits = (x < n) & (y < n)
+            same = fits & (rank[np.minimum(x, n - 1)] == rank[np.minimum(y, n - 1)])
+            got += same * width
+            x, y = x + same * width, y + same * width
+        out[todo] += got
+        todo = todo[got == whole]
+    return out
+
+
 class RunLengthIndex:
-    """Run-compressed Burrows-Wheeler transform of bytes, with samples at run ends.
+    """Bytes as their run-length Burrows-Wheeler transform tells them: one sample for each place where a run begins.
 
-    ``match[p]`` is how long the suffix at p agrees with the one before it in
-    suffix order (exact up to ``depth``). It is measured only where a run of the
-    transform begins, and streamed from there in text order: inside a run the
-    suffix one place on agrees one byte less.
+    The suffix before p in suffix order follows from the one before p - 1, one place
+    on and agreeing one byte less, as long as both stand in one run of the transform.
+    So only run ends are kept: text place, the suffix before it, and their common
+    bytes. Everything else is streamed from these samples in text order. Memory grows
+    with the runs: a text repeated a hundred times has hardly more than one.
     """
 
-    def __init__(self, data: np.ndarray, depth: int = 128):
+    def __init__(self, data: np.ndarray):
         n = len(data)
-        self.levels, key, width = [(1, data)], np.append(data, np.full(8, 0xFF, np.uint8)).astype(np.uint64), 1
-        while width < 8:  # 0xFF stands behind the end; no UTF-8 holds it
-            key = key[:-width] << np.uint64(8 * width) | key[width:]
-            width *= 2
-            self.levels.append((width, key[:n]))
-        order = np.argsort(key[:n])
-        own = key[:n][order]
-        start = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
-        size = np.diff(np.append(start, n))
-        rank = np.empty(n, np.int64)  # where a suffix's group of equals begins in the order
-        rank[order] = np.repeat(start, size)
-        self.levels[-1] = (width, rank)
-        tied = order[np.repeat(size > 1, size)]
-        while width < depth:  # only suffixes that still have equals are ranked further
-            ahead = np.append(rank + 1, np.full(width, n + 1))[tied + width]  # the end comes last, as 0xFF does
-            pair = rank[tied] << 32 | ahead
-            by = np.argsort(pair)
-            tied, pair = tied[by], pair[by]
-            first = np.flatnonzero(np.append(True, pair[1:] != pair[:-1])) if len(tied) else np.zeros(0, np.int64)
-            group = np.flatnonzero(np.append(True, pair[1:] >> 32 != pair[:-1] >> 32)) if len(tied) else np.zeros(0, np.int64)
-            size = np.diff(np.append(first, len(tied)))
-            base = np.repeat(group, np.diff(np.append(group, len(tied))))
-            rank = rank.copy()
-            rank[tied] += np.repeat(first, size) - base
-            tied = tied[np.repeat(size > 1, size)]
-            width *= 2
-            self.levels.append((width, rank))
-        self.order = np.empty(n, np.int64)
-        alone = np.ones(n, bool)
-        alone[tied] = False
-        single = np.flatnonzero(alone)
-        self.order[rank[single]] = single
-        tied = tied[np.lexsort((tied, rank[tied]))]
-        if len(tied):
-            head = np.append(True, rank[tied][1:] != rank[tied][:-1])
-            at = np.arange(len(tied)) - np.repeat(np.flatnonzero(head), np.diff(np.append(np.flatnonzero(head), len(tied))))
-            self.order[rank[tied] + at] = tied
-        before = np.append(-1, data.astype(np.int16))[self.order]  # the transform; -1 stands before the first byte
-        sorted_rank = rank[self.order]
-        tie = np.append(False, sorted_rank[1:] == sorted_rank[:-1])
-        head = np.append(True, before[1:] != before[:-1]) | tie
-        tied = np.zeros(n + 1, bool)
-        tied[self.order[tie | np.append(tie[1:], False)] + 1] = True
-        head |= tied[self.order]  # nothing is carried on from a place that ties up to ``depth``
-        self.runs = int((np.append(True, before[1:] != before[:-1])).sum())
-        ends = np.flatnonzero(head)
-        length = np.zeros(len(ends), np.int64)
-        some = ends > 0
-        length[some] = self.agree(self.order[ends[some] - 1], self.order[ends[some]])
-        self.match = np.full(n, -1, np.int64)
-        self.match[self.order[ends]] = length
-        sampled = np.flatnonzero(self.match >= 0)
-        gap = np.diff(np.append(sampled, n))
-        back = np.arange(n) - np.repeat(sampled, gap)
-        self.match = np.maximum(np.repeat(self.match[sampled], gap) - back, 0)
-
-    def agree(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Common bytes of suffixes a and b, by ranks of halving widths; most pairs part within 8 bytes."""
-        n, out = len(self.order), np.zeros(len(a), np.int64)
-        eight = self.levels[3][1]
-        far = np.flatnonzero(eight[a] == eight[b])
-        for some, levels in ((far, self.levels), (np.flatnonzero(eight[a] != eight[b]), self.levels[:3])):
-            x, y, got = a[some], b[some], np.zeros(len(some), np.int64)
-            for width, rank in reversed(levels):
-                fits = (x < n) & (y < n)
-                same = fits & (rank[np.minimum(x, n - 1)] == rank[np.minimum(y, n - 1)])
-                got += same * width
-                x, y = x + same * width, y + same * width
-            out[some] = got
-        return out
+        order, levels = suffix_order(data)
+        before = np.full(n, -1, np.int64)
+        before[order[1:]] = order[:-1]
+        goes_on = np.zeros(n, bool)
+        goes_on[1:] = (before[1:] == before[:-1] + 1) & (before[:-1] >= 0) & (data[before[:-1]] == data[:-1])
+        self.size = n
+        self.place = np.flatnonzero(~goes_on)
+        self.before = before[self.place]
+        self.common = np.zeros(len(self.place), np.int64)
+        some = np.flatnonzero(self.before >= 0)
+        self.common[some] = agreement(levels, self.before[some], self.place[some])
+
+    def streamed(self) -> tuple[np.ndarray, np.ndarray]:
+        """Matching statistics in text order: of each place the suffix before it in suffix order (-1: none) and how many bytes they share."""
+        gap = np.diff(np.append(self.place, self.size))
+        back = np.arange(self.size) - np.repeat(self.place, gap)
+        before = np.repeat(self.before, gap)
+        return np.where(before >= 0, before + back, -1), np.maximum(np.repeat(self.common, gap) - back, 0)
 
     def intervals(self, least: int) -> np.ndarray:
-        """For each text position the number of its interval: suffixes that agree in ``least`` bytes."""
-        number = np.cumsum(self.match[self.order] < least)
-        out = np.empty(len(self.order), np.int64)
-        out[self.order] = number
-        return out
+        """For each text place a number that suffixes share exactly if they agree in ``least`` bytes: the place of the first of them in suffix order."""
+        before, match = self.streamed()
+        root = np.where(match >= least, before, np.arange(self.size))
+        while True:
+            ahead = root[root]
+            if (ahead == root).all():
+                return root
+            root = ahead
 
 
 def shard_repeats(group: pd.DataFrame) -> pd.DataFrame:
@@ -266,11 +276,6 @@ def removed_mask(size: int, starts: list[int], counts: list[int]) -> np.ndarray:
     return np.cumsum(edge)[:size] > 0
 
 
-def tag_of(key: str) -> int:
-    """A long that tells apart texts of one id, from a text's digest."""
-    return int(key[:15], 16)
-
-
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64), pa.int64())
 
@@ -288,33 +293,29 @@ def shared_names(docs: DataFrame) -> DataFrame:
         for batch in sliced(batches):
             own, _, _, name, *_ = chunks_of([text_bytes(t) for t in batch.column(1).to_pylist()])
             fresh = doubled(own, name) == 0
-            doc = np.array(batch.column(0).to_numpy(zero_copy_only=False))[own[fresh]]
-            yield pa.RecordBatch.from_arrays([_signed(name[fresh]), pa.array(doc, pa.int64())], names=["name", "doc"])
+            at = pa.array(own[fresh])
+            yield pa.RecordBatch.from_arrays([_signed(name[fresh]), batch.column(0).take(at), batch.column(2).take(at)], names=["name", "doc", "tag"])
 
     held = docs.select("text", F.xxhash64("text").alias("th")).mapInArrow(names, "name long, th long").groupBy("name").agg(F.min("th").alias("a"), F.max("th").alias("b"))
-    asked = docs.select("doc", "text").mapInArrow(names_by_doc, "name long, doc long").join(held.where("a <> b").select("name"), "name")
-    return written(asked.groupBy("doc").agg(F.collect_list("name").alias("names")), "names")
+    asked = docs.select("doc", "text", "tag").mapInArrow(names_by_doc, "name long, doc long, tag long").join(held.where("a <> b").select("name"), "name")
+    return written(asked.groupBy("doc", "tag").agg(F.collect_list("name").alias("names")), "names")
 
 
 def whole_copies(docs: DataFrame) -> DataFrame:
-    """(doc, copies): digests of whole texts that stand in a document of smaller id."""
-    slim = docs.where(F.octet_length("text") >= MATCH).select("doc", F.md5(F.encode("text", "UTF-8")).alias("key"))
-    firsts = slim.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low <> high")
-    again = slim.join(firsts, "key").where("doc <> low")
-    return written(again.groupBy("doc").agg(F.collect_set("key").alias("copies")), "copies")
+    """(doc, tag): whole texts that stand in a document of smaller id."""
+    slim = docs.where(F.octet_length("text") >= MATCH).select("doc", "tag", F.md5(F.encode("text", "UTF-8")).alias("key"))
+    firsts = slim.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low <> high").select("key", "low")
+    return written(slim.join(firsts, "key").where("doc <> low").groupBy("doc", "tag").agg(F.lit(True).alias("copy")), "copies")
 
 
 def suspected_chunks(docs: DataFrame, names: DataFrame, copies: DataFrame) -> DataFrame:
     """Chunks of shared names, without bytes: (name, digest, left, right, doc, tag, start, windows)."""
-    told = docs.select("doc", "text").join(names.join(copies, "doc", "left"), "doc").select("doc", "text", "names", "copies")
+    told = docs.join(names.join(copies, ["doc", "tag"], "left_anti"), ["doc", "tag"]).select("doc", "text", "names", "tag")
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
-            docs_, texts, names_, copies_ = (batch.column(k) for k in range(4))
+            docs_, texts, names_, tags = (batch.column(k) for k in range(4))
             data = [text_bytes(t) for t in texts.to_pylist()]
-            keys = [hashlib.md5(d).hexdigest() for d in data]
-            tags = np.array([tag_of(k) for k in keys], np.int64)
-            data = [b"" if c and k in c else d for d, k, c in zip(data, keys, copies_.to_pylist())]
             own, start, run, name, digest, left, right = chunks_of(data, True)
             sizes = np.diff(names_.offsets.to_numpy())
             wanted = np.array(names_.values.to_numpy(zero_copy_only=False)[names_.offsets[0].as_py() : names_.offsets[-1].as_py()]).view(np.uint64)
@@ -322,19 +323,13 @@ def suspected_chunks(docs: DataFrame, names: DataFrame, copies: DataFrame) -> Da
             hit = np.isin(mixed(name + own.astype(np.uint64) * _odd[15]), mixed(wanted + who.astype(np.uint64) * _odd[15]))
             own, start, run, name, digest, left, right = (x[hit] for x in (own, start, run, name, digest, left, right))
             yield pa.RecordBatch.from_arrays(
-                [_signed(name), _signed(digest), _signed(left), _signed(right), docs_.take(pa.array(own)), pa.array(tags[own], pa.int64()), pa.array(start, pa.int64()), pa.array(run, pa.int32())],
+                [_signed(name), _signed(digest), _signed(left), _signed(right), docs_.take(pa.array(own)), tags.take(pa.array(own)), pa.array(start, pa.int64()), pa.array(run, pa.int32())],
                 names=["name", "digest", "left", "right", "doc", "tag", "start", "windows"],
             )
 
     return written(told.mapInArrow(chunks, "name long, digest long, left long, right long, doc long, tag long, start long, windows int"), "chunks")
 
 
-def release(df: DataFrame) -> None:
-    """Lets Spark's cleaner remove what steps shuffled whose results are tables by now."""
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
-
-
 PLACE = ("doc", "tag", "start", "windows")
 
 
@@ -343,11 +338,9 @@ def sorted_out(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     place = F.struct(*PLACE)
     classes = found.groupBy("name", "digest").agg(F.min(place).alias("first"), F.count("*").alias("n"), F.first("left").alias("left"), F.first("right").alias("right"))
     classes = written(classes, "classes")
-    release(found)
     many = classes.where("n > 1").select("name", "digest", F.col("first").alias("kept"))
     again = found.join(many, ["name", "digest"]).where((F.col("doc") != F.col("kept.doc")) | (F.col("start") != F.col("kept.start"))).select(*PLACE)
     again = written(again, "again")
-    release(found)
     sides = classes.select("name", "first.*", F.explode(F.array("left", "right")).alias("side")).where("side <> 0")
     common = sides.groupBy("side").agg(F.count("*").alias("n")).where("n > 1").select("side")
     edges = sides.join(common, "side").groupBy(*PLACE).agg(F.first("name").alias("name"))
@@ -356,20 +349,19 @@ def sorted_out(found: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def with_bytes(docs: DataFrame, edges: DataFrame) -> DataFrame:
     """``edges`` with the bytes of their windows."""
-    listed = edges.groupBy("doc").agg(F.collect_list(F.struct("name", "tag", "start", "windows")).alias("chunks"))
+    listed = edges.groupBy("doc", "tag").agg(F.collect_list(F.struct("name", "start", "windows")).alias("chunks"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
         for batch in sliced(batches):
             rows: list[tuple] = []
-            for doc, text, chunks in zip(*(batch.column(k).to_pylist() for k in range(3))):
+            for doc, tag, text, chunks in zip(*(batch.column(k).to_pylist() for k in range(4))):
                 data = text_bytes(text)
-                tag = tag_of(hashlib.md5(data).hexdigest())
-                rows += [(c["name"], doc, tag, c["start"], c["windows"], data[c["start"] : c["start"] + c["windows"] + MATCH - 1]) for c in chunks if c["tag"] == tag]
+                rows += [(c["name"], doc, tag, c["start"], c["windows"], data[c["start"] : c["start"] + c["windows"] + MATCH - 1]) for c in chunks]
             cols = zip(*rows) if rows else [[]] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["name", *PLACE, "bytes"])
 
-    return docs.select("doc", "text").join(listed, "doc").select("doc", "text", "chunks").mapInArrow(cut, "name long, doc long, tag long, start long, windows int, bytes binary")
+    return docs.join(listed, ["doc", "tag"]).select("doc", "tag", "text", "chunks").mapInArrow(cut, "name long, doc long, tag long, start long, windows int, bytes binary")
 
 
 def grouped_windows(chunks: DataFrame) -> DataFrame:
@@ -405,23 +397,18 @@ def compared(docs: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def repeat_windows(docs: DataFrame) -> DataFrame:
-    """(doc, lost, copies) for each document that loses bytes.
+    """(doc, tag, lost, copy) for each text that loses bytes.
 
-    ``docs`` has doc (long, not null) and text (not null). lost: stretches of
-    windows; copies: digests of whole texts that stand earlier. Each step is a
-    table in the shared folder, and what the step shuffled is released.
+    ``docs`` has doc (long, not null), tag (long, tells apart texts of one id) and
+    text (not null). lost: stretches of windows; copy: the whole text stands earlier.
+    Each step is a table in the shared folder, and what the step shuffled is released.
     """
 
     copies, names = whole_copies(docs), shared_names(docs)
-    release(docs)
-    found = suspected_chunks(docs, names, copies)
-    release(docs)
-    again, edges = sorted_out(found)
-    release(docs)
+    again, edges = sorted_out(suspected_chunks(docs, names, copies))
     stretches = compared(docs, edges)
-    release(docs)
-    lost = again.unionByName(stretches).groupBy("doc").agg(F.collect_list(F.struct("tag", "start", "windows")).alias("lost"))
-    return lost.join(copies, "doc", "full")
+    lost = again.unionByName(stretches).groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "windows")).alias("lost"))
+    return lost.join(copies, ["doc", "tag"], "full")
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -438,9 +425,9 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             cols: tuple[list, ...] = ([], [], [], [])
-            for text, lost, copies in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3))):
+            for text, lost, copy in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3))):
                 data = text_bytes(text)
-                gone = lost_bytes(data, lost, copies)
+                gone = lost_bytes(data, lost, copy)
                 kept = data if gone is None else np.frombuffer(data, np.uint8)[~gone].tobytes()
                 cols[0].append(len(data))
                 cols[1].append(len(data) - len(kept))
@@ -450,7 +437,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays(arrays, names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    out = rows.select("id", text_col, "pl_lost", "pl_copies").mapInArrow(cut, f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    out = rows.select("row.id", F.col("row").getField(text_col), "lost", "copy").toDF("id", "text", "lost", "copy").mapInArrow(cut, f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     return out.withColumnRenamed("id", id_col)
 
 
@@ -461,37 +448,35 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts stay null; texts that lose all bytes become empty.
     """
     rows = with_losses(docs, id_col, text_col)
-    place = docs.columns.index(text_col)
+    place, names = docs.columns.index(text_col), docs.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             cols = list(batch.columns)
-            copies, lost = cols.pop(), cols.pop()
+            copy, lost = cols.pop(), cols.pop()
             texts = cols[place].to_pylist()
-            for k, (text, spots, keys) in enumerate(zip(texts, lost.to_pylist(), copies.to_pylist())):
-                gone = lost_bytes(data := text_bytes(text), spots, keys)
+            for k, (text, spots, whole) in enumerate(zip(texts, lost.to_pylist(), copy.to_pylist())):
+                gone = lost_bytes(data := text_bytes(text), spots, whole)
                 if gone is not None:
                     texts[k] = np.frombuffer(data, np.uint8)[~gone].tobytes().decode("utf-8", "ignore")
             cols[place] = pa.array(texts, cols[place].type)
-            yield pa.RecordBatch.from_arrays(cols, names=batch.schema.names[:-2])
+            yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    return rows.select(*docs.columns, "pl_lost", "pl_copies").mapInArrow(cut, docs.schema)
+    plain = [f"c{k}" for k in range(len(docs.columns) + 2)]  # the columns' own names may clash with others
+    return rows.select("row.*", "lost", "copy").toDF(*plain).mapInArrow(cut, docs.schema)
 
 
 def with_losses(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``docs`` with what its rows lose: pl_lost (stretches of windows) and pl_copies (digests of whole texts)."""
-    doc = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
-    plain = docs.select(doc.alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    lost = repeat_windows(plain).toDF("pl_doc", "pl_lost", "pl_copies")
-    return docs.withColumn("pl_doc", doc).join(lost, "pl_doc", "left")
+    """(row, doc, tag, lost, copy): each row of ``docs`` as one struct, whatever its columns are called, with what it loses."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    doc = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("doc")
+    tag = F.conv(F.substring(F.md5(F.encode(text, "UTF-8")), 1, 15), 16, 10).cast("long").alias("tag")
+    lost = repeat_windows(docs.select(doc, tag, text.alias("text")))
+    return docs.select(F.struct(*docs.columns).alias("row"), doc, tag).join(lost, ["doc", "tag"], "left")
 
 
-def lost_bytes(data: bytes, lost: list | None, copies: list | None) -> np.ndarray | None:
+def lost_bytes(data: bytes, lost: list | None, copy: bool | None) -> np.ndarray | None:
     """Which bytes of a text go; None for none."""
-    if len(data) < MATCH or not (lost or copies):
-        return None
-    key = hashlib.md5(data).hexdigest()
-    if copies and key in copies:
+    if copy:
         return np.ones(len(data), bool)
-    spots = [(x["start"], x["windows"]) for x in lost or () if x["tag"] == tag_of(key)]
-    return removed_mask(len(data), [s for s, _ in spots], [w for _, w in spots]) if spots else None
+    return removed_mask(len(data), [x["start"] for x in lost], [x["windows"] for x in lost]) if lost else None

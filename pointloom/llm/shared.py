@@ -52,9 +52,19 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+_release = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written_at(df: DataFrame, path: str) -> DataFrame:
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Writes ``df`` and reads it again; what writing it shuffled is deleted when it stands."""
+    spark = df.sparkSession
+    before = spark.conf.get(_release, "false")
+    spark.conf.set(_release, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_release, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

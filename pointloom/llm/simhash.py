@@ -141,9 +141,9 @@ def block_lists(distance: int, blocks: int, agree: int) -> list[tuple[int, int]]
 
 
 def parts_of(mask: int, n: int) -> list[int]:
-    """``n`` masks that share the bits of ``mask`` among them, neighbours together."""
+    """``n`` masks that share the bits of ``mask`` among them in turn, so that each has some of any stretch in which rows differ."""
     bits = [k for k in range(64) if mask >> k & 1]
-    return [sum(1 << int(k) for k in part) for part in np.array_split(bits, n)]
+    return [sum(1 << k for k in bits[part::n]) for part in range(n)]
 
 
 def signed(mask: int) -> int:

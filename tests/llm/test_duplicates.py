@@ -83,6 +83,18 @@ def test_pigeonhole_lists_meet_all_close_pairs():
         assert any(a & m == b & m for m in masks)
 
 
+def test_one_bucket_of_many_fingerprints(spark):
+    rnd = random.Random(6)
+    base = 0x0123456789ABCDEF
+    prints = {base & 0xFFFFFFFFFFE00000 | rnd.getrandbits(21) for _ in range(20_000)}  # blocks 2 to 5 agree
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    links = simhash.near_links(spark.createDataFrame([(p,) for p in signed], "fp bigint")).collect()
+    x = np.array(sorted(prints), np.uint64)
+    y = x.view(np.int64).tolist()
+    pairs = [(y[k + i], y[j]) for k in range(0, len(x), 500) for i, j in zip(*(c.tolist() for c in np.nonzero(np.bitwise_count(x[k : k + 500, None] ^ x[None, :]) <= 4))) if k + i < j]
+    assert union([(r.a, r.b) for r in links], signed) == union(pairs, signed)
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(k, k + 1) for k in range(20, 60)] + [(100, k) for k in range(101, 140)] + [(139, 7), (5, 5)]
     got = dict(components(spark.createDataFrame(edges, "a bigint, b bigint"), "a", "b").collect())
@@ -134,14 +146,30 @@ def test_run_length_index_streams_exact_matches():
     rnd = random.Random(2)
     for _ in range(12):
         b = "".join(rnd.choice("ab") for _ in range(rnd.randint(30, 200))).encode() * rnd.randint(1, 3)
-        index = repeats.RunLengthIndex(np.frombuffer(b, np.uint8))
+        data = np.frombuffer(b, np.uint8)
         order = sorted(range(len(b)), key=lambda i: ((b[i:] + b"\xff" * 128)[:128], i))
-        assert list(index.order) == order
+        assert list(repeats.suffix_order(data)[0]) == order
+        index = repeats.RunLengthIndex(data)
+        before, match = index.streamed()
         for x, y in zip(order, order[1:]):
             n = 0
             while max(x, y) + n < len(b) and b[x + n] == b[y + n]:
                 n += 1
-            assert min(index.match[y], 100) == min(n, 100)
+            assert before[y] == x and match[y] == n
+        for least in (3, 20, 100):
+            number = index.intervals(least)
+            groups = {}
+            for k in range(len(b) - least + 1):
+                groups.setdefault(b[k : k + least], set()).add(int(number[k]))
+            assert all(len(g) == 1 for g in groups.values()) and len({min(g) for g in groups.values()}) == len(groups)
+
+
+def test_run_length_index_grows_with_runs_not_with_copies():
+    rnd = random.Random(3)
+    text = "".join(rnd.choice("abcdefgh ") for _ in range(2000)).encode()
+    once, often = (repeats.RunLengthIndex(np.frombuffer(text * k, np.uint8)) for k in (1, 100))
+    kept = lambda i: i.place.nbytes + i.before.nbytes + i.common.nbytes
+    assert set(vars(often)) == {"size", "place", "before", "common"} and kept(often) < 1.5 * kept(once)
 
 
 def test_duplicates_of_odd_rows(spark, docs):
@@ -151,6 +179,12 @@ def test_duplicates_of_odd_rows(spark, docs):
     text = "some words that are repeated here and there " * 5
     odd = spark.createDataFrame([(3, text, "", "", ""), (3, text, "", "", ""), (None, text, "", "", ""), (4, "other", "", "", "")], SCHEMA)
     found = sorted(((r.doc_id or -1), r.n_removed > 0) for r in repeats.deduplicated(odd).collect())
+    nameless = spark.createDataFrame([(None, f"text {k} of its own without an id " * 6, "", "", "") for k in range(40)] + [(7, "text 5 of its own without an id " * 6, "", "", "")], SCHEMA)
+    kept = repeats.deduplicated(nameless).collect()
+    assert {r.n_removed for r in kept if r.doc_id is None} == {plain_repeats([(0, "text 5 of its own without an id " * 6)])[0][1]}
+    assert all(r.n_removed == r.n_bytes for r in kept if r.doc_id == 7)
+    clash = spark.createDataFrame([(k, text, 5, 6, 7) for k in range(2)], "doc_id bigint, text string, doc int, tag int, lost int")
+    assert [(r.doc, r.tag, r.lost) for r in repeats.without_repeats(clash).collect()] == [(5, 6, 7)] * 2
     assert found[0][0] == -1 and [d for d, _ in found] == [-1, 3, 3, 4] and found[1][1] and found[2][1] and not found[3][1]
     assert len(simhash.near_duplicates(odd).collect()) == 4
 
