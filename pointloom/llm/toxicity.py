@@ -2,12 +2,16 @@
 
 Small transducers read word classes: insults, threats with a target, targets,
 negation, reported speech. Their composition is built lazily; it reads a clause
-and tags each insult with what stands around it. A document's score is a logistic
-function of the weights of its tagged matches, never of single words.
-
-Insult words and stems with their weights, and the logistic weights, are learned
-from labelled rows whose crc32(id as text) mod 5 is not 0: remainders 1 to 3 give
-the words, remainder 4 the logistic weights. Language, source and ids are no input.
+and says of what kind the clause is: a threat, an insult, one aimed at somebody, one
+that is denied, one that somebody else said. A document's score is a logistic function
+of the weights of its matched clauses by kind, never of single words.
+
+The grammar brings a weight for each kind: denied and reported clauses speak against a
+label. Labelled rows move these weights as far as they have evidence (a Gaussian prior
+around the grammar's own), and teach the words: insult words and stems, and those among
+them that stand beside a target so often that they are threats. Only rows whose crc32(id
+as text) mod 5 is not 0 are learned from: remainders 1 to 3 give the words, remainder 4
+the weights. Language, source and ids are no input.
 """
 
 from __future__ import annotations
@@ -25,8 +29,10 @@ from pyspark.sql import functions as F
 
 from pointloom.llm.shared import map_batches, sliced
 
-#: Labelled rows to learn from (those of smallest hash), words kept, a word's least documents and least log odds.
-SAMPLE, LEXICON, LEAST_DOCS, LEAST_ODDS = 24_000, 20_000, 3, 2.5
+#: Labelled rows to learn from (those of smallest hash), words kept, a word's least documents, log odds and evidence.
+#: Evidence is how much likelier, in nats, its documents' labels are under their own rate than under that of all documents: of
+#: 10,000 words that mean nothing, about one reaches it by chance.
+SAMPLE, LEXICON, LEAST_DOCS, LEAST_ODDS, LEAST_EVIDENCE = 24_000, 20_000, 3, 2.5, 9.2
 FOLDS = 5
 
 # Closed-class words of the grammar.
@@ -35,6 +41,7 @@ NEGATIONS = "not no never nobody isn't aren't don't nicht kein keine nie niemals
 REPORTS = "said says say claimed claims quoted quote reported wrote sagte sagt behauptet schrieb dit disait affirme écrit dijo dice afirma escribió".split()
 THREATS = "kill hurt destroy beat punch burn shoot stab töten schlagen vernichten umbringen tuer frapper détruire matar golpear destruir".split()
 NEGATION_REACH, TARGET_REACH = 3, 4
+_targets, _negations, _reports = map(frozenset, (TARGETS, NEGATIONS, REPORTS))
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
 _trim = re.compile(r"^[\W_]+|[\W_]+$")
@@ -58,12 +65,38 @@ def fields_of(text: str) -> list[str]:
     return fields
 
 
-def terms_of(text: str) -> set[str]:
-    """Words of a text, and their stems of 4 and 5 letters (marked by a star)."""
-    words = set(map(word_of, set(text.split()))) - {""}
+def with_stems(words: set[str]) -> set[str]:
+    words = words - {""}
     return words | {w[:5] + "*" for w in words if len(w) > 5} | {w[:4] + "*" for w in words if len(w) > 4}
 
 
+def terms_of(text: str) -> set[str]:
+    """Words that a text says itself, and their stems of 4 and 5 letters (marked by a star): not what it denies or reports."""
+    fields = fields_of(text)
+    words = list(map(word_of, fields))
+    if _negations.isdisjoint(words) and _reports.isdisjoint(words):
+        return with_stems(set(words))
+    own, denied, said = set(), 0, False
+    for word, field in zip(words, fields):
+        if not (denied or said):
+            own.add(word)
+        denied, said = NEGATION_REACH if word in _negations else max(0, denied - 1), said or word in _reports
+        if ends_clause(field):
+            denied, said = 0, False
+    return with_stems(own)
+
+
+def aimed_terms_of(text: str) -> set[str]:
+    """Terms that stand at most TARGET_REACH words from a target of their clause."""
+    words, clause = list(map(word_of, fields := fields_of(text))), 0
+    clauses = [clause := clause + (k > 0 and ends_clause(fields[k - 1])) for k in range(len(fields))]
+    found = set()
+    for k in [k for k, w in enumerate(words) if w in _targets]:
+        near = range(max(0, k - TARGET_REACH), min(len(words), k + TARGET_REACH + 1))
+        found |= {words[i] for i in near if i != k and clauses[i] == clauses[k]}
+    return with_stems(found - _targets)
+
+
 class Transducer:
     """A step function over (state, word class) with its outputs as a set of tags."""
 
@@ -117,36 +150,38 @@ class Grammar:
         return got
 
 
-#: What a document's score is made of.
-FEATURES = ("plain", "targeted", "negated", "reported", "threat", "strongest clause", "words matched")
+#: What a document's score is made of: matched clauses by kind, the strongest one, and their number; the grammar's own weights of these, then the constant.
+FEATURES = ("plain", "targeted", "negated", "reported", "threat", "strongest clause", "clauses matched")
+WEIGHTS = (1.0, 1.2, -0.4, -0.3, 1.5, 0.4, 0.0, -3.0)
+PLAIN, AIMED, DENIED, SAID, THREATENED = range(5)
 
 
 class ClauseScorer:
-    """Features of whole texts, by the grammar over a lexicon of weights."""
+    """Features of whole texts, by the grammar over a lexicon of weights; words of ``threats`` threaten whoever they stand beside."""
 
-    def __init__(self, lexicon: dict[str, float]):
-        self.lexicon, self.grammar = lexicon, Grammar()
+    def __init__(self, lexicon: dict[str, float], threats: frozenset[str] = frozenset()):
+        self.lexicon, self.threats, self.grammar = lexicon, threats, Grammar()
         closed = ((TARGETS, TARGET), (NEGATIONS, NEGATION), (REPORTS, REPORT), (THREATS, THREAT))
         self.closed = {w: k for words, k in closed for w in words}
         self.known: dict[str, int] = {}
-        self.kinds: list[tuple[int, float, bool, str]] = [(OTHER, 0.0, False, ""), (OTHER, 0.0, True, "")]
+        self.kinds: list[tuple[int, float, bool]] = [(OTHER, 0.0, False), (OTHER, 0.0, True)]
         self.numbers = {k: n for n, k in enumerate(self.kinds)}
         self.hot: set[int] = set()
 
     def kind(self, field: str) -> int:
-        """Number of a field's (class, weight, whether it ends its clause, word)."""
-        word, weight = word_of(field), 0.0
+        """Number of a field's (class, weight, whether it ends its clause)."""
+        word, weight, what = word_of(field), 0.0, OTHER
         for term in (word, word[:5] + "*", word[:4] + "*"):
             weight = self.lexicon.get(term, 0.0)
             if weight:
+                what = THREAT if term in self.threats else INSULT
                 break
-        what = INSULT if weight else self.closed.get(word, OTHER)
-        found = (what, weight, ends_clause(field), word if weight else "")
+        found = (what if weight else self.closed.get(word, OTHER), weight, ends_clause(field))
         n = self.numbers.get(found)
         if n is None:
             n = self.numbers[found] = len(self.kinds)
             self.kinds.append(found)
-            if what in (INSULT, THREAT):
+            if found[0] in (INSULT, THREAT):
                 self.hot.add(n)
         if len(self.known) > 300_000:
             self.known.clear()
@@ -154,44 +189,55 @@ class ClauseScorer:
             self.known[field] = n
         return n
 
-    def features(self, text: str) -> list[float]:
+    def clauses(self, text: str) -> list[tuple[int, float]]:
+        """(kind, weight) of each clause that the grammar matches."""
         fields = fields_of(text)
         codes = list(map(self.known.get, fields))
         if None in codes:
             codes = [self.kind(f) if c is None else c for c, f in zip(codes, fields)]
-        out = [0.0] * len(FEATURES)
         if self.hot.isdisjoint(codes):
-            return out
+            return []
         kinds, read, hot, n = self.kinds, self.grammar.read, self.hot, len(codes)
-        words, done = set(), 0
+        out, done = [], 0
         for i, c in enumerate(codes):
             if c not in hot or i < done:
                 continue
             a = i
             while a > done and not kinds[codes[a - 1]][2]:
                 a -= 1
-            state, clause, at = 0, 0.0, a
+            state, weight, at, ways, threat = 0, 0.0, a, set(), False
             while at < n:
-                what, weight, end, word = kinds[codes[at]]
+                what, own, end = kinds[codes[at]]
                 state, tags = read(state, what)
                 if "insult" in tags:
-                    words.add(word)
-                    clause += weight
-                    out[2 if "negated" in tags else 3 if "reported" in tags else 1 if "targeted" in tags else 0] += weight
+                    weight += own
+                    ways.add(DENIED if "negated" in tags else SAID if "reported" in tags else AIMED if "targeted" in tags else PLAIN)
+                elif what == THREAT:
+                    weight += own
                 if "threat" in tags:
-                    out[4] += 1
+                    threat = True
+                    ways.add(DENIED if "negated" in tags else SAID if "reported" in tags else THREATENED)
                 at += 1
                 if end:
                     break
-            out[5] = max(out[5], clause)
+            if ways:  # what is neither denied nor reported counts
+                out.append((max(ways - {DENIED, SAID}, default=None) if ways - {DENIED, SAID} else min(ways), max(weight, 1.0) if threat else weight))
             done = at
-        out[6] = len(words)
+        return out
+
+    def features(self, text: str) -> list[float]:
+        out = [0.0] * len(FEATURES)
+        for kind, weight in self.clauses(text):
+            out[kind] += weight
+            out[5] = max(out[5], weight if kind not in (DENIED, SAID) else 0.0)
+            out[6] += 1
         return [math.log1p(v) for v in out]
 
 
 @dataclass
 class ToxicityModel:
     lexicon: dict[str, float]
+    threats: frozenset[str]
     weights: list[float]  # of FEATURES, then the constant
 
     def score(self, features: np.ndarray) -> np.ndarray:
@@ -202,29 +248,17 @@ def remainder(id_col: Column) -> Column:
     return F.crc32(id_col.cast("string").cast("binary")) % FOLDS
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.3) -> list[float]:
-    """Ridge logistic regression by Newton steps with weights of at least 0; the constant comes last.
-
-    A match never speaks for a clean document, so features that would are left out and the rest is fitted again.
-    """
-    used = list(range(x.shape[1]))
-    while True:
-        part = np.hstack([x[:, used], np.ones((len(x), 1))])
-        w, pull = np.zeros(len(used) + 1), np.full(len(used) + 1, ridge)
-        pull[-1] = 1e-6
-        for _ in range(60):
-            p = 1 / (1 + np.exp(-np.clip(part @ w, -30, 30)))
-            step = np.linalg.solve((part * (p * (1 - p))[:, None]).T @ part + np.diag(pull + 1e-9), part.T @ (p - y) + pull * w)
-            w -= np.clip(step, -2, 2)
-            if np.abs(step).max() < 1e-8:
-                break
-        wrong = [k for k, v in zip(used, w) if v < 0]
-        if not wrong:
+def logistic(x: np.ndarray, y: np.ndarray, prior: tuple[float, ...] = WEIGHTS, pull: float = 1.0) -> list[float]:
+    """Logistic regression by Newton steps; a Gaussian prior of precision ``pull`` holds each weight to the grammar's own. The constant, hardly held, comes last."""
+    part, mean = np.hstack([x, np.ones((len(x), 1))]), np.array(prior)
+    w, hold = mean.copy(), np.append(np.full(x.shape[1], pull), 0.01)
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-np.clip(part @ w, -30, 30)))
+        step = np.linalg.solve((part * (p * (1 - p))[:, None]).T @ part + np.diag(hold), part.T @ (p - y) + hold * (w - mean))
+        w -= np.clip(step, -2, 2)
+        if np.abs(step).max() < 1e-8:
             break
-        used = [k for k in used if k not in wrong]
-    out = np.zeros(x.shape[1] + 1)
-    out[used], out[-1] = w[:-1], w[-1]
-    return out.tolist()
+    return w.tolist()
 
 
 def with_text(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -278,26 +312,28 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
-            seen: tuple[Counter, Counter] = (Counter(), Counter())
+            seen: tuple[Counter, Counter, Counter] = (Counter(), Counter(), Counter())
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 seen[bool(toxic)].update(terms_of(text))
-            terms = list(seen[1])  # a term of no toxic document can't get in
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(terms, pa.string()), pa.array([seen[1][t] for t in terms], pa.int64()), pa.array([seen[0][t] for t in terms], pa.int64())],
-                names=["term", "toxic", "clean"],
-            )
-            rest = [t for t in seen[0] if t not in seen[1]]
-            yield pa.RecordBatch.from_arrays([pa.array(rest, pa.string()), pa.array([0] * len(rest), pa.int64()), pa.array([seen[0][t] for t in rest], pa.int64())], names=["term", "toxic", "clean"])
+                if toxic:
+                    seen[2].update(aimed_terms_of(text))
+            terms = list(seen[0].keys() | seen[1].keys())
+            yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string())] + [pa.array([seen[k][t] for t in terms], pa.int64()) for k in (1, 0, 2)], names=["term", "toxic", "clean", "aimed"])
 
     n = Counter((toxic, fold < 4) for _, toxic, fold in rows)
     toxic_docs, clean_docs = n[1, True], n[0, True]
-    counted = known.where("fold < 4").select("text", "toxic").mapInArrow(count, "term string, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    odds = F.log((F.col("toxic") + 0.5) / (toxic_docs + 1.0)) - F.log((F.col("clean") + 0.5) / (clean_docs + 1.0))
-    best = counted.where(F.col("toxic") >= LEAST_DOCS).withColumn("odds", odds).where(F.col("odds") >= LEAST_ODDS).orderBy(F.desc("odds"), "term").limit(LEXICON)
-    lexicon = {r.term: float(r.odds) for r in best.collect()} if toxic_docs and clean_docs else {}
+    counted = known.where("fold < 4").select("text", "toxic").mapInArrow(count, "term string, toxic long, clean long, aimed long")
+    counted = counted.groupBy("term").agg(*[F.sum(c).alias(c) for c in ("toxic", "clean", "aimed")])
+    t, c, base = F.col("toxic"), F.col("clean"), (toxic_docs + 0.5) / (toxic_docs + clean_docs + 1.0)
+    odds = F.log((t + 0.5) / (toxic_docs + 1.0)) - F.log((c + 0.5) / (clean_docs + 1.0))
+    evidence = t * F.log(t / (t + c) / base) + F.when(c > 0, c * F.log(c / (t + c) / (1 - base))).otherwise(0.0)
+    fit_for = counted.where(t >= LEAST_DOCS).withColumns({"odds": odds, "evidence": evidence}).where((F.col("odds") >= LEAST_ODDS) & (F.col("evidence") >= LEAST_EVIDENCE))
+    best = fit_for.orderBy(F.desc("odds"), "term").limit(LEXICON).collect() if toxic_docs and clean_docs else []
+    lexicon = {r.term: float(r.odds) for r in best}
+    threats = frozenset(r.term for r in best if 2 * r.aimed >= r.toxic)
 
     def describe():
-        scorer = ClauseScorer(lexicon)
+        scorer = ClauseScorer(lexicon, threats)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([scorer.features(t) for t in batch.column(0).to_pylist()], pa.list_(pa.float64())), batch.column(1)], names=["x", "toxic"])
@@ -307,8 +343,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     held = map_batches(known.where("fold = 4").select("text", "toxic"), describe, "x array<double>, toxic int").collect()
     y = np.array([r.toxic for r in held], float)
     if not held or y.min() == y.max():
-        return ToxicityModel(lexicon, [1.0] * 4 + [1.0, 1.0, 1.0, -4.0])
-    return ToxicityModel(lexicon, logistic(np.array([r.x for r in held]), y))
+        return ToxicityModel(lexicon, threats, list(WEIGHTS))
+    return ToxicityModel(lexicon, threats, logistic(np.array([r.x for r in held]), y))
 
 
 def scored(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -319,7 +355,7 @@ def scored(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_c
     """
 
     def make():
-        scorer = ClauseScorer(model.lexicon)
+        scorer = ClauseScorer(model.lexicon, model.threats)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             x = np.array([scorer.features(t or "") for t in batch.column(1).to_pylist()]).reshape(-1, len(FEATURES))
@@ -339,7 +375,7 @@ def without_toxic(docs: DataFrame, model: ToxicityModel, text_col: str = "text")
     """The rows of ``docs``, all columns, whose text scores below 0.5."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = ClauseScorer(model.lexicon)
+        scorer = ClauseScorer(model.lexicon, model.threats)
         for batch in sliced(batches):
             texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
             x = np.array([scorer.features(t or "") for t in texts]).reshape(-1, len(FEATURES))

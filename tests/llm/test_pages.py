@@ -48,10 +48,78 @@ def test_grammar_scores_clauses():
     assert f("nothing here") == dict.fromkeys(toxicity.FEATURES, 0.0)
     assert f("what a moron.")["plain"] == 2.0
     assert f("you are a moron.")["targeted"] == 2.0
-    assert f("not a moron.")["negated"] == 2.0
+    assert f("not a moron.")["negated"] == 2.0 and f("not a moron.")["strongest clause"] == 0.0
     assert f("she said he was a moron. zerofoo")["reported"] == 2.0 and f("she said he was a moron. zerofoo")["plain"] == 1.5
-    assert f("i will kill you")["threat"] == 1.0
-    assert f("moron moron, zeroa.")["strongest clause"] == 5.5
+    assert f("i will kill you")["threat"] == 1.0 and f("he said i will kill you")["reported"] == 1.0
+    assert f("moron moron, zeroa.")["strongest clause"] == 5.5 and f("moron moron, zeroa. moron")["clauses matched"] == 2.0
+    score = lambda t: float(toxicity.ToxicityModel({}, frozenset(), list(toxicity.WEIGHTS)).score(np.array([scorer.features(t)]))[0])
+    assert score("not a moron.") < score("nothing here") < score("what a moron.") < score("you are a moron.")
+    assert score("she said he was a moron.") < score("nothing here") < score("i will kill you")
+
+
+def plain_clauses(text, lexicon, threats):
+    """The grammar's meaning, word by word: what stands how far from what within a clause."""
+    import re
+
+    closed = {w: k for ws, k in ((toxicity.TARGETS, "target"), (toxicity.NEGATIONS, "negation"), (toxicity.REPORTS, "report"), (toxicity.THREATS, "threat")) for w in ws}
+    out = []
+    for clause in re.split(r"(?<=[.!?;:])\s+|\n", " ".join(text.split(" "))):
+        words = [re.sub(r"^[\W_]+|[\W_]+$", "", w.lower()) for w in clause.split()]
+        known = [next(((lexicon[t], t) for t in (w, w[:5] + "*", w[:4] + "*") if t in lexicon), None) for w in words]
+        what = [("threat" if k[1] in threats else "insult") if k else closed.get(w, "") for k, w in zip(known, words)]
+        near = lambda i, kind, far: any(what[j] == kind for j in range(max(0, i - far), i))
+        ways, weight, threat = set(), 0.0, False
+        for i, k in enumerate(what):
+            hit = (k == "threat" and near(i, "target", 4 - 1)) or (k == "target" and near(i, "threat", 4 - 1))
+            weight += known[i][0] if known[i] else 0.0
+            denied, said, aimed = near(i, "negation", 3), any(w == "report" for w in what[:i]), near(i, "target", 4)
+            if k == "insult":
+                ways.add(2 if denied else 3 if said else 1 if aimed else 0)
+            if hit:
+                threat = True
+                ways.add(2 if denied else 3 if said else 4)
+        if ways:
+            out.append((max(ways - {2, 3}) if ways - {2, 3} else min(ways), max(weight, 1.0) if threat else weight))
+    return out
+
+
+def test_clauses_against_brute_force():
+    rnd = random.Random(8)
+    lexicon, threats = {"moron": 2.0, "zero*": 1.5, "smash": 3.0}, frozenset(["smash"])
+    words = ["moron", "zerofoo", "smash", "kill", "you", "du", "not", "never", "said", "sagte", "the", "a", "of", "is", "very", "Moron,", "'you'"]
+    scorer, found = toxicity.ClauseScorer(lexicon, threats), 0
+    for _ in range(3000):
+        text = "".join(rnd.choice(words) + rnd.choice(["", "", "", "", ".", "!", ";"]) + rnd.choice([" ", " ", " ", "\n"]) for _ in range(rnd.randint(0, 25)))
+        want = plain_clauses(text, lexicon, threats)
+        assert scorer.clauses(text) == want, text
+        found += len(want)
+    assert found > 5000
+
+
+def test_the_grammar_learns_what_words_alone_cannot(spark):
+    rnd = random.Random(11)
+    fill = lambda n: " ".join(f"w{rnd.randrange(40)}" for _ in range(n))
+    rows = []
+    for k in range(1500):
+        kind = k % 5
+        insult = rnd.choice(["moron", "idiot", "scum"])
+        toxic = {0: f"you {insult}", 1: f"what {insult} he is", 2: f"i will smash you {rnd.choice('xyz')}"}
+        clean = {3: f"she said that {insult} again", 4: f"he is not a {insult}"}
+        rows.append((k, f"{fill(rnd.randint(3, 20))}. {(toxic | clean)[kind]}. {fill(5)}", int(kind < 3)))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    model = toxicity.fit(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+    assert "smash" in model.threats and {"moron", "idiot", "scum"} <= set(model.lexicon)
+    got = {r.doc_id: r for r in toxicity.scored(df, model).collect()}
+    held = [(got[k].predicted, y) for k, _, y in rows if got[k].held_out]
+    assert len(held) > 250 and np.mean([p == y for p, y in held]) > 0.95
+    words = {k: sum(w.strip(".") in model.lexicon for w in t.split()) > 0 for k, t, _ in rows}
+    assert np.mean([words[k] == y for k, _, y in rows if got[k].held_out]) < 0.75  # the words alone
+
+
+def test_toxicity_of_a_very_long_text():
+    scorer = toxicity.ClauseScorer({"moron": 2.0})
+    text = "some words without an end of the clause " * 50_000 + "moron. " + "and more words. " * 50_000
+    assert scorer.clauses(text) == [(0, 2.0)]
 
 
 @pytest.mark.parametrize("segment,chunk", [(32_768, 8192), (150, 40), (100, 7)])
@@ -285,3 +353,4 @@ def test_any_white_space_parts_words():
     assert f("you \r\n moron")["plain"] == 2.0 and f("not you\n\nmoron")["plain"] == 2.0
     assert f(" \n ")["plain"] == 0.0
     assert toxicity.terms_of("what\na\tmoron\n") == {"what", "a", "moron", "moro*"}
+    assert toxicity.terms_of("he is not a moron. she said scum") == {"he", "is", "not", "she", "said"}
