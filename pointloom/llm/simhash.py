@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from pointloom.llm.blocks import BLOCK_ROWS, group_bounds, in_block_pairs, whole_groups
 from pointloom.llm.shared import components, map_batches, written
@@ -56,32 +56,18 @@ def fingerprint(text: str | None, words: int = 4) -> int:
     return int(np.packbits(bits, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4) -> DataFrame:
-    """(id, fp): fp is the fingerprint as a signed long; one scan, no shuffle."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(id, fp, and the columns ``keep``): fp is the fingerprint as a signed long; one scan, no shuffle."""
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             fps = np.array([fingerprint(t, words) for t in batch.column(1).to_pylist()], dtype=np.uint64).view(np.int64)
-            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], names=[id_col, "fp"])
+            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64()), *batch.columns[2:]], names=[id_col, "fp", *keep])
 
         return step
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return map_batches(docs.select(id_col, text_col), make, f"`{id_col}` {kind}, fp long")
-
-
-def with_fingerprints(docs: DataFrame, text_col: str = "text", words: int = 4) -> DataFrame:
-    """``docs``, all columns, and ``fingerprint`` as ``near_duplicates`` gives it; one scan, no shuffle."""
-    at = docs.columns.index(text_col)
-
-    def make():
-        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = pa.array([f"{fingerprint(t, words):016x}" for t in batch.column(at).to_pylist()], pa.string())
-            return pa.RecordBatch.from_arrays([*batch.columns, found], names=[*batch.schema.names, "fingerprint"])
-
-        return step
-
-    return map_batches(docs, make, StructType([*docs.schema.fields, StructField("fingerprint", StringType())]))
+    schema = StructType([docs.schema[id_col], StructField("fp", LongType()), *[docs.schema[c] for c in keep]])
+    return map_batches(docs.select(id_col, text_col, *keep), make, schema)
 
 
 def spanning(near: np.ndarray) -> np.ndarray:
@@ -171,8 +157,8 @@ def near_links(fps: DataFrame, distance: int = 4, extra: int = 2) -> DataFrame:
     return dealt.repartition(*GROUP).sortWithinPartitions(*GROUP).mapInArrow(group_links(distance), "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, distance: int = 4) -> DataFrame:
-    """(id, fingerprint, component_id) of each row.
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, distance: int = 4, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(id, fingerprint, component_id, and the columns ``keep``) of each row.
 
     component_id is the smallest id reachable over links of at most ``distance``
     differing bits. Null and empty texts and those of white space have fingerprint
@@ -180,7 +166,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     id get a component of null where they link with no other. An empty table
     gives no rows; other columns are not read.
     """
-    prints = written(fingerprints(docs, id_col, text_col, words), "prints")
+    prints = written(fingerprints(docs, id_col, text_col, words, keep), "prints")
     classes = written(prints.groupBy("fp").agg(F.min(id_col).alias("low")), "classes")
     links = near_links(classes.select("fp"), distance)
     roots = components(links, "a", "b", "fp", "root")
@@ -188,5 +174,5 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     lowest = member.groupBy("root").agg(F.min("low").alias("component_id"))
     named = written(member.join(lowest, "root").select("fp", "component_id"), "classes")
     return prints.join(named, "fp").select(
-        id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+        id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", *keep
     )

@@ -57,13 +57,14 @@ def with_revisits(pages: DataFrame, id_col: str, body_col: str, least: int = REV
 
 def record_text(held: DataFrame, id_col: str, uri_col: str | None, segment: int, chunk: int) -> DataFrame:
     """One row per WARC record: ``value`` is its header and block, without the closing blank line."""
-    framed = cut("body", chunk, f"concat(encode(concat(hex(octet_length({{p}})), '{CRLF}'), 'UTF-8'), {{p}}, encode('{CRLF}', 'UTF-8'))")
+    # chunks are cast to text byte by byte, so that one join lays them end to end
+    framed = cut("body", chunk, f"concat(hex(octet_length({{p}})), '{CRLF}', cast({{p}} as string), '{CRLF}')")
     head = f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Transfer-Encoding: chunked{CRLF}{CRLF}"
     uri = F.regexp_replace(F.coalesce(F.col(uri_col).cast("string"), F.lit("")), r"[\r\n]+", " ") if uri_col else F.lit("")
     block = F.when(F.col("refers_to").isNotNull(), F.encode(F.lit(head), "UTF-8")).otherwise(
         F.concat(
             F.encode(F.lit(head), "UTF-8"),
-            F.when(F.col("payload_bytes") > 0, F.aggregate("chunks", F.encode(F.lit(""), "UTF-8"), lambda a, c: F.concat(a, c))).otherwise(F.encode(F.lit(""), "UTF-8")),
+            F.when(F.col("payload_bytes") > 0, F.array_join("chunks", "").cast("binary")).otherwise(F.encode(F.lit(""), "UTF-8")),
             F.encode(F.lit(f"0{CRLF}{CRLF}"), "UTF-8"),
         )
     )

@@ -140,6 +140,12 @@ def test_warc_round_trip(spark, segment, chunk):
     assert warc.archived(df.limit(0)).count() == 0
 
 
+def test_a_very_long_payload(spark):
+    text = "é漢x" * 1_500_000
+    got = warc.archived(spark.createDataFrame([(1, text, "u"), (2, text, "u"), (3, "y", "u")], "page_id bigint, html string, url string")).collect()
+    assert {(r.page_id, r.payload_bytes, r.refers_to) for r in got} == {(1, 9_000_000, 2), (2, 9_000_000, None), (3, 1, None)}
+
+
 def test_segments_that_are_missing_raise(spark):
     with pytest.raises(ValueError):
         list(warc.records_of(io.BytesIO(b"WARC/1.1\r\nContent-Length: 5\r\n\r\nabc\r\n\r\n")))
