@@ -21,15 +21,23 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each group of linked fingerprints; one row of it where the row repeats.
+    """The document of smallest id of each group of linked fingerprints; one row of it where the row repeats, the first in the order of its columns.
 
     Each text of an id is judged by its own fingerprint. Rows without an id stay, all of them.
+    Decisions go by id and a hash of the text, so texts are read twice but hashed into fingerprints once.
     """
-    found = simhash.near_duplicates(docs)
-    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "fingerprint").distinct()
-    kept = simhash.with_fingerprints(docs).join(gone, ["doc_id", "fingerprint"], "left_anti")
-    own = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
-    return kept.withColumn("own", own).dropDuplicates(["doc_id", "text", "own"]).select(docs.columns)
+    mark = "text_hash"
+    while mark in docs.columns:
+        mark += "_"
+    marked = docs.withColumn(mark, F.xxhash64("text"))
+    found = simhash.near_duplicates(marked, keep=(mark,))
+    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", mark).distinct()
+    again = marked.where("doc_id is not null").groupBy("doc_id", mark).count().where("count > 1").select("doc_id", mark)
+    kept = marked.join(gone, ["doc_id", mark], "left_anti")
+    once = kept.join(again, ["doc_id", mark], "left_anti").select(docs.columns)
+    row = F.min(F.struct("text", *[c for c in docs.columns if c != "text"])).alias("row")
+    several = kept.join(again, ["doc_id", mark], "left_semi").groupBy("doc_id", mark).agg(row).select("row.*").select(docs.columns)
+    return once.unionByName(several)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
