@@ -83,12 +83,12 @@ def scaled_intrinsics(k: Sequence[float], old: tuple[int, int], new: tuple[int,
 def camera_coordinate(df: DataFrame, coefficients: DataFrame, zones: int = 24) -> DataFrame:
     """FN7: cell of (slot, pixel), its zone's polynomials, evaluated to (cx, cy).
 
-    ``coefficients`` has a row per zone with arrays a and b of 8; at most ``zones`` rows, so it is broadcast.
+    ``coefficients`` has a row per zone with arrays a and b of 8.
     """
     cell = df.withColumn("cell", F.col("slot") * 64 + F.col("pixel")).withColumn("zone", (F.col("cell") % zones).cast("bigint"))
     p = F.col("cell") / 1000.0
     poly = lambda c: F.aggregate(F.reverse(F.col(c)), F.lit(0.0), lambda acc, k: acc * p + k)
-    return cell.join(F.broadcast(coefficients.limit(zones)), "zone", "left").withColumns({"cx": poly("a"), "cy": poly("b")}).drop("a", "b")
+    return cell.join(coefficients, "zone", "left").withColumns({"cx": poly("a"), "cy": poly("b")}).drop("a", "b")
 
 
 def rotation_zyx(roll: str, pitch: str, yaw: str) -> list[Column]:

@@ -1,12 +1,13 @@
 """Detections and their masks: filters, overlaps, suppression, clusters, composition.
 
 A mask is a set of runs (image, v, u0, u1): columns u0 to u1 - 1 of row v. Overlaps
-are joins of runs; only the greedy choices among detections of one image, which
+are counted band by band of an image; only the greedy choices among detections of one image, which
 depend on what was chosen before, run as grouped pandas functions on pair lists.
 """
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,7 +34,7 @@ def rule_table(like: DataFrame, geometry: dict = GEOMETRY, sizes: dict = SIZES)
 def audited(detections: DataFrame, rules: DataFrame, x: str = "bx", y: str = "by", w: str = "bw", h: str = "bh") -> DataFrame:
     """FLT2 to FLT4: ``reject_filter`` and ``reject_reason`` of each detection, geometry first; both null for kept ones."""
     m = box_metrics(x, y, w, h)
-    df = detections.withColumns(m).join(F.broadcast(rules), "label", "left")
+    df = detections.withColumns(m).join(rules, "label", "left")
     c = F.col
     geometry = F.when(c("bottom").isNull(), "invalid_box").when(c("bottom") < c("min_bottom"), "bottom_low").when(c("bottom") > c("max_bottom"), "bottom_high").when(c("aspect") < c("min_aspect"), "aspect_low").when(c("aspect") > c("max_aspect"), "aspect_high")
     size = F.when(c("bottom").isNull(), "invalid_box").when(c(w) > c("max_w"), "width").when(c(h) > c("max_h"), "height").when(c("area") > c("max_area"), "area")
@@ -44,7 +45,7 @@ def audited(detections: DataFrame, rules: DataFrame, x: str = "bx", y: str = "by
 
 def above_threshold(detections: DataFrame, thresholds: DataFrame, default: float) -> DataFrame:
     """FLT5: scores from the label's threshold on, or the common one."""
-    joined = detections.join(F.broadcast(thresholds), "label", "left")
+    joined = detections.join(thresholds, "label", "left")
     return joined.where(F.round("score", 6) >= F.coalesce("threshold", F.lit(default))).drop("threshold")
 
 
@@ -60,18 +61,46 @@ def areas(masks: DataFrame) -> DataFrame:
     return masks.groupBy("image_id", "det_id").agg(F.sum(F.col("u1") - F.col("u0")).alias("area"))
 
 
-def overlaps(masks: DataFrame, boxes: DataFrame | None = None) -> DataFrame:
+#: Rows of an image that meet in one task.
+BAND = 256
+
+
+def overlaps(masks: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """JOI10: intersection, IoU, containment and overlap coefficient of detections of one image that meet.
 
-    Rows of runs meet by (image, v); the interval test keeps pairs that share pixels.
+    An image is cut into bands of rows. In a band the ends of all runs cut each row into
+    stretches that a detection covers whole or not at all; a product of that table with
+    itself counts the pixels of every pair at once. Sums over the bands are the result.
+    With ``labels`` (image_id, det_id, label) only detections of one label are paired.
     """
-    a = masks.select("image_id", "v", F.col("det_id").alias("a"), F.col("u0").alias("a0"), F.col("u1").alias("a1"))
-    b = masks.select("image_id", "v", F.col("det_id").alias("b"), F.col("u0").alias("b0"), F.col("u1").alias("b1"))
-    met = a.join(b, ["image_id", "v"]).where((F.col("a") < F.col("b")) & (F.col("a0") < F.col("b1")) & (F.col("b0") < F.col("a1")))
-    shared = met.groupBy("image_id", "a", "b").agg(F.sum(F.least("a1", "b1") - F.greatest("a0", "b0")).alias("intersection"))
-    size = areas(masks)
-    for side in "ab":
-        shared = shared.join(size.select("image_id", F.col("det_id").alias(side), F.col("area").alias(f"area_{side}")), ["image_id", side])
+    size = F.sum(F.col("u1") - F.col("u0")).over(Window.partitionBy("image_id", "det_id")).alias("area")
+    known = masks.select("image_id", "det_id", "v", "u0", "u1", size)
+    keys = ["image_id", "band"]
+    if labels is not None:
+        known, keys = known.join(labels.select("image_id", "det_id", "label"), ["image_id", "det_id"]), [*keys, "label"]
+
+    def pairs(group: pd.DataFrame) -> pd.DataFrame:
+        det, who = np.unique(group["det_id"].to_numpy(), return_inverse=True)
+        area = np.zeros(len(det), np.int64)
+        area[who] = group["area"].to_numpy()
+        v, u0, u1 = (group[c].to_numpy() for c in ("v", "u0", "u1"))
+        low = u0.min()
+        row = (v - v.min()) * (u1.max() - low + 1) - low  # places of a row follow those of the one above
+        edges = np.unique(np.concatenate([row + u0, row + u1]))
+        first, last = np.searchsorted(edges, row + u0), np.searchsorted(edges, row + u1)
+        n = last - first
+        at = np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        both = np.zeros((len(det), len(det)))
+        for begin in range(0, len(edges) - 1, 4096):
+            part = np.flatnonzero((at >= begin) & (at < begin + 4096))
+            held = np.zeros((len(det), min(4096, len(edges) - 1 - begin)), np.float32)
+            held[np.repeat(who, n)[part], at[part] - begin] = 1
+            both += (held * np.diff(edges[begin : begin + held.shape[1] + 1])) @ held.T
+        a, b = np.nonzero(np.triu(both, 1))
+        return pd.DataFrame({"image_id": group["image_id"].iloc[0], "a": det[a], "b": det[b], "intersection": both[a, b].astype(np.int64), "area_a": area[a], "area_b": area[b]})
+
+    met = known.withColumn("band", F.floor(F.col("v") / BAND)).groupBy(*keys).applyInPandas(pairs, "image_id bigint, a bigint, b bigint, intersection bigint, area_a bigint, area_b bigint")
+    shared = met.groupBy("image_id", "a", "b", "area_a", "area_b").agg(F.sum("intersection").alias("intersection"))
     i, x, y = F.col("intersection"), F.col("area_a"), F.col("area_b")
     return shared.withColumns({"iou": i / (x + y - i), "containment": F.greatest(i / x, i / y), "overlap": i / F.least(x, y)})
 
@@ -113,11 +142,13 @@ def clusters(detections: DataFrame, pairs: DataFrame, iou: float = 0.55, contain
     return listed.groupBy("image_id").applyInPandas(assign, "image_id bigint, det_id bigint, cluster_id bigint")
 
 
-def composed(masks: DataFrame, detections: DataFrame, dominant: tuple = DOMINANT) -> DataFrame:
-    """DOM18 without an area limit: per pixel a fold over its detections by falling score.
+def composed(masks: DataFrame, detections: DataFrame, dominant: tuple = DOMINANT, least: int = 0) -> DataFrame:
+    """DOM18: per pixel a fold over its detections by falling score; those of fewer than ``least`` pixels take no part.
 
     A detection paints where its score is higher, or its label dominates the present one, and isn't dominated by it.
     """
+    if least > 0:
+        masks = masks.withColumn("area", F.sum(F.col("u1") - F.col("u0")).over(Window.partitionBy("image_id", "det_id"))).where(F.col("area") >= least).drop("area")
     pixels = masks.join(detections.select("image_id", "det_id", "label", "score"), ["image_id", "det_id"]).select(
         "image_id", "v", F.explode(F.sequence("u0", F.col("u1") - 1)).alias("u"), F.struct((-F.col("score")).alias("neg"), "det_id", "label", "score").alias("item")
     )

@@ -69,15 +69,28 @@ def angular_density(points: DataFrame, step: float = 0.5) -> DataFrame:
     return binned.join(counted.join(near, [FRAME, "bin_a", "bin_v"]), [FRAME, "bin_a", "bin_v"])
 
 
-def frame_thresholds(density: DataFrame) -> DataFrame:
-    """WIN8: far distance, line count and ground height of each frame, from exact quantiles."""
+def thresholds() -> dict[str, Column]:
+    """WIN8: far distance, line count and ground height of a frame, from exact quantiles of its density."""
     distance = F.when(finite("distance"), F.col("distance")).otherwise(0.0)
     line = F.greatest("row_count", "col_count")
-    return density.groupBy(FRAME).agg(
-        F.greatest(F.lit(80.0), F.percentile(distance, F.lit(0.98))).alias("far_from"),
-        F.greatest(F.lit(12.0), F.percentile(line, F.lit(0.90))).alias("line_from"),
-        F.least(F.lit(-0.25), F.percentile(F.when(finite("z"), F.col("z")), F.lit(0.05)) - 0.15).alias("below_to"),
-    )
+    return {
+        "far_from": F.percentile(distance, F.lit(0.98)), "line_from": F.percentile(line, F.lit(0.90)), "below_to": F.percentile(F.when(finite("z"), F.col("z")), F.lit(0.05)),
+    }
+
+
+def bounded() -> dict[str, Column]:
+    return {"far_from": F.greatest(F.lit(80.0), "far_from"), "line_from": F.greatest(F.lit(12.0), "line_from"), "below_to": F.least(F.lit(-0.25), F.col("below_to") - 0.15)}
+
+
+def frame_thresholds(density: DataFrame) -> DataFrame:
+    """WIN8: the thresholds of each frame."""
+    return density.groupBy(FRAME).agg(*[c.alias(n) for n, c in thresholds().items()]).withColumns(bounded())
+
+
+def with_thresholds(density: DataFrame) -> DataFrame:
+    """WIN8 beside every point, without computing the density twice: quantiles over the frame's window."""
+    frame = Window.partitionBy(FRAME)
+    return density.withColumns({n: c.over(frame) for n, c in thresholds().items()}).withColumns(bounded())
 
 
 def temporal_support(points: DataFrame, tolerance: float = 0.75) -> DataFrame:

@@ -32,19 +32,24 @@ def fragment_vote(fragments: DataFrame, point: str, probabilities: str) -> DataF
 
 
 def centroids(vectors: DataFrame, vector: str, label: str) -> DataFrame:
-    """Mean of the standardised components of each class: label, dim, centre."""
-    fit = F.broadcast(fitted(vectors, vector))  # a row a dimension
-    scaled = long_form(vectors, [label], vector).join(fit, "dim").withColumn("x", (F.col("value") - F.col("mean")) / F.col("std"))
-    return scaled.groupBy(label, "dim").agg(F.avg("x").alias("centre"))
+    """Mean of the standardised components of each class: label, dim, centre. Means are standardised, not components: that needs no second pass."""
+    means = long_form(vectors, [label], vector).groupBy(label, "dim").agg(F.avg("value").alias("m"))
+    return means.join(fitted(vectors, vector), "dim").select(label, "dim", ((F.col("m") - F.col("mean")) / F.col("std")).alias("centre"))
 
 
 def nearest_centroid(vectors: DataFrame, key: str, vector: str, label: str) -> DataFrame:
-    """AGG26: class of the centroid at the smallest mean squared distance."""
-    fit = F.broadcast(fitted(vectors, vector))
-    x = long_form(vectors, [key], vector).join(fit, "dim").select(key, "dim", ((F.col("value") - F.col("mean")) / F.col("std")).alias("x"))
-    c = F.broadcast(centroids(vectors, vector, label).withColumnRenamed(label, "cls"))  # classes x dimensions rows
-    d = x.join(c, "dim").groupBy(key, "cls").agg(F.avg((F.col("x") - F.col("centre")) * (F.col("x") - F.col("centre"))).alias("d"))
-    return d.groupBy(key).agg(F.min_by("cls", F.struct(F.round("d", 9), "cls")).alias("nearest"), F.min("d").alias("distance"))
+    """AGG26: class of the centroid at the smallest mean squared distance.
+
+    Centres, means and deviations are arrays of one row, so each vector is judged in its own row, without a shuffle.
+    """
+    fit = fitted(vectors, vector).agg(F.array_sort(F.collect_list(F.struct("dim", "mean", "std"))).alias("fit"))
+    by = centroids(vectors, vector, label).groupBy(label).agg(F.transform(F.array_sort(F.collect_list(F.struct("dim", "centre"))), lambda x: x["centre"]).alias("centre"))
+    held = by.agg(F.collect_list(F.struct(F.col(label).alias("cls"), "centre")).alias("centres")).join(fit)  # a row of classes x dimensions
+    scaled = F.zip_with(F.transform(vector, lambda x: x.cast("double")), "fit", lambda x, f: (x - f["mean"]) / f["std"])
+    mean_square = lambda c: F.aggregate(F.zip_with("x", c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, d: s + d) / F.size("x")
+    judged = vectors.join(held).withColumn("x", scaled).withColumn("d", F.transform("centres", lambda c: F.struct(mean_square(c["centre"]).alias("d"), c["cls"].alias("cls"))))
+    best = F.array_min(F.transform("d", lambda e: F.struct(F.round(e["d"], 9).alias("r"), e["cls"].alias("cls"), e["d"].alias("d"))))
+    return judged.select(key, best["cls"].alias("nearest"), F.array_min(F.transform("d", lambda e: e["d"])).alias("distance"))
 
 
 def centroid_distances(vectors: DataFrame, vector: str, label: str) -> DataFrame:
@@ -82,7 +87,7 @@ def blend_weight(scores: DataFrame, truth: str, p: str, q: str, classes: int, st
 
 def hashed_sample(rows: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     """SRT4: the ``n`` rows of smallest hash: the same ones on every cluster."""
-    return rows.orderBy(F.xxhash64(key, F.lit(seed)), key).limit(n)
+    return rows.orderBy(F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")).cast("binary")), key).limit(n)
 
 
 def extremes(vectors: DataFrame, key: str, vector: str, label: str, wanted: int, dim: int, n: int) -> DataFrame:

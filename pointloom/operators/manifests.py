@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -116,65 +115,38 @@ def recovered(manifest: DataFrame, recovery: DataFrame, keep: tuple[str, ...]) -
     return joined.select("sample_id", *[(pick(c) if f"r_{c}" in joined.columns else F.col(c)).alias(c) for c in manifest.columns if c != "sample_id"])
 
 
+def hashed_place(key: str, seed: int) -> Column:
+    """A place that the key alone decides, on any cluster and in any SQL."""
+    return F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")).cast("binary"))
+
+
 def grouped_split(manifest: DataFrame, shares: tuple[float, float, float] = (0.7, 0.15, 0.15), seed: int = 1) -> DataFrame:
-    """DOM14: each source in one split, classes near their quotas; rare classes' sources first.
+    """DOM14: each source in one split, classes near their quotas, rare classes first.
 
-    Spark counts the classes of each source; the choice, which depends on the ones
-    before, runs on that table of counts, one row a source. A very large manifest is
-    dealt to independent groups of 100000 sources, each near its own quotas.
+    A source belongs to the rarest of its classes. Within a class, sources in hash order
+    take their place on a line as long as all their samples; the quota that holds the
+    middle of a source's stretch is its split. So a class's quotas are met within a source.
     """
     counts = manifest.groupBy("source_id", "label").agg(F.count("*").alias("n"))
-    vectors = counts.groupBy("source_id").agg(F.map_from_entries(F.collect_list(F.struct("label", "n"))).alias("v"), F.sum("n").alias("size"))
-    groups = max(1, -(-vectors.count() // 100_000))
-    vectors = vectors.withColumns({"deal": F.pmod(F.xxhash64("source_id", F.lit(seed)), F.lit(groups)), "r": F.xxhash64("source_id", F.lit(seed + 1))})
-
-    def assign(group: pd.DataFrame) -> pd.DataFrame:
-        vs = [dict(v) for v in group["v"]]
-        total: dict = {}
-        for v in vs:
-            for k, n in v.items():
-                total[k] = total.get(k, 0) + n
-        size, names = int(group["size"].sum()), ("train", "val", "test")
-        want = [{k: n * s for k, n in total.items()} for s in shares]
-        have: list[dict] = [{k: 0 for k in total} for _ in shares]
-        held = [0, 0, 0]
-        order = sorted(range(len(vs)), key=lambda i: (-sum(n / total[k] for k, n in vs[i].items()), -group["size"].iloc[i], group["r"].iloc[i]))
-        out = [""] * len(vs)
-        for i in order:
-            def cost(s: int) -> float:
-                gap = sum(((have[s][k] + vs[i].get(k, 0) - want[s][k]) ** 2 - (have[s][k] - want[s][k]) ** 2) / (want[s][k] + 1) for k in vs[i])
-                n, w = held[s] + group["size"].iloc[i], size * shares[s]
-                return gap + 0.25 * ((n - w) ** 2 - (held[s] - w) ** 2) / (w + 1)
-
-            best = min(range(3), key=lambda s: (cost(s), s))
-            for k, n in vs[i].items():
-                have[best][k] += n
-            held[best] += group["size"].iloc[i]
-            out[i] = names[best]
-        return pd.DataFrame({"source_id": group["source_id"], "new_split": out})
-
-    chosen = vectors.groupBy("deal").applyInPandas(assign, "source_id bigint, new_split string")
-    return manifest.join(chosen, "source_id")
-
-
-def rare_class_split(frame_classes: DataFrame, share: float = 0.2) -> DataFrame:
-    """DOM13: validation frames chosen greedily for rare classes; each class keeps a training frame."""
-
-    def choose(group: pd.DataFrame) -> pd.DataFrame:
-        left: dict = {}
-        for cs in group["classes"]:
-            for c in cs:
-                left[c] = left.get(c, 0) + 1
-        free, val = dict(zip(group["frame_ord"], group["classes"])), []
-        for _ in range(max(1, int(len(free) * share)) if len(free) > 1 else 0):
-            fits = [(sum(1 / left[c] for c in cs), -f) for f, cs in free.items() if all(left[c] > 1 for c in cs)]
-            if not fits:
-                break
-            f = -max(fits)[1]
-            val.append(f)
-            for c in free.pop(f):
-                left[c] -= 1
-        return pd.DataFrame({"frame_ord": group["frame_ord"], "split": ["val" if f in val else "train" for f in group["frame_ord"]]})
-
-    sets = frame_classes.groupBy("frame_ord").agg(F.array_sort(F.collect_set("label")).alias("classes"))
-    return sets.groupBy(F.floor(F.col("frame_ord") / 100_000).alias("deal")).applyInPandas(choose, "frame_ord bigint, split string")
+    totals = counts.groupBy("label").agg(F.sum("n").alias("total"))
+    sources = counts.join(totals, "label").groupBy("source_id").agg(F.min(F.struct("total", "label"))["label"].alias("stratum"), F.sum("n").alias("size"))
+    line = Window.partitionBy("stratum").orderBy(hashed_place("source_id", seed), "source_id")
+    end = F.sum("size").over(line.rowsBetween(Window.unboundedPreceding, 0))
+    middle = (end - F.col("size") / 2) / F.sum("size").over(Window.partitionBy("stratum"))
+    split = F.when(middle < shares[0], "train").when(middle < shares[0] + shares[1], "val").otherwise("test")
+    return manifest.join(sources.select("source_id", split.alias("new_split")), "source_id")
+
+
+def rare_class_split(frame_classes: DataFrame, share: float = 0.2, seed: int = 1) -> DataFrame:
+    """DOM13: validation frames of every class, each belonging to the rarest of its frame; each class keeps a training frame.
+
+    Of a class's n frames in hash order the first ``share`` of n validate. A class whose
+    frames would all validate has its smallest frame back in training.
+    """
+    pairs = frame_classes.select("frame_ord", "label").distinct()
+    totals = pairs.groupBy("label").agg(F.count("*").alias("total"))
+    frames = pairs.join(totals, "label").groupBy("frame_ord").agg(F.min(F.struct("total", "label"))["label"].alias("stratum"))
+    place = F.row_number().over(Window.partitionBy("stratum").orderBy(hashed_place("frame_ord", seed), "frame_ord"))
+    first = frames.select("frame_ord", (place <= F.floor(F.count("*").over(Window.partitionBy("stratum")) * share)).alias("val"))
+    gone = pairs.join(first, "frame_ord").groupBy("label").agg(F.bool_and("val").alias("all"), F.min("frame_ord").alias("frame_ord")).where("all").select("frame_ord", F.lit(True).alias("back")).distinct()
+    return first.join(gone, "frame_ord", "left").select("frame_ord", F.when(F.col("val") & F.col("back").isNull(), "val").otherwise("train").alias("split"))

@@ -27,8 +27,7 @@ NOISE_IDS = {name: 20 + k for k, (name, *_) in enumerate(RULES)}
 def teacher_features(points: DataFrame, pixels: DataFrame) -> DataFrame:
     """DOM2: echo, density, temporal, mask and model features of every point, one row each."""
     keep = points.columns
-    features = echo.temporal_support(echo.angular_density(echo.echo_features(points)))
-    features = features.join(echo.frame_thresholds(echo.angular_density(points)), "frame_ord")
+    features = echo.temporal_support(echo.with_thresholds(echo.angular_density(echo.echo_features(points))))
     masked = echo.mask_labels(features, pixels)
     edge = echo.mask_boundary(pixels).select("u", "v", "boundary")
     return masked.join(edge, ["u", "v"], "left").withColumn("boundary", F.coalesce("boundary", F.lit(False)) & (F.col("mask_label") != IGNORE)).select(
@@ -54,14 +53,19 @@ def flags(low: float = 0.08, very_low: float = 0.03, near: float = 2.5) -> dict[
     }.items()}
 
 
+def model_context() -> tuple[Column, Column]:
+    """DOM8: whether the model supports noise, or an object, at a point."""
+    noise = F.col("model_label").isin(*NOISE_IDS.values()) & (F.round("model_conf", 6) >= 0.5)
+    return noise, ~F.col("model_label").isin(*NOISE_IDS.values(), IGNORE) & (F.round("model_conf", 6) >= 0.7)
+
+
 def rule_scores(features: DataFrame) -> DataFrame:
     """DOM3, DOM4: a column ``s_<rule>`` for each noise rule, adjusted by context and gated."""
     named = flags()
     df = features.withColumns({f"f_{k}": v for k, v in named.items()})
     on = lambda k: F.col(f"f_{k}")
     object_here = F.col("mask_label") != IGNORE
-    model_noise = F.col("model_label").isin(*NOISE_IDS.values()) & (F.round("model_conf", 6) >= 0.5)
-    model_object = ~F.col("model_label").isin(*NOISE_IDS.values(), IGNORE) & (F.round("model_conf", 6) >= 0.7)
+    model_noise, model_object = model_context()
     context = (
         F.when(object_here, -0.06).otherwise(0.0) + F.when(F.col("boundary"), -0.08).otherwise(0.0) + F.when(model_noise, 0.08).otherwise(0.0) + F.when(model_object, -0.05).otherwise(0.0)
     )

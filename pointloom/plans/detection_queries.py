@@ -80,8 +80,8 @@ def pairs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 
 @query("dom16_mask_nms")
 def dom16(spark: SparkSession, sf: str) -> DataFrame:
-    d, p = pairs(spark, sf)
-    return D.suppressed(d, p)
+    d = small(spark, sf)
+    return D.suppressed(d, D.overlaps(D.runs(d), d))
 
 
 @query("dom17_clusters")
@@ -154,3 +154,35 @@ def fn25(spark: SparkSession, sf: str) -> DataFrame:
 @query("fn24_split_circle", oracle("SELECT det_id, (u0 - 20) * (u0 - 20) + (v0 - 15) * (v0 - 15) <= CASE WHEN v0 < 15 THEN 100 ELSE 225 END AS inside FROM detections", "detections"))
 def fn24(spark: SparkSession, sf: str) -> DataFrame:
     return view(spark, sf, "detections").select("det_id", S.in_split_circle("u0", "v0", (20.0, 15.0), 10.0, 15.0).alias("inside"))
+
+
+@query("dom18_composition_least_area", oracle(f"WITH {PIXELS} SELECT image_id, v, u, arg_min(label, (-score, det_id)) AS label, round(max(score), 6) AS confidence FROM px JOIN (SELECT det_id FROM detections WHERE w * h >= 40) USING (det_id) GROUP BY ALL", "detections"))
+def dom18_least(spark: SparkSession, sf: str) -> DataFrame:
+    d = small(spark, sf)
+    return D.composed(D.runs(d), d, (("none", "none"),), 40).select("image_id", "v", "u", "label", F.round("confidence", 6).alias("confidence"))
+
+
+@query("flt2_geometry_rules", oracle(f"WITH {BOXED}, {METRIC} SELECT det_id, CASE{GEO_SQL} END AS reject_reason FROM k", "detections"))
+def flt2(spark: SparkSession, sf: str) -> DataFrame:
+    d = boxed(spark, sf)
+    return D.audited(d, D.rule_table(d, GEOMETRY, {})).select("det_id", "reject_reason")
+
+
+@query("flt3_size_rules", oracle(f"WITH {BOXED}, {METRIC} SELECT det_id, CASE{SIZE_SQL} END AS reject_reason FROM k", "detections"))
+def flt3(spark: SparkSession, sf: str) -> DataFrame:
+    d = boxed(spark, sf)
+    return D.audited(d, D.rule_table(d, {}, SIZES)).select("det_id", "reject_reason")
+
+
+@query("udf3_callers_rules", oracle(f"WITH {BOXED}, {METRIC} SELECT det_id, CASE WHEN label = '4-NOT SPECIFIED' AND bh > 1e-1 THEN 'height' END AS reject_reason FROM k", "detections"))
+def udf3(spark: SparkSession, sf: str) -> DataFrame:
+    d = boxed(spark, sf)
+    return D.audited(d, D.rule_table(d, {}, {"4-NOT SPECIFIED": (None, 0.1, None)})).select("det_id", "reject_reason")
+
+
+@query("udf2_detector", oracle("SELECT image_id, CAST(sum(w) AS BIGINT) AS width, 'box' AS label, count(*) AS n FROM detections GROUP BY image_id", "detections"))
+def udf2(spark: SparkSession, sf: str) -> DataFrame:
+    from pointloom.sources.sinks import detector
+
+    seen = detector(small(spark, sf).select("image_id", "w"), lambda part: part.assign(label="box"), "image_id bigint, w bigint, label string")
+    return seen.groupBy("image_id", "label").agg(F.sum("w").alias("width"), F.count("*").alias("n"))

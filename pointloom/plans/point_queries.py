@@ -325,3 +325,59 @@ SELECT frame_ord, count(*) AS attempted, count(*) FILTER (taken) AS duplicates F
 def win7(spark: SparkSession, sf: str) -> DataFrame:
     view(spark, sf, "points").createOrReplaceTempView("points")
     return manifests.duplicate_assignments(spark.sql(CLAIMS), 10)
+
+
+@query("fn2_training_points", oracle("SELECT frame_ord, count(*) FILTER (greatest(abs(x), abs(y), abs(z)) >= 1e-4) AS usable, count(*) AS points FROM points GROUP BY frame_ord", "points"))
+def fn2(spark: SparkSession, sf: str) -> DataFrame:
+    return view(spark, sf, "points").groupBy("frame_ord").agg(F.count_if(S.valid_training_point()).alias("usable"), F.count("*").alias("points"))
+
+
+@query("fn27_ratios", oracle("SELECT frame_ord, round(coalesce(count(*) FILTER (gt = 2)::DOUBLE / nullif(count(*) FILTER (gt = 5), 0), 0), 6) AS ratio FROM points GROUP BY frame_ord", "points"))
+def fn27(spark: SparkSession, sf: str) -> DataFrame:
+    by = view(spark, sf, "points").groupBy("frame_ord").agg(F.count_if(F.col("gt") == 2).alias("a"), F.count_if(F.col("gt") == 5).alias("b"))
+    return by.select("frame_ord", F.round(S.ratio("a", "b"), 6).alias("ratio"))
+
+
+@query("joi9_neighbourhood", oracle("""WITH b AS (SELECT frame_ord, CAST(floor(azimuth / 5e-1) AS BIGINT) AS bin_a, CAST(floor(vertical / 5e-1) AS BIGINT) AS bin_v FROM points), cells AS (SELECT frame_ord, bin_a, bin_v, count(*) AS cell FROM b GROUP BY ALL)
+ SELECT c.frame_ord, c.bin_a, c.bin_v, CAST(sum(n.cell) AS BIGINT) AS density FROM cells c JOIN cells n ON n.frame_ord = c.frame_ord AND abs(n.bin_a - c.bin_a) <= 1 AND abs(n.bin_v - c.bin_v) <= 1 GROUP BY ALL""", "points"))
+def joi9(spark: SparkSession, sf: str) -> DataFrame:
+    return echo.angular_density(view(spark, sf, "points")).groupBy("frame_ord", "bin_a", "bin_v").agg(F.max("density").alias("density"))
+
+
+@query("set2_report_ids", oracle("SELECT gt AS label FROM points WHERE gt <> 255 UNION SELECT model_label FROM points WHERE gt <> 255 AND model_label <> 255", "points"))
+def set2(spark: SparkSession, sf: str) -> DataFrame:
+    return evaluation.class_metrics(matrix(spark, sf)).select("label")
+
+
+@query("dom2_teacher_features", oracle(f"WITH {FEATURES} SELECT frame_ord, row_idx, echo_valid, return_count, return_rank, round(nearest_gap, 6) AS nearest_gap, round(strongest_delta, 6) AS strongest_delta, density, row_count, col_count, checked, support, round(far_from, 6) AS far_from, round(line_from, 6) AS line_from, round(below_to, 6) AS below_to, mask_label, round(mask_conf, 6) AS mask_conf, boundary FROM g", "points", "pixels"))
+def dom2(spark: SparkSession, sf: str) -> DataFrame:
+    f = teacher.teacher_features(view(spark, sf, "points"), view(spark, sf, "pixels"))
+    names = "echo_valid return_count return_rank nearest_gap strongest_delta density row_count col_count checked support far_from line_from below_to mask_label mask_conf boundary".split()
+    return rounded(f.select(*KEY, *names), "nearest_gap", "strongest_delta", "far_from", "line_from", "below_to", "mask_conf")
+
+
+@query("dom4_context", oracle(f"""WITH {FEATURES} SELECT frame_ord, row_idx, round(CASE WHEN mask_label <> 255 THEN -6e-2 ELSE 0e0 END + CASE WHEN boundary THEN -8e-2 ELSE 0e0 END
+ + CASE WHEN model_label BETWEEN 20 AND 26 AND round(model_conf, 6) >= 5e-1 THEN 8e-2 ELSE 0e0 END + CASE WHEN model_label NOT BETWEEN 20 AND 26 AND model_label <> 255 AND round(model_conf, 6) >= 7e-1 THEN -5e-2 ELSE 0e0 END, 6) AS context FROM g""", "points", "pixels"))
+def dom4(spark: SparkSession, sf: str) -> DataFrame:
+    return scores(spark, sf).select(*KEY, F.round("f_ctx", 6).alias("context"))
+
+
+@query("dom6_object_context", oracle(f"""WITH {FEATURES}, o AS ({best_sql()}) SELECT frame_ord, row_idx, label, confidence FROM o WHERE rule = 'object_context'""", "points", "pixels"))
+def dom6(spark: SparkSession, sf: str) -> DataFrame:
+    return teacher.candidates(scores(spark, sf)).where("rule = 'object_context'").select(*KEY, "label", "confidence")
+
+
+@query("dom7_rule_classes", oracle(f"WITH {FEATURES}, o AS ({best_sql()}) SELECT label, rule, count(*) AS points FROM o WHERE rule <> 'object_context' GROUP BY ALL", "points", "pixels"))
+def dom7(spark: SparkSession, sf: str) -> DataFrame:
+    return teacher.candidates(scores(spark, sf)).where("rule <> 'object_context'").groupBy("label", "rule").agg(F.count("*").alias("points"))
+
+
+@query("dom8_model_context", oracle("SELECT frame_ord, count(*) FILTER (model_label BETWEEN 20 AND 26 AND round(model_conf, 6) >= 5e-1) AS noise, count(*) FILTER (model_label NOT BETWEEN 20 AND 26 AND model_label <> 255 AND round(model_conf, 6) >= 7e-1) AS objects FROM points GROUP BY frame_ord", "points"))
+def dom8(spark: SparkSession, sf: str) -> DataFrame:
+    noise, objects = teacher.model_context()
+    return view(spark, sf, "points").groupBy("frame_ord").agg(F.count_if(noise).alias("noise"), F.count_if(objects).alias("objects"))
+
+
+@query("dom25_excluded", oracle(f"WITH {TAX} SELECT gt, n FROM c WHERE n = 0", "points"))
+def dom25(spark: SparkSession, sf: str) -> DataFrame:
+    return dom11(spark, sf).where("train_id IS NULL").select("gt", "n")

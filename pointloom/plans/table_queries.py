@@ -157,12 +157,19 @@ def joi12(spark: SparkSession, sf: str) -> DataFrame:
     return m.where("split = 'val'").join(m.where("split = 'train' OR label = '5-LOW'").select("source_id"), "source_id", "left_anti").select("sample_id")
 
 
-@query("dom14_grouped_split")
+@query("dom14_grouped_split", oracle("""WITH c AS (SELECT source_id, label, count(*) AS n FROM manifest GROUP BY ALL), t AS (SELECT label, sum(n) AS total FROM c GROUP BY label),
+ s AS (SELECT source_id, arg_min(label, (total, label)) AS stratum, sum(n) AS size FROM c JOIN t USING (label) GROUP BY source_id),
+ m AS (SELECT *, (sum(size) OVER (PARTITION BY stratum ORDER BY md5(source_id || ':1'), source_id ROWS UNBOUNDED PRECEDING) - size / 2e0) / sum(size) OVER (PARTITION BY stratum) AS middle FROM s)
+ SELECT sample_id, source_id, CASE WHEN middle < 7e-1 THEN 'train' WHEN middle < 85e-2 THEN 'val' ELSE 'test' END AS new_split FROM manifest JOIN m USING (source_id)""", "manifest"))
 def dom14(spark: SparkSession, sf: str) -> DataFrame:
     return manifests.grouped_split(view(spark, sf, "manifest")).select("sample_id", "source_id", "new_split")
 
 
-@query("dom13_rare_class_split")
+@query("dom13_rare_class_split", oracle("""WITH p AS (SELECT DISTINCT frame_ord, gt AS label FROM points WHERE gt <> 255), t AS (SELECT label, count(*) AS total FROM p GROUP BY label),
+ s AS (SELECT frame_ord, arg_min(label, (total, label)) AS stratum FROM p JOIN t USING (label) GROUP BY frame_ord),
+ f AS (SELECT frame_ord, row_number() OVER (PARTITION BY stratum ORDER BY md5(frame_ord || ':1'), frame_ord) <= floor(count(*) OVER (PARTITION BY stratum) * 2e-1) AS val FROM s),
+ g AS (SELECT DISTINCT frame_ord FROM (SELECT label, bool_and(val) AS gone, min(frame_ord) AS frame_ord FROM p JOIN f USING (frame_ord) GROUP BY label) WHERE gone)
+ SELECT frame_ord, CASE WHEN val AND frame_ord NOT IN (SELECT frame_ord FROM g) THEN 'val' ELSE 'train' END AS split FROM f""", "points"))
 def dom13(spark: SparkSession, sf: str) -> DataFrame:
     p = view(spark, sf, "points").where("gt <> 255").select("frame_ord", F.col("gt").alias("label")).distinct()
     return manifests.rare_class_split(p)
@@ -226,12 +233,16 @@ def srt5(spark: SparkSession, sf: str) -> DataFrame:
     return features.extremes(vectors(spark, sf), "vec_id", "embedding", "label", 4, 2, 10)
 
 
-@query("srt4_hashed_sample")
+@query("srt4_hashed_sample", oracle("SELECT sample_id, label FROM manifest ORDER BY md5(sample_id || ':7'), sample_id LIMIT 100", "manifest"))
 def srt4(spark: SparkSession, sf: str) -> DataFrame:
     return features.hashed_sample(view(spark, sf, "manifest").select("sample_id", "label"), "sample_id", 100, 7)
 
 
-@query("agg23_blend_weight")
+@query("agg23_blend_weight", oracle("""WITH w AS (SELECT unnest(range(0, 21)) * 5e-2 AS weight), v AS (SELECT vec_id, CAST(label AS BIGINT) AS gt, CAST(unnest(range(0, 10)) AS BIGINT) AS cls, abs(CAST(unnest(embedding[1:10]) AS DOUBLE)) AS p, abs(CAST(unnest(embedding[11:20]) AS DOUBLE)) AS q FROM embeddings WHERE label IS NOT NULL),
+ l AS (SELECT weight, vec_id, any_value(gt) AS gt, arg_max(cls, (p * weight + q * (1 - weight), -cls)) AS pred FROM v, w GROUP BY weight, vec_id), h AS (SELECT weight, gt, pred, count(*) AS n FROM l GROUP BY ALL),
+ a AS (SELECT weight, gt AS c, sum(n) AS support, sum(CASE WHEN gt = pred THEN n ELSE 0 END) AS tp FROM h GROUP BY ALL), b AS (SELECT weight, pred AS c, sum(n) AS predicted FROM h GROUP BY ALL),
+ f AS (SELECT weight, sum(2e0 * coalesce(tp, 0) / greatest(coalesce(support, 0) + coalesce(predicted, 0), 1)) / 10 AS macro_f1 FROM a FULL JOIN b USING (weight, c) GROUP BY weight)
+ SELECT round(weight, 6) AS weight, round(macro_f1, 6) AS macro_f1 FROM f ORDER BY round(macro_f1, 9) DESC, abs(weight - 5e-1), weight DESC LIMIT 1"""))
 def agg23(spark: SparkSession, sf: str) -> DataFrame:
     part = lambda a: F.transform(F.slice("embedding", a, 10), lambda x: F.abs(x.cast("double")))
     v = vectors(spark, sf).select(F.col("label").cast("bigint").alias("label"), part(1).alias("p"), part(11).alias("q"))
