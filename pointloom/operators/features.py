@@ -44,10 +44,10 @@ def nearest_centroid(vectors: DataFrame, key: str, vector: str, label: str) -> D
     """
     fit = fitted(vectors, vector).agg(F.array_sort(F.collect_list(F.struct("dim", "mean", "std"))).alias("fit"))
     by = centroids(vectors, vector, label).groupBy(label).agg(F.transform(F.array_sort(F.collect_list(F.struct("dim", "centre"))), lambda x: x["centre"]).alias("centre"))
-    held = by.agg(F.collect_list(F.struct(F.col(label).alias("cls"), "centre")).alias("centres")).join(fit)  # a row of classes x dimensions
+    classes = by.agg(F.collect_list(F.struct(F.col(label).alias("cls"), "centre")).alias("centres"))  # one row of classes x dimensions
     scaled = F.zip_with(F.transform(vector, lambda x: x.cast("double")), "fit", lambda x, f: (x - f["mean"]) / f["std"])
     mean_square = lambda c: F.aggregate(F.zip_with("x", c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, d: s + d) / F.size("x")
-    judged = vectors.join(held).withColumn("x", scaled).withColumn("d", F.transform("centres", lambda c: F.struct(mean_square(c["centre"]).alias("d"), c["cls"].alias("cls"))))
+    judged = vectors.withColumns({"fit": fit.scalar(), "centres": classes.scalar()}).withColumn("x", scaled).withColumn("d", F.transform("centres", lambda c: F.struct(mean_square(c["centre"]).alias("d"), c["cls"].alias("cls"))))
     best = F.array_min(F.transform("d", lambda e: F.struct(F.round(e["d"], 9).alias("r"), e["cls"].alias("cls"), e["d"].alias("d"))))
     return judged.select(key, best["cls"].alias("nearest"), F.array_min(F.transform("d", lambda e: e["d"])).alias("distance"))
 

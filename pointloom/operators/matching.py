@@ -49,6 +49,15 @@ def best_per(matches: DataFrame, key: str) -> DataFrame:
     return matches.groupBy(key).agg(F.min_by(F.struct(*[c for c in matches.columns if c != key]), F.struct(F.abs("diff_ms"), "row_idx")).alias("m")).select(key, "m.*")
 
 
+def checked_matches(matches: DataFrame, times: DataFrame, images: DataFrame, frame: str, image: str, first: int, last: int) -> DataFrame:
+    """JOI6: the best match of each frame from ``first`` to ``last``; one whose frame has no time, or whose image isn't there, raises. Rows outside the range never do."""
+    inside = matches.where(F.col(frame).between(first, last))
+    known = inside.join(times.select(frame, F.lit(True).alias("timed")).distinct(), frame, "left").join(images.select(image, F.lit(True).alias("held")).distinct(), image, "left")
+    fault = F.when(F.col("timed").isNull(), F.concat(F.lit("no time for frame "), F.col(frame).cast("string"))).when(F.col("held").isNull(), F.concat(F.lit("no image "), F.col(image).cast("string")))
+    good = known.where(F.when(fault.isNotNull(), F.raise_error(fault).cast("boolean")).otherwise(F.lit(True)))
+    return best_per(good.drop("timed", "held"), frame)
+
+
 def frame_windows(frames: DataFrame, scene: str, order: str, k: int) -> DataFrame:
     """WIN4: up to ``k`` frames before and after, as lists."""
     w = Window.partitionBy(scene).orderBy(order)

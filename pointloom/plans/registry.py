@@ -27,7 +27,7 @@ def query(key: str, oracle: str | None = None) -> Callable[[Query], Query]:
 
 
 def _load() -> None:
-    from pointloom.plans import alignment_queries, detection_queries, point_queries, table_queries  # noqa: F401
+    from pointloom.plans import alignment_queries, detection_queries, file_queries, point_queries, table_queries  # noqa: F401
 
 
 def queries() -> dict[str, Query]:

@@ -62,7 +62,12 @@ def binary_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def float_records(spark: SparkSession, path: str, fields: Sequence[str]) -> DataFrame:
-    """SRC4, SRC6: little-endian float32 records; a file whose size doesn't divide raises."""
+    """SRC4, SRC6: little-endian float32 records of files; a file whose size doesn't divide raises."""
+    return decoded_floats(binary_files(spark, path), fields)
+
+
+def decoded_floats(contents: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """SRC4, SRC6: the records of (path, content) rows."""
     n = len(fields)
 
     def decode(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -74,7 +79,7 @@ def float_records(spark: SparkSession, path: str, fields: Sequence[str]) -> Data
                 yield pd.DataFrame(values, columns=list(fields)).assign(path=path_, row_idx=np.arange(len(values)))[["path", "row_idx", *fields]]
 
     schema = "path string, row_idx bigint, " + ", ".join(f"`{f}` double" for f in fields)
-    return binary_files(spark, path).mapInPandas(decode, schema).select(stem_of().alias("frame_id"), "row_idx", *fields)
+    return contents.mapInPandas(decode, schema).select(stem_of().alias("frame_id"), "row_idx", *fields)
 
 
 #: Pixels and echoes of a packet slot, and the layout of one record.
@@ -83,6 +88,11 @@ RECORD = np.dtype([("distance", "<f4"), ("intensity", "<f4"), ("reflectivity", "
 
 
 def packet_frames(spark: SparkSession, path: str) -> DataFrame:
+    """SRC5: frames of packet files."""
+    return decoded_packets(binary_files(spark, path))
+
+
+def decoded_packets(contents: DataFrame) -> DataFrame:
     """SRC5: frames with a 16-byte header (width, height), then slots of 128 pixels by 3 echoes of 52-byte records; a cut tail ends the frame."""
     names = [n for n in RECORD.names if n != "rest"]
 
@@ -96,7 +106,7 @@ def packet_frames(spark: SparkSession, path: str) -> DataFrame:
                 yield pd.DataFrame({"path": path_, "row_idx": k, "slot": slot, "pixel": pixel, "block_id": echo, **{n: rows[n].astype("f8") for n in names}})
 
     schema = "path string, row_idx bigint, slot bigint, pixel bigint, block_id bigint, " + ", ".join(f"{n} double" for n in names)
-    return binary_files(spark, path).mapInPandas(decode, schema).withColumn("frame_id", stem_of()).drop("path")
+    return contents.mapInPandas(decode, schema).withColumn("frame_id", stem_of()).drop("path")
 
 
 def packet_csv_points(wide: DataFrame, beams: int, row: str = "row_idx") -> DataFrame:
@@ -117,6 +127,11 @@ def packet_csv_points(wide: DataFrame, beams: int, row: str = "row_idx") -> Data
 
 
 def npy_pixels(spark: SparkSession, path: str, value: str = "label") -> DataFrame:
+    """SRC9, SRC11: array files as long rows."""
+    return decoded_arrays(binary_files(spark, path), value)
+
+
+def decoded_arrays(contents: DataFrame, value: str = "label") -> DataFrame:
     """SRC9, SRC11: ``.npy`` arrays, one or two dimensional, and ``.label`` files of uint32, as long rows."""
     import io
 
@@ -130,7 +145,7 @@ def npy_pixels(spark: SparkSession, path: str, value: str = "label") -> DataFram
                 v, u = np.divmod(np.arange(a.size), a.shape[1])
                 yield pd.DataFrame({"path": path_, "v": v, "u": u, value: a.reshape(-1).astype("f8")})
 
-    return binary_files(spark, path).mapInPandas(decode, f"path string, v bigint, u bigint, `{value}` double").withColumn("frame_id", stem_of())
+    return contents.mapInPandas(decode, f"path string, v bigint, u bigint, `{value}` double").withColumn("frame_id", stem_of())
 
 
 def label_files(found: DataFrame, kinds: Sequence[str]) -> DataFrame:
@@ -140,6 +155,11 @@ def label_files(found: DataFrame, kinds: Sequence[str]) -> DataFrame:
 
 
 def detection_archives(spark: SparkSession, path: str) -> DataFrame:
+    """SRC12: detections of archive files."""
+    return decoded_archives(binary_files(spark, path))
+
+
+def decoded_archives(contents: DataFrame) -> DataFrame:
     """SRC12: ``.npz`` archives of masks, scores and labels as runs of each detection; lengths that differ raise."""
     import io
 
@@ -155,7 +175,7 @@ def detection_archives(spark: SparkSession, path: str) -> DataFrame:
                 u1 = np.nonzero(edge == -1)[2]
                 yield pd.DataFrame({"path": path_, "det_id": d, "label": [str(labels[k]) for k in d], "score": scores[d].astype("f8"), "v": v, "u0": u0, "u1": u1})
 
-    return binary_files(spark, path).mapInPandas(decode, "path string, det_id bigint, label string, score double, v bigint, u0 bigint, u1 bigint").withColumn("image_id", stem_of())
+    return contents.mapInPandas(decode, "path string, det_id bigint, label string, score double, v bigint, u0 bigint, u1 bigint").withColumn("image_id", stem_of())
 
 
 def frame_index(frames: DataFrame, key: str = "frame_id") -> DataFrame:
@@ -240,6 +260,16 @@ def dimension(spark: SparkSession, rows: Sequence[tuple], schema: str, unique: S
     return df
 
 
+def dimension_file(spark: SparkSession, path: str, schema: str, unique: Sequence[str] = (), row_tag: str = "class") -> DataFrame:
+    """SRC22: a dimension table from JSON (lines, or one array) or XML files; a value twice in a ``unique`` column raises."""
+    reader = spark.read.schema(schema)
+    rows = reader.option("rowTag", row_tag).format("xml").load(path) if row_tag and path.rstrip("/").endswith("xml") else reader.json(path)
+    for c in unique:
+        twice = F.count("*").over(Window.partitionBy(c)) > 1
+        rows = rows.withColumn(c, F.when(twice, F.raise_error(F.concat(F.lit(f"{c} holds a value twice: "), F.col(c).cast("string"))).cast(rows.schema[c].dataType)).otherwise(F.col(c)))
+    return rows
+
+
 def synced_frames(spark: SparkSession, path: str) -> DataFrame:
     """SRC23: frames of a match manifest that are synchronised."""
     return spark.read.option("multiLine", True).json(path).select(F.inline("frames")).where("synced")
