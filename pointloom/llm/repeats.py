@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pointloom.llm.shared import sliced, text_bytes, written
+from pointloom.llm.shared import salted_join, sliced, text_bytes, written
 
 #: Bytes of a match, and of the strings that name it.
 MATCH, GRAM = 100, 32
@@ -153,13 +153,13 @@ def suffix_order(data: np.ndarray, depth: int = 128) -> tuple[np.ndarray, list[t
     own = key[:n][order]
     start = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
     size = np.diff(np.append(start, n))
-    rank = np.empty(n, np.int64)  # where a suffix's group of equals begins in the order
+    rank = np.empty(n, np.int32)  # where a suffix's group of equals begins in the order
     rank[order] = np.repeat(start, size)
     levels[-1] = (width, rank)
     tied = order[np.repeat(size > 1, size)]
     while width < depth:
-        ahead = np.append(rank + 1, np.full(width, n + 1))[tied + width]  # the end comes last, as 0xFF does
-        pair = rank[tied] << 32 | ahead
+        ahead = np.append(rank + 1, np.full(width, n + 1, np.int32))[tied + width]  # the end comes last, as 0xFF does
+        pair = rank[tied].astype(np.int64) << 32 | ahead
         by = np.argsort(pair)
         tied, pair = tied[by], pair[by]
         first = np.flatnonzero(np.append(True, pair[1:] != pair[:-1])) if len(tied) else np.zeros(0, np.int64)
@@ -305,7 +305,7 @@ def whole_copies(docs: DataFrame) -> DataFrame:
     """(doc, tag): whole texts that stand in a document of smaller id."""
     slim = docs.where(F.octet_length("text") >= MATCH).select("doc", "tag", F.md5(F.encode("text", "UTF-8")).alias("key"))
     firsts = slim.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low <> high").select("key", "low")
-    return written(slim.join(firsts, "key").where("doc <> low").groupBy("doc", "tag").agg(F.lit(True).alias("copy")), "copies")
+    return written(salted_join(slim, firsts, "key", "doc").where("doc <> low").groupBy("doc", "tag").agg(F.lit(True).alias("copy")), "copies")
 
 
 def suspected_chunks(docs: DataFrame, names: DataFrame, copies: DataFrame) -> DataFrame:

@@ -97,6 +97,13 @@ def text_bytes(value: str | None) -> bytes:
     return b"" if value is None else value.encode("utf-8", "surrogatepass")
 
 
+def salted_join(many: DataFrame, one: DataFrame, key: str, row: str, salts: int = 8) -> DataFrame:
+    """``many`` joined with ``one``, which has one row a key: a key's rows are dealt to ``salts`` tasks by a hash of ``row``, and ``one`` is copied for each."""
+    dealt = many.withColumn("salt", F.pmod(F.xxhash64(row), F.lit(salts)))
+    copied = one.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    return dealt.join(copied, [key, "salt"]).drop("salt")
+
+
 def components(edges: DataFrame, a: str, b: str, node: str = "node", root: str = "root") -> DataFrame:
     """Connected components: (node, root) for every node of ``edges``, root the smallest id reachable.
 

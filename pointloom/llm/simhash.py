@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from pointloom.llm.blocks import BLOCK_ROWS, group_bounds, in_block_pairs, whole_groups
-from pointloom.llm.shared import components, map_batches, written
+from pointloom.llm.shared import components, map_batches, salted_join, written
 
 #: Shingles hashed at once: bounds memory on a long text.
 STEP = 1 << 16
@@ -172,7 +172,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = components(links, "a", "b", "fp", "root")
     member = classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     lowest = member.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = written(member.join(lowest, "root").select("fp", "component_id"), "classes")
+    named = written(salted_join(member, lowest, "root", "fp").select("fp", "component_id"), "classes")
     return prints.join(named, "fp").select(
         id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", *keep
     )
