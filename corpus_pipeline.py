@@ -33,10 +33,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     found = simhash.near_duplicates(marked, keep=(mark,))
     gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", mark).distinct()
     again = marked.where("doc_id is not null").groupBy("doc_id", mark).count().where("count > 1").select("doc_id", mark)
-    kept = marked.join(gone, ["doc_id", mark], "left_anti")
-    once = kept.join(again, ["doc_id", mark], "left_anti").select(docs.columns)
+    # repeated rows are few: they part first, so that texts move once, for the decisions
+    kept = lambda how: marked.join(again, ["doc_id", mark], how).join(gone, ["doc_id", mark], "left_anti")
+    once = kept("left_anti").select(docs.columns)
     row = F.min(F.struct("text", *[c for c in docs.columns if c != "text"])).alias("row")
-    several = kept.join(again, ["doc_id", mark], "left_semi").groupBy("doc_id", mark).agg(row).select("row.*").select(docs.columns)
+    several = kept("left_semi").groupBy("doc_id", mark).agg(row).select("row.*").select(docs.columns)
     return once.unionByName(several)
 
 
