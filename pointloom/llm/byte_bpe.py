@@ -20,13 +20,36 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from pointloom.llm.shared import map_batches
-from pointloom.llm.token_fields import FieldEncoder
+from pointloom.llm.token_fields import KEEP_CHARS, FieldEncoder
 
 #: Arcs, matches and neighbour tests that one worker keeps.
-KEEP_ARCS, KEEP_PAIRS, KEEP_MATCHES = 400_000, 400_000, 300_000
+KEEP_ARCS, KEEP_PAIRS, KEEP_MATCHES = 400_000, 400_000, 100_000
 START = -1
 
 
+class State(dict):
+    """Arcs by byte: (next state, tokens sent), built when first read.
+
+    ``paths``: the tokens from the last sent one to each live prefix of ``rest``,
+    by length, and to all of it at the end. Most states are met once, so a state
+    keeps no arc before its second miss.
+    """
+
+    __slots__ = ("machine", "sent", "rest", "paths", "met")
+
+    def __init__(self, machine: MergeTransducer, sent: int, rest: bytes, paths: tuple):
+        self.machine, self.sent, self.rest, self.paths, self.met = machine, sent, rest, paths, False
+
+    def __missing__(self, byte: int) -> tuple[State, tuple[int, ...]]:
+        keep = self.met
+        got = self.machine.arc(self, byte, keep)
+        if keep:
+            self[byte] = got
+        else:
+            self.met = True
+        return got
+
+
 class MergeTransducer:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
@@ -40,22 +63,23 @@ class MergeTransducer:
         self.shapes: dict[bytes, tuple] = {}
         self.byte = [bytes((b,)) for b in range(256)]
         self.pairs: dict[tuple[int, int], bool] = {}
+        self.states: dict[tuple[int, bytes], State] = {}
         self.clear()
 
     def clear(self) -> None:
-        self.arcs: dict[int, tuple[int, tuple[int, ...]]] = {}
-        self.states: list[tuple[int, bytes, tuple]] = []
-        self.number: dict[tuple[int, bytes], int] = {}
-        self.state(START, b"", ((),))
+        for state in self.states.values():
+            state.clear()  # arcs lead in circles, which would keep them all
+        self.kept, self.states = 0, {}
+        self.start = self.state(START, b"", ((),), True)
 
-    def state(self, sent: int, rest: bytes, paths: tuple) -> int:
-        """paths: the tokens from the last sent one to each live prefix of ``rest``, by length, and to all of it at the end."""
+    def state(self, sent: int, rest: bytes, paths: tuple, keep: bool) -> State:
         key = (sent, rest)
-        s = self.number.get(key)
-        if s is None:
-            s = self.number[key] = len(self.states)
-            self.states.append((sent, rest, paths))
-        return s
+        got = self.states.get(key)
+        if got is None:
+            got = State(self, sent, rest, paths)
+            if keep:
+                self.states[key] = got
+        return got
 
     def live(self, rest: bytes) -> list[int]:
         return [j for j in range(len(rest)) if rest[j:] in self.longer]
@@ -94,9 +118,10 @@ class MergeTransducer:
         got = self.pairs[a, b] = a == START or self.merged(self.piece[a] + self.piece[b]) == [a, b]
         return got
 
-    def arc(self, s: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        sent, rest, paths = self.states[s]
-        rest += self.byte[byte]
+    def arc(self, state: State, byte: int, keep: bool) -> tuple[State, tuple[int, ...]]:
+        self.kept += keep
+        sent, paths = state.sent, state.paths
+        rest = state.rest + self.byte[byte]
         ends, alive = self.shapes.get(rest) or self.shape(rest)
         for k, token in ends:
             before = paths[k]
@@ -108,7 +133,7 @@ class MergeTransducer:
         else:
             raise ValueError("no token fits")
         if not alive:
-            return self.state(token, b"", ((),)), path
+            return self.state(token, b"", ((),), keep), path
         kept = [paths[k] for k in alive]
         same = 0
         for token in path:
@@ -121,24 +146,20 @@ class MergeTransducer:
             break
         kept.append(path)
         if not same:
-            return self.state(sent, rest, tuple(kept)), ()
+            return self.state(sent, rest, tuple(kept), keep), ()
         out = path[:same]
         drop = sum([len(self.piece[t]) for t in out])
-        return self.state(out[-1], rest[drop:], tuple([p[same:] for p in kept])), out
+        return self.state(out[-1], rest[drop:], tuple([p[same:] for p in kept]), keep), out
 
     def tokens(self, text: bytes) -> list[int]:
-        if len(self.arcs) > KEEP_ARCS:
+        if self.kept > KEEP_ARCS:
             self.clear()
-        arcs, s, out = self.arcs, 0, []
+        state, out = self.start, []
         for byte in text:
-            key = s << 8 | byte
-            got = arcs.get(key)
-            if got is None:
-                got = arcs[key] = self.arc(s, byte)
-            s, sent = got
+            state, sent = state[byte]
             if sent:
                 out += sent
-        out += self.states[s][2][-1]
+        out += state.paths[-1]
         return out
 
 
@@ -210,20 +231,23 @@ class ByteBpe:
         self.encode = FieldEncoder(self.chunk)
 
     def chunk(self, text: str) -> bytes:
+        """Ids of a field after its space, or of what white space joins."""
+        if text[0] == " " and text[1:].isalpha():
+            return self.coded(text)  # one match, which the fields remember
         if len(self.known) > KEEP_MATCHES:
             self.known.clear()
-        body = text[1:]
-        if text[0] == " " and body.isalpha():
-            return self.match(text)  # one match: a space and letters
-        if text[0] == " " and body and body[-1] in ",.;:!?" and body[:-1].isalpha():
-            return self.match(text[:-1]) + self.match(text[-1])
         return b"".join(map(self.match, self.find(text)))
 
+    def coded(self, m: str) -> bytes:
+        return array("I", self.machine.tokens(m.encode())).tobytes()
+
     def match(self, m: str) -> bytes:
+        if m[0] == " " and m[1:].isalpha():
+            return self.encode.word(m[1:])
         got = self.known.get(m)
         if got is None:
-            got = array("I", self.machine.tokens(m.encode())).tobytes()
-            if len(m) <= 40:
+            got = self.coded(m)
+            if len(m) <= KEEP_CHARS:
                 self.known[m] = got
         return got
 

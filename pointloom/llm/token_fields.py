@@ -9,31 +9,64 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-#: Fields remembered by one worker, and the longest that is.
-KEEP_FIELDS, KEEP_CHARS = 700_000, 40
+#: Fields that each of two generations of one worker holds, and the longest that is.
+KEEP_FIELDS, KEEP_CHARS = 400_000, 40
+#: Marks that are one match of their own between a word and a space.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 class FieldEncoder:
-    """Ids of whole texts as little-endian 32-bit integers, by ``encode(chunk) -> bytes`` on fields."""
+    """Ids of whole texts as little-endian 32-bit integers, by ``encode(chunk) -> bytes`` on fields.
+
+    A full generation of remembered fields becomes the old one, from which fields
+    that come again are taken over.
+    """
 
     def __init__(self, encode: Callable[[str], bytes]):
-        self.encode, self.known = encode, {}
+        self.encode = encode
+        self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
 
     def __call__(self, text: str) -> bytes:
         if not text:
             return b""
+        if len(self.known) > KEEP_FIELDS:
+            self.old, self.known = self.known, {}
         fields = text.split(" ")
-        known = self.known
-        found: list = list(map(known.get, fields))
+        found: list = list(map(self.known.get, fields))
         found[0] = None
-        if None in found:
-            if len(known) > KEEP_FIELDS:
-                known.clear()
-            self.fill(fields, found)
+        self.fill(fields, found)
         return b"".join(found)
 
+    def word(self, f: str) -> bytes:
+        """Ids of a field that stands after a space."""
+        got = self.known.get(f) or self.old.get(f)
+        if got is None:
+            got = self.encode(" " + f)
+        if len(f) <= KEEP_CHARS:
+            self.known[f] = got
+        return got
+
+    def field(self, f: str) -> bytes:
+        """The same; marks behind a word are encoded for themselves."""
+        stem = f.rstrip(MARKS)
+        if len(stem) == len(f) or not stem.isalpha():
+            return self.word(f)
+        tail = f[len(stem) :]
+        sent = self.marks.get(tail)
+        if sent is None:
+            sent = self.encode(tail)
+            if len(tail) <= KEEP_CHARS and len(self.marks) < KEEP_FIELDS:
+                self.marks[tail] = sent
+        often = stem in self.known
+        got = self.word(stem) + sent
+        if often and len(f) <= KEEP_CHARS:
+            self.known[f] = got
+        return got
+
     def fill(self, fields: list[str], found: list) -> None:
-        known, encode, n = self.known, self.encode, len(fields)
+        n = len(fields)
         after = 0
         for i in [k for k, v in enumerate(found) if v is None]:
             if i < after:
@@ -42,12 +75,7 @@ class FieldEncoder:
             if i and f and not f[0].isspace() and not f[-1].isspace():
                 before = fields[i - 1]
                 if before and not before[-1].isspace():
-                    got = known.get(f)
-                    if got is None:
-                        got = encode(" " + f)
-                        if len(f) <= KEEP_CHARS:
-                            known[f] = got
-                    found[i] = got
+                    found[i] = self.field(f)
                     continue
             a, b = i, i + 1  # white space joins fields until both sides of a space are clear
             while a > 0 and (not fields[a] or fields[a][0].isspace() or not fields[a - 1] or fields[a - 1][-1].isspace()):
@@ -55,5 +83,5 @@ class FieldEncoder:
             while b < n and (not fields[b] or fields[b][0].isspace() or not fields[b - 1] or fields[b - 1][-1].isspace()):
                 b += 1
             found[a:b] = [b""] * (b - a)
-            found[b - 1] = encode((" " if a else "") + " ".join(fields[a:b]))
+            found[b - 1] = self.encode((" " if a else "") + " ".join(fields[a:b]))
             after = b
