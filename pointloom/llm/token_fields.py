@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 #: Fields that each of two generations of one worker holds, and the longest that is.
-KEEP_FIELDS, KEEP_CHARS = 400_000, 40
+KEEP_FIELDS, KEEP_CHARS = 200_000, 40
 #: Marks that are one match of their own between a word and a space.
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
