@@ -35,6 +35,7 @@ def without_gc():
         yield
     finally:
         if was:
+            gc.collect()  # freezing would keep unreachable circles for good
             gc.freeze()  # what the worker keeps for its next task is never walked
             gc.enable()
 
