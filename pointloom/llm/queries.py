@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from pointloom.llm import byte_bpe, forest, html_text, packing, pivots, repeats, simhash, token_counts, toxicity, warc
+from pointloom.llm import byte_bpe, forest, html_text, kd_trees, packing, pivots, repeats, simhash, spelling, token_counts, toxicity, warc, whitening
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,6 +63,34 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_text(table(spark, sf_dir, "pages"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+OP13 = """
+WITH held AS (
+  SELECT vec_id, list_transform(embedding, lambda c: floor(64 * CAST(c AS DOUBLE))) AS x
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, r.vec_id, CAST(list_dot_product(q.x, r.x) AS BIGINT) AS score
+  FROM held q JOIN held r ON q.vec_id % 20 = 0 AND q.vec_id <> r.vec_id
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored
+)
+SELECT * FROM ranked WHERE rank <= 20
+"""
+
+
+def op13_kd_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return kd_trees.top_k(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -71,10 +99,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
-            op1_token_counts, op2_packing, op3_toxicity, op4_warc, op5_forest, op6_simhash, op7_byte_bpe, op8_suffix_repeats, op9_pivots, op10_html_text, pipeline,
+            op1_token_counts, op2_packing, op3_toxicity, op4_warc, op5_forest, op6_simhash, op7_byte_bpe, op8_suffix_repeats, op9_pivots, op10_html_text,
+            op11_spelling, op12_whitening, op13_kd_trees, pipeline,
         )
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}
+    found = {"op13_kd_trees": OP13}
+    return found if corpus_pipeline.ORACLE_SQL is None else found | {"pipeline": corpus_pipeline.ORACLE_SQL}
