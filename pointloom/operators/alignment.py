@@ -117,34 +117,3 @@ def region_appearance(region: DataFrame, key: list[str], bins: tuple[int, int, i
         at = F.least(F.floor(F.col(c) * n), F.lit(n - 1))
         aggs += [(F.count_if(at == k) / F.count("*")).alias(f"{c}_{k}") for k in range(n)]
     return df.groupBy(*key).agg(*aggs)
-
-
-def class_aware_split(frame_classes: DataFrame, share: float = 0.2, seed: int = 1) -> DataFrame:
-    """DOM12: frames in hash order, the first ``share`` to validation; then, per class, repairs.
-
-    A class of one frame stays in training; one of several has a frame on both sides
-    where another class's needs don't forbid it. Classes are repaired by frequency, the
-    rarest last, so that they win. A repair moves a class's first or last frame in hash
-    order, so the driver needs four values a class and the classes of these frames.
-    """
-    pairs = frame_classes.where("label is not null and frame_ord is not null").select("frame_ord", "label").distinct()
-    score = (F.pmod(F.xxhash64("frame_ord", F.lit(seed)), F.lit(1_000_003)) / 1_000_003.0).alias("score")
-    split = frame_classes.select("frame_ord").distinct().select("frame_ord", score).withColumn("split", F.when(F.col("score") < share, "val").otherwise("train"))
-    place = F.struct("score", "frame_ord")
-    ends = pairs.join(split, "frame_ord").groupBy("label").agg(F.count("*").alias("n"), F.count_if(F.col("split") == "val").alias("val"), F.min(place)["frame_ord"].alias("low"), F.max(place)["frame_ord"].alias("high"))
-    movable = ends.select(F.explode(F.array("low", "high")).alias("frame_ord")).distinct()
-    classes, side = {}, {}
-    for r in pairs.join(movable, "frame_ord").join(split, "frame_ord").select("frame_ord", "label", "split").collect():
-        classes.setdefault(r["frame_ord"], []).append(r["label"])
-        side[r["frame_ord"]] = r["split"]
-    found = sorted(ends.collect(), key=lambda r: (-r["n"], r["label"]))
-    val, moved = {r["label"]: r["val"] for r in found}, {}
-    for r in found:
-        frame, to = (r["low"], "train") if r["n"] == 1 else (r["low"], "val") if val[r["label"]] == 0 else (r["high"], "train") if val[r["label"]] == r["n"] else (None, None)
-        if to and side[frame] != to:
-            side[frame] = moved[frame] = to
-            for label in classes[frame]:
-                val[label] += 1 if to == "val" else -1
-    kind = frame_classes.schema["frame_ord"].dataType.simpleString()
-    moves = frame_classes.sparkSession.createDataFrame(list(moved.items()), f"frame_ord {kind}, `to` string")
-    return split.join(moves, "frame_ord", "left").select("frame_ord", F.coalesce("to", "split").alias("split"))

@@ -1,13 +1,12 @@
-"""Detections and their masks: filters, overlaps, suppression, clusters, composition.
+"""Detections: filters, suppression, clusters, matches, geometry.
 
-A mask is a set of runs (image, v, u0, u1): columns u0 to u1 - 1 of row v. Overlaps
-are counted band by band of an image; only the greedy choices among detections of one image, which
+A mask is a set of runs (image, v, u0, u1): columns u0 to u1 - 1 of row v; ``masks`` has
+what works on these alone. Only the greedy choices among detections of one image, which
 depend on what was chosen before, run as grouped pandas functions on pair lists.
 """
 
 from __future__ import annotations
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,7 +20,6 @@ GEOMETRY = {
 }
 # Label -> (most width, most height, most area).
 SIZES = {"arrestor": (0.4, 0.15, 0.07), "wheel_chock": (0.4, 0.15, 0.07), "blind_spot_mirror": (0.5, 0.5, 0.25)}
-DOMINANT = (("ground_markings", "epoxy_floor"), ("license_plate&taillights", "vehicle"))
 
 
 def rule_table(like: DataFrame, geometry: dict = GEOMETRY, sizes: dict = SIZES) -> DataFrame:
@@ -66,50 +64,6 @@ def areas(masks: DataFrame) -> DataFrame:
     return masks.groupBy("image_id", "det_id").agg(F.sum(F.col("u1") - F.col("u0")).alias("area"))
 
 
-#: Rows of an image that meet in one task.
-BAND = 256
-
-
-def overlaps(masks: DataFrame, labels: DataFrame | None = None) -> DataFrame:
-    """JOI10: intersection, IoU, containment and overlap coefficient of detections of one image that meet.
-
-    An image is cut into bands of rows. In a band the ends of all runs cut each row into
-    stretches that a detection covers whole or not at all; a product of that table with
-    itself counts the pixels of every pair at once. Sums over the bands are the result.
-    With ``labels`` (image_id, det_id, label) only detections of one label are paired.
-    """
-    size = F.sum(F.col("u1") - F.col("u0")).over(Window.partitionBy("image_id", "det_id")).alias("area")
-    known = masks.select("image_id", "det_id", "v", "u0", "u1", size)
-    keys = ["image_id", "band"]
-    if labels is not None:
-        known, keys = known.join(labels.select("image_id", "det_id", "label"), ["image_id", "det_id"]), [*keys, "label"]
-
-    def pairs(group: pd.DataFrame) -> pd.DataFrame:
-        det, who = np.unique(group["det_id"].to_numpy(), return_inverse=True)
-        area = np.zeros(len(det), np.int64)
-        area[who] = group["area"].to_numpy()
-        v, u0, u1 = (group[c].to_numpy() for c in ("v", "u0", "u1"))
-        low = u0.min()
-        row = (v - v.min()) * (u1.max() - low + 1) - low  # places of a row follow those of the one above
-        edges = np.unique(np.concatenate([row + u0, row + u1]))
-        first, last = np.searchsorted(edges, row + u0), np.searchsorted(edges, row + u1)
-        n = last - first
-        at = np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        both = np.zeros((len(det), len(det)))
-        for begin in range(0, len(edges) - 1, 4096):
-            part = np.flatnonzero((at >= begin) & (at < begin + 4096))
-            held = np.zeros((len(det), min(4096, len(edges) - 1 - begin)), np.float32)
-            held[np.repeat(who, n)[part], at[part] - begin] = 1
-            both += (held * np.diff(edges[begin : begin + held.shape[1] + 1])) @ held.T
-        a, b = np.nonzero(np.triu(both, 1))
-        return pd.DataFrame({"image_id": group["image_id"].iloc[0], "a": det[a], "b": det[b], "intersection": both[a, b].astype(np.int64), "area_a": area[a], "area_b": area[b]})
-
-    met = known.withColumn("band", F.floor(F.col("v") / BAND)).groupBy(*keys).applyInPandas(pairs, "image_id bigint, a bigint, b bigint, intersection bigint, area_a bigint, area_b bigint")
-    shared = met.groupBy("image_id", "a", "b", "area_a", "area_b").agg(F.sum("intersection").alias("intersection"))
-    i, x, y = F.col("intersection"), F.col("area_a"), F.col("area_b")
-    return shared.withColumns({"iou": i / (x + y - i), "containment": F.greatest(i / x, i / y), "overlap": i / F.least(x, y)})
-
-
 def suppressed(detections: DataFrame, pairs: DataFrame, most: float = 0.5) -> DataFrame:
     """DOM16: per image and label, by falling score, a detection goes if its IoU with a kept one exceeds ``most``."""
     d = detections.select("image_id", "det_id", "label", "score")
@@ -147,40 +101,6 @@ def clusters(detections: DataFrame, pairs: DataFrame, iou: float = 0.55, contain
     return listed.groupBy("image_id").applyInPandas(assign, "image_id bigint, det_id bigint, cluster_id bigint")
 
 
-def composed(masks: DataFrame, detections: DataFrame, dominant: tuple = DOMINANT, least: int = 0) -> DataFrame:
-    """DOM18: per pixel a fold over its detections by falling score; those of fewer than ``least`` pixels take no part.
-
-    A detection paints where its score is higher, or its label dominates the present one, and isn't dominated by it.
-    """
-    if least > 0:
-        masks = masks.withColumn("area", F.sum(F.col("u1") - F.col("u0")).over(Window.partitionBy("image_id", "det_id"))).where(F.col("area") >= least).drop("area")
-    pixels = masks.join(detections.select("image_id", "det_id", "label", "score"), ["image_id", "det_id"]).select(
-        "image_id", "v", F.explode(F.sequence("u0", F.col("u1") - 1)).alias("u"), F.struct((-F.col("score")).alias("neg"), "det_id", "label", "score").alias("item")
-    )
-    over = lambda a, b: F.coalesce(F.array_contains(F.array(*[F.lit(f"{x}>{y}") for x, y in dominant]), F.concat(a, F.lit(">"), b)), F.lit(False))
-    start = F.struct(F.lit("").alias("label"), F.lit(0.0).alias("conf"), F.lit(None).cast("bigint").alias("det_id"))
-
-    def paint(state: Column, item: Column) -> Column:
-        wins = ((item["score"] > state["conf"]) | over(item["label"], state["label"])) & ~over(state["label"], item["label"])
-        return F.when(wins, F.struct(item["label"].alias("label"), item["score"].alias("conf"), item["det_id"].alias("det_id"))).otherwise(state)
-
-    folded = pixels.groupBy("image_id", "v", "u").agg(F.aggregate(F.array_sort(F.collect_list("item")), start, paint).alias("s"))
-    return folded.select("image_id", "v", "u", "s.label", F.col("s.conf").alias("confidence"), "s.det_id")
-
-
-def video_composed(masks: DataFrame, detections: DataFrame) -> DataFrame:
-    """DOM19: per pixel the highest score, the last detection of equal ones."""
-    pixels = masks.join(detections.select("image_id", "det_id", "label", "score"), ["image_id", "det_id"]).select(
-        "image_id", "v", F.explode(F.sequence("u0", F.col("u1") - 1)).alias("u"), "label", "score", "det_id"
-    )
-    return pixels.groupBy("image_id", "v", "u").agg(F.max_by("label", F.struct("score", "det_id")).alias("label"), F.max("score").alias("confidence"))
-
-
-def image_presence(composed_pixels: DataFrame, least: int) -> DataFrame:
-    """DOM22: labels that hold at least ``least`` pixels of an image."""
-    return composed_pixels.where("label <> ''").groupBy("image_id", "label").agg(F.count("*").alias("pixels")).where(F.col("pixels") >= least)
-
-
 def mask_geometry(masks: DataFrame) -> DataFrame:
     """AGG17: bounds, area, centroid, fill and perimeter of each mask, from its runs.
 
@@ -235,14 +155,6 @@ def greedy_matches(vehicles: DataFrame, views: DataFrame, pairs: DataFrame, leas
     return asked.groupBy("image_id").applyInPandas(take, "image_id bigint, det_id bigint, view bigint, orientation string")
 
 
-def visible_fragments(pixels: DataFrame, masks: DataFrame, detections: DataFrame, least: int = 1) -> DataFrame:
-    """DOM20: composed pixels that each detection still shows: own label, its score within 1e-6 of the pixel's, first claimant, at least ``least`` of them."""
-    own = masks.join(detections.select("image_id", "det_id", "label", "score"), ["image_id", "det_id"]).select("image_id", "v", F.explode(F.sequence("u0", F.col("u1") - 1)).alias("u"), "det_id", "label", "score")
-    shown = own.join(pixels.select("image_id", "v", "u", F.col("label").alias("top"), "confidence"), ["image_id", "v", "u"]).where((F.col("label") == F.col("top")) & (F.abs(F.col("score") - F.col("confidence")) <= 1e-6))
-    first = shown.groupBy("image_id", "v", "u").agg(F.min("det_id").alias("det_id"))
-    return first.groupBy("image_id", "det_id").agg(F.count("*").alias("visible")).where(F.col("visible") >= least)
-
-
 def routed(predictions: DataFrame, probabilities: str, classes: list[str], confidence: float, margin: float, fallback: str, drop: str | None = None) -> DataFrame:
     """DOM21: a classifier's label where sure, else ``fallback`` with the reasons; rows of class ``drop`` go."""
     from pointloom.functions.scalars import top_two

@@ -113,40 +113,3 @@ def recovered(manifest: DataFrame, recovery: DataFrame, keep: tuple[str, ...]) -
     joined = manifest.join(r, "sample_id", "left")
     pick = lambda c: F.coalesce(F.col(c), F.col(f"r_{c}")) if c in keep else F.coalesce(F.col(f"r_{c}"), F.col(c))
     return joined.select("sample_id", *[(pick(c) if f"r_{c}" in joined.columns else F.col(c)).alias(c) for c in manifest.columns if c != "sample_id"])
-
-
-def hashed_place(key: str, seed: int) -> Column:
-    """A place that the key alone decides, on any cluster and in any SQL."""
-    return F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")).cast("binary"))
-
-
-def grouped_split(manifest: DataFrame, shares: tuple[float, float, float] = (0.7, 0.15, 0.15), seed: int = 1) -> DataFrame:
-    """DOM14: each source in one split, classes near their quotas, rare classes first.
-
-    A source belongs to the rarest of its classes. Within a class, sources in hash order
-    take their place on a line as long as all their samples; the quota that holds the
-    middle of a source's stretch is its split. So a class's quotas are met within a source.
-    """
-    counts = manifest.groupBy("source_id", "label").agg(F.count("*").alias("n"))
-    totals = counts.groupBy("label").agg(F.sum("n").alias("total"))
-    sources = counts.join(totals, "label").groupBy("source_id").agg(F.min(F.struct("total", "label"))["label"].alias("stratum"), F.sum("n").alias("size"))
-    line = Window.partitionBy("stratum").orderBy(hashed_place("source_id", seed), "source_id")
-    end = F.sum("size").over(line.rowsBetween(Window.unboundedPreceding, 0))
-    middle = (end - F.col("size") / 2) / F.sum("size").over(Window.partitionBy("stratum"))
-    split = F.when(middle < shares[0], "train").when(middle < shares[0] + shares[1], "val").otherwise("test")
-    return manifest.join(sources.select("source_id", split.alias("new_split")), "source_id")
-
-
-def rare_class_split(frame_classes: DataFrame, share: float = 0.2, seed: int = 1) -> DataFrame:
-    """DOM13: validation frames of every class, each belonging to the rarest of its frame; each class keeps a training frame.
-
-    Of a class's n frames in hash order the first ``share`` of n validate. A class whose
-    frames would all validate has its smallest frame back in training.
-    """
-    pairs = frame_classes.select("frame_ord", "label").distinct()
-    totals = pairs.groupBy("label").agg(F.count("*").alias("total"))
-    frames = pairs.join(totals, "label").groupBy("frame_ord").agg(F.min(F.struct("total", "label"))["label"].alias("stratum"))
-    place = F.row_number().over(Window.partitionBy("stratum").orderBy(hashed_place("frame_ord", seed), "frame_ord"))
-    first = frames.select("frame_ord", (place <= F.floor(F.count("*").over(Window.partitionBy("stratum")) * share)).alias("val"))
-    gone = pairs.join(first, "frame_ord").groupBy("label").agg(F.bool_and("val").alias("all"), F.min("frame_ord").alias("frame_ord")).where("all").select("frame_ord", F.lit(True).alias("back")).distinct()
-    return first.join(gone, "frame_ord", "left").select("frame_ord", F.when(F.col("val") & F.col("back").isNull(), "val").otherwise("train").alias("split"))

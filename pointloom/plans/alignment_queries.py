@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from pointloom.functions import scalars as S
 from pointloom.operators import alignment as A
 from pointloom.operators import detections as D
-from pointloom.operators import features, matching
-from pointloom.plans.detection_queries import PIXELS
+from pointloom.operators import masks as M
+from pointloom.operators import features, matching, splits
+from pointloom.plans.detection_queries import PIXELS, RANKED
 from pointloom.plans.registry import query
 from pointloom.plans.views import oracle, table, view
 
@@ -112,14 +113,23 @@ def dom24(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("dom12_class_aware_split")
 def dom12(spark: SparkSession, sf: str) -> DataFrame:
-    return A.class_aware_split(view(spark, sf, "points").select("frame_ord", F.col("gt").alias("label")).distinct())
+    return splits.class_aware_split(view(spark, sf, "points").groupBy("frame_ord", F.col("gt").alias("label")).agg(F.count("*").alias("n")))
 
 
-@query("dom20_visible_fragments", oracle(f"WITH {PIXELS}, t AS (SELECT *, arg_max(label, (score, det_id)) OVER w AS top, max(score) OVER w AS conf FROM px WINDOW w AS (PARTITION BY image_id, v, u)), f AS (SELECT image_id, v, u, min(det_id) AS det_id FROM t WHERE label = top AND abs(score - conf) <= 1e-6 GROUP BY ALL) SELECT image_id, det_id, count(*) AS visible FROM f GROUP BY ALL HAVING count(*) >= 5", "detections"))
+#: Claims of an image's detections in turn, one rank a step, on what the video composition shows.
+CLAIMS = f"""WITH RECURSIVE {PIXELS}, {RANKED}, top AS (SELECT image_id, v, u, arg_max(label, (score, det_id)) AS label, max(score) AS conf FROM px GROUP BY ALL),
+ fits AS (SELECT px.image_id, r.rank, px.v * 1000 + px.u AS place FROM px JOIN top USING (image_id, v, u) JOIN r ON r.det_id = px.det_id WHERE px.label = top.label AND abs(px.score - conf) <= 1e-6 + 1e-5 * abs(px.score)),
+ l AS MATERIALIZED (SELECT r.image_id, r.rank, r.det_id, coalesce(list(place) FILTER (place IS NOT NULL), []) AS places FROM r LEFT JOIN fits USING (image_id, rank) GROUP BY ALL),
+ step AS (SELECT DISTINCT 0::BIGINT AS rank, image_id, NULL::BIGINT AS det_id, []::BIGINT[] AS taken, 0::BIGINT AS visible FROM r
+  UNION ALL SELECT rank, image_id, det_id, CASE WHEN len(mine) >= 5 THEN list_concat(taken, mine) ELSE taken END, len(mine) FROM (SELECT l.rank, l.image_id, l.det_id, s.taken, list_filter(places, lambda x: NOT list_contains(s.taken, x)) AS mine FROM step s JOIN l ON l.image_id = s.image_id AND l.rank = s.rank + 1))
+ SELECT image_id, det_id, visible FROM step WHERE rank > 0 AND visible >= 5"""
+
+
+@query("dom20_visible_fragments", oracle(CLAIMS, "detections"))
 def dom20(spark: SparkSession, sf: str) -> DataFrame:
     d = view(spark, sf, "detections")
     r = D.runs(d)
-    return D.visible_fragments(D.video_composed(r, d), r, d, 5)
+    return M.visible_fragments(M.video_composed(r, d), r, d, 5).groupBy("image_id", "det_id").agg(F.sum(F.col("u1") - F.col("u0")).alias("visible"))
 
 
 @query("dom21_routed", oracle("""WITH v AS (SELECT vec_id, list_transform(embedding[1:3], lambda x: abs(x::DOUBLE)) AS p FROM embeddings), s AS (SELECT *, list_reverse_sort(p) AS q, list_sum(p) AS t FROM v), k AS (SELECT vec_id, list_position(p, q[1]) AS best, round(q[1] / t, 6) AS c, round((q[1] - q[2]) / t, 6) AS m FROM s)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pointloom.functions import scalars as S
 from pointloom.operators import detections as D
+from pointloom.operators import masks as M
 from pointloom.plans.registry import query
 from pointloom.plans.views import oracle, view
 
@@ -20,6 +21,42 @@ pairs AS (SELECT met.*, p.w * p.h AS area_a, q.w * q.h AS area_b FROM met JOIN d
 PIXELS = f"{RUNS}, px AS (SELECT r.image_id, r.v, CAST(unnest(range(r.u0, r.u1)) AS BIGINT) AS u, r.det_id, d.label, d.score FROM runs r JOIN detections d USING (det_id))"
 
 
+#: Detections of all images in turn, one rank a step: which of an image's detections owns each place.
+PAINTED = """WITH RECURSIVE d AS MATERIALIZED (SELECT image_id, det_id, label, score, u0, v0, w, h, row_number() OVER (PARTITION BY image_id ORDER BY score DESC, det_id) AS rank FROM detections),
+ e AS MATERIALIZED (SELECT image_id, list(label ORDER BY rank) AS labels, list(score ORDER BY rank) AS scores FROM d GROUP BY image_id),
+ g AS (SELECT max(u0 + w) AS wide, max(v0 + h) AS high FROM detections),
+ step AS (
+  SELECT 0::BIGINT AS rank, image_id, list_transform(range(wide * high), lambda x: 0) AS owner FROM e, g
+  UNION ALL
+  SELECT rank, image_id, CASE WHEN list_sum(won) >= 40 THEN list_transform(owner, lambda o, i: CASE WHEN won[i] = 1 THEN CAST(rank AS INTEGER) ELSE o END) ELSE owner END
+  FROM (SELECT d.rank, d.image_id, s.owner, CASE WHEN d.w * d.h < 40 THEN [0] ELSE list_transform(s.owner, lambda o, i: CASE
+     WHEN (i - 1) % wide < d.u0 OR (i - 1) % wide >= d.u0 + d.w OR (i - 1) // wide < d.v0 OR (i - 1) // wide >= d.v0 + d.h THEN 0
+     WHEN o = 0 THEN CASE WHEN d.score > 0 THEN 1 ELSE 0 END
+     WHEN labels[o] = '5-LOW' AND d.label = '1-URGENT' THEN 0
+     WHEN d.score > scores[o] OR d.label = '5-LOW' AND labels[o] = '1-URGENT' THEN 1 ELSE 0 END) END AS won
+   FROM step s JOIN d ON d.image_id = s.image_id AND d.rank = s.rank + 1 JOIN e ON e.image_id = s.image_id, g)),
+ done AS (SELECT image_id, arg_max(owner, rank) AS owner FROM step GROUP BY image_id),
+ px AS (SELECT image_id, unnest(owner) AS rank, CAST(unnest(range(len(owner))) AS BIGINT) AS place FROM done)
+"""
+RANKED = "r AS (SELECT image_id, det_id, label, score, row_number() OVER (PARTITION BY image_id ORDER BY score DESC, det_id) AS rank FROM detections)"
+EARLIER = f"""{PAIRS}, {RANKED}, fits AS (SELECT x.image_id, greatest(x.rank, y.rank) AS rank, least(x.rank, y.rank) AS other, CASE WHEN x.rank < y.rank THEN a ELSE b END AS det, x.label = y.label AS alike, intersection::DOUBLE / (area_a + area_b - intersection) AS iou, greatest(intersection::DOUBLE / area_a, intersection::DOUBLE / area_b) AS containment FROM pairs JOIN r x ON x.det_id = a JOIN r y ON y.det_id = b)"""
+NMS = f"""WITH RECURSIVE {EARLIER}, near AS (SELECT image_id, rank, list(other) AS others FROM fits WHERE alike AND iou > 5e-1 GROUP BY ALL), l AS MATERIALIZED (SELECT r.image_id, r.rank, coalesce(others, []) AS others FROM r LEFT JOIN near USING (image_id, rank)),
+ step AS (SELECT DISTINCT 0::BIGINT AS rank, image_id, []::BOOLEAN[] AS kept FROM r UNION ALL SELECT l.rank, s.image_id, list_append(kept, len(list_filter(others, lambda o: kept[o])) = 0) FROM step s JOIN l ON l.image_id = s.image_id AND l.rank = s.rank + 1)
+ SELECT r.image_id, det_id FROM r JOIN (SELECT image_id, arg_max(kept, rank) AS kept FROM step GROUP BY image_id) USING (image_id) WHERE kept[rank]"""
+CLUSTERS = f"""WITH RECURSIVE {EARLIER}, near AS (SELECT image_id, rank, list({{'fit': -greatest(iou, containment), 'det': det, 'other': other}}) AS others FROM fits WHERE iou >= 55e-2 OR containment >= 8e-1 GROUP BY ALL), l AS MATERIALIZED (SELECT r.image_id, r.rank, coalesce(others, []) AS others FROM r LEFT JOIN near USING (image_id, rank)),
+ step AS (SELECT DISTINCT 0::BIGINT AS rank, image_id, []::BIGINT[] AS heads FROM r UNION ALL SELECT l.rank, s.image_id, list_append(heads, coalesce(list_sort(list_filter(others, lambda o: heads[o.other] = o.other))[1].other, l.rank)) FROM step s JOIN l ON l.image_id = s.image_id AND l.rank = s.rank + 1)
+ SELECT r.image_id, r.det_id, h.det_id AS cluster_id FROM r JOIN (SELECT image_id, arg_max(heads, rank) AS heads FROM step GROUP BY image_id) USING (image_id) JOIN r h ON h.image_id = r.image_id AND h.rank = heads[r.rank]"""
+GREEDY = f"""WITH RECURSIVE {PAIRS}, o AS (SELECT det_id, prompt, label, score FROM detections), sided AS (SELECT image_id, a AS vehicle, b AS seen, area_a, area_b, intersection FROM pairs UNION ALL SELECT image_id, b, a, area_a, area_b, intersection FROM pairs),
+ fits AS (SELECT vehicle, list({{'fit': -(v.score * (5e-1 + 5e-1 * (intersection::DOUBLE / least(area_a, area_b)))), 'seen': seen, 'label': v.label}}) AS offers FROM sided JOIN o v ON v.det_id = seen JOIN o c ON c.det_id = vehicle WHERE v.prompt = 'F' AND c.prompt = 'O' AND intersection::DOUBLE / least(area_a, area_b) >= 5e-1 GROUP BY vehicle),
+ l AS MATERIALIZED (SELECT image_id, det_id, row_number() OVER (PARTITION BY image_id ORDER BY score DESC, det_id) AS rank, coalesce(offers, []) AS offers FROM detections LEFT JOIN fits ON vehicle = det_id WHERE prompt = 'O'),
+ step AS (SELECT DISTINCT 0::BIGINT AS rank, image_id, NULL::BIGINT AS det_id, []::BIGINT[] AS used, NULL::BIGINT AS seen, NULL::VARCHAR AS label FROM l
+  UNION ALL SELECT rank, image_id, det_id, CASE WHEN pick IS NULL THEN used ELSE list_append(used, pick.seen) END, pick.seen, pick.label FROM (SELECT l.rank, l.image_id, l.det_id, s.used, list_sort(list_filter(offers, lambda x: NOT list_contains(s.used, x.seen)))[1] AS pick FROM step s JOIN l ON l.image_id = s.image_id AND l.rank = s.rank + 1))
+ SELECT image_id, det_id, seen AS "view", coalesce(label, 'side') AS orientation FROM step WHERE rank > 0"""
+
+
+LOW_OVER_URGENT = (("5-LOW", "1-URGENT"),)
+
+
 def boxed(spark: SparkSession, sf: str) -> DataFrame:
     d = view(spark, sf, "detections")
     return d.select("det_id", "label", ((F.col("u0") - 2) / 40.0).alias("bx"), (F.col("v0") / 30.0).alias("by"), (F.col("w") / 40.0).alias("bw"), (F.col("h") / 30.0).alias("bh"))
@@ -69,55 +106,56 @@ def flt6(spark: SparkSession, sf: str) -> DataFrame:
 @query("joi10_mask_overlap", oracle(f"""WITH {PAIRS} SELECT image_id, a, b, intersection, round(intersection::DOUBLE / (area_a + area_b - intersection), 6) AS iou,
  round(greatest(intersection::DOUBLE / area_a, intersection::DOUBLE / area_b), 6) AS containment, round(intersection::DOUBLE / least(area_a, area_b), 6) AS overlap FROM pairs""", "detections"))
 def joi10(spark: SparkSession, sf: str) -> DataFrame:
-    p = D.overlaps(D.runs(small(spark, sf)))
+    p = M.overlaps(D.runs(small(spark, sf)))
     return p.select("image_id", "a", "b", "intersection", *[F.round(c, 6).alias(c) for c in ("iou", "containment", "overlap")])
 
 
 def pairs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     d = small(spark, sf)
-    return d, D.overlaps(D.runs(d))
+    return d, M.overlaps(D.runs(d))
 
 
-@query("dom16_mask_nms")
+@query("dom16_mask_nms", oracle(NMS, "detections"))
 def dom16(spark: SparkSession, sf: str) -> DataFrame:
     d = small(spark, sf)
-    return D.suppressed(d, D.overlaps(D.runs(d), d))
+    return D.suppressed(d, M.overlaps(D.runs(d), d))
 
 
-@query("dom17_clusters")
+@query("dom17_clusters", oracle(CLUSTERS, "detections"))
 def dom17(spark: SparkSession, sf: str) -> DataFrame:
     d, p = pairs(spark, sf)
     return D.clusters(d, p)
 
 
-@query("joi11_greedy_matches")
+@query("joi11_greedy_matches", oracle(GREEDY, "detections"))
 def joi11(spark: SparkSession, sf: str) -> DataFrame:
     d, p = pairs(spark, sf)
     return D.greedy_matches(d.where("prompt = 'O'"), d.where("prompt = 'F'"), p)
 
 
-@query("dom18_composition")
+@query("dom18_composition", oracle("""WITH {PIXELS} SELECT image_id, v, u, top.label AS label, round(-top.neg, 6) AS confidence FROM (SELECT image_id, v, u, list_reduce(list_sort(list({'neg': -score, 'det_id': det_id, 'label': label})),
+ lambda a, x: CASE WHEN NOT (a.label = '5-LOW' AND x.label = '1-URGENT') AND (x.neg < a.neg OR x.label = '5-LOW' AND a.label = '1-URGENT') THEN x ELSE a END) AS top FROM px GROUP BY ALL)""".replace("{PIXELS}", PIXELS), "detections"))
 def dom18(spark: SparkSession, sf: str) -> DataFrame:
     d = small(spark, sf)
-    return D.composed(D.runs(d), d, (("5-LOW", "1-URGENT"),)).select("image_id", "v", "u", "label", F.round("confidence", 6).alias("confidence"))
+    return M.pixels(M.composed(D.runs(d), d, LOW_OVER_URGENT)).select("image_id", "v", "u", "label", F.round("confidence", 6).alias("confidence"))
 
 
 @query("dom18_composition_plain", oracle(f"WITH {PIXELS} SELECT image_id, v, u, arg_min(label, (-score, det_id)) AS label, round(max(score), 6) AS confidence FROM px GROUP BY ALL", "detections"))
 def dom18_plain(spark: SparkSession, sf: str) -> DataFrame:
     d = small(spark, sf)
-    return D.composed(D.runs(d), d, (("none", "none"),)).select("image_id", "v", "u", "label", F.round("confidence", 6).alias("confidence"))
+    return M.pixels(M.composed(D.runs(d), d, ())).select("image_id", "v", "u", "label", F.round("confidence", 6).alias("confidence"))
 
 
 @query("dom19_video_composition", oracle(f"WITH {PIXELS} SELECT image_id, v, u, arg_max(label, (score, det_id)) AS label, round(max(score), 6) AS confidence FROM px GROUP BY ALL", "detections"))
 def dom19(spark: SparkSession, sf: str) -> DataFrame:
     d = small(spark, sf)
-    return D.video_composed(D.runs(d), d).withColumn("confidence", F.round("confidence", 6))
+    return M.pixels(M.video_composed(D.runs(d), d)).select("image_id", "v", "u", "label", F.round("confidence", 6).alias("confidence"))
 
 
 @query("dom22_image_presence", oracle(f"WITH {PIXELS}, w AS (SELECT image_id, v, u, arg_max(label, (score, det_id)) AS label FROM px GROUP BY ALL) SELECT image_id, label, count(*) AS pixels FROM w GROUP BY ALL HAVING count(*) >= 20", "detections"))
 def dom22(spark: SparkSession, sf: str) -> DataFrame:
     d = small(spark, sf)
-    return D.image_presence(D.video_composed(D.runs(d), d), 20)
+    return M.image_presence(M.video_composed(D.runs(d), d), 20)
 
 
 @query("agg17_mask_geometry", oracle("""SELECT image_id, det_id, u0 AS min_u, u0 + w AS max_u, v0 AS min_v, v0 + h AS max_v, w * h AS area, round(u0 + (w - 1) / 2e0, 6) AS cu, round(v0 + (h - 1) / 2e0, 6) AS cv,
@@ -156,10 +194,10 @@ def fn24(spark: SparkSession, sf: str) -> DataFrame:
     return view(spark, sf, "detections").select("det_id", S.in_split_circle("u0", "v0", (20.0, 15.0), 10.0, 15.0).alias("inside"))
 
 
-@query("dom18_composition_least_area", oracle(f"WITH {PIXELS} SELECT image_id, v, u, arg_min(label, (-score, det_id)) AS label, round(max(score), 6) AS confidence FROM px JOIN (SELECT det_id FROM detections WHERE w * h >= 40) USING (det_id) GROUP BY ALL", "detections"))
+@query("dom18_composition_least_area", oracle(PAINTED + """ SELECT px.image_id, place // wide AS v, place % wide AS u, label, round(score, 6) AS confidence FROM px JOIN d ON d.image_id = px.image_id AND d.rank = px.rank, g""", "detections"))
 def dom18_least(spark: SparkSession, sf: str) -> DataFrame:
     d = small(spark, sf)
-    return D.composed(D.runs(d), d, (("none", "none"),), 40).select("image_id", "v", "u", "label", F.round("confidence", 6).alias("confidence"))
+    return M.pixels(M.composed(D.runs(d), d, LOW_OVER_URGENT, 40)).select("image_id", "v", "u", "label", F.round("confidence", 6).alias("confidence"))
 
 
 @query("flt2_geometry_rules", oracle(f"WITH {BOXED}, {METRIC} SELECT det_id, CASE{GEO_SQL} END AS reject_reason FROM k", "detections"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pointloom.functions import scalars as S
-from pointloom.operators import evaluation, features, manifests, matching
+from pointloom.operators import evaluation, features, manifests, matching, splits
 from pointloom.plans.registry import query
 from pointloom.plans.views import oracle, table, view
 
@@ -157,22 +157,52 @@ def joi12(spark: SparkSession, sf: str) -> DataFrame:
     return m.where("split = 'val'").join(m.where("split = 'train' OR label = '5-LOW'").select("source_id"), "source_id", "left_anti").select("sample_id")
 
 
-@query("dom14_grouped_split", oracle("""WITH c AS (SELECT source_id, label, count(*) AS n FROM manifest GROUP BY ALL), t AS (SELECT label, sum(n) AS total FROM c GROUP BY label),
- s AS (SELECT source_id, arg_min(label, (total, label)) AS stratum, sum(n) AS size FROM c JOIN t USING (label) GROUP BY source_id),
- m AS (SELECT *, (sum(size) OVER (PARTITION BY stratum ORDER BY md5(source_id || ':1'), source_id ROWS UNBOUNDED PRECEDING) - size / 2e0) / sum(size) OVER (PARTITION BY stratum) AS middle FROM s)
- SELECT sample_id, source_id, CASE WHEN middle < 7e-1 THEN 'train' WHEN middle < 85e-2 THEN 'val' ELSE 'test' END AS new_split FROM manifest JOIN m USING (source_id)""", "manifest"))
+#: Sources in order of the rule, one step of the recursion each; then equal sources are dealt their splits by hash order.
+GROUPED = """WITH RECURSIVE c AS (SELECT source_id, label, count(*) AS n FROM manifest GROUP BY ALL), t AS (SELECT label, sum(n) AS total FROM c GROUP BY label), k AS (SELECT count(*) AS classes FROM t),
+ s AS (SELECT source_id, sum(n) AS size, round(sum(n / total), 12) AS rarity, list({'label': label, 'n': n} ORDER BY label) AS kind FROM c JOIN t USING (label) GROUP BY source_id),
+ f AS (SELECT s.source_id, list(coalesce(c.n, 0)::DOUBLE ORDER BY t.label) AS vec FROM s CROSS JOIN t LEFT JOIN c ON c.source_id = s.source_id AND c.label = t.label GROUP BY s.source_id),
+ o AS MATERIALIZED (SELECT source_id, kind, list_append(vec, size::DOUBLE) AS vec, row_number() OVER (ORDER BY rarity DESC, size DESC, kind, md5(source_id || ':1')) AS place FROM s JOIN f USING (source_id)),
+@quota@ g AS (SELECT list(share * n ORDER BY turn, name) AS target FROM (SELECT unnest([7e-1, 15e-2, 15e-2]) AS share, unnest([0, 1, 2]) AS turn), (SELECT label AS name, total AS n FROM t UNION ALL SELECT '~', sum(total) FROM t)),
+ step AS (
+  SELECT 0::BIGINT AS place, -1::BIGINT AS split, list_transform(target, lambda x: 0e0) AS have, [0, 0, 0]::BIGINT[] AS used FROM g
+  UNION ALL
+  SELECT place, split, list_transform(have, lambda h, i: CASE WHEN (i - 1) // (classes + 1) = split THEN h + vec[(i - 1) % (classes + 1) + 1] ELSE h END), list_transform(used, lambda u, i: CASE WHEN i - 1 = split THEN u + 1 ELSE u END)
+  FROM (SELECT o.place, o.vec, p.have, p.used, k.classes, list_sort(list_filter(list_transform([0, 1, 2], lambda j: {'cost': CASE WHEN used[j + 1] < quota[j + 1] THEN round(list_sum(list_transform(o.vec, lambda v, i:
+   (CASE WHEN i = classes + 1 THEN 25e-2 ELSE 1e0 END) * v * (v + 2 * (have[j * (classes + 1) + i] - target[j * (classes + 1) + i])) / (target[j * (classes + 1) + i] + 1))), 9) END, 'split': j}), lambda x: x.cost IS NOT NULL))[1].split AS split
+   FROM step p JOIN o ON o.place = p.place + 1, g, q, k)),
+ d AS (SELECT o.source_id, o.kind, row_number() OVER (PARTITION BY kind ORDER BY split) AS nth, split FROM step JOIN o USING (place)),
+ h AS (SELECT source_id, kind, row_number() OVER (PARTITION BY kind ORDER BY md5(source_id || ':1')) AS nth FROM s)
+ SELECT sample_id, manifest.source_id, ['train', 'val', 'test'][d.split + 1] AS new_split FROM manifest JOIN h USING (source_id) JOIN d ON d.kind = h.kind AND d.nth = h.nth"""
+REMAINDER = """ w AS (SELECT x - 1 AS split, [70, 15, 15][x] AS pct, (SELECT count(*) FROM s) AS groups FROM range(1, 4) r(x)),
+ q AS (SELECT list(pct * groups // 100 + CASE WHEN place <= rest THEN 1 ELSE 0 END ORDER BY split) AS quota FROM (SELECT *, row_number() OVER (ORDER BY pct * groups % 100 DESC, split) AS place, groups - sum(pct * groups // 100) OVER () AS rest FROM w)),"""
+ROUNDED = " q AS (SELECT [groups - val - val, val, val] AS quota FROM (SELECT count(*) AS groups, greatest(1, CAST(round_even(count(*) * 15 / 1e2, 0) AS BIGINT)) AS val FROM s)),"
+COVER = """WITH RECURSIVE p AS MATERIALIZED (SELECT DISTINCT frame_ord, gt AS label FROM points WHERE gt <> 255), f AS MATERIALIZED (SELECT frame_ord, list(label ORDER BY label) AS classes FROM p GROUP BY frame_ord), n AS (SELECT greatest(1, least(count(*) - 1, CAST(ceil(count(*) * 2 / 10e0) AS BIGINT))) AS wanted FROM f),
+ step AS (
+  SELECT 0::BIGINT AS n, []::BIGINT[] AS val
+  UNION ALL
+  SELECT n, list_append(val, frame_ord) FROM (
+   SELECT s.n + 1 AS n, s.val, (SELECT arg_min(frame_ord, {'a': -fresh, 'b': -rare, 'c': classes, 'd': md5(frame_ord || ':1')}) FROM (
+     SELECT f.frame_ord, any_value(f.classes) AS classes, round(sum(CASE WHEN seen THEN 0 ELSE 1e0 / rest END), 12) AS fresh, round(sum(1e0 / rest), 12) AS rare FROM f JOIN p USING (frame_ord)
+      JOIN (SELECT label, count(*) - count_if(list_contains(s.val, frame_ord)) AS rest, bool_or(list_contains(s.val, frame_ord)) AS seen FROM p GROUP BY label) r USING (label)
+     WHERE NOT list_contains(s.val, f.frame_ord) GROUP BY f.frame_ord HAVING min(rest) > 1)) AS frame_ord
+   FROM step s WHERE s.n < (SELECT wanted FROM n)) WHERE frame_ord IS NOT NULL)
+ SELECT frame_ord, CASE WHEN list_contains((SELECT arg_max(val, n) FROM step), frame_ord) THEN 'val' ELSE 'train' END AS split FROM f"""
+
+
+@query("dom14_grouped_split", oracle(GROUPED.replace("@quota@", REMAINDER), "manifest"))
 def dom14(spark: SparkSession, sf: str) -> DataFrame:
-    return manifests.grouped_split(view(spark, sf, "manifest")).select("sample_id", "source_id", "new_split")
+    return splits.grouped_split(view(spark, sf, "manifest")).select("sample_id", "source_id", "new_split")
 
 
-@query("dom13_rare_class_split", oracle("""WITH p AS (SELECT DISTINCT frame_ord, gt AS label FROM points WHERE gt <> 255), t AS (SELECT label, count(*) AS total FROM p GROUP BY label),
- s AS (SELECT frame_ord, arg_min(label, (total, label)) AS stratum FROM p JOIN t USING (label) GROUP BY frame_ord),
- f AS (SELECT frame_ord, row_number() OVER (PARTITION BY stratum ORDER BY md5(frame_ord || ':1'), frame_ord) <= floor(count(*) OVER (PARTITION BY stratum) * 2e-1) AS val FROM s),
- g AS (SELECT DISTINCT frame_ord FROM (SELECT label, bool_and(val) AS gone, min(frame_ord) AS frame_ord FROM p JOIN f USING (frame_ord) GROUP BY label) WHERE gone)
- SELECT frame_ord, CASE WHEN val AND frame_ord NOT IN (SELECT frame_ord FROM g) THEN 'val' ELSE 'train' END AS split FROM f""", "points"))
+@query("dom14_rounded_quotas", oracle(GROUPED.replace("@quota@", ROUNDED), "manifest"))
+def dom14_rounded(spark: SparkSession, sf: str) -> DataFrame:
+    return splits.grouped_split(view(spark, sf, "manifest"), quotas=splits.rounded_quotas).select("sample_id", "source_id", "new_split")
+
+
+@query("dom13_rare_class_split", oracle(COVER, "points"))
 def dom13(spark: SparkSession, sf: str) -> DataFrame:
     p = view(spark, sf, "points").where("gt <> 255").select("frame_ord", F.col("gt").alias("label")).distinct()
-    return manifests.rare_class_split(p)
+    return splits.rare_class_split(p)
 
 
 def vectors(spark: SparkSession, sf: str) -> DataFrame:

@@ -77,4 +77,7 @@ def oracle(text: str, *names: str) -> str:
     body = text.strip()
     if not ctes:
         return body
-    return f"WITH {ctes}, {body[5:]}" if body[:5].upper() == "WITH " else f"WITH {ctes} {body}"
+    for start in ("WITH RECURSIVE ", "WITH "):
+        if body.upper().startswith(start):
+            return f"{start}{ctes}, {body[len(start) :]}"
+    return f"WITH {ctes} {body}"

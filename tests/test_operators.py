@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from pointloom.functions import scalars as S
 from pointloom.operators import alignment as A
 from pointloom.operators import detections as D
-from pointloom.operators import echo, evaluation, features, manifests, matching, teacher
+from pointloom.operators import masks as M
+from pointloom.operators import echo, evaluation, features, manifests, matching, splits, teacher
 from pointloom.plans.views import view
 
 SF = "/root/testdata/sf0.001"
@@ -89,7 +90,7 @@ def masks(spark):
 
 def test_overlaps_and_suppression(spark):
     d, r = masks(spark)
-    pairs = D.overlaps(r)
+    pairs = M.overlaps(r)
     one = pairs.where("a = 1 and b = 2").first()
     assert one.intersection == 81 and round(one.iou, 6) == round(81 / 119, 6) and one.containment == 0.81
     assert {x.det_id for x in D.suppressed(d, pairs).collect()} == {1, 3, 4, 5}
@@ -100,9 +101,9 @@ def test_overlaps_and_suppression(spark):
 
 def test_composition(spark):
     d, r = masks(spark)
-    top = {(x.v, x.u): x.det_id for x in D.composed(r, d, (("bus", "car"),)).where("image_id = 1").collect()}
+    top = {(x.v, x.u): x.det_id for x in M.pixels(M.composed(r, d, (("bus", "car"),))).where("image_id = 1").collect()}
     assert top[0, 0] == 1 and top[5, 5] == 3 and top[30, 30] == 4
-    plain = {(x.v, x.u): x.det_id for x in D.composed(r, d).where("image_id = 1").collect()}
+    plain = {(x.v, x.u): x.det_id for x in M.pixels(M.composed(r, d)).where("image_id = 1").collect()}
     assert plain[5, 5] == 1
     g = D.mask_geometry(r).where("det_id = 4").first()
     assert (g.area, g.perimeter, g.fill, g.cu) == (4, 8, 1.0, 30.5)
@@ -117,13 +118,13 @@ def test_filters_keep_reasons(spark):
 
 def test_splits_are_partitions(spark):
     m = view(spark, SF, "manifest")
-    s = manifests.grouped_split(m)
+    s = splits.grouped_split(m)
     assert s.count() == m.count()
     assert s.groupBy("source_id").agg(F.countDistinct("new_split").alias("n")).where("n > 1").count() == 0
     share = {r.new_split: r.n / m.count() for r in s.groupBy("new_split").agg(F.count("*").alias("n")).collect()}
     assert abs(share["train"] - 0.7) < 0.05 and abs(share["val"] - 0.15) < 0.05
     f = spark.createDataFrame([(0, 1), (1, 1), (2, 2), (3, 2), (3, 1), (4, 9)], "frame_ord bigint, label int")
-    split = {r.frame_ord: r.split for r in manifests.rare_class_split(f, 0.5).collect()}
+    split = {r.frame_ord: r.split for r in splits.rare_class_split(f, 0.5).collect()}
     assert split[4] == "train" and {"train"} <= {split[2], split[3]}
 
 
@@ -171,6 +172,6 @@ def test_label_tables_of_any_size(spark):
 
 def test_class_aware_split_repairs_every_class(spark):
     pairs = spark.range(800).selectExpr("id AS frame_ord", "concat('c', id div 2) AS label").unionByName(spark.createDataFrame([(900, "alone"), (901, None)], "frame_ord bigint, label string"))
-    got = {r.frame_ord: r.split for r in A.class_aware_split(pairs).collect()}
+    got = {r.frame_ord: r.split for r in splits.class_aware_split(pairs.selectExpr('*', '1 AS n')).collect()}
     assert len(got) == 802 and got[900] == "train"
     assert all({got[2 * k], got[2 * k + 1]} == {"train", "val"} for k in range(400))
