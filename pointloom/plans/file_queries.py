@@ -279,12 +279,12 @@ def str1(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("str3_resumed_run", oracle("SELECT event_type AS source_id, event_id AS v, value * 2 AS w FROM events"))
 def str3(spark: SparkSession, sf: str) -> DataFrame:
-    """The events as a folder of files by type, in two bounded runs with one signature (STR1 to STR3); the second finds nothing to do."""
+    """The events as files that each hold several types, one file a batch, in two runs with one signature (STR1 to STR3); the second finds nothing to do."""
     inputs, out, state = (work_path(spark, n) for n in ("inputs", "out", "state"))
-    table(spark, sf, "events").select(F.col("event_type").alias("source_id"), F.col("event_id").alias("v"), "value").repartition("source_id").write.parquet(inputs)
+    table(spark, sf, "events").select(F.col("event_type").alias("source_id"), F.col("event_id").alias("v"), "value").repartition(4, "v").write.parquet(inputs)
     for _ in range(2):
-        resume.process(spark, inputs, "source_id string, v bigint, value double", lambda b: b.select("source_id", "v", (F.col("value") * 2).alias("w")), out, state, "source_id", {"scale": 2}, 1000)
-    return spark.read.schema("source_id string, v bigint, w double").parquet(out)
+        resume.process(spark, inputs, "source_id string, v bigint, value double", lambda b: b.select("source_id", "v", (F.col("value") * 2).alias("w")), out, state, "source_id", {"scale": 2}, 1)
+    return spark.read.parquet(out).select("source_id", "v", "w")
 
 
 @query("udf1_classifier", oracle("SELECT p_partkey, round(p_size / (p_size + p_retailprice), 6) AS first FROM part"))

@@ -142,6 +142,52 @@ def test_resumed_stream(spark, tmp_path):
     assert [r.source_id for r in left.collect()] == ["c"]
 
 
+def run_of(spark, at, work=None, files=1):
+    """Rows (source, v) after a run over ``at``/in."""
+    work = work or (lambda d: d.selectExpr("source_id", "v * 10 AS v"))
+    resume.process(spark, str(at / "in/*"), "source_id string, v int", work, str(at / "out"), str(at / "state"), "source_id", {"k": 1}, files)
+    return sorted((r.source_id, r.v) for r in spark.read.parquet(str(at / "out")).collect())
+
+
+def put_rows(spark, at, name, rows):
+    spark.createDataFrame(rows, "source_id string, v int").coalesce(1).write.parquet(str(at / "in" / name))
+
+
+def test_a_source_in_several_batches_keeps_all_rows(spark, tmp_path):
+    for k in range(4):
+        put_rows(spark, tmp_path, f"f{k}", [("a: b/c", k * 25 + j) for j in range(25)] + [(f"own {k}", k)])
+    want = sorted([("a: b/c", 10 * v) for v in range(100)] + [(f"own {k}", 10 * k) for k in range(4)])
+    assert run_of(spark, tmp_path, files=2) == want
+    assert run_of(spark, tmp_path) == want  # nothing new: nothing changes
+    for k in range(3):  # the source comes again in three batches of one run, and then with no rows to keep
+        put_rows(spark, tmp_path, f"g{k}", [("a: b/c", 1000 + k)])
+    again = sorted([("a: b/c", 10 * (1000 + k)) for k in range(3)] + [(f"own {k}", 10 * k) for k in range(4)])
+    assert run_of(spark, tmp_path) == again
+    put_rows(spark, tmp_path, "h", [("a: b/c", -1), ("new", 7)])
+    assert run_of(spark, tmp_path, lambda d: d.where("v > 0")) == sorted([("new", 7)] + [(f"own {k}", 10 * k) for k in range(4)])
+
+
+@pytest.mark.parametrize("late", [False, True])
+def test_a_run_stopped_between_batches_goes_on(spark, tmp_path, late):
+    put_rows(spark, tmp_path, "old", [("a", 1), ("b", 2)])
+    assert run_of(spark, tmp_path) == [("a", 10), ("b", 20)]
+    for k in range(3):
+        put_rows(spark, tmp_path, f"f{k}", [("a", 100 + k)])
+    seen = []
+
+    def stops(d):
+        seen.append(1)
+        if len(seen) == 2:
+            if late:  # the batch writes, then fails: the next try must not double it
+                d.selectExpr("source_id", "v * 10 AS v", "2 AS batch_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source_id", "batch_id").parquet(str(tmp_path / "out"))
+            raise RuntimeError("stopped")
+        return d.selectExpr("source_id", "v * 10 AS v")
+
+    with pytest.raises(Exception, match="stopped"):
+        run_of(spark, tmp_path, stops)
+    assert run_of(spark, tmp_path) == [("a", 1000), ("a", 1010), ("a", 1020), ("b", 20)]
+
+
 def test_model_hooks(spark):
     df = spark.createDataFrame([([1.0, 3.0],), ([2.0, 2.0],)], "v array<float>")
     model = sinks.classifier(lambda: lambda x: x / x.sum(axis=1, keepdims=True), features=2)
