@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pointloom.functions.scalars import finite, half_away, valid_return
+from pointloom.operators.quantiles import named, quantiles
 
 FRAME = "frame_ord"
 
@@ -22,21 +23,22 @@ def primary_returns(points: DataFrame, strict: bool = False) -> DataFrame:
 def echo_features(points: DataFrame) -> DataFrame:
     """WIN1: number of returns, rank by distance, nearest gap and intensity against the strongest, per (frame, slot, pixel).
 
-    Only valid points count; others get 0. A frame with a slot or pixel that isn't finite stays ungrouped.
+    Only valid points count; others get 0. A frame with a slot or pixel that isn't finite stays ungrouped: such
+    frames are a small table of their own, so that points are dealt by (frame, slot, pixel) alone.
     """
     valid = valid_return()
     key = Window.partitionBy(FRAME, "slot", "pixel", "echo_valid")
     order = key.orderBy("distance", "row_idx")
-    grouped = F.min((finite("slot") & finite("pixel")).cast("int")).over(Window.partitionBy(FRAME)) == 1
+    loose = points.where(~(finite("slot") & finite("pixel"))).select(FRAME, F.lit(True).alias("echo_loose")).distinct()
     gap = F.least(F.col("distance") - F.lag("distance").over(order), F.lead("distance").over(order) - F.col("distance"))
-    out = points.withColumn("echo_valid", valid).withColumn("echo_grouped", grouped)
-    use = F.col("echo_valid") & F.col("echo_grouped")
+    out = points.join(loose, FRAME, "left").withColumn("echo_valid", valid)
+    use = F.col("echo_valid") & F.col("echo_loose").isNull()
     return out.withColumns({
         "return_count": F.when(use, F.count("*").over(key)).otherwise(F.col("echo_valid").cast("bigint")),
         "return_rank": F.when(use, F.row_number().over(order) - 1).otherwise(0).cast("bigint"),
         "nearest_gap": F.when(use, F.coalesce(gap, F.lit(0.0))).otherwise(0.0),
         "strongest_delta": F.when(use, F.col("intensity") - F.max("intensity").over(key)).otherwise(0.0),
-    }).drop("echo_grouped")
+    }).drop("echo_loose")
 
 
 def echo_matrix(points: DataFrame) -> DataFrame:
@@ -53,44 +55,42 @@ def echo_context(primary: DataFrame, all_echoes: DataFrame, block: int = 0) -> D
     return primary.join(best, [FRAME, "slot", "pixel"], "left").fillna(0, ["ctx_count", "ctx_rank"])
 
 
+def _binned(points: DataFrame, step: float) -> DataFrame:
+    angle = lambda c: F.floor(F.when(finite(c), F.col(c)).otherwise(0.0) / step).cast("bigint")
+    return points.withColumns({"bin_a": angle("azimuth"), "bin_v": angle("vertical")})
+
+
+def _cells(points: DataFrame, step: float) -> DataFrame:
+    """Points of each angular cell, of its row and of its column: frame, bin_a, bin_v, cell, row_count, col_count."""
+    cells = _binned(points, step).groupBy(FRAME, "bin_a", "bin_v").agg(F.count("*").alias("cell"))
+    rows, cols = Window.partitionBy(FRAME, "bin_v"), Window.partitionBy(FRAME, "bin_a")
+    return cells.withColumns({"row_count": F.sum("cell").over(rows), "col_count": F.sum("cell").over(cols)})
+
+
 def angular_density(points: DataFrame, step: float = 0.5) -> DataFrame:
     """WIN9, JOI9: points in the 3x3 cells around, in the row and in the column of each point's angular cell.
 
     Cell counts come first, so what is spread over nine neighbours and joined is cells, not points.
     """
-    angle = lambda c: F.floor(F.when(finite(c), F.col(c)).otherwise(0.0) / step).cast("bigint")
-    binned = points.withColumns({"bin_a": angle("azimuth"), "bin_v": angle("vertical")})
-    cells = binned.groupBy(FRAME, "bin_a", "bin_v").agg(F.count("*").alias("cell"))
+    cells = _cells(points, step)
     around = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(v).alias("v")) for a in (-1, 0, 1) for v in (-1, 0, 1)]))
     spread = cells.withColumn("d", around).select(FRAME, (F.col("bin_a") + F.col("d.a")).alias("bin_a"), (F.col("bin_v") + F.col("d.v")).alias("bin_v"), "cell")
     near = spread.groupBy(FRAME, "bin_a", "bin_v").agg(F.sum("cell").alias("density"))
-    rows, cols = Window.partitionBy(FRAME, "bin_v"), Window.partitionBy(FRAME, "bin_a")
-    counted = cells.withColumns({"row_count": F.sum("cell").over(rows), "col_count": F.sum("cell").over(cols)}).drop("cell")
-    return binned.join(counted.join(near, [FRAME, "bin_a", "bin_v"]), [FRAME, "bin_a", "bin_v"])
+    return _binned(points, step).join(cells.drop("cell").join(near, [FRAME, "bin_a", "bin_v"]), [FRAME, "bin_a", "bin_v"])
 
 
-def thresholds() -> dict[str, Column]:
-    """WIN8: far distance, line count and ground height of a frame, from exact quantiles of its density."""
-    distance = F.when(finite("distance"), F.col("distance")).otherwise(0.0)
-    line = F.greatest("row_count", "col_count")
-    return {
-        "far_from": F.percentile(distance, F.lit(0.98)), "line_from": F.percentile(line, F.lit(0.90)), "below_to": F.percentile(F.when(finite("z"), F.col("z")), F.lit(0.05)),
-    }
-
-
-def bounded() -> dict[str, Column]:
-    return {"far_from": F.greatest(F.lit(80.0), "far_from"), "line_from": F.greatest(F.lit(12.0), "line_from"), "below_to": F.least(F.lit(-0.25), F.col("below_to") - 0.15)}
-
+def frame_thresholds(points: DataFrame, step: float = 0.5) -> DataFrame:
+    """WIN8: far distance, line count and ground height of each frame, from exact quantiles of its points.
 
-def frame_thresholds(density: DataFrame) -> DataFrame:
-    """WIN8: the thresholds of each frame."""
-    return density.groupBy(FRAME).agg(*[c.alias(n) for n, c in thresholds().items()]).withColumns(bounded())
-
-
-def with_thresholds(density: DataFrame) -> DataFrame:
-    """WIN8 beside every point, without computing the density twice: quantiles over the frame's window."""
-    frame = Window.partitionBy(FRAME)
-    return density.withColumns({n: c.over(frame) for n, c in thresholds().items()}).withColumns(bounded())
+    Distances that aren't finite count as 0, heights that aren't count for nothing. Line counts come from cells, each as
+    often as it has points.
+    """
+    distance = F.when(finite("distance"), F.col("distance")).otherwise(0.0)
+    values = named(points, [FRAME], {"distance": distance, "z": F.when(finite("z"), F.col("z"))})
+    line = F.greatest("row_count", "col_count").cast("double").alias("value")
+    lines = _cells(points, step).select(FRAME, F.lit("line").alias("name"), line, F.col("cell").alias("n"))
+    found = quantiles(values.union(lines), [FRAME], {"far_from": ("distance", 0.98), "line_from": ("line", 0.90), "below_to": ("z", 0.05)})
+    return found.withColumns({"far_from": F.greatest(F.lit(80.0), "far_from"), "line_from": F.greatest(F.lit(12.0), "line_from"), "below_to": F.least(F.lit(-0.25), F.col("below_to") - 0.15)})
 
 
 def temporal_support(points: DataFrame, tolerance: float = 0.75) -> DataFrame:

@@ -114,7 +114,7 @@ def win9(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("win8_thresholds", oracle(f"WITH {ECHO}, {DENSITY}, {THRESHOLDS} SELECT frame_ord, round(far_from, 6) AS far_from, round(line_from, 6) AS line_from, round(below_to, 6) AS below_to FROM t", "points"))
 def win8(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(echo.frame_thresholds(echo.angular_density(view(spark, sf, "points"))), "far_from", "line_from", "below_to")
+    return rounded(echo.frame_thresholds(view(spark, sf, "points")), "far_from", "line_from", "below_to")
 
 
 @query("joi7_temporal_support", oracle(f"WITH {SUPPORT} SELECT * FROM s", "points"))
