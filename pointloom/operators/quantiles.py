@@ -1,8 +1,9 @@
 """Exact quantiles of groups of any size, by selection on counts.
 
-Each group's range is cut into equal buckets; their counts, summed, say which bucket holds a
-wanted rank, and only the values of these buckets are put in order, equal ones counted first. What is
-shuffled is ends, bucket counts and the values of a few buckets; no task holds a group.
+Values fall into buckets twice: by their logarithm, which no outlier spoils, then, inside the
+buckets that hold a wanted rank, evenly between the bucket's own ends. Counts of buckets, summed,
+say where a rank is, and only the values of the last buckets are put in order, equal ones counted
+first. What is shuffled is bucket counts and those values; no task holds a group.
 """
 
 from __future__ import annotations
@@ -10,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Buckets of a group.
-BUCKETS = 1024
+#: Buckets for each doubling of the value, and buckets inside one of those.
+OCTAVE, INNER = 16, 1024
 
 
 def named(rows: DataFrame, group: list[str], values: dict[str, Column]) -> DataFrame:
@@ -28,20 +29,34 @@ def quantiles(values: DataFrame, group: list[str], wanted: dict[str, tuple[str,
     """
     by = [*group, "name"]
     asked = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(n).alias("of"), F.lit(float(q)).alias("share")) for c, (n, q) in wanted.items()])
-    edges = values.groupBy(*by).agg(F.min("value").alias("low"), F.max("value").alias("high"), F.sum("n").alias("total"))
-    place = F.floor((F.col("value") - F.col("low")) / (F.col("high") - F.col("low")) * BUCKETS)
-    binned = values.join(edges, by).withColumn("bucket", F.when(F.col("high") > F.col("low"), F.least(F.lit(BUCKETS - 1), place)).otherwise(0).cast("int"))
-    until = Window.partitionBy(*by).orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    summed = binned.groupBy(*by, "bucket").agg(F.sum("n").alias("n"), F.first("total").alias("total")).withColumn("to", F.sum("n").over(until))
-    ranks = summed.select(*by, "bucket", "n", "to", "total", F.explode(F.filter(asked, lambda a: a["of"] == F.col("name"))).alias("a")).withColumn("at", F.col("a.share") * (F.col("total") - 1))
-    side = F.explode(F.array(*[F.struct(F.lit(s).alias("side"), f("at").cast("bigint").alias("rank")) for s, f in ((0, F.floor), (1, F.ceil))])).alias("r")
-    inside = ranks.select(*by, "bucket", (F.col("to") - F.col("n")).alias("before"), "to", "a.column", (F.col("at") - F.floor("at")).alias("part"), side)
-    picked = inside.where((F.col("before") <= F.col("r.rank")) & (F.col("r.rank") < F.col("to")))
-    held = binned.select(*by, "bucket", "value", "n").join(picked.select(*by, "bucket", "before").distinct(), [*by, "bucket"])
-    order = Window.partitionBy(*by, "bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    held = held.groupBy(*by, "bucket", "before", "value").agg(F.sum("n").alias("n"))
-    ordered = held.withColumn("last", F.col("before") + F.sum("n").over(order) - 1).withColumn("first", F.col("last") - F.col("n") + 1).drop("before", "n")
-    met = picked.join(ordered, [*by, "bucket"]).where((F.col("first") <= F.col("r.rank")) & (F.col("r.rank") <= F.col("last")))
-    weight = F.when(F.col("r.side") == 1, F.col("part")).otherwise(1 - F.col("part"))
+    coarse = F.floor(F.signum("value") * F.log2(1 + 1024 * F.abs("value")) * OCTAVE).cast("int")
+    held = values.withColumn("bucket", coarse)
+    ends = (F.min("value").alias("low"), F.max("value").alias("high"), F.sum("n").alias("n"))
+
+    def until(*key: str) -> Column:
+        *part, order = key
+        return F.sum("n").over(Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+
+    def holding(counts: DataFrame, ranks: DataFrame, on: list[str], start: Column) -> DataFrame:
+        """``ranks`` beside the row of ``counts`` (first to last rank) that holds them."""
+        return ranks.join(counts.withColumns({"last": start + F.col("to") - 1, "first": start + F.col("to") - F.col("n")}), on).where((F.col("first") <= F.col("rank")) & (F.col("rank") <= F.col("last")))
+
+    outer = held.groupBy(*by, "bucket").agg(*ends).withColumns({"to": until(*by, "bucket"), "total": F.sum("n").over(Window.partitionBy(*by))})
+    at = F.col("a.share") * (F.col("total") - 1)
+    side = F.explode(F.array(*[F.struct(F.lit(s).alias("side"), f(at).cast("bigint").alias("rank")) for s, f in ((0, F.floor), (1, F.ceil))])).alias("r")
+    spread = outer.select("*", F.explode(F.filter(asked, lambda a: a["of"] == F.col("name"))).alias("a")).select(*by, "bucket", "low", "high", "n", "to", "a.column", (at - F.floor(at)).alias("part"), side)
+    ranks = spread.select("*", "r.side", "r.rank").where((F.col("to") - F.col("n") <= F.col("rank")) & (F.col("rank") < F.col("to")))
+    ranks = ranks.select(*by, "bucket", "low", "high", (F.col("to") - F.col("n")).alias("before"), "column", "side", "part", "rank")
+
+    inside = held.join(ranks.select(*by, "bucket", "low", "high", "before").distinct(), [*by, "bucket"])
+    place = F.when(F.col("high") > F.col("low"), F.least(F.lit(INNER - 1), F.floor((F.col("value") - F.col("low")) / (F.col("high") - F.col("low")) * INNER))).otherwise(0).cast("int")
+    inside = inside.withColumn("inner", place)
+    inner = inside.groupBy(*by, "bucket", "inner").agg(F.sum("n").alias("n"), F.first("before").alias("start")).withColumn("to", until(*by, "bucket", "inner"))
+    met = holding(inner, ranks, [*by, "bucket"], F.col("start")).select(*by, "bucket", "inner", F.col("first").alias("start"), "column", "side", "part", "rank")
+
+    few = inside.join(met.select(*by, "bucket", "inner", "start").distinct(), [*by, "bucket", "inner"]).groupBy(*by, "bucket", "inner", "start", "value").agg(F.sum("n").alias("n"))
+    ordered = few.withColumn("to", until(*by, "bucket", "inner", "value")).select(*by, "bucket", "inner", F.col("start").alias("base"), "value", "n", "to")
+    found = holding(ordered, met, [*by, "bucket", "inner"], F.col("base"))
+    weight = F.when(F.col("side") == 1, F.col("part")).otherwise(1 - F.col("part"))
     column = lambda c: F.sum(F.when(F.col("column") == c, weight * F.col("value"))).alias(c)
-    return met.groupBy(*group).agg(*[column(c) for c in wanted])
+    return found.groupBy(*group).agg(*[column(c) for c in wanted])

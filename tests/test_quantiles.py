@@ -9,9 +9,10 @@ from pointloom.operators import quantiles as Q
 SHARES = {"lowest": 0.0, "p05": 0.05, "middle": 0.5, "p98": 0.98, "highest": 1.0}
 
 
-@pytest.mark.parametrize("buckets", [1024, 3, 1])
+@pytest.mark.parametrize("buckets", [(16, 1024), (1, 3), (0, 1)])
 def test_quantiles_of_groups(spark, monkeypatch, buckets):
-    monkeypatch.setattr(Q, "BUCKETS", buckets)
+    monkeypatch.setattr(Q, "OCTAVE", buckets[0])
+    monkeypatch.setattr(Q, "INNER", buckets[1])
     rng = np.random.default_rng(3)
     groups = {"even": rng.normal(size=500), "ties": np.repeat([1.0, 2.0, 7.5], [400, 3, 90]), "one": np.array([4.0]), "two": np.array([-1.0, 5.0]), "far": np.append(rng.random(50), [1e9, -1e12]), "same": np.full(30, 2.5)}
     rows = [(g, float(x), float(-2 * x)) for g, v in groups.items() for x in v] + [("none", None, 3.0), ("even", None, None)]
