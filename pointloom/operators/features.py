@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pointloom.operators.quantiles import named, quantiles
+
 
 def long_form(vectors: DataFrame, keys: list[str], vector: str) -> DataFrame:
     """One row per component: keys, dim, value."""
@@ -37,19 +39,67 @@ def centroids(vectors: DataFrame, vector: str, label: str) -> DataFrame:
     return means.join(fitted(vectors, vector), "dim").select(label, "dim", ((F.col("m") - F.col("mean")) / F.col("std")).alias("centre"))
 
 
-def nearest_centroid(vectors: DataFrame, key: str, vector: str, label: str) -> DataFrame:
-    """AGG26: class of the centroid at the smallest mean squared distance.
+#: Numbers of centres (classes x dimensions) that ride in every row; more are dealt to blocks of so many.
+CENTRES = 1 << 18
+
+
+def judged(vectors: DataFrame, key: str, vector: str, fit: DataFrame, centres: DataFrame, label: str) -> DataFrame:
+    """(key, nearest, distance) of each vector: class of the centre at the smallest mean squared distance, the smaller class on ties (to 9 digits).
 
-    Centres, means and deviations are arrays of one row, so each vector is judged in its own row, without a shuffle.
+    fit: dim, mean, std, and optionally ``fill`` for components that aren't finite; centres: label, dim, centre.
+    Up to ``CENTRES`` numbers go along as arrays of one row, so a vector is judged in its own row, without a shuffle.
+    Beyond that each vector meets blocks of classes, and the best of its blocks counts.
     """
-    fit = fitted(vectors, vector).agg(F.array_sort(F.collect_list(F.struct("dim", "mean", "std"))).alias("fit"))
-    by = centroids(vectors, vector, label).groupBy(label).agg(F.transform(F.array_sort(F.collect_list(F.struct("dim", "centre"))), lambda x: x["centre"]).alias("centre"))
-    classes = by.agg(F.collect_list(F.struct(F.col(label).alias("cls"), "centre")).alias("centres"))  # one row of classes x dimensions
-    scaled = F.zip_with(F.transform(vector, lambda x: x.cast("double")), "fit", lambda x, f: (x - f["mean"]) / f["std"])
+    filled = [F.col("fill")] if "fill" in fit.columns else [F.lit(None).cast("double").alias("fill")]
+    one = fit.agg(F.array_sort(F.collect_list(F.struct("dim", "mean", "std", *filled))).alias("fit"))
+    by = centres.groupBy(label).agg(F.transform(F.array_sort(F.collect_list(F.struct("dim", "centre"))), lambda x: x["centre"]).alias("centre"))
+    blocks = -(-centres.count() // CENTRES)
+    block = F.pmod(F.xxhash64(label), F.lit(max(1, blocks))).cast("int").alias("block")
+    classes = by.groupBy(block).agg(F.collect_list(F.struct(F.col(label).alias("cls"), "centre")).alias("centres"))
+    finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
+    scaled = F.zip_with(F.transform(vector, lambda x: x.cast("double")), "fit", lambda x, f: (F.when(finite(x), x).otherwise(f["fill"]) - f["mean"]) / f["std"])
     mean_square = lambda c: F.aggregate(F.zip_with("x", c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, d: s + d) / F.size("x")
-    judged = vectors.withColumns({"fit": fit.scalar(), "centres": classes.scalar()}).withColumn("x", scaled).withColumn("d", F.transform("centres", lambda c: F.struct(mean_square(c["centre"]).alias("d"), c["cls"].alias("cls"))))
-    best = F.array_min(F.transform("d", lambda e: F.struct(F.round(e["d"], 9).alias("r"), e["cls"].alias("cls"), e["d"].alias("d"))))
-    return judged.select(key, best["cls"].alias("nearest"), F.array_min(F.transform("d", lambda e: e["d"])).alias("distance"))
+    held = vectors.select(key, vector).withColumn("fit", one.scalar())
+    if blocks <= 1:
+        met = held.withColumn("centres", classes.select("centres").scalar())
+    else:
+        met = held.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(classes, "block")
+    found = met.withColumn("x", scaled).select(key, F.transform("centres", lambda c: F.struct(F.round(mean_square(c["centre"]), 9).alias("r"), c["cls"].alias("cls"), mean_square(c["centre"]).alias("d"))).alias("d"))
+    best = found.select(key, F.array_min("d").alias("b"), F.array_min(F.transform("d", lambda e: e["d"])).alias("d"))
+    if blocks > 1:
+        best = best.groupBy(key).agg(F.min("b").alias("b"), F.min("d").alias("d"))
+    return best.select(key, F.col("b.cls").alias("nearest"), F.col("d").alias("distance"))
+
+
+def nearest_centroid(vectors: DataFrame, key: str, vector: str, label: str) -> DataFrame:
+    """AGG26, on complete vectors: each judged by the centroids of all."""
+    return judged(vectors, key, vector, fitted(vectors, vector), centroids(vectors, vector, label), label)
+
+
+def evaluated_centroids(vectors: DataFrame, key: str, vector: str, label: str, split: str) -> DataFrame:
+    """AGG26: (key, label, nearest, distance) of the rows of split test, or val where no row is of test, by centroids of train.
+
+    Components that are null or not finite take the median of their dimension in train (0 without any); a deviation below
+    1e-8 is 1. Without rows to train on there is no result. ``accuracy`` sums it up.
+    """
+    train = vectors.where(F.col(split) == "train")
+    asked = "test" if not vectors.where(F.col(split) == "test").isEmpty() else "val"
+    long = long_form(train, [label], vector)
+    fine = F.col("value").isNotNull() & ~F.isnan("value") & (F.abs("value") < float("inf"))
+    middles = quantiles(long.where(fine).select("dim", F.lit("x").alias("name"), "value", F.lit(1).cast("bigint").alias("n")), ["dim"], {"fill": ("x", 0.5)})
+    dims = long.select("dim").distinct().join(middles, "dim", "left").select("dim", F.coalesce("fill", F.lit(0.0)).alias("fill"))
+    whole = long.join(dims, "dim").withColumn("value", F.when(fine, F.col("value")).otherwise(F.col("fill")))
+    std = F.stddev_pop("value")
+    fit = whole.groupBy("dim").agg(F.avg("value").alias("mean"), F.when(std < 1e-8, 1.0).otherwise(std).alias("std"), F.first("fill").alias("fill"))
+    means = whole.groupBy(label, "dim").agg(F.avg("value").alias("m")).join(fit, "dim")
+    centres = means.select(label, "dim", ((F.col("m") - F.col("mean")) / F.col("std")).alias("centre"))
+    rows = vectors.where(F.col(split) == asked)
+    return rows.select(key, label).join(judged(rows, key, vector, fit, centres, label), key)
+
+
+def accuracy(judged_rows: DataFrame, label: str) -> DataFrame:
+    """Rows and share of right classes of ``evaluated_centroids``."""
+    return judged_rows.agg(F.count("*").alias("rows"), F.avg((F.col("nearest") == F.col(label)).cast("double")).alias("accuracy"))
 
 
 def centroid_distances(vectors: DataFrame, vector: str, label: str) -> DataFrame:
@@ -98,6 +148,17 @@ def extremes(vectors: DataFrame, key: str, vector: str, label: str, wanted: int,
 
 def image_statistics(pixels: DataFrame, image: str, channel: str, value: str) -> DataFrame:
     """AGG20: mean, 1st and 99th percentile of each channel, and its gray-world gain."""
-    by = pixels.groupBy(image, channel).agg(F.avg(value).alias("mean"), F.percentile(value, F.lit(0.01)).alias("p01"), F.percentile(value, F.lit(0.99)).alias("p99"))
+    by = [image, channel]
+    ends = quantiles(named(pixels, by, {"v": F.col(value)}), by, {"p01": ("v", 0.01), "p99": ("v", 0.99)})
+    found = pixels.groupBy(*by).agg(F.avg(value).alias("mean")).join(ends, by)
     gray = F.avg("mean").over(Window.partitionBy(image))
-    return by.withColumn("gain", gray / F.greatest(F.col("mean"), F.lit(1e-6)))
+    return found.withColumn("gain", gray / (F.col("mean") + 1e-5))
+
+
+def corrected(pixels: DataFrame, statistics: DataFrame, image: str, channel: str, value: str) -> DataFrame:
+    """AGG20: ``stretched`` (1st to 99th percentile to 0 to 255; as it is where both are equal) and ``balanced`` (by the gray-world gain) of each pixel, cut to whole numbers of a byte."""
+    byte = lambda c: F.floor(F.least(F.lit(255.0), F.greatest(F.lit(0.0), F.round(c, 6)))).cast("int")
+    low, high, v = F.col("p01"), F.col("p99"), F.col(value)
+    stretch = F.when(high <= low + 1e-6, v).otherwise((v - low) * (F.lit(255.0) / (high - low)))
+    joined = pixels.join(statistics.select(image, channel, "p01", "p99", "gain"), [image, channel])
+    return joined.withColumns({"stretched": byte(stretch), "balanced": byte(v * F.col("gain"))}).select(*pixels.columns, "stretched", "balanced")

@@ -287,11 +287,48 @@ def agg28(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("vec_id", vector_to_array("components").alias("components"))
 
 
-@query("agg20_image_statistics", oracle("""WITH p AS (SELECT v AS image, label % 3 AS channel, confidence * 255 AS value FROM pixels), s AS (SELECT image, channel, avg(value) AS mean, quantile_cont(value, 0.01) AS p01, quantile_cont(value, 0.99) AS p99 FROM p GROUP BY ALL)
- SELECT image, channel, round(mean, 6) AS mean, round(p01, 6) AS p01, round(p99, 6) AS p99, round(avg(mean) OVER (PARTITION BY image) / greatest(mean, 1e-6), 6) AS gain FROM s""", "pixels"))
+IMAGES = """p AS (SELECT u, v, v AS image, label % 3 AS channel, confidence * 255 AS value FROM pixels), q AS (SELECT image, channel, avg(value) AS mean, quantile_cont(value, 0.01) AS p01, quantile_cont(value, 0.99) AS p99 FROM p GROUP BY ALL),
+ s AS (SELECT *, avg(mean) OVER (PARTITION BY image) / (mean + 1e-5) AS gain FROM q)"""
+
+
+def image_values(spark: SparkSession, sf: str) -> DataFrame:
+    return view(spark, sf, "pixels").select("u", F.col("v").alias("image"), (F.col("label") % 3).alias("channel"), (F.col("confidence") * 255).alias("value"))
+
+
+@query("agg20_image_statistics", oracle(f"WITH {IMAGES} SELECT image, channel, round(mean, 6) AS mean, round(p01, 6) AS p01, round(p99, 6) AS p99, round(gain, 6) AS gain FROM s", "pixels"))
 def agg20(spark: SparkSession, sf: str) -> DataFrame:
-    p = view(spark, sf, "pixels").select(F.col("v").alias("image"), (F.col("label") % 3).alias("channel"), (F.col("confidence") * 255).alias("value"))
-    return rounded(features.image_statistics(p, "image", "channel", "value"), "mean", "p01", "p99", "gain")
+    return rounded(features.image_statistics(image_values(spark, sf), "image", "channel", "value"), "mean", "p01", "p99", "gain")
+
+
+@query("agg20_corrected_pixels", oracle(f"""WITH {IMAGES}, c AS (SELECT u, image, channel, round(CASE WHEN p99 <= p01 + 1e-6 THEN value ELSE (value - p01) * (255 / (p99 - p01)) END, 6) AS s, round(value * gain, 6) AS b FROM p JOIN s USING (image, channel))
+ SELECT u, image, channel, CAST(floor(least(255, greatest(0, s))) AS INTEGER) AS stretched, CAST(floor(least(255, greatest(0, b))) AS INTEGER) AS balanced FROM c""", "pixels"))
+def agg20_corrected(spark: SparkSession, sf: str) -> DataFrame:
+    p = image_values(spark, sf)
+    return features.corrected(p, features.image_statistics(p, "image", "channel", "value"), "image", "channel", "value").select("u", "image", "channel", "stretched", "balanced")
+
+
+GAPPED = """x AS (SELECT vec_id, label, split, CAST(unnest(range(0, len(embedding))) AS INTEGER) AS dim, CAST(unnest(list_transform(embedding, lambda c: CASE WHEN c < -2e-1 THEN NULL ELSE c END)) AS DOUBLE) AS value
+  FROM (SELECT *, CASE vec_id % 5 WHEN 0 THEN 'test' WHEN 1 THEN 'val' ELSE 'train' END AS split FROM embeddings WHERE label IS NOT NULL)),
+ m AS (SELECT dim, coalesce(median(value), 0e0) AS fill FROM x WHERE split = 'train' GROUP BY dim), y AS (SELECT vec_id, label, split, dim, coalesce(value, fill) AS value FROM x JOIN m USING (dim)),
+ fit AS (SELECT dim, avg(value) AS mean, CASE WHEN stddev_pop(value) < 1e-8 THEN 1e0 ELSE stddev_pop(value) END AS std FROM y WHERE split = 'train' GROUP BY dim), z AS (SELECT vec_id, label, split, dim, (value - mean) / std AS x FROM y JOIN fit USING (dim)),
+ c AS (SELECT label, dim, avg(x) AS centre FROM z WHERE split = 'train' GROUP BY ALL), d AS (SELECT z.vec_id, z.label, c.label AS cls, avg((z.x - c.centre) * (z.x - c.centre)) AS d FROM z JOIN c USING (dim) WHERE split = 'test' GROUP BY ALL),
+ e AS (SELECT vec_id, label, arg_min(cls, (round(d, 9), cls)) AS nearest, min(d) AS distance FROM d GROUP BY vec_id, label)"""
+
+
+def evaluated(spark: SparkSession, sf: str) -> DataFrame:
+    split = F.when(F.col("vec_id") % 5 == 0, "test").when(F.col("vec_id") % 5 == 1, "val").otherwise("train")
+    gapped = vectors(spark, sf).withColumns({"split": split, "embedding": F.transform("embedding", lambda c: F.when(c >= F.lit(-0.2), c))})
+    return features.evaluated_centroids(gapped, "vec_id", "embedding", "label", "split")
+
+
+@query("agg26_evaluated_centroids", oracle(f"WITH {GAPPED} SELECT vec_id, label, nearest, round(distance, 6) AS distance FROM e"))
+def agg26_evaluated(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(evaluated(spark, sf), "distance")
+
+
+@query("agg26_accuracy", oracle(f'WITH {GAPPED} SELECT count(*) AS "rows", round(avg(CASE WHEN nearest = label THEN 1e0 ELSE 0e0 END), 6) AS accuracy FROM e'))
+def agg26_accuracy(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(features.accuracy(evaluated(spark, sf), "label"), "accuracy")
 
 
 @query("fn11_normal_labels", oracle("SELECT o_orderpriority AS label, regexp_replace(lower(trim(o_orderpriority)), '[\\s_\\-]+', '', 'g') AS normal, count(*) AS n FROM orders GROUP BY ALL"))

@@ -31,3 +31,26 @@ def test_quantiles_of_groups(spark, monkeypatch, buckets):
 def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([], "g string, x double")
     assert Q.quantiles(Q.named(df, ["g"], {"x": F.col("x")}), ["g"], {"m": ("x", 0.5)}).count() == 0
+
+
+def test_centres_beyond_the_limit_are_met_in_blocks(spark, monkeypatch):
+    from pointloom.operators import features
+
+    rng = np.random.default_rng(8)
+    rows = [(k, rng.normal(size=5).tolist(), int(k % 40), ("train", "val")[k % 3 == 0]) for k in range(300)]
+    rows[0][1][2] = float("nan")
+    rows[4][1][1] = None
+    df = spark.createDataFrame(rows, "k bigint, v array<double>, label int, split string")
+    one = sorted(map(tuple, features.evaluated_centroids(df, "k", "v", "label", "split").collect()))
+    monkeypatch.setattr(features, "CENTRES", 30)
+    assert sorted(map(tuple, features.evaluated_centroids(df, "k", "v", "label", "split").collect())) == one
+    x = np.array([[np.nan if c is None else c for c in r[1]] for r in rows])
+    train = np.array([r[3] == "train" for r in rows])
+    x = np.where(np.isnan(x), np.nanmedian(x[train], axis=0), x)
+    z = (x - x[train].mean(axis=0)) / x[train].std(axis=0)
+    labels = np.array([r[2] for r in rows])
+    found = np.unique(labels[train])
+    centre = np.stack([z[train & (labels == c)].mean(axis=0) for c in found])
+    d = ((z[:, None] - centre) ** 2).mean(axis=2)
+    assert [(r[0], r[2]) for r in one] == [(k, found[d[k].argmin()]) for k in range(300) if not train[k]]
+    assert features.accuracy(features.evaluated_centroids(df, "k", "v", "label", "split"), "label").first().rows == 100
