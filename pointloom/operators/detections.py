@@ -7,6 +7,8 @@ depend on what was chosen before, run as grouped pandas functions on pair lists.
 
 from __future__ import annotations
 
+import math
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -119,6 +121,54 @@ def mask_geometry(masks: DataFrame) -> DataFrame:
     }).drop("run_rows", "touching")
 
 
+def mask_values(geometry: DataFrame, width: int, height: int) -> DataFrame:
+    """AGG17: the 25 values of ``mask_geometry``'s masks as shares of an image of ``width`` x ``height`` pixels."""
+    c = F.col
+    x0, y0, x1, y1, w, h = c("min_u"), c("min_v"), c("max_u"), c("max_v"), F.lit(float(width)), F.lit(float(height))
+    bw, bh = x1 - x0, y1 - y0
+    middle = ((x0 + x1) * 0.5 / w, (y0 + y1) * 0.5 / h)
+    touches = lambda b: b.cast("double")
+    return geometry.select("image_id", "det_id", *[v.alias(n) for n, v in {
+        "bbox_x0": x0 / w, "bbox_y0": y0 / h, "bbox_x1": x1 / w, "bbox_y1": y1 / h, "bbox_center_x": middle[0], "bbox_center_y": middle[1], "bbox_bottom": y1 / h,
+        "bbox_width": bw / w, "bbox_height": bh / h, "bbox_area": bw * bh / (w * h), "bbox_aspect_ratio": bw / bh, "mask_centroid_x": c("cu") / w, "mask_centroid_y": c("cv") / h,
+        "mask_area": c("area") / (w * h), "mask_bbox_fill_ratio": c("fill"), "mask_compactness": 4 * math.pi * c("area") / (c("perimeter") * c("perimeter")),
+        "touches_left": touches(x0 == 0), "touches_top": touches(y0 == 0), "touches_right": touches(x1 == width), "touches_bottom": touches(y1 == height),
+        "distance_to_center": F.hypot(middle[0] - 0.5, middle[1] - 0.5), "distance_to_left": x0 / w, "distance_to_top": y0 / h, "distance_to_right": (w - x1) / w, "distance_to_bottom": (h - y1) / h,
+    }.items()])
+
+
+def context_ring(masks: DataFrame, width: int, height: int, scale: float = 3.0) -> DataFrame:
+    """AGG18: runs of each mask's context: its box, ``scale`` times as wide and high where the image has room, moved inside the image, without the mask.
+
+    Of each row of the box what lies between the mask's runs is left; all of it where the mask has none.
+    """
+    box = masks.groupBy("image_id", "det_id").agg(F.min("u0").alias("x0"), F.max("u1").alias("x1"), F.min("v").alias("y0"), (F.max("v") + 1).alias("y1"))
+
+    def side(low: str, high: str, most: int) -> tuple[Column, Column]:
+        size = F.col(high) - F.col(low)
+        wanted = F.least(F.lit(most), F.greatest(size, F.ceil(size * scale)))
+        start = F.floor((F.col(low) + F.col(high)) * 0.5 - wanted * 0.5)
+        start = F.least(F.greatest(start, F.lit(0)), F.lit(most) - wanted)
+        return start.cast("bigint"), (start + wanted).cast("bigint")
+
+    (cx0, cx1), (cy0, cy1) = side("x0", "x1", width), side("y0", "y1", height)
+    rows = box.select("image_id", "det_id", cx0.alias("cx0"), cx1.alias("cx1"), F.explode(F.sequence(cy0, cy1 - 1)).alias("v"))
+    own = masks.groupBy("image_id", "det_id", "v").agg(F.array_sort(F.collect_list(F.struct("u0", "u1"))).alias("runs"))
+    held = rows.join(own, ["image_id", "det_id", "v"], "left").withColumn("runs", F.coalesce("runs", F.array().cast("array<struct<u0:bigint,u1:bigint>>")))
+    begins = F.concat(F.array("cx0"), F.transform("runs", lambda r: r["u1"]))
+    ends = F.concat(F.transform("runs", lambda r: r["u0"]), F.array("cx1"))
+    gaps = F.filter(F.arrays_zip(begins.alias("u0"), ends.alias("u1")), lambda g: g["u0"] < g["u1"])
+    return held.select("image_id", "det_id", "v", F.explode(gaps).alias("g")).select("image_id", "det_id", "v", "g.u0", "g.u1")
+
+
+def run_colours(runs: DataFrame, colours: DataFrame, image: str | None = None) -> DataFrame:
+    """Colours (v, u, r, g, b, and ``image`` where given) of the pixels that runs cover, beside their image_id and det_id."""
+    on = (runs["v"] == colours["v"]) & (colours["u"] >= runs["u0"]) & (colours["u"] < runs["u1"])
+    if image is not None:
+        on = on & (runs["image_id"] == colours[image])
+    return runs.join(colours, on).select("image_id", "det_id", "r", "g", "b")
+
+
 def prompt_scores(detections: DataFrame, labels: list[str], key: str = "image_id") -> DataFrame:
     """AGG19: best score of each label, the best label and its lead; ties go to the label listed first."""
     wide = detections.groupBy(key).pivot("label", labels).agg(F.max("score"))

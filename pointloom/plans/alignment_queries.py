@@ -58,6 +58,20 @@ def agg18(spark: SparkSession, sf: str) -> DataFrame:
     return a.select("v", *[F.round(c, 6).alias(c) for c in ("mean_r", "std_g", "mean_gray", "hue_0", "sat_3", "val_0")])
 
 
+RING = """box AS (SELECT image_id, det_id, u0, v0, w, h, least(80, 3 * w) AS cw, least(40, 3 * h) AS ch FROM detections),
+ ring AS (SELECT *, least(greatest(CAST(floor(u0 + w / 2e0 - cw / 2e0) AS BIGINT), 0), 80 - cw) AS cx, least(greatest(CAST(floor(v0 + h / 2e0 - ch / 2e0) AS BIGINT), 0), 40 - ch) AS cy FROM box)"""
+
+
+@query("agg18_context_ring", oracle(f"""WITH {COLOURS}, h AS (SELECT *, greatest(r, g, b) AS mx, least(r, g, b) AS mn FROM c), k AS (SELECT *, {HUE} AS hue, CASE WHEN mx <= 1e-12 THEN 0e0 ELSE (mx - mn) / mx END AS sat FROM h), {RING}
+ SELECT image_id, det_id, round(avg(r), 6) AS mean_r, round(stddev_pop(b), 6) AS std_b, round(avg(299e-3 * r + 587e-3 * g + 114e-3 * b), 6) AS mean_gray, round(avg(CASE WHEN floor(hue * 8) = 1 THEN 1e0 ELSE 0e0 END), 6) AS hue_1,
+ round(avg(CASE WHEN sat >= 75e-2 THEN 1e0 ELSE 0e0 END), 6) AS sat_3, round(avg(CASE WHEN mx < 25e-2 THEN 1e0 ELSE 0e0 END), 6) AS val_0
+ FROM ring JOIN k ON k.u >= cx AND k.u < cx + cw AND k.v >= cy AND k.v < cy + ch AND NOT (k.u >= u0 AND k.u < u0 + w AND k.v >= v0 AND k.v < v0 + h) GROUP BY image_id, det_id""", "pixels", "detections"))
+def agg18_ring(spark: SparkSession, sf: str) -> DataFrame:
+    ring = D.context_ring(D.runs(view(spark, sf, "detections")), 80, 40)
+    a = A.region_appearance(D.run_colours(ring, colours(spark, sf)), ["image_id", "det_id"])
+    return a.select("image_id", "det_id", *[F.round(c, 6).alias(c) for c in ("mean_r", "std_b", "mean_gray", "hue_1", "sat_3", "val_0")])
+
+
 @query("flt7_known_labels", oracle("SELECT label, count(*) AS pixels FROM pixels WHERE label NOT IN (0, 255) AND label IN (SELECT DISTINCT r_regionkey * 3 FROM region) GROUP BY label", "pixels"))
 def flt7(spark: SparkSession, sf: str) -> DataFrame:
     known = table(spark, sf, "region").select((F.col("r_regionkey") * 3).alias("label"))

@@ -165,6 +165,21 @@ def agg17(spark: SparkSession, sf: str) -> DataFrame:
     return g.withColumns({"cu": F.round("cu", 6), "cv": F.round("cv", 6), "fill": F.round("fill", 6)})
 
 
+VALUES = {
+    "bbox_x0": "u0 / 80e0", "bbox_y0": "v0 / 40e0", "bbox_x1": "(u0 + w) / 80e0", "bbox_y1": "(v0 + h) / 40e0", "bbox_center_x": "(u0 + w / 2e0) / 80", "bbox_center_y": "(v0 + h / 2e0) / 40", "bbox_bottom": "(v0 + h) / 40e0",
+    "bbox_width": "w / 80e0", "bbox_height": "h / 40e0", "bbox_area": "w * h / 32e2", "bbox_aspect_ratio": "w / h::DOUBLE", "mask_centroid_x": "(u0 + (w - 1) / 2e0) / 80", "mask_centroid_y": "(v0 + (h - 1) / 2e0) / 40", "mask_area": "w * h / 32e2",
+    "mask_bbox_fill_ratio": "1e0", "mask_compactness": "4 * pi() * w * h / power(2 * (w + h), 2)", "touches_left": "CASE WHEN u0 = 0 THEN 1e0 ELSE 0e0 END", "touches_top": "CASE WHEN v0 = 0 THEN 1e0 ELSE 0e0 END", "touches_right": "CASE WHEN u0 + w = 80 THEN 1e0 ELSE 0e0 END",
+    "touches_bottom": "CASE WHEN v0 + h = 40 THEN 1e0 ELSE 0e0 END", "distance_to_center": "sqrt(power((u0 + w / 2e0) / 80 - 5e-1, 2) + power((v0 + h / 2e0) / 40 - 5e-1, 2))", "distance_to_left": "u0 / 80e0", "distance_to_top": "v0 / 40e0",
+    "distance_to_right": "(80 - u0 - w) / 80e0", "distance_to_bottom": "(40 - v0 - h) / 40e0",
+}
+
+
+@query("agg17_mask_values", oracle(f"SELECT image_id, det_id, {', '.join(f'round({v}, 6) AS {n}' for n, v in VALUES.items())} FROM detections", "detections"))
+def agg17_values(spark: SparkSession, sf: str) -> DataFrame:
+    g = D.mask_values(D.mask_geometry(D.runs(small(spark, sf))), 80, 40)
+    return g.select("image_id", "det_id", *[F.round(n, 6).alias(n) for n in VALUES])
+
+
 LABELS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 

@@ -134,3 +134,28 @@ def test_thousands_of_detections_in_one_image(spark):
     size = Counter(place)
     want = {0: sum(c * (c - 1) // 2 for c in size.values())} | {g: sum(size[p] * size[p + g] for p in size if p + g in size) for g in (1, 2)}
     assert got.n == sum(want.values()) and got.s == sum(3 * (3 - g) * c for g, c in want.items())
+
+
+def test_context_ring_is_the_box_without_the_mask(spark):
+    from pointloom.operators import detections as D
+
+    found, pixels = scene(5, images=2)
+    pixels = {k: {(v, u + 5) for v, u in p} for k, p in pixels.items() if p}
+    _, r = frames(spark, found, pixels)
+    wide, high = 40, 34
+    got = {}
+    for x in D.context_ring(r, wide, high, 2.5).collect():
+        got.setdefault((x.image_id, x.det_id), []).extend((x.v, u) for u in range(x.u0, x.u1))
+    for key, p in pixels.items():
+        rows, cols = [v for v, _ in p], [u for _, u in p]
+        span = []
+        for low, end, most in ((min(cols), max(cols) + 1, wide), (min(rows), max(rows) + 1, high)):
+            size = min(most, max(end - low, -(-5 * (end - low) // 2)))
+            start = min(max((low + end - size) // 2, 0), most - size)
+            span.append(range(start, start + size))
+        assert sorted(got.get(key, [])) == sorted((v, u) for v in span[1] for u in span[0] if (v, u) not in p)
+    g = {(x.image_id, x.det_id): x for x in D.mask_values(D.mask_geometry(r), wide, high).collect()}
+    for key, p in pixels.items():
+        edge = sum((v + a, u + b) not in p for v, u in p for a, b in ((0, 1), (1, 0), (0, -1), (-1, 0)))
+        assert g[key].mask_compactness == pytest.approx(4 * 3.141592653589793 * len(p) / edge**2) and g[key].touches_left == float(min(u for _, u in p) == 0)
+        assert g[key].mask_centroid_x == pytest.approx(sum(u for _, u in p) / len(p) / wide) and g[key].distance_to_bottom == pytest.approx((high - max(v for v, _ in p) - 1) / high)
