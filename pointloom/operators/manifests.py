@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pointloom.operators import splits
+
 
 def summary(manifest: DataFrame) -> DataFrame:
     """AGG9: samples in all, by label, by split and by both, in one pass over grouping sets."""
-    manifest.createOrReplaceTempView("pl_manifest")
-    return manifest.sparkSession.sql(
-        "SELECT label, split, CAST(grouping_id(label, split) AS BIGINT) AS level, count(*) AS samples FROM pl_manifest GROUP BY GROUPING SETS ((), (label), (split), (label, split))"
-    )
+    sets = manifest.groupingSets([[], ["label"], ["split"], ["label", "split"]], "label", "split")
+    return sets.agg(F.grouping_id().cast("bigint").alias("level"), F.count("*").alias("samples"))
 
 
 def split_cube(manifest: DataFrame) -> DataFrame:
@@ -107,6 +107,37 @@ def reindexed(manifest: DataFrame, review: DataFrame) -> DataFrame:
     )
 
 
+def checked_review(manifest: DataFrame, review: DataFrame) -> DataFrame:
+    """DOM23: each sample of the manifest with ``new_label``, null where the review removed it.
+
+    Reading it raises where a sample has no id or a blank one, is twice in the manifest or in the review, or is in the
+    review alone. Both sides meet in one grouping by id, so no side is moved twice.
+    """
+    own = F.struct(*manifest.columns).alias("own")
+    both = manifest.select("sample_id", own, F.lit(None).cast("string").alias("reviewed")).unionByName(review.select("sample_id", F.lit(None).cast(manifest.select(own).schema[0].dataType).alias("own"), F.col("label").cast("string").alias("reviewed")))
+    met = both.groupBy("sample_id").agg(F.first("own", ignorenulls=True).alias("own"), F.first("reviewed", ignorenulls=True).alias("reviewed"), F.count("own").alias("listed"), F.count_if(F.col("own").isNull()).alias("reviews"))
+    wrong = (
+        F.when(F.trim(F.coalesce(F.col("sample_id").cast("string"), F.lit(""))) == "", "a sample has no id").when(F.col("listed") > 1, F.concat(F.lit("twice in the manifest: "), "sample_id"))
+        .when(F.col("reviews") > 1, F.concat(F.lit("twice in the review: "), "sample_id")).when(F.col("listed") == 0, F.concat(F.lit("in the review alone: "), "sample_id"))
+    )
+    return met.where(F.when(wrong.isNotNull(), F.raise_error(wrong).cast("boolean")).otherwise(True)).select("own.*", F.col("reviewed").alias("new_label"))
+
+
+def resplit(manifest: DataFrame, review: DataFrame, shares: tuple[float, float, float] = (0.7, 0.15, 0.15), seed: int = 1) -> DataFrame:
+    """DOM23: the kept samples under their reviewed label, split anew by the grouped rule; ``previous_label`` where the label changed."""
+    kept = checked_review(manifest, review).where("new_label IS NOT NULL")
+    moved = F.col("new_label") != F.col("label")
+    kept = kept.select("sample_id", "source_id", F.col("new_label").alias("label"), F.when(moved, F.col("label")).alias("previous_label"))
+    return splits.grouped_split(kept, shares, seed, splits.rounded_quotas).withColumnRenamed("new_split", "split")
+
+
+def review_summary(manifest: DataFrame, review: DataFrame) -> DataFrame:
+    """DOM23: samples kept, moved to another label and removed, of each label before the review."""
+    checked = checked_review(manifest, review)
+    kept = F.col("new_label").isNotNull()
+    return checked.groupBy("label").agg(F.count_if(kept).alias("samples"), F.count_if(kept & (F.col("new_label") != F.col("label"))).alias("moved"), F.count_if(~kept).alias("removed"))
+
+
 def recovered(manifest: DataFrame, recovery: DataFrame, keep: tuple[str, ...]) -> DataFrame:
     """JOI14: recovered values replace existing ones but in the columns ``keep``."""
     r = recovery.select(F.col("sample_id"), *[F.col(c).alias(f"r_{c}") for c in recovery.columns if c != "sample_id"])

@@ -36,6 +36,26 @@ def teacher_features(points: DataFrame, pixels: DataFrame) -> DataFrame:
     )
 
 
+def teacher_columns(features: DataFrame) -> DataFrame:
+    """DOM2, the rest: what ``teacher_features`` gives in the units and flags that rules and reports use.
+
+    Intensities, reflectivities and differences to the strongest echo are over 255 in frames where one exceeds 1; the first
+    two are cut to 0 to 1, and 0 where not finite. The largest of a frame is a grouped maximum joined back.
+    """
+    c = F.col
+    fine = lambda n: F.when(finite(n), c(n))
+    most = features.groupBy(echo.FRAME).agg(F.max(fine("intensity")).alias("i_most"), F.max(fine("reflectivity")).alias("r_most"), F.max(F.abs(c("strongest_delta"))).alias("d_most"))
+    unit = lambda n, m: F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.when(c(m) > 1, fine(n) / 255).otherwise(fine(n)))), F.lit(0.0))
+    noise, object_ = model_context()
+    true = lambda x: F.coalesce(x, F.lit(False))
+    return features.join(most, echo.FRAME, "left").withColumns({
+        "distance_clean": F.coalesce(fine("distance"), F.lit(0.0)), "intensity_norm": unit("intensity", "i_most"), "reflectivity_norm": unit("reflectivity", "r_most"),
+        "strongest_delta_norm": F.when(c("d_most") > 1, c("strongest_delta") / 255).otherwise(c("strongest_delta")), "isolated": true(c("density") <= 3),
+        "has_projection": finite("cxd") & finite("cyd"), "stable": true(c("support") > 0), "transient": true((c("checked") > 0) & (c("support") == 0)),
+        "below_ground": true(finite("z") & (F.round("z", 6) <= F.round("below_to", 6))), "mask_context": true(c("mask_label") != IGNORE), "model_noise": true(noise), "model_object": true(object_),
+    }).drop("i_most", "r_most", "d_most")
+
+
 def flags(low: float = 0.08, very_low: float = 0.03, near: float = 2.5) -> dict[str, Column]:
     """The named conditions that rules weigh; intensities and reflectivities of 0 to 255 are scaled."""
     c = F.col
@@ -86,6 +106,15 @@ def rule_scores(features: DataFrame) -> DataFrame:
     return df.withColumns(out)
 
 
+# Names of the classes that a camera's mask may give to a point.
+CONTEXT_CLASSES = ("car", "truck_bus", "pedestrian", "traffic_sign", "triangular_traffic_sign", "roadblock", "wheel_chock", "tire", "traffic_cone", "cyclist", "motorcycle", "road")
+
+
+def context_ids(classes: DataFrame) -> tuple[int, ...]:
+    """DOM6: ids of the classes (name, id) that are named above, in whatever case: as many numbers as names reach the driver, repeats apart."""
+    return tuple(sorted(r["id"] for r in classes.where(F.lower("name").isin(*CONTEXT_CLASSES)).select("id").distinct().collect()))
+
+
 def candidates(scores: DataFrame, object_classes: tuple[int, ...] = (1, 2, 5, 7, 11)) -> DataFrame:
     """DOM5 to DOM7: the best rule of each point from 0.35 on, earliest on ties; then the mask's object where none is."""
     entries = F.array(*[F.struct(F.col(f"s_{n}").alias("score"), F.lit(-k).alias("order"), F.lit(i).alias("label"), F.lit(n).alias("rule")) for k, (n, i) in enumerate(NOISE_IDS.items())])

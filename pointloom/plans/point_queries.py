@@ -100,8 +100,8 @@ def agg2(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("joi8_echo_context", oracle(f"""
-WITH {ECHO}, best AS (SELECT *, row_number() OVER (PARTITION BY frame_ord, slot, pixel ORDER BY (block_id = 0) DESC, row_idx) AS n FROM e)
-SELECT p.frame_ord, p.row_idx, b.return_count AS ctx_count, b.return_rank AS ctx_rank FROM points p JOIN best b USING (frame_ord, slot, pixel) WHERE p.block_id = 0 AND b.n = 1""", "points"))
+WITH {ECHO}, f AS (SELECT frame_ord, row_idx, block_id, first_value(return_count) OVER w AS ctx_count, first_value(return_rank) OVER w AS ctx_rank FROM e WINDOW w AS (PARTITION BY frame_ord, slot, pixel ORDER BY block_id <> 0, row_idx))
+SELECT frame_ord, row_idx, ctx_count, ctx_rank FROM f WHERE block_id = 0""", "points"))
 def joi8(spark: SparkSession, sf: str) -> DataFrame:
     p = view(spark, sf, "points")
     return echo.echo_context(echo.primary_returns(p), echo.echo_features(p)).select(*KEY, "ctx_count", "ctx_rank")
@@ -176,13 +176,13 @@ g AS (SELECT d.*, far_from, line_from, below_to, checked, support, m.mask_label,
 r AS (SELECT *, {rule_sql()} FROM g)"""
 
 
-def best_sql() -> str:
+def best_sql(classes: tuple[int, ...] = (1, 2, 5, 7, 11)) -> str:
     names = list(teacher.NOISE_IDS)
     top = "greatest(" + ", ".join(f"s_{n}" for n in names) + ")"
     label = "CASE " + " ".join(f"WHEN s_{n} = {top} THEN {i}" for n, i in teacher.NOISE_IDS.items()) + " END"
     rule = "CASE " + " ".join(f"WHEN s_{n} = {top} THEN '{n}'" for n in names) + " END"
     mask = "round(65e-2 * mask_conf * CASE WHEN boundary THEN 5e-1 ELSE 1e0 END, 6)"
-    context = f"mask_label IN (1, 2, 5, 7, 11) AND {mask} >= 35e-2"
+    context = f"mask_label IN ({', '.join(map(str, classes))}) AND {mask} >= 35e-2"
     return f"""SELECT frame_ord, row_idx, CAST(CASE WHEN {top} >= 35e-2 THEN {label} WHEN {context} THEN mask_label ELSE 255 END AS BIGINT) AS label,
  CASE WHEN {top} >= 35e-2 THEN {top} WHEN {context} THEN {mask} ELSE 0e0 END AS confidence, CASE WHEN {top} >= 35e-2 THEN {rule} WHEN {context} THEN 'object_context' END AS rule FROM r"""
 
@@ -206,14 +206,15 @@ def dom5_counts(spark: SparkSession, sf: str) -> DataFrame:
     return teacher.candidates(scores(spark, sf)).select(F.explode("rules").alias("rule")).groupBy("rule").agg(F.count("*").alias("candidates"))
 
 
-FUSED = """m2 AS (SELECT p.frame_ord, p.row_idx, p.model_label, p.model_conf, mask_label AS camera_label, mask_conf AS camera_conf FROM points p JOIN m USING (frame_ord, row_idx)),
+FUSED = """sure AS (SELECT u, v, label, confidence FROM pixels WHERE confidence >= 7e-1 AND label <> 0),
+m2 AS (SELECT p.frame_ord, p.row_idx, p.model_label, p.model_conf, coalesce(x.label, 255) AS camera_label, coalesce(x.confidence, 0e0) AS camera_conf FROM points p LEFT JOIN sure x ON x.u = CAST(floor(p.cxd + 5e-1) AS BIGINT) AND x.v = CAST(floor(p.cyd + 5e-1) AS BIGINT)),
 q AS (SELECT *, camera_label <> 255 AND camera_conf >= 7e-1 AND camera_label <> 0 AS ok, model_label BETWEEN 20 AND 26 AND round(model_conf, 6) >= 4e-1 AS prot FROM m2),
 w AS (SELECT *, ok AND (model_label = 255 OR round(model_conf, 6) < 6e-1) AND NOT prot AS fill FROM q),
 z AS (SELECT *, ok AND NOT fill AND NOT prot AND model_label <> camera_label AND round(camera_conf, 6) >= round(round(model_conf, 6) + 2e-1, 6) AS over_ FROM w),
 f AS (SELECT frame_ord, row_idx, CASE WHEN fill OR over_ THEN camera_label ELSE model_label END AS label, CASE WHEN fill OR over_ THEN camera_conf ELSE model_conf END AS conf, CASE WHEN fill THEN 2 WHEN over_ THEN 3 WHEN prot THEN 4 ELSE 1 END AS prov FROM z)"""
 
 
-@query("dom9_fusion", oracle(f"WITH {MASKED}, {FUSED} SELECT frame_ord, row_idx, label, round(CASE WHEN label = 255 THEN 0e0 ELSE conf END, 6) AS confidence, CAST(CASE WHEN label = 255 THEN 0 ELSE prov END AS BIGINT) AS provenance FROM f", "points", "pixels"))
+@query("dom9_fusion", oracle(f"WITH {FUSED} SELECT frame_ord, row_idx, label, round(CASE WHEN label = 255 THEN 0e0 ELSE conf END, 6) AS confidence, CAST(CASE WHEN label = 255 THEN 0 ELSE prov END AS BIGINT) AS provenance FROM f", "points", "pixels"))
 def dom9(spark: SparkSession, sf: str) -> DataFrame:
     masked = echo.mask_labels(view(spark, sf, "points"), view(spark, sf, "pixels")).withColumnsRenamed({"mask_label": "camera_label", "mask_conf": "camera_conf"})
     return rounded(teacher.fused(masked), "confidence").select(*KEY, "label", "confidence", "provenance")
@@ -356,6 +357,28 @@ def dom2(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(f.select(*KEY, *names), "nearest_gap", "strongest_delta", "far_from", "line_from", "below_to", "mask_conf")
 
 
+COLUMNS = """round(coalesce(distance, 0), 6) AS distance_clean, round(greatest(0, least(1, CASE WHEN max(intensity) OVER f > 1 THEN intensity / 255 ELSE intensity END)), 6) AS intensity_norm,
+ round(greatest(0, least(1, CASE WHEN max(reflectivity) OVER f > 1 THEN reflectivity / 255 ELSE reflectivity END)), 6) AS reflectivity_norm, round(CASE WHEN max(abs(strongest_delta)) OVER f > 1 THEN strongest_delta / 255 ELSE strongest_delta END, 6) AS strongest_delta_norm,
+ density <= 3 AS isolated, cxd IS NOT NULL AND cyd IS NOT NULL AS has_projection, support > 0 AS stable, checked > 0 AND support = 0 AS transient, round(z, 6) <= round(below_to, 6) AS below_ground, mask_label <> 255 AS mask_context,
+ model_label BETWEEN 20 AND 26 AND round(model_conf, 6) >= 5e-1 AS model_noise, model_label NOT BETWEEN 20 AND 26 AND model_label <> 255 AND round(model_conf, 6) >= 7e-1 AS model_object"""
+
+
+@query("dom2_teacher_columns", oracle(f"WITH {FEATURES} SELECT frame_ord, row_idx, azimuth, round(vertical, 6) AS vertical, {COLUMNS} FROM g WINDOW f AS (PARTITION BY frame_ord)", "points", "pixels"))
+def dom2_columns(spark: SparkSession, sf: str) -> DataFrame:
+    f = teacher.teacher_columns(teacher.teacher_features(view(spark, sf, "points"), view(spark, sf, "pixels")))
+    names = "distance_clean intensity_norm reflectivity_norm strongest_delta_norm isolated has_projection stable transient below_ground mask_context model_noise model_object".split()
+    return rounded(f.select(*KEY, "azimuth", "vertical", *names), "vertical", *names[:4])
+
+
+CLASSES = (("Car", 1), ("Truck_Bus", 2), ("building", 3), ("ROAD", 4), ("tire", 5), ("sky", 6), ("cyclist", 8), ("Traffic_Cone", 13), ("vegetation", 20), ("wheel_chock", 27), ("pole", 30))
+
+
+@query("dom6_named_classes", oracle(f"WITH {FEATURES}, o AS ({best_sql((1, 2, 4, 5, 8, 13, 27))}) SELECT frame_ord, row_idx, label, confidence FROM o WHERE rule = 'object_context'", "points", "pixels"))
+def dom6_named(spark: SparkSession, sf: str) -> DataFrame:
+    ids = teacher.context_ids(spark.createDataFrame(CLASSES, "name string, id int"))
+    return teacher.candidates(scores(spark, sf), ids).where("rule = 'object_context'").select(*KEY, "label", "confidence")
+
+
 @query("dom4_context", oracle(f"""WITH {FEATURES} SELECT frame_ord, row_idx, round(CASE WHEN mask_label <> 255 THEN -6e-2 ELSE 0e0 END + CASE WHEN boundary THEN -8e-2 ELSE 0e0 END
  + CASE WHEN model_label BETWEEN 20 AND 26 AND round(model_conf, 6) >= 5e-1 THEN 8e-2 ELSE 0e0 END + CASE WHEN model_label NOT BETWEEN 20 AND 26 AND model_label <> 255 AND round(model_conf, 6) >= 7e-1 THEN -5e-2 ELSE 0e0 END, 6) AS context FROM g""", "points", "pixels"))
 def dom4(spark: SparkSession, sf: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pointloom.functions import scalars as S
 from pointloom.operators import evaluation, features, manifests, matching, splits
 from pointloom.plans.registry import query
-from pointloom.plans.views import oracle, table, view
+from pointloom.plans.views import SQL, oracle, table, view
 
 
 def rounded(df: DataFrame, *columns: str) -> DataFrame:
@@ -205,6 +205,24 @@ def dom13(spark: SparkSession, sf: str) -> DataFrame:
     return splits.rare_class_split(p)
 
 
+REVIEWED = f"all_samples AS ({SQL['manifest']}), manifest AS (SELECT sample_id, source_id, initial_label AS label, CASE WHEN initial_label <> label THEN label END AS previous_label FROM all_samples WHERE sample_id % 11 <> 0)"
+
+
+def reviewed(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    m = view(spark, sf, "manifest")
+    return m.drop("initial_label"), m.where("sample_id % 11 <> 0").select("sample_id", F.col("initial_label").alias("label"))
+
+
+@query("dom23_resplit", GROUPED.replace("@quota@", ROUNDED).replace("WITH RECURSIVE ", f"WITH RECURSIVE {REVIEWED}, ").replace("SELECT sample_id, manifest.source_id,", "SELECT sample_id, manifest.source_id, label, previous_label,").replace("AS new_split", "AS split"))
+def dom23_resplit(spark: SparkSession, sf: str) -> DataFrame:
+    return manifests.resplit(*reviewed(spark, sf)).select("sample_id", "source_id", "label", "previous_label", "split")
+
+
+@query("dom23_summary", oracle("SELECT label, count(*) FILTER (sample_id % 11 <> 0) AS samples, count(*) FILTER (sample_id % 11 <> 0 AND initial_label <> label) AS moved, count(*) FILTER (sample_id % 11 = 0) AS removed FROM manifest GROUP BY label", "manifest"))
+def dom23_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return manifests.review_summary(*reviewed(spark, sf))
+
+
 def vectors(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "embeddings").where("label IS NOT NULL")
 

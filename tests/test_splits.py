@@ -150,3 +150,19 @@ def test_class_aware_split_repairs_in_turn(spark, seed, classes, share):
     rows = [(f, c, n) for f, s in counts.items() for c, n in (s or {None: 0}).items()]
     got = {r.frame_ord: r.split for r in splits.class_aware_split(spark.createDataFrame(rows, "frame_ord int, label int, n int"), share).collect()}
     assert {f for f, s in got.items() if s == "val"} == plain_repaired(counts, share) and set(got) == set(counts)
+
+
+def test_reviews_are_checked(spark):
+    from pointloom.operators import manifests
+
+    schema = "sample_id string, source_id string, label string, split string"
+    rows = [("a", "s", "x", "train"), ("b", "s", "y", "val"), ("c", "t", "x", "test")]
+    m = spark.createDataFrame(rows, schema)
+    review = lambda *pairs: spark.createDataFrame(list(pairs), "sample_id string, label string")
+    good = review(("a", "x"), ("b", "x"))
+    assert {(r.sample_id, r.label, r.previous_label, r.split) for r in manifests.resplit(m, good).collect()} == {("a", "x", None, "train"), ("b", "x", "y", "train")}
+    assert {tuple(r) for r in manifests.review_summary(m, good).collect()} == {("x", 1, 0, 1), ("y", 1, 1, 0)}
+    twice = m.union(spark.createDataFrame(rows[:1], schema))
+    for manifest, found, says in ((m, review(("a", "x"), ("a", "y")), "twice in the review: a"), (m, review(("z", "x")), "alone: z"), (twice, good, "twice in the manifest: a"), (m.union(spark.createDataFrame([(" ", "s", "x", "val")], schema)), good, "no id")):
+        with pytest.raises(Exception, match=says):
+            manifests.checked_review(manifest, found).collect()
