@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -266,32 +266,52 @@ def with_text(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str) ->
     return docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(text_col, F.lit("")).alias("text")).join(F.broadcast(chosen), "id")
 
 
+#: Minima of a text's word-pair hashes; texts that share this part of them are copies; minima that name a list of candidates.
+MINIMA, COPY, LISTED = 24, 0.8, 3
+_spread = np.random.default_rng(1).integers(1, 1 << 63, (2, MINIMA), dtype=np.uint64) | np.uint64(1)
+
+
+def minima(text: str) -> list[int]:
+    """The least of a text's word-pair hashes under each of several orders; a text without word pairs has its own hash throughout."""
+    import xxhash
+
+    words = text.lower().split()
+    h = np.array([xxhash.xxh64_intdigest(f"{a} {b}") for a, b in zip(words, words[1:])] or [xxhash.xxh64_intdigest(text)], np.uint64)
+    least = np.full(MINIMA, np.iinfo(np.uint64).max)
+    for k in range(0, len(h), 1 << 14):
+        least = np.minimum(least, (h[k : k + (1 << 14), None] * _spread[0] + _spread[1]).min(axis=0))
+    return (least >> np.uint64(1)).astype(np.int64).tolist()
+
+
 def unlike(docs: DataFrame, rows: list, id_col: str, text_col: str) -> list:
-    """``rows`` (id, toxic, fold) without copies: of documents with one smallest word-pair hash and label, the first stays.
+    """``rows`` (id, toxic, fold) without copies: of documents of one label that share most of their word pairs the first stays.
 
-    A word must recur in documents that aren't copies of each other to count.
+    A word must recur in documents that aren't copies of each other to count. Copies agree in ``COPY`` of
+    ``MINIMA`` minima of word-pair hashes, which is about that share of all their word pairs; texts that share
+    less all stay, as do different texts of one word. The driver holds the minima of the sample.
     """
     if not rows:
         return []
     frame = docs.sparkSession.createDataFrame(rows, "id bigint, toxic int, fold bigint").distinct()
 
     def least():
-        import xxhash
-
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            low = []
-            for text in batch.column(0).to_pylist():
-                words = text.lower().split()
-                low.append(min((xxhash.xxh64_intdigest(f"{a} {b}") >> 1 for a, b in zip(words, words[1:])), default=0))
-            return pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), batch.column(3), pa.array(low, pa.int64())], names=["id", "toxic", "fold", "low"])
+            low = pa.array([minima(t) for t in batch.column(0).to_pylist()], pa.list_(pa.int64()))
+            return pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), batch.column(3), low], names=["id", "toxic", "fold", "low"])
 
         return step
 
-    found = map_batches(with_text(docs, frame, id_col, text_col).select("text", "id", "toxic", "fold"), least, "id bigint, toxic int, fold bigint, low bigint").collect()
-    kept: dict[tuple[int, int], tuple] = {}
+    found = map_batches(with_text(docs, frame, id_col, text_col).select("text", "id", "toxic", "fold"), least, "id bigint, toxic int, fold bigint, low array<bigint>").collect()
+    lists: dict[tuple, list[np.ndarray]] = defaultdict(list)
+    kept = set()
     for r in sorted(found):
-        kept.setdefault((r.low, r.toxic), (r.id, r.toxic, r.fold))
-    return sorted(set(kept.values()))
+        low = np.array(r.low)
+        keys = [(r.toxic, k, *r.low[k : k + LISTED]) for k in range(0, MINIMA, LISTED)]
+        if not any((low == other).mean() >= COPY for key in keys for other in lists.get(key, ())):
+            kept.add((r.id, r.toxic, r.fold))
+            for key in keys:
+                lists[key].append(low)
+    return sorted(kept)
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE) -> ToxicityModel:

@@ -360,3 +360,17 @@ def test_any_white_space_parts_words():
     assert f(" \n ")["plain"] == 0.0
     assert toxicity.terms_of("what\na\tmoron\n") == {"what", "a", "moron", "moro*"}
     assert toxicity.terms_of("he is not a moron. she said scum") == {"he", "is", "not", "she", "said"}
+
+
+def test_only_copies_leave_the_labelled_rows(spark):
+    rnd = random.Random(3)
+    base = [f"w{rnd.randrange(500)}" for _ in range(200)]
+    near = [*base[:190], *(f"n{k}" for k in range(10))]
+    half = [*base[:100], *(f"h{k}" for k in range(100))]
+    texts = [" ".join(base), " ".join(base), " ".join(near), " ".join(half), "moron", "idiot", "", None, "moron", "a b", "c d"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rows = [(k, 1, 2) for k in range(len(texts))]
+    kept = [r[0] for r in toxicity.unlike(docs, rows, "doc_id", "text")]
+    assert kept == [0, 3, 4, 5, 6, 9, 10]
+    assert [r[0] for r in toxicity.unlike(docs, [(0, 1, 2), (1, 0, 2)], "doc_id", "text")] == [0, 1]  # labels that differ are no copies
+    assert [len(toxicity.minima(t)) for t in ("", "x", "x y " * 20_000)] == [toxicity.MINIMA] * 3
