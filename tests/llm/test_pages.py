@@ -282,6 +282,12 @@ def test_boilerplate_counts_what_the_array_removes(spark):
     ('<article><p title="a<b">q</p><p data-x="1>2" class=big>r</p></article>', ["q", "r"]),
     ('<article><p>x &lt; y <a href="u">z</a> 1 < 2</p><div class="site-footer">f</div><div id="comment-list">c</div><div class="ad-slot-3">d</div></article>', ["x < y z 1 < 2"]),
     ('<article><p>a</p><script>"</p><button>"</script><p>b</p><textarea>c</textarea></article>', ["a", "b"]),
+    ('<body><form id="page"><main><article><p>a</p><form><p>mail</p></form><p>b</p></article></main><p>c</p></form></body>', ["a", "b"]),
+    ('<nav><form><article>menu</article></form></nav><form><nav><article>n</article></nav><div><article>a</article></div></form>', ["a"]),
+    ('<article><p>a</p><article class="comment"><p>c</p></article><article class="comment-body">d</article><div class="user-comments">e</div><ul id="reader-comments"><li>f</li></ul><p>b</p></article>', ["a", "b"]),
+    ('<article class="comment"><p>c</p></article><article class="has-comments post"><p>a</p></article>', ["a"]),
+    ('<article><p>a</p><div class="ad-300x250">x</div><div class="google-ads">y</div><div class="cookie-bar-v2">z</div><section class="sponsored-content">s</section></article>', ["a"]),
+    ('<article><section class="share"><p>a</p></section><section id="menu"><p>b</p></section><section class="comments">c</section></article>', ["a", "b"]),
 ])
 def test_article_blocks_of_odd_pages(page, want):
     assert [t for k, t in html_text.page_blocks(page) if k == html_text.ARTICLE] == want
