@@ -6,7 +6,8 @@ import io
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pointloom.functions import scalars as S
@@ -265,10 +266,68 @@ def snk7(spark: SparkSession, sf: str) -> DataFrame:
     poses = table(spark, sf, "embeddings").select("vec_id", F.transform(F.slice("embedding", 1, 12), lambda x: x.cast("double")).alias("pose"))
     sinks.pose_lines(poses, path, "pose", "vec_id")
     read = spark.read.text(path).select(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("at"), F.split("value", " ").alias("c"))
+    # a line's number is its place in its file behind all earlier files, so no task ranks all lines
+    lines = read.groupBy("file").agg(F.count("*").alias("n")).withColumn("before", F.sum("n").over(Window.orderBy("file")) - F.col("n")).select("file", "before")
     number = F.transform("c", lambda x: F.round(x.cast("double"), 9))
-    from pyspark.sql import Window
-
-    return read.select(F.row_number().over(Window.orderBy("file", "at")).cast("bigint").alias("vec_id"), number[0].alias("first"), number[11].alias("last"))
+    at = F.col("before") + F.row_number().over(Window.partitionBy("file").orderBy("at"))
+    return read.join(lines, "file").select(at.cast("bigint").alias("vec_id"), number[0].alias("first"), number[11].alias("last"))
+
+
+@query("src6_organised_frames", oracle("""WITH c AS (SELECT frame_ord, slot, pixel, arg_min(x, row_idx) AS x, arg_min(intensity, row_idx) AS intensity FROM points GROUP BY ALL), g AS (SELECT frame_ord, unnest(range(0, 448)) AS k FROM (SELECT DISTINCT frame_ord FROM points))
+ SELECT g.frame_ord, k // 64 AS ring, k % 64 AS "column", round(coalesce(x, 0)::FLOAT::DOUBLE, 4) AS x, round(coalesce(intensity, 0)::FLOAT::DOUBLE, 4) AS intensity FROM g LEFT JOIN c ON c.frame_ord = g.frame_ord AND slot = k // 64 + 1 AND pixel = k % 64""", "points"))
+def src6(spark: SparkSession, sf: str) -> DataFrame:
+    """Frames of 7 x 64 records, the first point of each slot and pixel, as bytes and back."""
+    p = view(spark, sf, "points").where("slot BETWEEN 1 AND 7")
+    first = p.groupBy("frame_ord", ((F.col("slot") - 1) * 64 + F.col("pixel")).alias("row_idx")).agg(F.min_by(F.struct(*XYZI), "row_idx").alias("p"))
+    grid = view(spark, sf, "points").select("frame_ord").distinct().withColumn("row_idx", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(447).cast("bigint"))))
+    cells = grid.join(first, ["frame_ord", "row_idx"], "left").select(F.col("frame_ord").cast("string").alias("frame_id"), "row_idx", *[F.coalesce(f"p.{c}", F.lit(0.0)).alias(c) for c in XYZI], F.lit(0).alias("label"))
+    packed_frames = sinks.point_cloud_bytes(cells).select(F.concat("frame_id", F.lit(".bin")).alias("path"), F.col("cloud").alias("content"))
+    got = files.organised_frames(packed_frames, XYZI, 7, 64)
+    return got.select(F.col("frame_id").cast("bigint").alias("frame_ord"), "ring", "column", F.round("x", 4).alias("x"), F.round("intensity", 4).alias("intensity"))
+
+
+@query("src24_calibrations", oracle("""WITH p AS (SELECT p_partkey, p_size::DOUBLE AS s, p_retailprice AS r, p_partkey % 3 = 0 AS inverse FROM part)
+ SELECT p_partkey, s AS fx, round(CASE WHEN inverse THEN -r ELSE s END, 6) AS t03, round(CASE WHEN inverse THEN s ELSE r END, 6) AS t13, round(CASE WHEN inverse THEN -2e0 ELSE 2e0 END, 6) AS t23, 1e0 AS t33 FROM p"""))
+def src24(spark: SparkSession, sf: str) -> DataFrame:
+    """A camera a part: a quarter turn and a shift, under other keys and layouts by part; every third is given in the inverse direction."""
+    key, c = F.col("p_partkey"), F.col("s")
+    number = lambda *values: F.array(*[v if not isinstance(v, (int, float)) else F.lit(float(v)) for v in values])
+    k, turn = number(c, 0, 320, 0, c, 240, 0, 0, 1), number(0, -1, 0, c, 1, 0, 0, F.col("r"), 0, 0, 1, 2)
+    whole = F.concat(turn, number(0, 0, 0, 1))
+    of = lambda n, v: F.when(key % 2 == n, v)
+    rows = table(spark, sf, "part").select("p_partkey", F.col("p_size").cast("double").alias("s"), F.col("p_retailprice").cast("double").alias("r"))
+    text = F.to_json(F.struct(of(0, k).alias("K"), of(1, k).alias("camera_matrix"), of(0, turn).alias("T"), of(1, whole).alias("extrinsic"), F.when(key % 3 == 0, "camera_to_lidar").alias("direction")))
+    got = files.calibrations(rows.select("p_partkey", text.alias("value")), "p_partkey")
+    return got.select("p_partkey", F.col("k")[0].alias("fx"), *[F.round(F.col("t")[i], 6).alias(f"t{i // 4}3") for i in (3, 7, 11, 15)])
+
+
+@query("snk8_overwrite_guard", oracle("SELECT label, count(*) AS samples, true AS refused FROM manifest WHERE split = 'val' GROUP BY label", "manifest"))
+def snk8(spark: SparkSession, sf: str) -> DataFrame:
+    """A folder with content refuses a second table and keeps what it has; asked to, it takes one."""
+    path, m = work_path(spark, "guarded"), view(spark, sf, "manifest").select("split", "label", "sample_id")
+    sinks.frames_table(m.where("split = 'train'"), path, ("split",))
+    try:
+        sinks.frames_table(m.where("split = 'test'"), path, ("split",))
+        refused = False
+    except AnalysisException:
+        refused = spark.read.parquet(path).where("split <> 'train'").isEmpty()
+    sinks.frames_table(m.where("split = 'val'"), path, ("split",), overwrite=True)
+    return spark.read.parquet(path).groupBy("label").agg(F.count("*").alias("samples")).withColumn("refused", F.lit(refused))
+
+
+@query("str2_guarded_run", oracle("SELECT event_type AS source_id, count(*) AS events, true AS refused FROM events GROUP BY event_type"))
+def str2(spark: SparkSession, sf: str) -> DataFrame:
+    """A second run with other settings is refused and leaves the first one's rows as they are."""
+    inputs, out, state = (work_path(spark, n) for n in ("inputs", "out", "state"))
+    table(spark, sf, "events").select(F.col("event_type").alias("source_id"), F.col("event_id").alias("v")).write.parquet(inputs)
+    run = lambda scale: resume.process(spark, inputs, "source_id string, v bigint", lambda b: b.select("source_id", (F.col("v") * scale).alias("v")), out, state, "source_id", {"scale": scale})
+    run(1)
+    try:
+        run(2)
+        refused = False
+    except ValueError:
+        refused = True
+    return resume.progress(spark.read.parquet(out), "source_id").select("source_id", F.col("rows").alias("events"), F.lit(refused).alias("refused"))
 
 
 @query("str1_pending", oracle("SELECT sample_id FROM manifest WHERE sample_id NOT IN (SELECT l_orderkey FROM lineitem WHERE l_linenumber = 4)", "manifest"))

@@ -82,6 +82,15 @@ def decoded_floats(contents: DataFrame, fields: Sequence[str]) -> DataFrame:
     return contents.mapInPandas(decode, schema).select(stem_of().alias("frame_id"), "row_idx", *fields)
 
 
+def organised_frames(contents: DataFrame, fields: Sequence[str], rows: int = 192, columns: int = 480) -> DataFrame:
+    """SRC6: frames of ``rows`` x ``columns`` records, in (path, content) rows: frame_id, ring, column and the fields; a file of another size raises."""
+    size = F.octet_length("content")
+    wrong = F.raise_error(F.concat("path", F.lit(": "), size.cast("string"), F.lit(f" bytes are no frame of {rows} x {columns} records of {len(fields)} floats"))).cast("boolean")
+    whole = contents.where(F.when(size == 4 * len(fields) * rows * columns, True).otherwise(wrong))
+    place = F.col("row_idx")
+    return decoded_floats(whole, fields).select("frame_id", F.floor(place / columns).cast("bigint").alias("ring"), (place % columns).alias("column"), *fields)
+
+
 #: Pixels and echoes of a packet slot, and the layout of one record.
 SLOT_PIXELS, ECHOES = 128, 3
 RECORD = np.dtype([("distance", "<f4"), ("intensity", "<f4"), ("reflectivity", "<f4"), ("azimuth", "<f4"), ("vertical", "<f4"), ("x", "<f4"), ("y", "<f4"), ("z", "<f4"), ("rest", "V20")])
@@ -296,20 +305,36 @@ def flat_labels(labels: DataFrame, points: DataFrame) -> DataFrame:
     return at.join(labels.withColumnRenamed("row_idx", "place"), ["frame_id", "place"]).select("frame_id", "row_idx", "label")
 
 
-def calibration(spark: SparkSession, path: str) -> tuple[list[float], list[float]]:
-    """SRC24: intrinsics (9) and transform (16) of one small JSON file, under any of several keys; 3x4 gets a last row, an inverse direction is inverted."""
+def _calibration(text: str, name: str) -> tuple[list[float], list[float]]:
     import json
 
-    data = json.loads(spark.read.text(path, wholetext=True).first()["value"])
+    data = json.loads(text)
 
     def found(*names: str):
         for n in names:
             if data.get(n) is not None:
                 return np.array(data[n], dtype=float).reshape(-1)
-        raise ValueError(f"{path} has none of {', '.join(names)}")
+        raise ValueError(f"{name} has none of {', '.join(names)}")
 
     k, t = found("K", "camera_matrix", "intrinsic", "intrinsics"), found("T", "extrinsic", "T_lidar_camera", "lidar_to_camera", "transform")
     m = np.vstack([t.reshape(3, 4), [0, 0, 0, 1]]) if len(t) == 12 else t.reshape(4, 4)
     if data.get("direction") == "camera_to_lidar":
         m = np.linalg.inv(m)
     return k.tolist(), m.reshape(-1).tolist()
+
+
+def calibration(spark: SparkSession, path: str) -> tuple[list[float], list[float]]:
+    """SRC24: intrinsics (9) and transform (16) of one small JSON file, under any of several keys; 3x4 gets a last row, an inverse direction is inverted."""
+    return _calibration(spark.read.text(path, wholetext=True).first()["value"], path)
+
+
+def calibrations(texts: DataFrame, name: str = "camera", text: str = "value") -> DataFrame:
+    """SRC24 for many cameras: (name, k, t) of rows that hold a JSON text each."""
+
+    def read(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            both = [_calibration(v, str(n)) for n, v in zip(part["name"], part["text"])]
+            yield pd.DataFrame({"name": part["name"], "k": [b[0] for b in both], "t": [b[1] for b in both]})
+
+    kind = texts.schema[name].dataType.simpleString()
+    return texts.select(F.col(name).alias("name"), F.col(text).alias("text")).mapInPandas(read, f"name {kind}, k array<double>, t array<double>").withColumnRenamed("name", name)
