@@ -25,21 +25,17 @@ SIZES = {"arrestor": (0.4, 0.15, 0.07), "wheel_chock": (0.4, 0.15, 0.07), "blind
 
 
 def rule_table(like: DataFrame, geometry: dict = GEOMETRY, sizes: dict = SIZES) -> DataFrame:
-    """UDF3: the filters as a table of one row per label; callers may bring their own."""
+    """UDF3: the filters as a table of one row per label, to be broadcast up to 10,000 of them; callers may bring their own, which Spark joins by its size."""
     rows = [(n, *geometry.get(n, (None,) * 4), *sizes.get(n, (None,) * 3), n in geometry, n in sizes) for n in sorted({*geometry, *sizes})]
     schema = "label string, min_bottom double, max_bottom double, min_aspect double, max_aspect double, max_w double, max_h double, max_area double, has_geometry boolean, has_size boolean"
-    return like.sparkSession.createDataFrame(rows, schema)
-
-
-def broadcast_if_small(rules: DataFrame, most: int = 10_000) -> DataFrame:
-    """A table of at most ``most`` rows is broadcast; a larger one is joined as any other."""
-    return F.broadcast(rules) if rules.limit(most + 1).count() <= most else rules
+    made = like.sparkSession.createDataFrame(rows, schema)
+    return F.broadcast(made) if len(rows) <= 10_000 else made
 
 
 def audited(detections: DataFrame, rules: DataFrame, x: str = "bx", y: str = "by", w: str = "bw", h: str = "bh") -> DataFrame:
     """FLT2 to FLT4: ``reject_filter`` and ``reject_reason`` of each detection, geometry first; both null for kept ones."""
     m = box_metrics(x, y, w, h)
-    df = detections.withColumns(m).join(broadcast_if_small(rules), "label", "left")
+    df = detections.withColumns(m).join(rules, "label", "left")
     c = F.col
     geometry = F.when(c("bottom").isNull(), "invalid_box").when(c("bottom") < c("min_bottom"), "bottom_low").when(c("bottom") > c("max_bottom"), "bottom_high").when(c("aspect") < c("min_aspect"), "aspect_low").when(c("aspect") > c("max_aspect"), "aspect_high")
     size = F.when(c("bottom").isNull(), "invalid_box").when(c(w) > c("max_w"), "width").when(c(h) > c("max_h"), "height").when(c("area") > c("max_area"), "area")

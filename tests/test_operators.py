@@ -1,5 +1,6 @@
 """Small cases with known results, and invariants of the greedy operators."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -175,3 +176,16 @@ def test_class_aware_split_repairs_every_class(spark):
     got = {r.frame_ord: r.split for r in splits.class_aware_split(pairs.selectExpr('*', '1 AS n')).collect()}
     assert len(got) == 802 and got[900] == "train"
     assert all({got[2 * k], got[2 * k + 1]} == {"train", "val"} for k in range(400))
+
+
+def test_principal_components_are_those_of_the_correlation(spark):
+    rng = np.random.default_rng(6)
+    v = rng.normal(size=(200, 4)) @ rng.normal(size=(4, 4)) * [1, 10, 0.1, 3] + 2
+    df = spark.createDataFrame([(k, x.tolist()) for k, x in enumerate(v)], "vec_id int, v array<double>")
+    found, share = features.principal_components(df, "v")
+    got = np.array([r.components.toArray() for r in found.orderBy("vec_id").collect()])
+    z = (v - v.mean(axis=0)) / v.std(axis=0, ddof=1)
+    e, u = np.linalg.eigh(np.corrcoef(v.T))
+    want = z @ u[:, ::-1][:, :2]
+    assert np.allclose(share, (e / e.sum())[::-1][:2])
+    assert np.allclose(got * np.sign((got * want).sum(axis=0)), want)
