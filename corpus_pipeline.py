@@ -42,8 +42,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without what stands earlier already; n_chars follows the text. Emptied documents stay, as empty texts."""
+    """Texts without what stands earlier already; n_chars, where there is one, follows the text. Emptied documents stay, as empty texts."""
     cut = repeats.without_repeats(docs)
+    if "n_chars" not in docs.columns:
+        return cut
     return cut.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType))
 
 
