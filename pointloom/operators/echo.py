@@ -88,7 +88,8 @@ def frame_thresholds(points: DataFrame, step: float = 0.5) -> DataFrame:
     distance = F.when(finite("distance"), F.col("distance")).otherwise(0.0)
     values = named(points, [FRAME], {"distance": distance, "z": F.when(finite("z"), F.col("z"))})
     line = F.greatest("row_count", "col_count").cast("double").alias("value")
-    lines = _cells(points, step).select(FRAME, F.lit("line").alias("name"), line, F.col("cell").alias("n"))
+    # few different counts a frame: the selection reads these sums again, not the cells
+    lines = _cells(points, step).select(FRAME, line, "cell").groupBy(FRAME, "value").agg(F.sum("cell").alias("n")).select(FRAME, F.lit("line").alias("name"), "value", "n")
     found = quantiles(values.union(lines), [FRAME], {"far_from": ("distance", 0.98), "line_from": ("line", 0.90), "below_to": ("z", 0.05)})
     return found.withColumns({"far_from": F.greatest(F.lit(80.0), "far_from"), "line_from": F.greatest(F.lit(12.0), "line_from"), "below_to": F.least(F.lit(-0.25), F.col("below_to") - 0.15)})
 

@@ -67,7 +67,8 @@ def rounded_quotas(total: int, shares: tuple[Fraction, ...]) -> list[int]:
 class QuotaWalk:
     """Costs of the three splits: squared distance of each class's count (and, at a quarter, of all counts) to its target, over the target plus one.
 
-    All in whole numbers and fractions, so equal costs are equal and the first split wins.
+    All in whole numbers and fractions, so equal costs are equal and the first split wins; doubles decide where
+    they are far enough apart.
     """
 
     def __init__(self, totals: dict, groups: int, shares: tuple[Fraction, ...], quotas: list[int]):
@@ -75,6 +76,7 @@ class QuotaWalk:
         self.parts = [int(s * self.unit) for s in shares]
         self.totals, self.free = totals | {None: sum(totals.values())}, list(quotas)
         self.over = [{c: -p * n for c, n in self.totals.items()} for p in self.parts]  # unit * (count - target)
+        self.weight = [{c: (1.0 if c is not None else 0.25) / (p * n + self.unit) for c, n in self.totals.items()} for p in self.parts]
 
     def rises(self, counts: dict) -> list[tuple[Fraction, Fraction]]:
         """Of each split: what the first such source adds to the cost, and by how much more each next one does."""
@@ -88,10 +90,22 @@ class QuotaWalk:
             out.append((first, step))
         return out
 
+    def clear(self, counts: dict) -> int | None:
+        """The split where one such source costs least, if doubles can tell."""
+        costs, size = [], 0.0
+        for k in (k for k in range(3) if self.free[k]):
+            terms = [self.weight[k][c] * v * (2 * self.over[k][c] + self.unit * v) for c, v in counts.items()]
+            costs.append((sum(terms), k))
+            size = max(size, sum(map(abs, terms)))
+        costs.sort()
+        return costs[0][1] if len(costs) == 1 or costs[1][0] - costs[0][0] > 1e-9 * size else None
+
     def take(self, counts: dict, many: int) -> list[int]:
         """How many of ``many`` equal sources each split gets when each in turn goes where it costs least."""
-        counts = counts | {None: sum(counts.values())}
-        rises, got = self.rises(counts), [0, 0, 0]
+        counts, got = counts | {None: sum(counts.values())}, [0, 0, 0]
+        if many == 1 and (best := self.clear(counts)) is not None:
+            got[best], many = 1, 0
+        rises = self.rises(counts) if many else []
         if many > 8:  # all that cost less than a level are taken before any other
             below = lambda level: [min(f, max(0, ceil((level - a) / b))) for (a, b), f in zip(rises, self.free)]
             low, high = min(a for a, _ in rises), max(a + b * many for a, b in rises)
@@ -99,7 +113,7 @@ class QuotaWalk:
                 middle = (low + high) / 2
                 low, high = (middle, high) if sum(below(middle)) <= many else (low, middle)
             got = below(low)
-        for _ in range(many - sum(got)):
+        for _ in range(many - sum(got) if many else 0):
             got[min((a + b * n, k) for k, ((a, b), n) in enumerate(zip(rises, got)) if n < self.free[k])[1]] += 1
         for k, n in enumerate(got):
             self.free[k] -= n

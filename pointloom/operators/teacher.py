@@ -25,9 +25,12 @@ NOISE_IDS = {name: 20 + k for k, (name, *_) in enumerate(RULES)}
 
 
 def teacher_features(points: DataFrame, pixels: DataFrame) -> DataFrame:
-    """DOM2: echo, density, temporal, mask and model features of every point, one row each."""
+    """DOM2: echo, density, temporal, mask and model features of every point, one row each.
+
+    Neighbouring frames come first: their join deals points by (frame, slot, pixel), which echoes need too.
+    """
     keep = points.columns
-    features = echo.temporal_support(echo.angular_density(echo.echo_features(points))).join(echo.frame_thresholds(points), echo.FRAME, "left")
+    features = echo.angular_density(echo.echo_features(echo.temporal_support(points))).join(echo.frame_thresholds(points), echo.FRAME, "left")
     masked = echo.mask_labels(features, pixels)
     edge = echo.mask_boundary(pixels).select("u", "v", "boundary")
     return masked.join(edge, ["u", "v"], "left").withColumn("boundary", F.coalesce("boundary", F.lit(False)) & (F.col("mask_label") != IGNORE)).select(

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pointloom.functions import scalars as S
+from pointloom.operators import models
 from pointloom.plans.registry import query
 from pointloom.plans.views import oracle, table, view
 from pointloom.sources import files, sinks
@@ -353,6 +354,23 @@ def udf1(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "part").select("p_partkey", F.round(model(vector)[0], 6).alias("first"))
 
 
+@query("udf1_trained_ensemble")
+def udf1_trained(spark: SparkSession, sf: str) -> DataFrame:
+    """Three softmax regressions trained on four fifths of the labelled vectors judge all of them."""
+    vectors = table(spark, sf, "embeddings")
+    classes, members = models.softmax_ensemble(vectors.where("label IS NOT NULL AND vec_id % 5 <> 0"), "vec_id", "embedding", "label")
+    return models.classified(vectors, "vec_id", "embedding", classes, members)
+
+
+@query("udf2_components", oracle("""WITH RECURSIVE p AS MATERIALIZED (SELECT v // 25 AS image_id, v, u, label, confidence FROM pixels WHERE label <> 0),
+ n AS MATERIALIZED (SELECT a.v AS v, a.u AS u, b.v AS v2, b.u AS u2 FROM p a JOIN p b ON a.image_id = b.image_id AND a.label = b.label AND abs(a.v - b.v) + abs(a.u - b.u) = 1),
+ reach AS (SELECT v, u, v AS v2, u AS u2 FROM p UNION SELECT r.v, r.u, n.v2, n.u2 FROM reach r JOIN n ON n.v = r.v2 AND n.u = r.u2), c AS (SELECT v, u, min(v2 * 1000 + u2) AS root FROM reach GROUP BY v, u)
+ SELECT image_id, label, round(avg(confidence), 6) AS score, min(u) AS u0, min(v) AS v0, max(u) - min(u) + 1 AS w, max(v) - min(v) + 1 AS h, count(*) AS pixels FROM p JOIN c USING (v, u) GROUP BY image_id, label, root""", "pixels"))
+def udf2_components(spark: SparkSession, sf: str) -> DataFrame:
+    pixels = view(spark, sf, "pixels").withColumn("image_id", F.floor(F.col("v") / 25))
+    return models.detected(pixels).withColumn("score", F.round("score", 6))
+
+
 @query("fn6_scaled_intrinsics", oracle("SELECT p_partkey, round(p_size * 5e-1, 6) AS fx, round(p_size * 25e-2, 6) AS fy FROM part"))
 def fn6(spark: SparkSession, sf: str) -> DataFrame:
     k = S.scaled_intrinsics([F.col("p_size"), 0, 0, 0, F.col("p_size"), 0, 0, 0, 1], (3840, 2160), (1920, 540))
