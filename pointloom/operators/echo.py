@@ -56,30 +56,31 @@ def echo_context(primary: DataFrame, all_echoes: DataFrame, block: int = 0) -> D
 
 
 def _binned(points: DataFrame, step: float) -> DataFrame:
-    angle = lambda c: F.floor(F.when(finite(c), F.col(c)).otherwise(0.0) / step).cast("bigint")
+    angle = lambda c: F.coalesce(F.floor(F.when(finite(c), F.col(c)).otherwise(0.0) / step).cast("bigint"), F.lit(0))
     return points.withColumns({"bin_a": angle("azimuth"), "bin_v": angle("vertical")})
 
 
-def _cells(points: DataFrame, step: float) -> DataFrame:
+def angular_cells(points: DataFrame, step: float = 0.5) -> DataFrame:
     """Points of each angular cell, of its row and of its column: frame, bin_a, bin_v, cell, row_count, col_count."""
     cells = _binned(points, step).groupBy(FRAME, "bin_a", "bin_v").agg(F.count("*").alias("cell"))
     rows, cols = Window.partitionBy(FRAME, "bin_v"), Window.partitionBy(FRAME, "bin_a")
     return cells.withColumns({"row_count": F.sum("cell").over(rows), "col_count": F.sum("cell").over(cols)})
 
 
-def angular_density(points: DataFrame, step: float = 0.5) -> DataFrame:
+def angular_density(points: DataFrame, step: float = 0.5, cells: DataFrame | None = None) -> DataFrame:
     """WIN9, JOI9: points in the 3x3 cells around, in the row and in the column of each point's angular cell.
 
-    Cell counts come first, so what is spread over nine neighbours and joined is cells, not points.
+    Cell counts come first, so what is spread over nine neighbours and joined is cells, not points. ``cells``: the points'
+    ``angular_cells``, where the plan has them already.
     """
-    cells = _cells(points, step)
+    cells = angular_cells(points, step) if cells is None else cells
     around = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(v).alias("v")) for a in (-1, 0, 1) for v in (-1, 0, 1)]))
     spread = cells.withColumn("d", around).select(FRAME, (F.col("bin_a") + F.col("d.a")).alias("bin_a"), (F.col("bin_v") + F.col("d.v")).alias("bin_v"), "cell")
     near = spread.groupBy(FRAME, "bin_a", "bin_v").agg(F.sum("cell").alias("density"))
     return _binned(points, step).join(cells.drop("cell").join(near, [FRAME, "bin_a", "bin_v"]), [FRAME, "bin_a", "bin_v"])
 
 
-def frame_thresholds(points: DataFrame, step: float = 0.5) -> DataFrame:
+def frame_thresholds(points: DataFrame, step: float = 0.5, cells: DataFrame | None = None) -> DataFrame:
     """WIN8: far distance, line count and ground height of each frame, from exact quantiles of its points.
 
     Distances that aren't finite count as 0, heights that aren't count for nothing. Line counts come from cells, each as
@@ -89,7 +90,8 @@ def frame_thresholds(points: DataFrame, step: float = 0.5) -> DataFrame:
     values = named(points, [FRAME], {"distance": distance, "z": F.when(finite("z"), F.col("z"))})
     line = F.greatest("row_count", "col_count").cast("double").alias("value")
     # few different counts a frame: the selection reads these sums again, not the cells
-    lines = _cells(points, step).select(FRAME, line, "cell").groupBy(FRAME, "value").agg(F.sum("cell").alias("n")).select(FRAME, F.lit("line").alias("name"), "value", "n")
+    cells = angular_cells(points, step) if cells is None else cells
+    lines = cells.select(FRAME, line, "cell").groupBy(FRAME, "value").agg(F.sum("cell").alias("n")).select(FRAME, F.lit("line").alias("name"), "value", "n")
     found = quantiles(values.union(lines), [FRAME], {"far_from": ("distance", 0.98), "line_from": ("line", 0.90), "below_to": ("z", 0.05)})
     return found.withColumns({"far_from": F.greatest(F.lit(80.0), "far_from"), "line_from": F.greatest(F.lit(12.0), "line_from"), "below_to": F.least(F.lit(-0.25), F.col("below_to") - 0.15)})
 

@@ -30,7 +30,8 @@ def teacher_features(points: DataFrame, pixels: DataFrame) -> DataFrame:
     Neighbouring frames come first: their join deals points by (frame, slot, pixel), which echoes need too.
     """
     keep = points.columns
-    features = echo.angular_density(echo.echo_features(echo.temporal_support(points))).join(echo.frame_thresholds(points), echo.FRAME, "left")
+    cells = echo.angular_cells(points)
+    features = echo.angular_density(echo.echo_features(echo.temporal_support(points)), cells=cells).join(echo.frame_thresholds(points, cells=cells), echo.FRAME, "left")
     masked = echo.mask_labels(features, pixels)
     edge = echo.mask_boundary(pixels).select("u", "v", "boundary")
     return masked.join(edge, ["u", "v"], "left").withColumn("boundary", F.coalesce("boundary", F.lit(False)) & (F.col("mask_label") != IGNORE)).select(
