@@ -231,6 +231,22 @@ def src22_xml(spark: SparkSession, sf: str) -> DataFrame:
     return files.dimension_file(spark, path, "id bigint, name string", ("id", "name"))
 
 
+@query("src22_classes_yaml", oracle("""SELECT s_nationkey AS nation, 'semantic_classes' AS section, replace(s_name, '#', '_') AS "key", CAST(s_suppkey AS VARCHAR) AS value, CAST(NULL AS INTEGER) AS item FROM supplier
+ UNION ALL SELECT s_nationkey, 'noise_groups', 'rich', replace(s_name, '#', '_'), CAST(row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) - 1 AS INTEGER) FROM supplier WHERE s_acctbal > 0"""))
+def src22_yaml(spark: SparkSession, sf: str) -> DataFrame:
+    """A class configuration a nation, of its suppliers' names and numbers and a group of some of them, written and read back."""
+    path = work_path(spark, "classes-yaml")
+    name = F.replace("s_name", F.lit("#"), F.lit("_"))
+    rows = table(spark, sf, "supplier").select("s_nationkey", "s_suppkey", name.alias("name"), (F.col("s_acctbal") > 0).alias("rich"))
+    by = rows.groupBy("s_nationkey").agg(F.array_sort(F.collect_list(F.struct("s_suppkey", "name", "rich"))).alias("s"))
+    classes = F.transform("s", lambda x: F.concat(F.lit("  "), x["name"], F.lit(": "), x["s_suppkey"].cast("string"), F.lit("  # a supplier")))
+    group = F.transform(F.filter("s", lambda x: x["rich"]), lambda x: F.concat(F.lit("    - '"), x["name"], F.lit("'")))
+    text = F.concat_ws("\n", F.array(F.lit("# classes"), F.lit("semantic_classes:")), classes, F.array(F.lit(""), F.lit("noise_groups:"), F.lit("  rich:")), group)
+    by.select("s_nationkey", text.alias("value")).repartition("s_nationkey").write.partitionBy("s_nationkey").text(path)
+    read = files.yaml_sections(spark, path)
+    return read.select(F.regexp_extract("file", "s_nationkey=(\\d+)", 1).cast("bigint").alias("nation"), "section", "key", "value", "item")
+
+
 @query("src23_synced_frames", oracle("SELECT frame_id, row_idx FROM matches WHERE abs(diff_ms) <= 100", "matches"))
 def src23(spark: SparkSession, sf: str) -> DataFrame:
     path = work_path(spark, "synced")

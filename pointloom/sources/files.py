@@ -279,6 +279,28 @@ def dimension_file(spark: SparkSession, path: str, schema: str, unique: Sequence
     return rows
 
 
+def yaml_sections(spark: SparkSession, path: str) -> DataFrame:
+    """SRC22: (file, section, key, value, item) of configuration files in plain YAML: sections of ``key: value`` and of keys with a list.
+
+    A section's name stands at the margin, its keys are indented by two, items of a list by four behind a dash; what
+    follows a # is a comment, quotes around a value go. ``item`` counts a list's entries from 0 and is null for plain
+    values. Lines that fit none of these have no row. A file is one row until its lines are parted.
+    """
+    whole = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
+    lines = whole.select("file", F.posexplode(F.split("value", "\r?\n")).alias("at", "raw")).withColumn("line", F.rtrim(F.regexp_replace("raw", "#.*", ""))).where("trim(line) <> ''")
+    indent, text = F.length("line") - F.length(F.ltrim("line")), F.trim("line")
+    found = lambda pattern, level: F.when(indent == level, F.nullif(F.regexp_extract(text, pattern, 1), F.lit("")))
+    order = Window.partitionBy("file").orderBy("at")
+    heads = lines.withColumns({"head": found("^(.+):$", 0), "name": found("^([^:]+?)\\s*:", 2), "plain": found("^[^:]+:\\s*(.+)$", 2), "entry": found("^-\\s+(.+)$", 4)})
+    inside = heads.withColumn("section", F.last("head", ignorenulls=True).over(order)).where("section IS NOT NULL AND head IS NULL")
+    keyed = inside.withColumn("key", F.last("name", ignorenulls=True).over(Window.partitionBy("file", "section").orderBy("at")))
+    open_list = F.last(F.when(F.col("name").isNotNull(), F.col("plain").isNull()), ignorenulls=True).over(Window.partitionBy("file", "section").orderBy("at"))
+    rows = keyed.withColumn("open", open_list).where("key IS NOT NULL AND (plain IS NOT NULL OR entry IS NOT NULL AND open)")
+    item = F.when(F.col("entry").isNotNull(), F.count("entry").over(Window.partitionBy("file", "section", "key").orderBy("at")) - 1)
+    value = F.regexp_replace(F.coalesce("plain", "entry"), "^([\"'])(.*)\\1$", "$2")
+    return rows.select("file", "section", "key", value.alias("value"), item.cast("int").alias("item"))
+
+
 def synced_frames(spark: SparkSession, path: str) -> DataFrame:
     """SRC23: frames of a match manifest that are synchronised."""
     return spark.read.option("multiLine", True).json(path).select(F.inline("frames")).where("synced")

@@ -206,3 +206,10 @@ def test_layouts_and_calibration(spark, tmp_path):
     put(tmp_path / "k.json", json.dumps({"camera_matrix": [[1, 0, 2], [0, 1, 3], [0, 0, 1]], "T": [[1, 0, 0, 5], [0, 1, 0, 6], [0, 0, 1, 7]], "direction": "camera_to_lidar"}))
     k, t = files.calibration(spark, str(tmp_path / "k.json"))
     assert k[2] == 2 and [round(x, 9) for x in t[3::4]] == [-5, -6, -7, 1]
+
+
+def test_yaml_sections(spark, tmp_path):
+    put(tmp_path / "c.yaml", "stray: 1\n# note\nclasses:\n  Car: 2  # wide\n  'bus' : 3\n  groups_of:\n    - a b\n    - \"c\"\n  sky: [1, 2]\n    - lost\n\nother:\r\n  Car: x:y\n")
+    got = sorted(((r.section, r.key, r.value, r.item) for r in files.yaml_sections(spark, str(tmp_path)).collect()), key=str)
+    assert {(s, k): v for s, k, v, i in got if i is None} == {("classes", "Car"): "2", ("classes", "'bus'"): "3", ("classes", "sky"): "[1, 2]", ("other", "Car"): "x:y"}
+    assert [(v, i) for s, k, v, i in got if i is not None] == [("a b", 0), ("c", 1)]
