@@ -244,7 +244,7 @@ def src22_yaml(spark: SparkSession, sf: str) -> DataFrame:
     text = F.concat_ws("\n", F.array(F.lit("# classes"), F.lit("semantic_classes:")), classes, F.array(F.lit(""), F.lit("noise_groups:"), F.lit("  rich:")), group)
     by.select("s_nationkey", text.alias("value")).repartition("s_nationkey").write.partitionBy("s_nationkey").text(path)
     read = files.yaml_sections(spark, path)
-    return read.select(F.regexp_extract("file", "s_nationkey=(\\d+)", 1).cast("bigint").alias("nation"), "section", "key", "value", "item")
+    return read.select(F.regexp_extract("file", "s_nationkey=(\\d+)", 1).cast("int").alias("nation"), "section", "key", "value", "item")
 
 
 @query("src23_synced_frames", oracle("SELECT frame_id, row_idx FROM matches WHERE abs(diff_ms) <= 100", "matches"))
