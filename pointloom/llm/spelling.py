@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pointloom.llm.blocks import group_bounds, in_block_pairs, whole_groups
-from pointloom.llm.shared import map_batches, removed, shared_path, sliced, written, written_at
+from pointloom.llm.shared import removed, shared_path, sliced, written, written_at
 
 #: Characters of a text that are taken apart at once, and different words that a task counts before it sends them on.
 PART, HELD = 1 << 20, 200_000
