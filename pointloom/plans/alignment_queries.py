@@ -125,7 +125,19 @@ def dom24(spark: SparkSession, sf: str) -> DataFrame:
     return A.agreement({"points": p, "labels": p.where("NOT (frame_ord % 9 = 4 AND row_idx = 0)")}, "frame_ord")
 
 
-@query("dom12_class_aware_split")
+#: Classes in turn, one a step, each repaired against the validating frames as they are.
+REPAIRED = """WITH RECURSIVE c AS MATERIALIZED (SELECT frame_ord, gt AS label, count(*) AS n FROM points GROUP BY ALL), f AS MATERIALIZED (SELECT frame_ord, row_number() OVER (ORDER BY md5(frame_ord || ':1'), frame_ord) AS place, count(*) OVER () AS total FROM (SELECT DISTINCT frame_ord FROM c)),
+ w AS (SELECT max(total) AS total, least(greatest(1, CAST(round_even(max(total) * 2 / 10e0, 0) AS BIGINT)), max(total) - 1) AS wanted FROM f),
+ l AS MATERIALIZED (SELECT row_number() OVER (ORDER BY label) AS turn, list(frame_ord) AS frames, arg_min(frame_ord, (n, frame_ord)) AS low, arg_min(frame_ord, (-n, frame_ord)) AS high FROM c GROUP BY label),
+ step AS (
+  SELECT 0::BIGINT AS turn, list(frame_ord) FILTER (place <= wanted) AS val FROM f, w
+  UNION ALL
+  SELECT turn, CASE WHEN len(frames) > 1 AND NOT list_has_any(val, frames) AND len(val) < total - 1 THEN list_append(val, low) ELSE val END
+  FROM (SELECT l.turn, l.frames, l.low, w.total, CASE WHEN list_has_all(s.val, l.frames) THEN list_filter(s.val, lambda x: x <> l.high) ELSE s.val END AS val FROM step s JOIN l ON l.turn = s.turn + 1, w))
+ SELECT frame_ord, CASE WHEN list_contains((SELECT arg_max(val, turn) FROM step), frame_ord) THEN 'val' ELSE 'train' END AS split FROM f"""
+
+
+@query("dom12_class_aware_split", oracle(REPAIRED, "points"))
 def dom12(spark: SparkSession, sf: str) -> DataFrame:
     return splits.class_aware_split(view(spark, sf, "points").groupBy("frame_ord", F.col("gt").alias("label")).agg(F.count("*").alias("n")))
 
