@@ -37,26 +37,22 @@ def quantiles(values: DataFrame, group: list[str], wanted: dict[str, tuple[str,
         *part, order = key
         return F.sum("n").over(Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
-    def holding(counts: DataFrame, ranks: DataFrame, on: list[str], start: Column) -> DataFrame:
-        """``ranks`` beside the row of ``counts`` (first to last rank) that holds them."""
-        return ranks.join(counts.withColumns({"last": start + F.col("to") - 1, "first": start + F.col("to") - F.col("n")}), on).where((F.col("first") <= F.col("rank")) & (F.col("rank") <= F.col("last")))
-
+    holds = (F.col("to") - F.col("n") <= F.col("rank")) & (F.col("rank") < F.col("to"))
     outer = held.groupBy(*by, "bucket").agg(*ends).withColumns({"to": until(*by, "bucket"), "total": F.sum("n").over(Window.partitionBy(*by))})
     at = F.col("a.share") * (F.col("total") - 1)
     side = F.explode(F.array(*[F.struct(F.lit(s).alias("side"), f(at).cast("bigint").alias("rank")) for s, f in ((0, F.floor), (1, F.ceil))])).alias("r")
     spread = outer.select("*", F.explode(F.filter(asked, lambda a: a["of"] == F.col("name"))).alias("a")).select(*by, "bucket", "low", "high", "n", "to", "a.column", (at - F.floor(at)).alias("part"), side)
-    ranks = spread.select("*", "r.side", "r.rank").where((F.col("to") - F.col("n") <= F.col("rank")) & (F.col("rank") < F.col("to")))
-    ranks = ranks.select(*by, "bucket", "low", "high", (F.col("to") - F.col("n")).alias("before"), "column", "side", "part", "rank")
+    # a rank goes along from here on: its bucket, then the part of that bucket, then the value
+    ask = ["column", "side", "part", "rank"]
+    ranks = spread.select("*", "r.side", "r.rank").where(holds).select(*by, "bucket", "low", "high", (F.col("to") - F.col("n")).alias("before"), *ask)
 
-    inside = held.join(ranks.select(*by, "bucket", "low", "high", "before").distinct(), [*by, "bucket"])
     place = F.when(F.col("high") > F.col("low"), F.least(F.lit(INNER - 1), F.floor((F.col("value") - F.col("low")) / (F.col("high") - F.col("low")) * INNER))).otherwise(0).cast("int")
-    inside = inside.withColumn("inner", place)
-    inner = inside.groupBy(*by, "bucket", "inner").agg(F.sum("n").alias("n"), F.first("before").alias("start")).withColumn("to", until(*by, "bucket", "inner"))
-    met = holding(inner, ranks, [*by, "bucket"], F.col("start")).select(*by, "bucket", "inner", F.col("first").alias("start"), "column", "side", "part", "rank")
+    inside = held.join(ranks, [*by, "bucket"]).withColumn("inner", place)
+    inner = inside.groupBy(*by, "bucket", "low", "high", "before", *ask, "inner").agg(F.sum("n").alias("n")).withColumn("to", F.col("before") + until(*by, "column", "side", "inner"))
+    met = inner.where(holds).select(*by, "bucket", "low", "high", "inner", (F.col("to") - F.col("n")).alias("before"), *ask)
 
-    few = inside.join(met.select(*by, "bucket", "inner", "start").distinct(), [*by, "bucket", "inner"]).groupBy(*by, "bucket", "inner", "start", "value").agg(F.sum("n").alias("n"))
-    ordered = few.withColumn("to", until(*by, "bucket", "inner", "value")).select(*by, "bucket", "inner", F.col("start").alias("base"), "value", "n", "to")
-    found = holding(ordered, met, [*by, "bucket", "inner"], F.col("base"))
+    few = held.join(met, [*by, "bucket"]).where(place == F.col("inner")).groupBy(*by, "before", *ask, "value").agg(F.sum("n").alias("n"))
+    found = few.withColumn("to", F.col("before") + until(*by, "column", "side", "value")).where(holds)
     weight = F.when(F.col("side") == 1, F.col("part")).otherwise(1 - F.col("part"))
     column = lambda c: F.sum(F.when(F.col("column") == c, weight * F.col("value"))).alias(c)
     return found.groupBy(*group).agg(*[column(c) for c in wanted])
