@@ -159,3 +159,47 @@ def test_context_ring_is_the_box_without_the_mask(spark):
         edge = sum((v + a, u + b) not in p for v, u in p for a, b in ((0, 1), (1, 0), (0, -1), (-1, 0)))
         assert g[key].mask_compactness == pytest.approx(4 * 3.141592653589793 * len(p) / edge**2) and g[key].touches_left == float(min(u for _, u in p) == 0)
         assert g[key].mask_centroid_x == pytest.approx(sum(u for _, u in p) / len(p) / wide) and g[key].distance_to_bottom == pytest.approx((high - max(v for v, _ in p) - 1) / high)
+
+
+def test_choices_from_runs_are_those_from_pair_lists(spark):
+    from pointloom.operators import detections as D
+
+    found, pixels = scene(6, dets=41, size=10)
+    for at, (one, other) in enumerate(zip(found, found[1:])):  # every third mask is a copy of the one before it
+        if at % 3 == 0 and one[0] == other[0]:
+            pixels[other[:2]] = pixels[one[:2]]
+    found = [(i, k, x, 0.5 if s is None or s != s else s) for i, k, x, s in found]
+    d, r = frames(spark, found, pixels)
+    r = r.localCheckpoint()
+    in_order = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    pairs = M.overlaps(r).localCheckpoint()
+    for t in (0.2, 0.5):
+        assert in_order(M.suppressed_masks(r, d, t)) == in_order(D.suppressed(d, pairs, t))
+        assert in_order(M.clustered_masks(r, d, t, t + 0.25)) == in_order(D.clusters(d, pairs, t, t + 0.25))
+        vehicles, views = d.where("det_id % 2 = 0"), d.where("det_id % 2 = 1")
+        assert in_order(M.matched_masks(r, vehicles, views, t)) == in_order(D.greedy_matches(vehicles, views, pairs, t))
+
+
+@pytest.fixture(scope="module")
+def copies(spark, tmp_path_factory):
+    """Orders that are 40,000 copies of one mask in one image, each score its own: 8e8 pairs."""
+    path = str(tmp_path_factory.mktemp("copies"))
+    kind = F.when(F.col("id") % 2 == 0, "O").otherwise("F")
+    spark.range(40_000).select(
+        (F.col("id") * 360).alias("o_orderkey"), F.lit(0).cast("bigint").alias("o_custkey"), F.lit("1-URGENT").alias("o_orderpriority"), kind.alias("o_orderstatus"), F.col("id").cast("double").alias("o_totalprice")
+    ).write.parquet(f"{path}/orders.parquet")
+    return path
+
+
+def test_matches_of_many_copies_need_no_pairs(spark, copies):
+    from pointloom.plans.detection_queries import joi11
+
+    got = joi11(spark, copies).agg(F.count("view"), F.count_if(F.col("view") == F.col("det_id") + 360)).first()
+    assert tuple(got) == (20_000, 20_000)
+
+
+def test_overlaps_of_large_images_are_not_shuffled_as_pairs(spark):
+    d, r = frames(spark, *scene(8))
+    plan = M.overlaps(r)._jdf.queryExecution().executedPlan().toString()
+    last = plan.index("FlatMapGroupsInArrow")
+    assert "Exchange" not in plan[:last] and "Join" not in plan[:last]
