@@ -198,6 +198,12 @@ def test_matches_of_many_copies_need_no_pairs(spark, copies):
     assert tuple(got) == (20_000, 20_000)
 
 
+def test_suppression_of_many_copies_needs_no_pairs(spark, copies):
+    from pointloom.plans.detection_queries import dom16
+
+    assert [x.det_id for x in dom16(spark, copies).collect()] == [39_999 * 360]
+
+
 def test_overlaps_of_large_images_are_not_shuffled_as_pairs(spark):
     d, r = frames(spark, *scene(8))
     plan = M.overlaps(r)._jdf.queryExecution().executedPlan().toString()
