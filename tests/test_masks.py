@@ -204,6 +204,12 @@ def test_suppression_of_many_copies_needs_no_pairs(spark, copies):
     assert [x.det_id for x in dom16(spark, copies).collect()] == [39_999 * 360]
 
 
+def test_clusters_of_many_copies_need_no_pairs(spark, copies):
+    from pointloom.plans.detection_queries import dom17
+
+    assert [tuple(x) for x in dom17(spark, copies).groupBy("cluster_id").count().collect()] == [(39_999 * 360, 40_000)]
+
+
 def test_overlaps_of_large_images_are_not_shuffled_as_pairs(spark):
     d, r = frames(spark, *scene(8))
     plan = M.overlaps(r)._jdf.queryExecution().executedPlan().toString()
