@@ -30,7 +30,8 @@ def aligned_leniently(left: DataFrame, right: DataFrame, valid: Column) -> DataF
     marked = left.join(counts.select("frame_ord", ((F.col("l") != F.col("r")) & (F.col("v") == F.col("r"))).alias("by_valid")), "frame_ord")
     w = Window.partitionBy("frame_ord", "keep").orderBy("row_idx")
     kept = marked.withColumn("keep", F.coalesce(valid, F.lit(False))).withColumn("place", F.when(F.col("by_valid"), F.when(F.col("keep"), F.row_number().over(w) - 1)).otherwise(F.col("row_idx")))
-    return kept.where("place is not null").join(right.withColumnRenamed("row_idx", "place"), ["frame_ord", "place"]).drop("keep", "by_valid", "place")
+    # both sides have a row a point: never one for a broadcast, whatever their size is guessed to be
+    return kept.where("place is not null").join(right.withColumnRenamed("row_idx", "place").hint("merge"), ["frame_ord", "place"]).drop("keep", "by_valid", "place")
 
 
 def sampled_colours(points: DataFrame, image: DataFrame) -> DataFrame:

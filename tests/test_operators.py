@@ -189,3 +189,12 @@ def test_principal_components_are_those_of_the_correlation(spark):
     want = z @ u[:, ::-1][:, :2]
     assert np.allclose(share, (e / e.sum())[::-1][:2])
     assert np.allclose(got * np.sign((got * want).sum(axis=0)), want)
+
+
+def test_lenient_alignment_never_broadcasts_a_row_a_point(spark):
+    from pointloom.plans.alignment_queries import joi15
+
+    df = joi15(spark, "/root/testdata/sf0.001")
+    assert df.count() == len(df.collect())
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [frame_ord" in plan and not [x for x in plan.splitlines() if "BroadcastHashJoin" in x and "place" in x]
