@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pointloom.functions import scalars as S
 from pointloom.operators import models
 from pointloom.plans.registry import query
-from pointloom.plans.views import oracle, table, view
+from pointloom.plans.views import oracle, places, table, view
 from pointloom.sources import files, sinks
 from pointloom.sources.shared import work_path
 from pointloom.streaming import resume
@@ -125,8 +125,8 @@ def src7(spark: SparkSession, sf: str) -> DataFrame:
  SELECT frame_ord, row_idx, CASE WHEN frame_ord % 2 = 0 THEN row_idx ELSE place END % 7 AS label FROM r""", "points"))
 def src10(spark: SparkSession, sf: str) -> DataFrame:
     p = view(spark, sf, "points").select(F.col("frame_ord").alias("frame_id"), "row_idx", (F.col("block_id") == 0).alias("is_primary"))
-    sizes = p.groupBy("frame_id").agg(F.when(F.col("frame_id") % 2 == 0, F.count("*")).otherwise(F.count_if("is_primary")).alias("n")).where("n > 0")
-    labels = sizes.select("frame_id", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1)).alias("row_idx")).withColumn("label", F.col("row_idx") % 7)
+    sizes = p.groupBy("frame_id").agg(F.when(F.col("frame_id") % 2 == 0, F.count("*")).otherwise(F.count_if("is_primary")).alias("n"))
+    labels = places(sizes, "frame_id").withColumn("label", F.col("row_idx") % 7)
     return files.flat_labels(labels, p).withColumnRenamed("frame_id", "frame_ord")
 
 

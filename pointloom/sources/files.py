@@ -324,7 +324,8 @@ def flat_labels(labels: DataFrame, points: DataFrame) -> DataFrame:
     sizes = points.groupBy("frame_id").agg(F.count("*").alias("n_all"), F.count_if("is_primary").alias("n_primary")).join(labels.groupBy("frame_id").agg(F.count("*").alias("n")), "frame_id")
     layout = F.when(F.col("n") == F.col("n_primary"), "primary").when(F.col("n") == F.col("n_all"), "all").otherwise(F.raise_error(F.concat(F.lit("labels don't fit frame "), "frame_id")))
     at = primary.join(sizes.select("frame_id", layout.alias("layout")), "frame_id").withColumn("place", F.when(F.col("layout") == "primary", F.col("rank")).otherwise(F.col("row_idx")))
-    return at.join(labels.withColumnRenamed("row_idx", "place"), ["frame_id", "place"]).select("frame_id", "row_idx", "label")
+    # both sides have a row a point: never one for a broadcast, whatever their size is guessed to be
+    return at.join(labels.withColumnRenamed("row_idx", "place").hint("merge"), ["frame_id", "place"]).select("frame_id", "row_idx", "label")
 
 
 def _calibration(text: str, name: str) -> tuple[list[float], list[float]]:

@@ -213,3 +213,12 @@ def test_yaml_sections(spark, tmp_path):
     got = sorted(((r.section, r.key, r.value, r.item) for r in files.yaml_sections(spark, str(tmp_path)).collect()), key=str)
     assert {(s, k): v for s, k, v, i in got if i is None} == {("classes", "Car"): "2", ("classes", "'bus'"): "3", ("classes", "sky"): "[1, 2]", ("other", "Car"): "x:y"}
     assert [(v, i) for s, k, v, i in got if i is not None] == [("a b", 0), ("c", 1)]
+
+
+def test_flat_labels_never_broadcast_a_row_a_point(spark):
+    from pointloom.plans.file_queries import src10
+
+    df = src10(spark, "/root/testdata/sf0.001")
+    assert df.count() == len(df.collect())
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [frame_id" in plan and not [x for x in plan.splitlines() if "BroadcastHashJoin" in x and "place" in x]
