@@ -99,16 +99,31 @@ def frame_thresholds(points: DataFrame, step: float = 0.5, cells: DataFrame | No
 def temporal_support(points: DataFrame, tolerance: float = 0.75) -> DataFrame:
     """JOI7: of the previous and next frame, how many hold the (slot, pixel), and how many a distance within ``tolerance``.
 
-    Distances are gathered once per (frame, slot, pixel) and copied to both neighbours.
+    Distances are gathered once per (frame, slot, pixel), as stretches from a least to a largest one without a gap above
+    ``tolerance``, and copied to both neighbours: what lies in a stretch has one of its distances within half of that, and
+    of what lies outside all stretches an end is nearest. So a point meets few stretches, however many points a cell has.
     """
     finite_distance = finite("distance")
-    cells = points.where(finite_distance & F.col("slot").isNotNull() & F.col("pixel").isNotNull()).groupBy(FRAME, "slot", "pixel").agg(F.collect_list("distance").alias("near"))
+    held = points.where(finite_distance & F.col("slot").isNotNull() & F.col("pixel").isNotNull())
+    # distances of a bucket lie within ``tolerance``; those too large for a bucket's number stand alone
+    numbered = F.abs(F.col("distance")) < 1e12 * tolerance
+    bucket = F.when(numbered, F.floor(F.col("distance") / tolerance)) if tolerance > 0 else F.lit(None).cast("bigint")
+    alone = F.when(~numbered, F.col("distance")) if tolerance > 0 else F.col("distance")
+    parts = held.groupBy(FRAME, "slot", "pixel", bucket.alias("bucket"), alone.alias("alone")).agg(F.min("distance").alias("low"), F.max("distance").alias("high"))
+    listed = parts.groupBy(FRAME, "slot", "pixel").agg(F.array_sort(F.collect_list(F.struct("low", "high"))).alias("parts"))
+    lows = F.filter("parts", lambda x, i: (i == 0) | (x["low"] - F.get("parts", i - 1)["high"] > tolerance))
+    highs = F.filter("parts", lambda x, i: (i == F.size("parts") - 1) | (F.get("parts", i + 1)["low"] - x["high"] > tolerance))
+    stretch = F.zip_with(lows, highs, lambda x, y: F.struct(x["low"].alias("low"), y["high"].alias("high")))
+    cells = listed.select(FRAME, "slot", "pixel", stretch.alias("near"))
     sides = cells.withColumn("side", F.explode(F.array(F.lit(-1), F.lit(1)))).select(
         (F.col(FRAME) + F.col("side")).alias(FRAME), "slot", "pixel", F.when(F.col("side") == 1, F.col("near")).alias("before"), F.when(F.col("side") == -1, F.col("near")).alias("after")
     )
     merged = sides.groupBy(FRAME, "slot", "pixel").agg(F.first("before", ignorenulls=True).alias("before"), F.first("after", ignorenulls=True).alias("after"))
     has = lambda c: F.coalesce(F.size(c) > 0, F.lit(False))
-    close = lambda c: F.coalesce(F.exists(c, lambda d: F.round(F.abs(d - F.col("distance")), 6) <= tolerance), F.lit(False)) & finite_distance
+    own = F.col("distance")
+    # rounding moves a difference by less than 1e-6, and is dear: it is asked for only where it can tell
+    within = lambda d: (F.abs(d - own) <= tolerance + 1e-5) & (F.round(F.abs(d - own), 6) <= tolerance)
+    close = lambda c: F.coalesce(F.exists(c, lambda x: (own >= x["low"]) & (own <= x["high"]) | within(x["low"]) | within(x["high"])), F.lit(False)) & finite_distance
     joined = points.join(merged, [FRAME, "slot", "pixel"], "left")
     return joined.withColumns({
         "checked": has("before").cast("bigint") + has("after").cast("bigint"), "support": close("before").cast("bigint") + close("after").cast("bigint"),

@@ -198,3 +198,27 @@ def test_lenient_alignment_never_broadcasts_a_row_a_point(spark):
     assert df.count() == len(df.collect())
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin [frame_ord" in plan and not [x for x in plan.splitlines() if "BroadcastHashJoin" in x and "place" in x]
+
+
+def test_temporal_support_is_that_of_all_pairs(spark):
+    import random
+
+    rnd = random.Random(4)
+    for tolerance in (0.75, 0.0):
+        rows = [(f, k % 2, k % 3, rnd.choice((round(rnd.uniform(0, 30), 2), 0.75 * rnd.randint(0, 40), 0.75 * rnd.randint(0, 40) + rnd.choice((4e-7, 6e-7)), float("nan"), None, 1e13 * rnd.randint(-2, 2))), f * 1000 + k) for f in range(4) for k in range(90)]
+        p = spark.createDataFrame(rows, "frame_ord bigint, slot bigint, pixel bigint, distance double, row_idx bigint")
+        fine = [r for r in rows if r[3] is not None and r[3] == r[3]]
+        beside = lambda r, d: [q[3] for q in fine if q[0] == r[0] + d and q[1:3] == r[1:3]]  # noqa: B023, E731
+        near = lambda r, d: r in fine and any(round(abs(x - r[3]), 6) <= tolerance for x in beside(r, d))  # noqa: B023, E731
+        want = {r[4]: (sum(bool(beside(r, d)) for d in (-1, 1)), sum(near(r, d) for d in (-1, 1))) for r in rows}
+        assert {r.row_idx: (r.checked, r.support) for r in echo.temporal_support(p, tolerance).collect()} == want
+
+
+def test_temporal_support_of_a_full_cell_is_not_quadratic(spark):
+    import time
+
+    n = 30_000
+    p = spark.range(2 * n).selectExpr("id % 2 AS frame_ord", "1L AS slot", "1L AS pixel", "id / 1e4 + 100 * (id % 2) AS distance", "id AS row_idx")
+    begun = time.time()
+    assert tuple(echo.temporal_support(p).agg(F.sum("checked"), F.sum("support")).first()) == (2 * n, 0)
+    assert time.time() - begun < 30
