@@ -205,7 +205,9 @@ def snk6(spark: SparkSession, sf: str) -> DataFrame:
 def src20(spark: SparkSession, sf: str) -> DataFrame:
     path = work_path(spark, "logs")
     text = F.when(F.col("s_suppkey") % 5 == 0, "broken").otherwise(F.to_json(F.struct(F.col("s_suppkey").alias("frame"), F.col("s_acctbal").alias("t"))))
-    table(spark, sf, "supplier").select(text.alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    # a file a log: many tasks write them, and each task puts its own in place, so that the driver moves none
+    logs = table(spark, sf, "supplier").select("s_suppkey", text.alias("value")).repartition(64, "s_suppkey").select("value")
+    logs.write.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(path)
     return files.frame_logs(spark, path, "frame bigint, t double")[0].select("frame", "t")
 
 

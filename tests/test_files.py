@@ -222,3 +222,12 @@ def test_flat_labels_never_broadcast_a_row_a_point(spark):
     assert df.count() == len(df.collect())
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin [frame_id" in plan and not [x for x in plan.splitlines() if "BroadcastHashJoin" in x and "place" in x]
+
+
+def test_frame_logs_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    from pointloom.plans import file_queries
+
+    monkeypatch.setattr(file_queries, "work_path", lambda spark, name: str(tmp_path / name))
+    want = spark.read.parquet("/root/testdata/sf0.01/supplier.parquet").where("s_suppkey % 5 <> 0").count()
+    assert file_queries.src20(spark, "/root/testdata/sf0.01").count() == want
+    assert len({p.name.split("-")[1] for p in (tmp_path / "logs").glob("part-*")}) > 4
