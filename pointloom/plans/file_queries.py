@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import zipfile
 
 import numpy as np
 import pandas as pd
@@ -134,11 +135,19 @@ def src10(spark: SparkSession, sf: str) -> DataFrame:
 def src12(spark: SparkSession, sf: str) -> DataFrame:
     def pack(group: pd.DataFrame) -> pd.DataFrame:
         g = group.sort_values("det_id")
-        masks = np.zeros((len(g), 40, 56), bool)
-        for k, (u, v, w, h) in enumerate(g[["u0", "v0", "w", "h"]].itertuples(index=False)):
-            masks[k, v : v + h, u : u + w] = True
         held = io.BytesIO()
-        np.savez_compressed(held, masks=masks, scores=g["score"].to_numpy(), labels=g["label"].to_numpy().astype(str))
+        with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as z:
+            with z.open("masks.npy", "w", force_zip64=True) as out:
+                np.lib.format.write_array_header_1_0(out, {"descr": "|b1", "fortran_order": False, "shape": (len(g), 40, 56)})
+                for at in range(0, len(g), files.MASKS):
+                    part = g[["u0", "v0", "w", "h"]].iloc[at : at + files.MASKS]
+                    masks = np.zeros((len(part), 40, 56), bool)
+                    for k, (u, v, w, h) in enumerate(part.itertuples(index=False)):
+                        masks[k, v : v + h, u : u + w] = True
+                    out.write(masks.tobytes())
+            for name, values in (("scores", g["score"].to_numpy()), ("labels", g["label"].to_numpy().astype(str))):
+                with z.open(f"{name}.npy", "w") as out:
+                    np.lib.format.write_array(out, values, allow_pickle=False)
         return pd.DataFrame({"path": [f"{g['image_id'].iloc[0]}.npz"], "content": [held.getvalue()]})
 
     path = work_path(spark, "archives")

@@ -163,26 +163,53 @@ def label_files(found: DataFrame, kinds: Sequence[str]) -> DataFrame:
     return found.where(rank > 0).groupBy("frame_id").agg(F.min_by(F.struct("kind", "path"), rank).alias("f")).select("frame_id", "f.*")
 
 
+#: Masks of an archive, and records of a packet file, that a task unpacks at a time.
+MASKS, RECORDS = 1024, 1 << 16
+
+
 def detection_archives(spark: SparkSession, path: str) -> DataFrame:
     """SRC12: detections of archive files."""
     return decoded_archives(binary_files(spark, path))
 
 
 def decoded_archives(contents: DataFrame) -> DataFrame:
-    """SRC12: ``.npz`` archives of masks, scores and labels as runs of each detection; lengths that differ raise."""
+    """SRC12: ``.npz`` archives of masks, scores and labels as runs of each detection; lengths that differ raise.
+
+    Masks leave an archive ``MASKS`` at a time, so that memory goes with its packed size.
+    """
     import io
+    import zipfile
+
+    def planes(data: bytes, path_: str, n: int) -> Iterator[tuple[int, np.ndarray]]:
+        with zipfile.ZipFile(io.BytesIO(data)) as z, z.open("masks.npy") as stream:
+            version = np.lib.format.read_magic(stream)
+            shape, fortran, kind = (np.lib.format.read_array_header_1_0 if version == (1, 0) else np.lib.format.read_array_header_2_0)(stream)
+            if len(shape) != 3 or shape[0] != n:
+                raise ValueError(f"{path_}: masks, scores and labels differ in number")
+            if fortran or kind.hasobject:  # not laid out mask by mask
+                yield 0, np.load(io.BytesIO(data), allow_pickle=False)["masks"].astype(bool)
+                return
+            size = shape[1] * shape[2] * kind.itemsize
+            for at in range(0, n, MASKS):
+                count = min(MASKS, n - at)
+                held = stream.read(count * size)
+                if len(held) != count * size:
+                    raise ValueError(f"{path_}: masks end early")
+                yield at, np.frombuffer(held, kind).reshape(count, *shape[1:]).astype(bool)
 
     def decode(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             for path_, data in zip(part["path"], part["content"]):
                 z = np.load(io.BytesIO(data), allow_pickle=False)
-                masks, scores, labels = z["masks"].astype(bool), z["scores"], z["labels"]
-                if masks.ndim != 3 or not len(masks) == len(scores) == len(labels):
+                scores, labels = z["scores"], z["labels"]
+                if len(scores) != len(labels):
                     raise ValueError(f"{path_}: masks, scores and labels differ in number")
-                edge = np.diff(np.pad(masks.astype(np.int8), ((0, 0), (0, 0), (1, 1))), axis=2)
-                d, v, u0 = np.nonzero(edge == 1)
-                u1 = np.nonzero(edge == -1)[2]
-                yield pd.DataFrame({"path": path_, "det_id": d, "label": [str(labels[k]) for k in d], "score": scores[d].astype("f8"), "v": v, "u0": u0, "u1": u1})
+                for at, masks in planes(data, path_, len(scores)):
+                    edge = np.diff(np.pad(masks.astype(np.int8), ((0, 0), (0, 0), (1, 1))), axis=2)
+                    d, v, u0 = np.nonzero(edge == 1)
+                    u1 = np.nonzero(edge == -1)[2]
+                    d = d + at
+                    yield pd.DataFrame({"path": path_, "det_id": d, "label": [str(labels[k]) for k in d], "score": scores[d].astype("f8"), "v": v, "u0": u0, "u1": u1})
 
     return contents.mapInPandas(decode, "path string, det_id bigint, label string, score double, v bigint, u0 bigint, u1 bigint").withColumn("image_id", stem_of())
 

@@ -224,6 +224,19 @@ def test_flat_labels_never_broadcast_a_row_a_point(spark):
     assert "SortMergeJoin [frame_id" in plan and not [x for x in plan.splitlines() if "BroadcastHashJoin" in x and "place" in x]
 
 
+def test_archives_leave_some_masks_at_a_time(spark, tmp_path, monkeypatch):
+    rng = np.random.default_rng(3)
+    masks = rng.random((11, 6, 9)) < 0.4
+    np.savez_compressed(tmp_path / "7.npz", masks=masks, scores=np.arange(11) / 11, labels=np.array([f"c{k}" for k in range(11)]))
+    monkeypatch.setattr(files, "MASKS", 4)
+    got = files.detection_archives(spark, str(tmp_path)).collect()
+    held = np.zeros_like(masks)
+    for r in got:
+        assert r.label == f"c{r.det_id}" and r.score == r.det_id / 11 and not held[r.det_id, r.v, r.u0 : r.u1].any()
+        held[r.det_id, r.v, r.u0 : r.u1] = True
+    assert (held == masks).all()
+
+
 def test_frame_logs_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
     from pointloom.plans import file_queries
 
