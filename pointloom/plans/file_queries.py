@@ -84,15 +84,19 @@ def src9_kinds(spark: SparkSession, sf: str) -> DataFrame:
 def packed(spark: SparkSession, sf: str) -> DataFrame:
     """Points of each frame as packet files: a record each, in order."""
 
+    fields = ("distance", "intensity", "reflectivity", "azimuth", "vertical", "x", "y", "z")
+
     def pack(group: pd.DataFrame) -> pd.DataFrame:
-        g = group.sort_values("row_idx")
-        records = np.zeros(len(g), files.RECORD)
-        for n in ("distance", "intensity", "reflectivity", "azimuth", "vertical", "x", "y", "z"):
-            records[n] = g[n].to_numpy()
-        return pd.DataFrame({"path": [f"{g['frame_ord'].iloc[0]}.pkt"], "content": [np.array([128, len(g)], "<u8").tobytes() + records.tobytes() + b"cut"]})
+        n, order = len(group), group["row_idx"].to_numpy().argsort(kind="stable")
+        held = bytearray(16 + n * files.RECORD.itemsize) + b"cut"
+        np.frombuffer(held, "<u8", 2)[:] = 128, n
+        records = np.frombuffer(held, files.RECORD, n, 16)
+        for name in fields:
+            records[name] = group[name].to_numpy()[order]
+        return pd.DataFrame({"path": [f"{group['frame_ord'].iloc[0]}.pkt"], "content": [held]})
 
     path = work_path(spark, "packets")
-    view(spark, sf, "points").groupBy("frame_ord").applyInPandas(pack, "path string, content binary").write.parquet(path)
+    view(spark, sf, "points").select("frame_ord", "row_idx", *fields).groupBy("frame_ord").applyInPandas(pack, "path string, content binary").write.parquet(path)
     return files.decoded_packets(spark.read.parquet(path))
 
 

@@ -109,10 +109,11 @@ def decoded_packets(contents: DataFrame) -> DataFrame:
         for part in parts:
             for path_, data in zip(part["path"], part["content"]):
                 whole = max(0, len(data) - 16) // RECORD.itemsize
-                rows = np.frombuffer(data, RECORD, count=whole, offset=16) if whole else np.zeros(0, RECORD)
-                k = np.arange(whole)
-                slot, pixel, echo = k // (SLOT_PIXELS * ECHOES), k // ECHOES % SLOT_PIXELS, k % ECHOES
-                yield pd.DataFrame({"path": path_, "row_idx": k, "slot": slot, "pixel": pixel, "block_id": echo, **{n: rows[n].astype("f8") for n in names}})
+                for at in range(0, max(1, whole), RECORDS):
+                    k = np.arange(at, min(at + RECORDS, whole))
+                    rows = np.frombuffer(data, RECORD, count=len(k), offset=16 + at * RECORD.itemsize) if len(k) else np.zeros(0, RECORD)
+                    slot, pixel, echo = k // (SLOT_PIXELS * ECHOES), k // ECHOES % SLOT_PIXELS, k % ECHOES
+                    yield pd.DataFrame({"path": path_, "row_idx": k, "slot": slot, "pixel": pixel, "block_id": echo, **{n: rows[n].astype("f8") for n in names}})
 
     schema = "path string, row_idx bigint, slot bigint, pixel bigint, block_id bigint, " + ", ".join(f"{n} double" for n in names)
     return contents.mapInPandas(decode, schema).withColumn("frame_id", stem_of()).drop("path")

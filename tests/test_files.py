@@ -237,6 +237,16 @@ def test_archives_leave_some_masks_at_a_time(spark, tmp_path, monkeypatch):
     assert (held == masks).all()
 
 
+def test_packets_leave_some_records_at_a_time(spark, tmp_path, monkeypatch):
+    records = np.zeros(1000, files.RECORD)
+    records["distance"] = np.arange(1000)
+    (tmp_path / "3.pkt").write_bytes(bytes(16) + records.tobytes() + b"cut")
+    (tmp_path / "4.pkt").write_bytes(bytes(16))
+    monkeypatch.setattr(files, "RECORDS", 300)
+    got = sorted(files.packet_frames(spark, str(tmp_path)).collect(), key=lambda r: r.row_idx)
+    assert [(r.row_idx, r.slot, r.pixel, r.block_id, r.distance) for r in got] == [(k, k // 384, k // 3 % 128, k % 3, float(k)) for k in range(1000)]
+
+
 def test_frame_logs_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
     from pointloom.plans import file_queries
 
