@@ -215,3 +215,22 @@ def test_overlaps_of_large_images_are_not_shuffled_as_pairs(spark):
     plan = M.overlaps(r)._jdf.queryExecution().executedPlan().toString()
     last = plan.index("FlatMapGroupsInArrow")
     assert "Exchange" not in plan[:last] and "Join" not in plan[:last]
+
+
+def test_equal_masks_share_one_look_at_their_context(spark, monkeypatch):
+    from pointloom.operators import alignment as A
+    from pointloom.operators import detections as D
+
+    found, pixels = scene(7, images=3)
+    pixels = {k: {(v, u + 5) for v, u in p} for k, p in pixels.items() if p}
+    copies = {(i, k + 1000 * c): p for (i, k), p in pixels.items() for c in range(4)}
+    _, r = frames(spark, [(i, k + 1000 * c, x, s) for i, k, x, s in found for c in range(4)], copies)
+    colours = spark.range(70 * 70).selectExpr("id % 70 - 5 AS u", "id DIV 70 - 5 AS v", "(id * 7 % 31) / 31D AS r", "(id % 11) / 10D AS g", "(id % 7) / 7D AS b")
+    met, meet = [], D.run_colours
+    monkeypatch.setattr(D, "run_colours", lambda runs, *rest: met.append(runs) or meet(runs, *rest))
+    got = {(x.image_id, x.det_id): x.asDict() for x in D.context_appearance(r, colours, 40, 34, 2.5).collect()}
+    want = {(x.image_id, x.det_id): x.asDict() for x in A.region_appearance(meet(D.context_ring(r, 40, 34, 2.5), colours), ["image_id", "det_id"]).collect()}
+    assert got.keys() == want.keys() and len(got) > 4
+    for key, x in want.items():
+        assert got[key] == pytest.approx(x)
+    assert met[0].select("image_id", "det_id").distinct().count() <= len({frozenset(p) for p in pixels.values()})
