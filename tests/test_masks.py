@@ -234,3 +234,24 @@ def test_equal_masks_share_one_look_at_their_context(spark, monkeypatch):
     for key, x in want.items():
         assert got[key] == pytest.approx(x)
     assert met[0].select("image_id", "det_id").distinct().count() <= len({frozenset(p) for p in pixels.values()})
+
+
+@pytest.mark.parametrize("over", [(), (("b", "a"),), (("b", "a"), ("c", "b"))])
+def test_equal_runs_are_dealt_once(spark, over):
+    found, pixels = scene(8, images=2)
+    copies = {(i, k + 1000 * c): p for (i, k), p in pixels.items() for c in range(3)}
+    found = [(i, k + 1000 * c, "abc"[("abc".index(x) + k * c) % 3], None if s is None else s - (0.05 + 1e-6 * k) * (c == 2)) for i, k, x, s in found for c in range(3)]
+    d, r = frames(spark, found, copies)
+    shown = {(x.image_id, x.v, x.u): (x.det_id, x.label, x.confidence) for x in M.pixels(M.composed(r, d, over)).collect()}
+    assert shown == plain_composed(found, copies, over, 0)
+    dealt = M.video_composed(r, d)._jdf.queryExecution().optimizedPlan().toString()
+    assert dealt.index("FlatMapGroupsInArrow") < dealt.index("Aggregate")
+
+
+def test_only_detections_near_what_shows_are_asked_for_fragments(spark):
+    d = spark.createDataFrame([(1, k, "a" if k % 2 else None, s) for k, s in enumerate((0.5, 0.500005, 0.49999, -0.3, -0.300003, 0.0, 1e-6, -1e-6, 2.5e-6, 1e9, 1e9 + 1e4, 1e9 + 2e4, None, float("nan")))], DETS)
+    seen = [(1, "a", 0.50001), (1, None, 0.500004), (1, "a", -0.300001), (1, None, 0.0), (1, "a", 1e9), (2, "a", 0.5)]
+    shown = spark.createDataFrame([(i, 0, 0, 1, x, c) for i, x, c in seen], "image_id bigint, v bigint, u0 bigint, u1 bigint, label string, confidence double")
+    for near, share in ((1e-6, 1e-5), (1e-6, 0.0), (0.2, 0.5), (1e-3, 0.1)):
+        want = {x.det_id for x in d.collect() if x.score is not None and any(i == 1 and c == x.label and abs(s - x.score) <= near + share * abs(x.score) for i, c, s in seen)}
+        assert {x.det_id for x in M._near_shown(d, shown, near, share).collect()} == want
