@@ -89,7 +89,7 @@ def dropped_points(points: DataFrame, valid: Column, known: Column, frame: str =
 
 
 def merged(parts: dict[str, DataFrame], reviewed: DataFrame) -> DataFrame:
-    """SET3: datasets under one roof, ids prefixed by their name, only reviewed samples."""
+    """SET3: datasets under one roof, ids prefixed by their name, only reviewed samples; ids may be reviewed more than once."""
     schemas = {tuple(df.columns) for df in parts.values()}
     if len(schemas) != 1:
         raise ValueError("datasets have different features")
@@ -97,7 +97,8 @@ def merged(parts: dict[str, DataFrame], reviewed: DataFrame) -> DataFrame:
     for name, df in parts.items():
         own = df.withColumn("merged_id", F.concat(F.lit(f"{name}_"), F.col("sample_id")))
         out = own if out is None else out.unionByName(own)
-    return out.join(reviewed.select("merged_id").distinct(), "merged_id", "left_semi")
+    # ids are as many as samples, however small the file that they come from: both sides are sorted, none is broadcast
+    return out.join(reviewed.select("merged_id").hint("merge"), "merged_id", "left_semi")
 
 
 def reindexed(manifest: DataFrame, review: DataFrame) -> DataFrame:

@@ -225,10 +225,17 @@ def test_temporal_support_of_a_full_cell_is_not_quadratic(spark):
 
 
 def test_geometry_moves_runs_once(spark):
-    from pointloom.operators import detections as D
-
     d = spark.createDataFrame([(1, 1, v, u, u + n) for v, u, n in ((0, 0, 2), (0, 4, 3), (1, 1, 5), (2, 0, 1), (2, 2, 9), (5, 0, 4))], "image_id bigint, det_id bigint, v bigint, u0 bigint, u1 bigint")
     g = D.mask_geometry(d)
     cells = {(r.v, u) for r in d.collect() for u in range(r.u0, r.u1)}
     assert g.first().perimeter == sum((v + a, u + b) not in cells for v, u in cells for a, b in ((0, 1), (1, 0), (0, -1), (-1, 0)))
     assert " Join" not in g._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_merged_ids_are_never_broadcast(spark):
+    parts = {n: spark.range(6).select(F.col("id").alias("sample_id"), F.lit(n).alias("label")) for n in "ab"}
+    reviewed = spark.createDataFrame([("a_1",), ("a_1",), ("b_4",), ("c_0",)], "merged_id string")
+    out = manifests.merged(parts, reviewed)
+    assert sorted((r.merged_id, r.sample_id, r.label) for r in out.collect()) == [("a_1", 1, "a"), ("b_4", 4, "b")]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
