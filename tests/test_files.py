@@ -126,6 +126,17 @@ def test_sinks(spark, tmp_path):
     assert spark.read.text(str(tmp_path / "p")).first().value == " ".join(["0.1"] * 12)
 
 
+def test_point_clouds_are_packed_in_stretches(spark, monkeypatch):
+    monkeypatch.setattr(sinks, "PACKED", 7)
+    n = 50
+    df = spark.range(2 * n).selectExpr("concat('f', id % 2) AS frame_id", "99 - id AS row_idx", "id / 4D AS x", "-id AS y", "0D AS z", "id * 2D AS intensity", "id % 256 AS label").repartition(5)
+    got = {r.frame_id: r for r in sinks.point_cloud_bytes(df).collect()}
+    for k in range(2):
+        ids = [i for i in range(2 * n - 1, -1, -1) if i % 2 == k]
+        assert np.frombuffer(got[f"f{k}"].cloud, "<f4").tolist() == [v for i in ids for v in (i / 4, -i, 0, 2 * i)]
+        assert np.frombuffer(got[f"f{k}"].labels, "<u4").tolist() == [i % 256 for i in ids]
+
+
 def test_resumed_stream(spark, tmp_path):
     schema = "source_id string, v int"
     write = lambda rows, n: spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / f"in/{n}"))
