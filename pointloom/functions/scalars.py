@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from decimal import ROUND_HALF_UP, Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,6 +23,33 @@ def finite(c: Column | str) -> Column:
     return F.coalesce(c.isNotNull() & ~F.isnan(c) & (F.abs(c) < INF), F.lit(False))
 
 
+def rounds_from(bound: float) -> float:
+    """The least double that is ``bound`` or more when rounded to 6 places, halves away from zero."""
+    reaches = lambda x: Decimal(repr(x)).quantize(Decimal("1e-6"), ROUND_HALF_UP) >= Decimal(repr(bound))
+    x = bound - 5e-7
+    while reaches(x):
+        x = math.nextafter(x, -INF)
+    while not reaches(x):
+        x = math.nextafter(x, INF)
+    return x
+
+
+def at_least(c: Column | str, bound: Column | float) -> Column:
+    """``c >= bound``, both rounded to 6 places. Rounding keeps order and is dear, so it goes into the bound, or is asked for only where it can tell."""
+    c = col(c)
+    if isinstance(bound, Column):
+        return (c >= bound) | ((c >= bound - 2e-6) & (F.round(c, 6) >= F.round(bound, 6)))
+    return c >= rounds_from(round(bound, 6))
+
+
+def at_most(c: Column | str, bound: Column | float) -> Column:
+    """``c <= bound``, both rounded to 6 places."""
+    c = col(c)
+    if isinstance(bound, Column):
+        return (c <= bound) | ((c <= bound + 2e-6) & (F.round(c, 6) <= F.round(bound, 6)))
+    return c < rounds_from(round(bound + 1e-6, 6))
+
+
 def norm(x: str = "x", y: str = "y", z: str = "z") -> Column:
     return F.sqrt(F.col(x) * F.col(x) + F.col(y) * F.col(y) + F.col(z) * F.col(z))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pointloom.functions.scalars import finite, half_away, valid_return
+from pointloom.functions.scalars import at_least, finite, half_away, valid_return
 from pointloom.operators.quantiles import named, quantiles
 
 FRAME = "frame_ord"
@@ -130,17 +130,23 @@ def temporal_support(points: DataFrame, tolerance: float = 0.75) -> DataFrame:
     }).drop("before", "after")
 
 
-def mask_labels(points: DataFrame, pixels: DataFrame, least: float = 0.7, keep_background: bool = False, ignore: int = 255) -> DataFrame:
-    """JOI1: the mask's label and confidence at each point's rounded pixel; outside or unsure points are ignored."""
+def mask_labels(points: DataFrame, pixels: DataFrame, least: float = 0.7, keep_background: bool = False, ignore: int = 255, also: tuple[str, ...] = (), place: str = "row_idx") -> DataFrame:
+    """JOI1: the mask's label and confidence at each point's rounded pixel; outside or unsure points are ignored.
+
+    Points without a pixel meet nothing: they are dealt by their ``place``, where there is one, as one task would have all
+    of them otherwise. ``also``: further columns of ``pixels`` to keep.
+    """
     at = points.withColumns({"u": half_away("cxd"), "v": half_away("cyd")})
-    mask = pixels.select("u", "v", F.col("label").alias("mask_raw"), F.col("confidence").alias("mask_raw_conf"))
-    joined = at.join(mask, ["u", "v"], "left")
-    sure = F.coalesce(F.round("mask_raw_conf", 6) >= least, F.lit(False)) & (F.lit(keep_background) | (F.col("mask_raw") != 0))
+    lost = F.col("u").isNull() | F.col("v").isNull()
+    keyed = at.withColumns({"mask_u": F.when(lost, F.xxhash64(place) if place in points.columns else None).otherwise(F.col("u")), "mask_v": F.when(~lost, F.col("v"))})
+    mask = pixels.select(F.col("u").alias("mask_u"), F.col("v").alias("mask_v"), F.col("label").alias("mask_raw"), F.col("confidence").alias("mask_raw_conf"), *also)
+    joined = keyed.join(mask, ["mask_u", "mask_v"], "left")
+    sure = F.coalesce(at_least("mask_raw_conf", least), F.lit(False)) & (F.lit(keep_background) | (F.col("mask_raw") != 0))
     sure = F.coalesce(sure, F.lit(False))
     return joined.withColumns({
         "mask_label": F.when(sure, F.col("mask_raw")).otherwise(ignore).cast("bigint"), "mask_conf": F.when(sure, F.col("mask_raw_conf")).otherwise(0.0),
         "mask_reason": F.when(F.col("u").isNull(), "no_pixel").when(F.col("mask_raw").isNull(), "outside").when(~sure, "unsure").otherwise("kept"),
-    }).drop("mask_raw", "mask_raw_conf")
+    }).drop("mask_raw", "mask_raw_conf", "mask_u", "mask_v")
 
 
 def mask_boundary(pixels: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pointloom.functions.scalars import finite, valid_return
+from pointloom.functions.scalars import at_least, at_most, finite, half_away, valid_return
 from pointloom.operators import echo
 
 IGNORE = 255
@@ -24,19 +24,23 @@ RULES = [
 NOISE_IDS = {name: 20 + k for k, (name, *_) in enumerate(RULES)}
 
 
-def teacher_features(points: DataFrame, pixels: DataFrame) -> DataFrame:
-    """DOM2: echo, density, temporal, mask and model features of every point, one row each.
+def teacher_features(points: DataFrame, pixels: DataFrame, told: dict[str, Column] | None = None) -> DataFrame:
+    """DOM2: echo, density, temporal, mask and model features of every point, one row each; a pixel has one row.
 
-    Neighbouring frames come first: their join deals points by (frame, slot, pixel), which echoes need too.
+    Neighbouring frames come first: their join deals points by (frame, slot, pixel), which echoes need too. Of the mask
+    only pixels that points fall on take part, with their boundaries in the same row. Angles come last: ``told``, further
+    columns of what is known until then (``early_flags``), are made before points are dealt again, and columns that only
+    they need stay behind.
     """
-    keep = points.columns
+    told = told or {}
     cells = echo.angular_cells(points)
-    features = echo.angular_density(echo.echo_features(echo.temporal_support(points)), cells=cells).join(echo.frame_thresholds(points, cells=cells), echo.FRAME, "left")
-    masked = echo.mask_labels(features, pixels)
-    edge = echo.mask_boundary(pixels).select("u", "v", "boundary")
-    return masked.join(edge, ["u", "v"], "left").withColumn("boundary", F.coalesce("boundary", F.lit(False)) & (F.col("mask_label") != IGNORE)).select(
-        *keep, "echo_valid", "return_count", "return_rank", "nearest_gap", "strongest_delta", "density", "row_count", "col_count", "checked", "support", "far_from", "line_from", "below_to",
-        "mask_label", "mask_conf", "boundary",
+    asked = points.select(half_away("cxd").alias("u"), half_away("cyd").alias("v")).distinct()
+    mask = echo.mask_boundary(pixels).join(asked, ["u", "v"], "left_semi")
+    masked = echo.mask_labels(echo.echo_features(echo.temporal_support(points)), mask, also=("boundary",))
+    known = masked.withColumn("boundary", F.coalesce("boundary", F.lit(False)) & (F.col("mask_label") != IGNORE)).withColumns(told)
+    return echo.angular_density(known, cells=cells).join(echo.frame_thresholds(points, cells=cells), echo.FRAME, "left").select(
+        *points.columns, "echo_valid", "return_count", "return_rank", "nearest_gap", "strongest_delta", "density", "row_count", "col_count", "checked", "support", "far_from", "line_from", "below_to",
+        "mask_label", "mask_conf", "boundary", *told,
     )
 
 
@@ -56,57 +60,63 @@ def teacher_columns(features: DataFrame) -> DataFrame:
         "distance_clean": F.coalesce(fine("distance"), F.lit(0.0)), "intensity_norm": unit("intensity", "i_most"), "reflectivity_norm": unit("reflectivity", "r_most"),
         "strongest_delta_norm": F.when(c("d_most") > 1, c("strongest_delta") / 255).otherwise(c("strongest_delta")), "isolated": true(c("density") <= 3),
         "has_projection": finite("cxd") & finite("cyd"), "stable": true(c("support") > 0), "transient": true((c("checked") > 0) & (c("support") == 0)),
-        "below_ground": true(finite("z") & (F.round("z", 6) <= F.round("below_to", 6))), "mask_context": true(c("mask_label") != IGNORE), "model_noise": true(noise), "model_object": true(object_),
+        "below_ground": true(finite("z") & at_most(c("z"), c("below_to"))), "mask_context": true(c("mask_label") != IGNORE), "model_noise": true(noise), "model_object": true(object_),
     }).drop("i_most", "r_most", "d_most")
 
 
-def flags(low: float = 0.08, very_low: float = 0.03, near: float = 2.5) -> dict[str, Column]:
-    """The named conditions that rules weigh; intensities and reflectivities of 0 to 255 are scaled."""
+def early_flags(low: float = 0.08, very_low: float = 0.03, near: float = 2.5) -> dict[str, Column]:
+    """The conditions ``f_<name>`` that echoes, neighbouring frames, masks and models tell; intensities and reflectivities of 0 to 255 are scaled."""
     c = F.col
     true = lambda x: F.coalesce(x, F.lit(False))
-    scaled = F.round(c("intensity") / 255, 6)
-    reflect = F.round(c("reflectivity") / 255, 6)
-    delta = F.round(c("strongest_delta") / 255, 6)
-    sec, sgap = c("return_rank") > 0, F.round(c("nearest_gap"), 6) >= 1.0
-    no_pixel = ~(finite("cxd") & finite("cyd"))
-    return {k: true(v) for k, v in {
-        "iso": c("density") <= 3, "alone": c("density") <= 1, "low": scaled <= low, "vlow": scaled <= very_low, "lref": reflect <= 0.08,
-        "trans": (c("checked") > 0) & (c("support") == 0), "stab": c("support") > 0, "noproj": no_pixel, "single": c("return_count") <= 1, "multi": c("return_count") >= 2,
-        "three": c("return_count") >= 3, "sec": sec, "gap": F.round(c("nearest_gap"), 6) >= 0.3, "sgap": sgap, "secsgap": sec & sgap, "weak": delta <= -0.05,
-        "below": F.round(c("z"), 6) <= F.round("below_to", 6), "line": F.greatest("row_count", "col_count") >= c("line_from"), "far": F.round(c("distance"), 6) >= F.round("far_from", 6), "near": F.round(c("distance"), 6) <= near,
+    scaled, sec, sgap = c("intensity") / 255, c("return_rank") > 0, at_least("nearest_gap", 1.0)
+    noise, object_ = model_context()
+    return {f"f_{k}": true(v) for k, v in {
+        "low": at_most(scaled, low), "vlow": at_most(scaled, very_low), "lref": at_most(c("reflectivity") / 255, 0.08), "trans": (c("checked") > 0) & (c("support") == 0),
+        "stab": c("support") > 0, "noproj": ~(finite("cxd") & finite("cyd")), "single": c("return_count") <= 1, "multi": c("return_count") >= 2, "three": c("return_count") >= 3,
+        "sec": sec, "gap": at_least("nearest_gap", 0.3), "sgap": sgap, "secsgap": sec & sgap, "weak": at_most(c("strongest_delta") / 255, -0.05), "near": at_most("distance", near),
+        "object": c("mask_label") != IGNORE, "edge": c("boundary"), "noise": noise, "seen": object_, "valid": valid_return(),
+    }.items()}
+
+
+def angle_flags() -> dict[str, Column]:
+    """The conditions ``f_<name>`` that density and the frame's thresholds tell."""
+    c = F.col
+    return {f"f_{k}": F.coalesce(v, F.lit(False)) for k, v in {
+        "iso": c("density") <= 3, "alone": c("density") <= 1, "line": F.greatest("row_count", "col_count") >= c("line_from"),
+        "below": at_most("z", c("below_to")), "far": at_least("distance", c("far_from")),
     }.items()}
 
 
 def model_context() -> tuple[Column, Column]:
     """DOM8: whether the model supports noise, or an object, at a point."""
-    noise = F.col("model_label").isin(*NOISE_IDS.values()) & (F.round("model_conf", 6) >= 0.5)
-    return noise, ~F.col("model_label").isin(*NOISE_IDS.values(), IGNORE) & (F.round("model_conf", 6) >= 0.7)
+    noise = F.col("model_label").isin(*NOISE_IDS.values()) & at_least(F.col("model_conf"), 0.5)
+    return noise, ~F.col("model_label").isin(*NOISE_IDS.values(), IGNORE) & at_least(F.col("model_conf"), 0.7)
 
 
 def rule_scores(features: DataFrame) -> DataFrame:
-    """DOM3, DOM4: a column ``s_<rule>`` for each noise rule, adjusted by context and gated."""
-    named = flags()
-    df = features.withColumns({f"f_{k}": v for k, v in named.items()})
+    """DOM3, DOM4: a column ``s_<rule>`` for each noise rule, adjusted by context and gated.
+
+    ``early_flags`` that ``features`` has already are taken as they are. Weights count hundredths and are multiplied by
+    flags of 0 and 1. All flags, with a branch and a rounding for each weight, made one generated method of more than
+    8,000 bytes, which the virtual machine interprets and never compiles.
+    """
+    df = features.withColumns({k: v for k, v in {**early_flags(), **angle_flags()}.items() if k not in features.columns})
     on = lambda k: F.col(f"f_{k}")
-    object_here = F.col("mask_label") != IGNORE
-    model_noise, model_object = model_context()
-    context = (
-        F.when(object_here, -0.06).otherwise(0.0) + F.when(F.col("boundary"), -0.08).otherwise(0.0) + F.when(model_noise, 0.08).otherwise(0.0) + F.when(model_object, -0.05).otherwise(0.0)
-    )
-    df = df.withColumns({"f_ctx": context, "f_valid": valid_return()})
-    context, out = F.col("f_ctx"), {}
+    weighed = lambda k, w: on(k).cast("double") * round(100.0 * w)
+    context = weighed("object", -0.06) + weighed("edge", -0.08) + weighed("noise", 0.08) + weighed("seen", -0.05)
+    df = df.withColumn("f_hundredths", context)
+    out = {"f_ctx": F.col("f_hundredths") / 100}
     for name, base, weights, gates, steady in RULES:
-        score = F.lit(base)
-        for k, w in weights.items():
-            score = score + F.when(on(k), w).otherwise(0.0)
-        score = score + context + (F.when(on("stab"), -0.10).otherwise(0.0) if steady else F.lit(0.0))
-        gate = F.col("f_valid")
+        score = F.col("f_hundredths") + round(100.0 * base)
+        for k, w in [*weights.items(), *[("stab", -0.10)] * steady]:
+            score = score + weighed(k, w)
+        gate = on("valid")
         for g in gates:
             any_of = on(g) if isinstance(g, str) else on(g[0])
             for k in g[1:] if isinstance(g, tuple) else ():
                 any_of = any_of | on(k)
             gate = gate & any_of
-        out[f"s_{name}"] = F.when(gate, F.round(F.greatest(F.lit(0.0), F.least(F.lit(0.98), score)), 6)).otherwise(0.0)
+        out[f"s_{name}"] = F.when(gate, F.greatest(F.lit(0.0), F.least(F.lit(98.0), score)) / 100).otherwise(0.0)
     return df.withColumns(out)
 
 

@@ -188,7 +188,7 @@ def best_sql(classes: tuple[int, ...] = (1, 2, 5, 7, 11)) -> str:
 
 
 def scores(spark: SparkSession, sf: str) -> DataFrame:
-    return teacher.rule_scores(teacher.teacher_features(view(spark, sf, "points"), view(spark, sf, "pixels")))
+    return teacher.rule_scores(teacher.teacher_features(view(spark, sf, "points"), view(spark, sf, "pixels"), teacher.early_flags()))
 
 
 @query("dom3_rule_scores", oracle(f"WITH {FEATURES} SELECT frame_ord, row_idx, {', '.join(f's_{n}' for n in teacher.NOISE_IDS)} FROM r", "points", "pixels"))

@@ -239,3 +239,60 @@ def test_merged_ids_are_never_broadcast(spark):
     assert sorted((r.merged_id, r.sample_id, r.label) for r in out.collect()) == [("a_1", 1, "a"), ("b_4", 4, "b")]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_bounds_take_rounding_in():
+    import decimal
+
+    from pointloom.functions import scalars as S
+
+    half = lambda x: decimal.Decimal(repr(x)).quantize(decimal.Decimal("1e-6"), decimal.ROUND_HALF_UP)
+    for bound in (0.3, 0.7, 1.0, -0.05, 0.08, 2.5):
+        cut = S.rounds_from(bound)
+        assert half(cut) >= half(bound) > half(np.nextafter(cut, -np.inf).item())
+
+
+def test_comparisons_are_those_of_rounded_values(spark):
+    from pointloom.functions import scalars as S
+
+    near = [b + d for b in (0.3, -0.05, 2.5, 80.0) for d in (-2e-6, -6e-7, -5e-7, -4e-7, 0.0, 4e-7, 5e-7, 6e-7, 2e-6)]
+    df = spark.createDataFrame([(x, y) for x in [*near, float("nan"), float("inf"), None, 1e13] for y in (0.3, -0.0499996, 2.5000004, 80.0, None)], "x double, y double")
+    for bound in (0.3, -0.05, 2.5, F.col("y")):
+        other = bound if isinstance(bound, float) else F.round("y", 6)
+        wrong = ~S.at_least("x", bound).eqNullSafe(F.round("x", 6) >= other) | ~S.at_most("x", bound).eqNullSafe(F.round("x", 6) <= other)
+        assert df.where(wrong).count() == 0
+
+
+def test_scores_fit_into_compiled_methods(spark, capsys):
+    import re
+
+    from pointloom.plans import point_queries
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        point_queries.dom3(spark, "/root/testdata/sf0.001").explain("codegen")
+        assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out))) < 8000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_given_flags_leave_the_scores_as_they_are(spark):
+    from pointloom.plans import views
+
+    p, x = (views.view(spark, "/root/testdata/sf0.001", n) for n in ("points", "pixels"))
+    names = ["frame_ord", "row_idx", *[f"s_{n}" for n in teacher.NOISE_IDS], "f_ctx"]
+    plain = teacher.rule_scores(teacher.teacher_features(p, x)).select(*names)
+    early = teacher.rule_scores(teacher.teacher_features(p, x, teacher.early_flags())).select(*names)
+    assert plain.exceptAll(early).count() == 0 and plain.count() == early.count() == p.count()
+
+
+def test_points_without_a_pixel_are_spread(spark):
+    p = spark.range(1000).selectExpr("id AS row_idx", "CAST(NULL AS DOUBLE) AS cxd", "1e0 AS cyd").union(spark.sql("SELECT 1000L, 2e0, 1e0"))
+    mask = spark.createDataFrame([(2, 1, 7, 0.9), (None, 1, 8, 0.9)], "u bigint, v bigint, label bigint, confidence double")
+    got = echo.mask_labels(p, mask.hint("merge"))
+    assert got.where("mask_label = 7").count() == 1 and got.where("mask_reason = 'no_pixel'").count() == 1000
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # it would join the small parts again
+    try:
+        assert got.withColumn("task", F.spark_partition_id()).where("u IS NULL").select("task").distinct().count() > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
