@@ -44,15 +44,29 @@ def teacher_features(points: DataFrame, pixels: DataFrame, told: dict[str, Colum
     )
 
 
-def teacher_columns(features: DataFrame) -> DataFrame:
+def frame_maxima(points: DataFrame) -> DataFrame:
+    """Of each frame the largest intensity, reflectivity and difference to the strongest echo, from the least and the largest intensity of each (frame, slot, pixel)."""
+    fine = lambda n: F.when(finite(n), F.col(n))
+    own = F.when(valid_return(), F.col("intensity"))
+    groups = points.groupBy(echo.FRAME, "slot", "pixel").agg(
+        F.max(fine("intensity")).alias("i"), F.max(fine("reflectivity")).alias("r"), F.min(own).alias("low"), F.max(own).alias("high")
+    )
+    loose = ~(finite("slot") & finite("pixel"))  # such frames have no echo groups, so no differences
+    apart = F.greatest(F.abs(F.col("low") - F.col("high")), F.abs(F.col("high") - F.col("high")))
+    return groups.groupBy(echo.FRAME).agg(F.max("i").alias("i_most"), F.max("r").alias("r_most"), F.when(~F.bool_or(loose), F.max(apart)).alias("d_most"))
+
+
+def teacher_columns(features: DataFrame, most: DataFrame | None = None) -> DataFrame:
     """DOM2, the rest: what ``teacher_features`` gives in the units and flags that rules and reports use.
 
     Intensities, reflectivities and differences to the strongest echo are over 255 in frames where one exceeds 1; the first
-    two are cut to 0 to 1, and 0 where not finite. The largest of a frame is a grouped maximum joined back.
+    two are cut to 0 to 1, and 0 where not finite. The largest of a frame is a grouped maximum joined back; ``most``: the
+    points' ``frame_maxima``, where the plan has points, so that features aren't made twice.
     """
     c = F.col
     fine = lambda n: F.when(finite(n), c(n))
-    most = features.groupBy(echo.FRAME).agg(F.max(fine("intensity")).alias("i_most"), F.max(fine("reflectivity")).alias("r_most"), F.max(F.abs(c("strongest_delta"))).alias("d_most"))
+    if most is None:
+        most = features.groupBy(echo.FRAME).agg(F.max(fine("intensity")).alias("i_most"), F.max(fine("reflectivity")).alias("r_most"), F.max(F.abs(c("strongest_delta"))).alias("d_most"))
     unit = lambda n, m: F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.when(c(m) > 1, fine(n) / 255).otherwise(fine(n)))), F.lit(0.0))
     noise, object_ = model_context()
     true = lambda x: F.coalesce(x, F.lit(False))

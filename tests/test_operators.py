@@ -296,3 +296,12 @@ def test_points_without_a_pixel_are_spread(spark):
         assert got.withColumn("task", F.spark_partition_id()).where("u IS NULL").select("task").distinct().count() > 1
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_frame_maxima_are_those_of_the_features(spark):
+    rows = [(1, 1, 1, 300.0, 2.0), (1, 1, 1, 20.0, float("nan")), (1, 2, 1, float("nan"), 1.0), (2, 1, 1, 0.5, 0.2), (2, 1, 1, 0.25, None), (3, None, 1, 9.0, 0.1), (3, 1, 1, 90.0, 0.1), (3, 1, 1, 3.0, 0.1), (4, 1, 1, None, None)]
+    p = spark.createDataFrame([(f, s, q, i, r, 1.0 * (k % 5), 0.0, 1.0, 1.0, k) for k, (f, s, q, i, r) in enumerate(rows)], "frame_ord bigint, slot bigint, pixel bigint, intensity double, reflectivity double, x double, y double, z double, distance double, row_idx bigint")
+    e, fine = echo.echo_features(p), lambda n: F.when(~F.isnan(n), F.col(n))
+    want = e.groupBy("frame_ord").agg(F.max(fine("intensity")).alias("i"), F.max(fine("reflectivity")).alias("r"), F.coalesce(F.max(F.abs("strongest_delta")), F.lit(0.0)).alias("d"))
+    got = teacher.frame_maxima(p).select("frame_ord", "i_most", "r_most", F.coalesce("d_most", F.lit(0.0)))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.toDF(*got.columns).collect()))
