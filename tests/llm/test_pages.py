@@ -267,6 +267,83 @@ def test_a_host_of_many_pages(spark):
         assert all(got[k].startswith(f"page {k} has text of its own number") for k in range(5000))
 
 
+def noted(n, note, tag="div", host="n.org"):
+    return [(f"http://{host}/{k}", f"<article><h1>head {k}</h1><p>page {k} of {host} has text of its own number {k * 7} only here</p><p>and more of it</p><{tag}>{note}</{tag}></article>") for k in range(n)]
+
+
+def left_of_pages(spark, pages):
+    df = spark.createDataFrame([(k, *p) for k, p in enumerate(pages)], "page_id bigint, url string, html string")
+    return [r.text for r in html_text.main_text(df).orderBy("page_id").collect()]
+
+
+NOTE = "sign up now for the weekly letter of this very fine site and miss nothing"
+
+
+@pytest.mark.parametrize("n,tag,stays", [(3, "div", False), (2, "div", True), (12, "p", False), (9, "p", True), (12, "section", False)])
+def test_notices_inside_articles_go_where_most_articles_of_the_host_hold_them(spark, n, tag, stays):
+    got = left_of_pages(spark, noted(n, NOTE, tag) + noted(4, "some other words that only few of them will ever say", "p", "other.org"))
+    assert [NOTE in t for t in got] == [stays] * n + [False] * 4
+    assert all(t.startswith(f"head {k}\npage {k} of n.org has text of its own number {k * 7} only here") for k, t in enumerate(got[:n]))
+    assert all(t.endswith("\nsome other words that only few of them will ever say") for t in got[n:])
+
+
+def test_shared_text_of_some_articles_stays(spark):
+    few = noted(4, NOTE) + noted(9, "nothing", "div")[4:]
+    copies = [(f"http://copy.org/{k}", f"<article><div>{NOTE}</div><div>and {NOTE} again</div><p>{k}</p></article>") for k in range(5)]
+    inside = [(f"http://in.org/{k}", f"<article><p>head of page {k} and text of its own {k} here</p><div>own {k} {NOTE}</div></article>") for k in range(5)]
+    short = noted(6, "read more of this", "div", "short.org")
+    got = left_of_pages(spark, few + copies + inside + short)
+    assert [NOTE in t for t in got] == [True] * 4 + [False] * 5 + [True] * 10 + [False] * 6
+    assert all(t == f"{NOTE}\nand {NOTE} again\n{k}" for k, t in enumerate(got[9:14])) and all(t.endswith("\nread more of this") for t in got[19:])
+
+
+def plain_articles(rows):
+    """Counts tiles of article blocks in dictionaries."""
+    from urllib.parse import urlparse
+
+    def cut(text):
+        t = text.split(" ")
+        return {tuple(t[k : k + 8]) for k in (*range(0, len(t) - 8, 8), len(t) - 8)} if len(t) >= 8 else set()
+
+    hosts, out = {}, {}
+    for page_id, url, page in rows:
+        own = [(t, opened) for k, t, opened in html_text.opened_blocks(page or "") if k == "article"]
+        if own:
+            hosts.setdefault(urlparse(url or "").hostname or "", []).append((page_id, own))
+    for pages in hosts.values():
+        n = {}
+        for _, own in pages:
+            for run in {r for t, _ in own for r in cut(t)}:
+                n[run] = n.get(run, 0) + 1
+        for page_id, own in pages:
+            low = [min(map(n.get, cut(t)), default=0) for t, _ in own]
+            go = [v >= 10 and v > 0.9 * len(pages) if opened else v >= 3 and v > 0.5 * len(pages) for v, (_, opened) in zip(low, own)]
+            lost = sum(len(t.split(" ")) for (t, _), g in zip(own, go) if g)
+            whole = 2 * lost >= sum(len(t.split(" ")) for t, _ in own)
+            out[page_id] = "\n".join(t for (t, _), g in zip(own, go) if whole or not g)
+    return out
+
+
+@pytest.mark.parametrize("parts", [1, 7, 211])
+def test_articles_against_brute_force_however_pages_are_dealt(spark, parts):
+    rnd = random.Random(9)
+    notes = [" ".join(rnd.choice("abcdefg") + str(rnd.randrange(9)) for _ in range(rnd.randint(5, 30))) for _ in range(6)]
+    often = [0.2, 0.45, 0.55, 0.8, 0.95, 1.0]
+    rows = []
+    for k in range(200):
+        parts_of = [f"<{t}>{n}</{t}>" for n, f in zip(notes, often) if rnd.random() < f for t in [rnd.choice(["p", "div", "li"] if n != notes[5] else ["p"])]]
+        parts_of += ["<p>" + " ".join(f"w{rnd.randrange(4000)}" for _ in range(rnd.randint(1, 90))) + "</p>" for _ in range(rnd.randint(0, 4))]
+        rnd.shuffle(parts_of)
+        rows.append((k, rnd.choice([f"http://h{k % 3}.org/{k}", f"http://s{k % 40}.org/", None]), f"<body><nav>{notes[0]}</nav><main>{''.join(parts_of)}</main></body>"))
+    rows += [(200, "http://h0.org", rows[0][2]), (201, "http://h1.org", "<article></article>")]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(parts)
+    got = {r.page_id: r.text for r in html_text.main_text(df).collect()}
+    want = plain_articles(rows)
+    assert {k: got[k] for k in want} == want and len(got) == len(rows)
+    before = {k: "\n".join(t for kind, t in html_text.page_blocks(p) if kind == "article") for k, _, p in rows}
+    assert 30 < sum(want[k] != before[k] for k in want) < len(want)
+
+
 def test_boilerplate_counts_what_the_array_removes(spark):
     note = "please accept all of our very nice cookies now or go away"
     rows = [(k, "http://a.org", f"<nav>{note}</nav><article><p>{note}</p></article><footer>own {k}</footer>") for k in range(4)]
