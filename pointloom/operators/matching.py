@@ -14,29 +14,27 @@ def nearest_in_time(frames: DataFrame, poses: DataFrame, frame_id: str, pose_id:
 
     Both sides are dealt to time buckets. A bucket sees, besides its own poses, the
     last pose before it and the first after it, carried over empty buckets: these are
-    computed from one row per bucket. So no task sorts all of time.
+    computed from one row per bucket. So no task sorts all of time. What follows is looked
+    for in falling order: a window that ends with the last row is summed up again for each row.
     """
-    b = lambda df: df.withColumn("bucket", F.floor(F.col(ts) / bucket).cast("bigint"))
-    f = b(frames.where(F.col(ts).isNotNull()).select(frame_id, ts))
-    p = b(poses.where(F.col(ts).isNotNull()).select(pose_id, ts))
+    bucketed = lambda df: df.where(F.col(ts).isNotNull()).withColumn("bucket", F.floor(F.col(ts) / bucket).cast("bigint"))
+    f = bucketed(frames).select("bucket", F.col(ts).alias("t"), F.lit(0).alias("kind"), F.struct(*frames.columns).alias("frame"))
+    p = bucketed(poses).select("bucket", F.col(ts).alias("t"), F.lit(1).alias("kind"), F.col(pose_id).alias("i"))
+    both = f.unionByName(p, allowMissingColumns=True).withColumn("pose", F.when(F.col("kind") == 1, F.struct("t", "i")))
     # of equal times: the first pose at or after a frame, the last one before it
-    ends = p.groupBy("bucket").agg(F.min(F.struct(ts, pose_id)).alias("low"), F.max(F.struct(ts, pose_id)).alias("high"))
-    grid = f.select("bucket").union(p.select("bucket")).distinct().join(ends, "bucket", "left")
-    order = Window.orderBy("bucket")  # one row a bucket, not a point
-    carried = grid.select(
-        "bucket", F.last("high", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("before"), F.first("low", ignorenulls=True).over(order.rowsBetween(1, Window.unboundedFollowing)).alias("after")
-    )
-    kind = lambda df, k, i, own: df.select("bucket", F.col(ts), F.lit(k).alias("kind"), F.col(i).alias("id"), (F.struct(F.col(ts).alias("t"), F.col(i).alias("i")) if own else F.lit(None).cast("struct<t:bigint,i:bigint>")).alias("pose"))
-    both = kind(f, 0, frame_id, False).unionByName(kind(p, 1, pose_id, True))
-    w = Window.partitionBy("bucket").orderBy(ts, "kind", "id")
-    seen = both.withColumns({
-        "prev": F.last("pose", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)), "next": F.first("pose", ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing)),
-    }).where("kind = 0").join(carried, "bucket")
-    prev_t, prev_i = F.coalesce("prev.t", f"before.{ts}"), F.coalesce("prev.i", f"before.{pose_id}")
-    next_t, next_i = F.coalesce("next.t", f"after.{ts}"), F.coalesce("next.i", f"after.{pose_id}")
-    later = next_t.isNotNull() & (prev_t.isNull() | (next_t - F.col(ts) <= F.col(ts) - prev_t))
-    found = seen.select(F.col("id").alias(frame_id), F.when(later, next_i).otherwise(prev_i).alias(pose_id), (F.when(later, next_t).otherwise(prev_t) - F.col(ts)).alias("delta"))
-    return frames.join(found, frame_id, "left")
+    ends = both.groupBy("bucket").agg(F.min("pose").alias("low"), F.max("pose").alias("high"))
+    nearest = lambda c, w: F.last(c, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    order = lambda *by: (Window.orderBy(*by), Window.orderBy(*[F.desc(c) for c in by]))
+    rise, fall = order("bucket")  # one row a bucket, not a point
+    carried = ends.select("bucket", nearest("high", rise).alias("before"), nearest("low", fall).alias("after"))
+    rise, fall = (w.partitionBy("bucket") for w in order("t", "kind", "i"))
+    seen = both.withColumns({"prev": nearest("pose", rise), "next": nearest("pose", fall)}).where("kind = 0").join(carried, "bucket")
+    prev, next_ = F.coalesce("prev", "before"), F.coalesce("next", "after")
+    later = next_["t"].isNotNull() & (prev["t"].isNull() | (next_["t"] - F.col("t") <= F.col("t") - prev["t"]))
+    pose = F.when(later, next_).otherwise(prev)
+    own = [frame_id, *[c for c in frames.columns if c != frame_id]]
+    found = seen.select(*[F.col("frame")[c].alias(c) for c in own], pose["i"].alias(pose_id), (pose["t"] - F.col("t")).alias("delta"))
+    return found.unionByName(frames.where(F.col(ts).isNull()).select(*own), allowMissingColumns=True)
 
 
 def synced(matched: DataFrame, most: float) -> DataFrame:

@@ -76,6 +76,16 @@ def test_nearest_prefers_the_later_of_two(spark):
     assert {r.frame_id for r in near.where("synced").collect()} == {1}
 
 
+def test_nearest_sums_no_window_up_again_for_each_row(spark):
+    f = spark.createDataFrame([("x", 1, 10), ("y", 1, 10), ("z", 2, None)], "tag string, frame_id int, ts_s bigint")
+    p = spark.createDataFrame([(7, 8), (6, 8), (5, 13)], "pose_id int, ts_s bigint")
+    near = matching.nearest_in_time(f, p, "frame_id", "pose_id", "ts_s")
+    assert "unboundedfollowing" not in near._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert near.columns == ["frame_id", "tag", "ts_s", "pose_id", "delta"]
+    assert sorted(map(tuple, near.collect())) == [(1, "x", 10, 7, -2), (1, "y", 10, 7, -2), (2, "z", None, None, None)]
+    assert {r.pose_id for r in matching.nearest_in_time(f, p.limit(0), "frame_id", "pose_id", "ts_s").collect()} == {None}
+
+
 def test_segments(spark):
     tags = [(0, k, "a" if k <= 15 else "b" if k <= 30 else "c" if k <= 39 else "a") for k in range(101)] + [(1, 0, "a"), (1, 2, "a")]
     df = spark.createDataFrame(tags, "scene int, frame int, tag string")
