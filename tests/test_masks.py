@@ -136,6 +136,36 @@ def test_thousands_of_detections_in_one_image(spark):
     assert got.n == sum(want.values()) and got.s == sum(3 * (3 - g) * c for g, c in want.items())
 
 
+@pytest.mark.parametrize(("whole", "block", "copies", "step"), [((1 << 14, 1 << 19), 1024, 256, 1 << 20), ((0, 0), 4, 3, 7), ((0, 0), 3, 1, 1000), ((9, 99), 1024, 2, 50)])
+def test_overlaps_of_copies_are_all_there(spark, monkeypatch, whole, block, copies, step):
+    for name, value in {"WHOLE": whole, "BLOCK": block, "COPIES": copies, "STEP": step}.items():
+        monkeypatch.setattr(M, name, value)
+    found, pixels = scene(9, images=2, dets=9, size=12)
+    found = [(i, k * 7 + 13 * c % 5, x, s) for i, k, x, s in found for c in range(5)]
+    pixels = {(i, k * 7 + 13 * c % 5): p for (i, k), p in pixels.items() for c in range(5)}
+    _, r = frames(spark, found, pixels)
+    want = {}
+    for x, p in pixels.items():
+        for y, q in pixels.items():
+            if x[0] == y[0] and x[1] < y[1] and p & q:
+                n = len(p & q)
+                want[x[0], x[1], y[1]] = (n, len(p), len(q), round(n / len(p | q), 4), round(n / min(len(p), len(q)), 4))
+    rows = M.overlaps(r, digits=4).collect()
+    assert len(rows) == len(want) and all(x.containment == x.overlap for x in rows)
+    got = {(x.image_id, x.a, x.b): (x.intersection, x.area_a, x.area_b, x.iou, x.overlap) for x in rows}
+    assert got == {k: (*v[:3], pytest.approx(v[3], abs=1e-4), pytest.approx(v[4], abs=1e-4)) for k, v in want.items()}
+
+
+def test_overlaps_deal_different_masks_only(spark, monkeypatch):
+    from pyspark.sql import GroupedData
+
+    n, dealt, apply = 5000, [], GroupedData.applyInArrow
+    monkeypatch.setattr(GroupedData, "applyInArrow", lambda self, *rest: dealt.append(self._df) or apply(self, *rest))
+    d = spark.range(n).select(F.lit(1).cast("bigint").alias("image_id"), F.col("id").alias("det_id"), (F.col("id") % 500).alias("u0"))
+    M.overlaps(d.select("image_id", "det_id", F.explode(F.expr("sequence(0L, 2L)")).alias("v"), "u0", (F.col("u0") + 3).alias("u1")))
+    assert dealt[0].count() == 500
+
+
 def test_context_ring_is_the_box_without_the_mask(spark):
     from pointloom.operators import detections as D
 
