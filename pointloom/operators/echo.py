@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,6 +12,14 @@ from pointloom.operators.quantiles import named, quantiles
 
 FRAME = "frame_ord"
 
+#: Rows up to which a table that points look things up in goes to all tasks.
+FEW = 1 << 18
+
+
+def sent(table: DataFrame, rows: int | None = None) -> DataFrame:
+    """``table`` to be joined to points: sent to all tasks up to ``FEW`` rows, which a job counts unless ``rows`` says how many there are at most; a larger one is dealt with the points by its key."""
+    return F.broadcast(table) if (table.count() if rows is None else rows) <= FEW else table
+
 
 def primary_returns(points: DataFrame, strict: bool = False) -> DataFrame:
     """FLT1: finite block ids that truncate to 0. ``strict`` raises for a frame without any."""
@@ -24,9 +34,10 @@ def echo_features(points: DataFrame) -> DataFrame:
     """WIN1: number of returns, rank by distance, nearest gap and intensity against the strongest, per (frame, slot, pixel).
 
     Only valid points count; others get 0. A frame with a slot or pixel that isn't finite stays ungrouped: such
-    frames are a small table of their own, so that points are dealt by (frame, slot, pixel) alone.
+    frames are a small table of their own, so that points are dealt by (frame, slot, pixel) alone. Points that have
+    ``echo_valid`` already keep it.
     """
-    valid = valid_return()
+    valid = F.col("echo_valid") if "echo_valid" in points.columns else valid_return()
     key = Window.partitionBy(FRAME, "slot", "pixel", "echo_valid")
     order = key.orderBy("distance", "row_idx")
     loose = points.where(~(finite("slot") & finite("pixel"))).select(FRAME, F.lit(True).alias("echo_loose")).distinct()
@@ -80,20 +91,42 @@ def angular_density(points: DataFrame, step: float = 0.5, cells: DataFrame | Non
     return _binned(points, step).join(cells.drop("cell").join(near, [FRAME, "bin_a", "bin_v"]), [FRAME, "bin_a", "bin_v"])
 
 
-def frame_thresholds(points: DataFrame, step: float = 0.5, cells: DataFrame | None = None) -> DataFrame:
-    """WIN8: far distance, line count and ground height of each frame, from exact quantiles of its points.
+def isolated(points: DataFrame, most: int = 3, step: float = 0.5, cells: DataFrame | None = None) -> DataFrame:
+    """WIN9, as one flag: whether the 3x3 cells around a point's angular cell hold up to ``most`` points, as ``angular_density`` counts them.
+
+    Only cells with so few around are joined to points. Points without a frame are left out, as there.
+    """
+    cells = angular_cells(points, step) if cells is None else cells
+    around = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(v).alias("v")) for a in (-1, 0, 1) for v in (-1, 0, 1)]))
+    spread = cells.withColumn("d", around).select(FRAME, (F.col("bin_a") + F.col("d.a")).alias("bin_a"), (F.col("bin_v") + F.col("d.v")).alias("bin_v"), "cell", ((F.col("d.a") == 0) & (F.col("d.v") == 0)).alias("own"))
+    near = spread.groupBy(FRAME, "bin_a", "bin_v").agg(F.sum("cell").alias("density"), F.bool_or("own").alias("own"))
+    lone = near.where(F.col("own") & (F.col("density") <= most)).select(FRAME, "bin_a", "bin_v", F.lit(True).alias("isolated"))
+    joined = _binned(points.where(F.col(FRAME).isNotNull()), step).join(sent(lone), [FRAME, "bin_a", "bin_v"], "left")
+    return joined.withColumn("isolated", F.coalesce("isolated", F.lit(False))).drop("bin_a", "bin_v")
+
+
+#: What ``frame_thresholds`` gives: column -> (which values, share).
+THRESHOLDS = {"far_from": ("distance", 0.98), "line_from": ("line", 0.90), "below_to": ("z", 0.05)}
+
+
+def frame_thresholds(points: DataFrame, step: float = 0.5, cells: DataFrame | None = None, wanted: tuple[str, ...] = tuple(THRESHOLDS)) -> DataFrame:
+    """WIN8: far distance, line count and ground height of each frame, from exact quantiles of its points; of these the ``wanted`` ones.
 
     Distances that aren't finite count as 0, heights that aren't count for nothing. Line counts come from cells, each as
     often as it has points.
     """
-    distance = F.when(finite("distance"), F.col("distance")).otherwise(0.0)
-    values = named(points, [FRAME], {"distance": distance, "z": F.when(finite("z"), F.col("z"))})
-    line = F.greatest("row_count", "col_count").cast("double").alias("value")
-    # few different counts a frame: the selection reads these sums again, not the cells
-    cells = angular_cells(points, step) if cells is None else cells
-    lines = cells.select(FRAME, line, "cell").groupBy(FRAME, "value").agg(F.sum("cell").alias("n")).select(FRAME, F.lit("line").alias("name"), "value", "n")
-    found = quantiles(values.union(lines), [FRAME], {"far_from": ("distance", 0.98), "line_from": ("line", 0.90), "below_to": ("z", 0.05)})
-    return found.withColumns({"far_from": F.greatest(F.lit(80.0), "far_from"), "line_from": F.greatest(F.lit(12.0), "line_from"), "below_to": F.least(F.lit(-0.25), F.col("below_to") - 0.15)})
+    asked = {c: THRESHOLDS[c] for c in wanted}
+    sources = {"distance": F.when(finite("distance"), F.col("distance")).otherwise(0.0), "z": F.when(finite("z"), F.col("z"))}
+    own = {n: c for n, c in sources.items() if n in [of for of, _ in asked.values()]}
+    values = [named(points, [FRAME], own)] if own else []
+    if "line_from" in asked:
+        line = F.greatest("row_count", "col_count").cast("double").alias("value")
+        # few different counts a frame: the selection reads these sums again, not the cells
+        cells = angular_cells(points, step) if cells is None else cells
+        values.append(cells.select(FRAME, line, "cell").groupBy(FRAME, "value").agg(F.sum("cell").alias("n")).select(FRAME, F.lit("line").alias("name"), "value", "n"))
+    found = quantiles(reduce(DataFrame.union, values), [FRAME], asked)
+    bounds = {"far_from": F.greatest(F.lit(80.0), "far_from"), "line_from": F.greatest(F.lit(12.0), "line_from"), "below_to": F.least(F.lit(-0.25), F.col("below_to") - 0.15)}
+    return found.withColumns({c: bounds[c] for c in asked})
 
 
 def temporal_support(points: DataFrame, tolerance: float = 0.75) -> DataFrame:
@@ -130,13 +163,13 @@ def temporal_support(points: DataFrame, tolerance: float = 0.75) -> DataFrame:
     }).drop("before", "after")
 
 
-def mask_labels(points: DataFrame, pixels: DataFrame, least: float = 0.7, keep_background: bool = False, ignore: int = 255, also: tuple[str, ...] = (), place: str = "row_idx") -> DataFrame:
+def mask_labels(points: DataFrame, pixels: DataFrame, least: float = 0.7, keep_background: bool = False, ignore: int = 255, also: tuple[str, ...] = (), place: str = "row_idx", rounded: bool = False) -> DataFrame:
     """JOI1: the mask's label and confidence at each point's rounded pixel; outside or unsure points are ignored.
 
     Points without a pixel meet nothing: they are dealt by their ``place``, where there is one, as one task would have all
-    of them otherwise. ``also``: further columns of ``pixels`` to keep.
+    of them otherwise. ``also``: further columns of ``pixels`` to keep. ``rounded``: points have the pixel as ``u`` and ``v`` already.
     """
-    at = points.withColumns({"u": half_away("cxd"), "v": half_away("cyd")})
+    at = points if rounded else points.withColumns({"u": half_away("cxd"), "v": half_away("cyd")})
     lost = F.col("u").isNull() | F.col("v").isNull()
     keyed = at.withColumns({"mask_u": F.when(lost, F.xxhash64(place) if place in points.columns else None).otherwise(F.col("u")), "mask_v": F.when(~lost, F.col("v"))})
     mask = pixels.select(F.col("u").alias("mask_u"), F.col("v").alias("mask_v"), F.col("label").alias("mask_raw"), F.col("confidence").alias("mask_raw_conf"), *also)

@@ -24,26 +24,52 @@ RULES = [
 NOISE_IDS = {name: 20 + k for k, (name, *_) in enumerate(RULES)}
 
 
+def _pixel() -> dict[str, Column]:
+    return {"u": half_away("cxd"), "v": half_away("cyd")}
+
+
+def _known(points: DataFrame, pixels: DataFrame, lean: bool = False) -> DataFrame:
+    """Points with what neighbouring frames, echoes and the mask tell.
+
+    Neighbouring frames come first: their join deals points by (frame, slot, pixel), which echoes need too. Of the mask
+    only pixels that points fall on take part, with their boundaries in the same row. ``lean``: points have their pixel, and
+    a mask of few goes to all tasks. (Not for scores: what follows them would be one method, too long to be compiled.)
+    """
+    asked = (points if lean else points.withColumns(_pixel())).select("u", "v").distinct()
+    mask = echo.mask_boundary(pixels).join(asked, ["u", "v"], "left_semi")
+    mask = echo.sent(mask) if lean else mask
+    masked = echo.mask_labels(echo.echo_features(echo.temporal_support(points)), mask, also=("boundary",), rounded=lean)
+    return masked.withColumn("boundary", F.coalesce("boundary", F.lit(False)) & (F.col("mask_label") != IGNORE))
+
+
 def teacher_features(points: DataFrame, pixels: DataFrame, told: dict[str, Column] | None = None) -> DataFrame:
     """DOM2: echo, density, temporal, mask and model features of every point, one row each; a pixel has one row.
 
-    Neighbouring frames come first: their join deals points by (frame, slot, pixel), which echoes need too. Of the mask
-    only pixels that points fall on take part, with their boundaries in the same row. Angles come last: ``told``, further
-    columns of what is known until then (``early_flags``), are made before points are dealt again, and columns that only
-    they need stay behind.
+    Angles come last: ``told``, further columns of what is known until then (``early_flags``), are made before points are
+    dealt again, and columns that only they need stay behind.
     """
     told = told or {}
     cells = echo.angular_cells(points)
-    asked = points.select(half_away("cxd").alias("u"), half_away("cyd").alias("v")).distinct()
-    mask = echo.mask_boundary(pixels).join(asked, ["u", "v"], "left_semi")
-    masked = echo.mask_labels(echo.echo_features(echo.temporal_support(points)), mask, also=("boundary",))
-    known = masked.withColumn("boundary", F.coalesce("boundary", F.lit(False)) & (F.col("mask_label") != IGNORE)).withColumns(told)
+    known = _known(points, pixels).withColumns(told)
     return echo.angular_density(known, cells=cells).join(echo.frame_thresholds(points, cells=cells), echo.FRAME, "left").select(
         *points.columns, "echo_valid", "return_count", "return_rank", "nearest_gap", "strongest_delta", "density", "row_count", "col_count", "checked", "support", "far_from", "line_from", "below_to",
         "mask_label", "mask_conf", "boundary", *told,
     )
 
 
+def column_features(points: DataFrame, pixels: DataFrame) -> DataFrame:
+    """DOM2: of ``teacher_features`` what ``teacher_columns`` needs, with ``isolated`` in place of densities, the ground height as the only threshold and the ``frame_maxima``.
+
+    What a point tells by itself is known before points are dealt, and columns that only that needs stay behind. Where pixels,
+    lone cells and frames are few, points are dealt by (frame, slot, pixel) and then no more.
+    """
+    noise, object_ = model_context()
+    own = {"echo_valid": valid_return(), **_pixel(), "has_projection": finite("cxd") & finite("cyd"), "model_noise": noise, "model_object": object_}
+    known = _known(points.withColumns(own), pixels, lean=True)
+    frames = frame_maxima(points).join(echo.frame_thresholds(points, wanted=("below_to",)), echo.FRAME, "left")
+    return echo.isolated(known, cells=echo.angular_cells(points)).join(echo.sent(frames, points.select(echo.FRAME).distinct().count()), echo.FRAME, "left")
+
+
 def frame_maxima(points: DataFrame) -> DataFrame:
     """Of each frame the largest intensity, reflectivity and difference to the strongest echo, from the least and the largest intensity of each (frame, slot, pixel)."""
     fine = lambda n: F.when(finite(n), F.col(n))
@@ -57,24 +83,28 @@ def frame_maxima(points: DataFrame) -> DataFrame:
 
 
 def teacher_columns(features: DataFrame, most: DataFrame | None = None) -> DataFrame:
-    """DOM2, the rest: what ``teacher_features`` gives in the units and flags that rules and reports use.
+    """DOM2, the rest: what ``teacher_features`` or ``column_features`` gives, in the units and flags that rules and reports use.
 
     Intensities, reflectivities and differences to the strongest echo are over 255 in frames where one exceeds 1; the first
-    two are cut to 0 to 1, and 0 where not finite. The largest of a frame is a grouped maximum joined back; ``most``: the
-    points' ``frame_maxima``, where the plan has points, so that features aren't made twice.
+    two are cut to 0 to 1, and 0 where not finite. The largest of a frame is a grouped maximum joined back, unless
+    ``features`` have it; ``most``: the points' ``frame_maxima``, where the plan has points, so that features aren't made twice.
+    Flags that ``features`` have are taken as they are.
     """
     c = F.col
     fine = lambda n: F.when(finite(n), c(n))
-    if most is None:
+    if most is None and "i_most" not in features.columns:
         most = features.groupBy(echo.FRAME).agg(F.max(fine("intensity")).alias("i_most"), F.max(fine("reflectivity")).alias("r_most"), F.max(F.abs(c("strongest_delta"))).alias("d_most"))
     unit = lambda n, m: F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.when(c(m) > 1, fine(n) / 255).otherwise(fine(n)))), F.lit(0.0))
     noise, object_ = model_context()
-    true = lambda x: F.coalesce(x, F.lit(False))
-    return features.join(most, echo.FRAME, "left").withColumns({
+    flags = {
+        "isolated": c("density") <= 3, "has_projection": finite("cxd") & finite("cyd"), "stable": c("support") > 0, "transient": (c("checked") > 0) & (c("support") == 0),
+        "below_ground": finite("z") & at_most(c("z"), c("below_to")), "mask_context": c("mask_label") != IGNORE, "model_noise": noise, "model_object": object_,
+    }
+    joined = features if most is None else features.join(most, echo.FRAME, "left")
+    return joined.withColumns({
         "distance_clean": F.coalesce(fine("distance"), F.lit(0.0)), "intensity_norm": unit("intensity", "i_most"), "reflectivity_norm": unit("reflectivity", "r_most"),
-        "strongest_delta_norm": F.when(c("d_most") > 1, c("strongest_delta") / 255).otherwise(c("strongest_delta")), "isolated": true(c("density") <= 3),
-        "has_projection": finite("cxd") & finite("cyd"), "stable": true(c("support") > 0), "transient": true((c("checked") > 0) & (c("support") == 0)),
-        "below_ground": true(finite("z") & at_most(c("z"), c("below_to"))), "mask_context": true(c("mask_label") != IGNORE), "model_noise": true(noise), "model_object": true(object_),
+        "strongest_delta_norm": F.when(c("d_most") > 1, c("strongest_delta") / 255).otherwise(c("strongest_delta")),
+        **{k: F.coalesce(c(k) if k in features.columns else v, F.lit(False)) for k, v in flags.items()},
     }).drop("i_most", "r_most", "d_most")
 
 

@@ -366,7 +366,7 @@ COLUMNS = """round(coalesce(distance, 0), 6) AS distance_clean, round(greatest(0
 @query("dom2_teacher_columns", oracle(f"WITH {FEATURES} SELECT frame_ord, row_idx, azimuth, round(vertical, 6) AS vertical, {COLUMNS} FROM g WINDOW f AS (PARTITION BY frame_ord)", "points", "pixels"))
 def dom2_columns(spark: SparkSession, sf: str) -> DataFrame:
     points = view(spark, sf, "points")
-    f = teacher.teacher_columns(teacher.teacher_features(points, view(spark, sf, "pixels")), teacher.frame_maxima(points))
+    f = teacher.teacher_columns(teacher.column_features(points, view(spark, sf, "pixels")))
     names = "distance_clean intensity_norm reflectivity_norm strongest_delta_norm isolated has_projection stable transient below_ground mask_context model_noise model_object".split()
     return rounded(f.select(*KEY, "azimuth", "vertical", *names), "vertical", *names[:4])
 

@@ -296,6 +296,42 @@ def test_given_flags_leave_the_scores_as_they_are(spark):
     assert plain.exceptAll(early).count() == 0 and plain.count() == early.count() == p.count()
 
 
+@pytest.mark.parametrize("few", [-1, 1 << 18])
+def test_columns_need_no_full_features(spark, monkeypatch, few):
+    monkeypatch.setattr(echo, "FEW", few)
+    p, x = view(spark, SF, "points"), view(spark, SF, "pixels")
+    p = p.withColumn("intensity", F.when(F.col("row_idx") % 97 == 0, float("nan")).otherwise(F.col("intensity"))).localCheckpoint()
+    lean, full = teacher.teacher_columns(teacher.column_features(p, x)), teacher.teacher_columns(teacher.teacher_features(p, x))
+    names = [c for c in full.columns if c in lean.columns]
+    assert len(names) > len(p.columns) + 12
+    assert lean.select(names).exceptAll(full.select(names)).count() == 0 and lean.count() == full.count() == p.count()
+
+
+def test_isolated_points_are_those_of_few_around(spark):
+    rows = [(f, k, a, v) for f in (1, 2) for k, (a, v) in enumerate([(0.1, 0.1), (0.6, 0.1), (0.7, 0.2), (5.0, 5.0), (5.1, 5.1), (5.2, 5.9), (5.6, 4.6), (9.0, None), (-0.1, -0.1)])]
+    p = spark.createDataFrame(rows, "frame_ord bigint, row_idx bigint, azimuth double, vertical double")
+    for most in (0, 1, 2, 3):
+        want = echo.angular_density(p).selectExpr("frame_ord", "row_idx", f"density <= {most} AS isolated")
+        assert sorted(echo.isolated(p, most).select("frame_ord", "row_idx", "isolated").collect()) == sorted(want.collect())
+
+
+def test_teacher_columns_deal_points_by_echo_groups_last(spark):
+    from pointloom.plans.point_queries import dom2_columns
+
+    off = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for k, v in off.items():
+        spark.conf.set(k, v)
+    try:
+        node, dealt = dom2_columns(spark, SF)._jdf.queryExecution().executedPlan(), 0
+    finally:
+        for k in off:
+            spark.conf.unset(k)
+    while node.children().size():
+        dealt += node.nodeName() == "Exchange"
+        node = node.children().apply(0)
+    assert dealt <= 3  # places in a frame, echo groups, frames without these
+
+
 def test_points_without_a_pixel_are_spread(spark):
     p = spark.range(1000).selectExpr("id AS row_idx", "CAST(NULL AS DOUBLE) AS cxd", "1e0 AS cyd").union(spark.sql("SELECT 1000L, 2e0, 1e0"))
     mask = spark.createDataFrame([(2, 1, 7, 0.9), (None, 1, 8, 0.9)], "u bigint, v bigint, label bigint, confidence double")
